@@ -37,3 +37,12 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def mean(value: Column) -> Column:
     """Aggregate mean of a decimal column: exact sum over the count of its non-null values."""
     return ratio(F.sum(value), F.count(value))
+
+
+def weighted_mean(value: str, weight: str) -> Column:
+    """Aggregate mean of a double column over ``weight`` equal rows each, summed exactly.
+
+    The narrower types keep all 12 places through the decimal product.
+    """
+    product = F.col(value).cast("decimal(20,12)") * F.col(weight).cast("decimal(12,0)")
+    return ratio(F.sum(product), F.sum(weight))
