@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from allocspark import schemas
-from allocspark.functions.rounding import exact, half_even, ratio, rounded
+from allocspark.functions.rounding import half_even, ratio, rounded
 from allocspark.operators.corridors import OBSERVED_CORRIDOR
 
 REGION_FLOOR_APPLICANTS = 50
@@ -149,7 +149,11 @@ def constrained_plan(
     ``budget_price`` and ``quota_price``, and ``dual_bound``, an upper limit on the hires of
     any feasible allocation.
     """
-    planned = with_program(campaigns, program).withColumns({
+    # A few bytes per campaign but many tries: spread the rows by a fixed number, since size
+    # alone would let adaptive execution gather them into one task.
+    tasks = int(campaigns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = campaigns.repartition(tasks, "campaign_id")
+    planned = with_program(spread, program).withColumns({
         "_budget": F.col("total_budget_usd").cast("double"),
         "_quota": F.greatest(F.col("min_senior_hires").cast("double"), F.lit(0.0)),
         "_floor": F.when(F.col("regional_diversity_min_pct") > 0, F.lit(float(region_floor))).otherwise(0.0),
@@ -406,8 +410,8 @@ def integer_allocations(plan: DataFrame) -> DataFrame:
 
     Rounding comes after the optimum, so the spend may pass the budget by a few applicants.
     """
-    def line(unit: Column, i: Column) -> Column:
-        applicants = F.bround(F.element_at(F.col("amounts"), i + 1), 0).cast("int")
+    def line(unit: Column, amount: Column) -> Column:
+        applicants = F.bround(amount, 0).cast("int")
         spend = half_even(applicants * unit["unit_cost"], 2).cast("decimal(18,2)")
         hires = half_even(applicants * unit["unit_yield"], 2).cast("decimal(18,2)")
         return _let(F.struct(applicants.alias("n"), spend.alias("s"), hires.alias("h")), lambda v: F.struct(
@@ -421,7 +425,8 @@ def integer_allocations(plan: DataFrame) -> DataFrame:
             .alias("effective_cost_per_hire_usd"),
         ))
 
-    return plan.withColumn("allocations", F.transform("program.units", line)).drop("amounts", "program")
+    return plan.withColumn("allocations", F.zip_with("program.units", "amounts", line)).drop(
+        "amounts", "program")
 
 
 def allocation_lines(integers: DataFrame, keep_zero: bool = False) -> DataFrame:
@@ -469,6 +474,10 @@ def tradeoff(results: DataFrame) -> DataFrame:
     naive_cost, best_cost = F.col("naive_cost_per_hire_usd"), F.col("blended_cost_per_hire_usd")
     saved = naive_cost - best_cost
     saved_pct = F.when(naive_cost > 0, ratio(saved * 100, naive_cost)).otherwise(0.0)
+
+    def text(value: Column, places: int) -> Column:
+        return rounded(value, places).cast(f"decimal(28,{places})").cast("string")
+
     return results.select(
         "campaign_id", "client_name", "total_budget_usd", "naive_heuristic_hires", "naive_cost_per_hire_usd",
         F.col("total_projected_hires").alias("optimal_linear_hires"),
@@ -477,29 +486,29 @@ def tradeoff(results: DataFrame) -> DataFrame:
         "efficiency_gain_pct",
         rounded(saved, 2).alias("cost_per_hire_reduction_usd"),
         rounded(saved_pct, 2).alias("cost_per_hire_savings_pct"),
-        F.format_string(
-            "Constrained allocation delivers %+.1f%% hires and changes cost per hire by %.1f%%"
-            " ($%.2f savings per hire) under the same budget.",
-            F.col("efficiency_gain_pct").cast("double"), (-saved_pct).cast("double"), saved.cast("double"),
+        F.concat(
+            F.lit("Optimal allocation changes hires by "), text(F.col("efficiency_gain_pct"), 1),
+            F.lit("% and lowers cost per hire by "), text(saved_pct, 1), F.lit("% ($"), text(saved, 2),
+            F.lit(" per hire) under the same budget."),
         ).alias("conclusion"),
     )
 
 
 def certificate(plan: DataFrame) -> DataFrame:
     """Proof data of a constrained plan: its hires, the dual bound, gap and violations."""
-    units = F.col("program.units")
-
-    def weigh(field: str, keep: Callable[[Column], Column] | None = None) -> Column:
-        def add(total: Column, unit: Column) -> Column:
-            value = F.element_at(F.col("amounts"), unit["i"] + 1) * unit[field]
-            return total + (value if keep is None else F.when(keep(unit), value).otherwise(0.0))
-        return F.aggregate(units, F.lit(0.0), add)
-
-    floors = F.transform(F.col("program.regions"), lambda region: F.aggregate(
-        region, F.lit(0.0), lambda total, u: total + F.element_at(F.col("amounts"), u["i"] + 1)))
-    measured = plan.withColumns({
-        "hires": weigh("gain"), "spend": weigh("cost"), "senior_hires": weigh("senior_gain"),
-        "smallest_region": F.array_min(floors),
+    placed = F.zip_with("program.units", "amounts", lambda u, x: F.struct(
+        u["region"].alias("region"), x.alias("x"), (x * u["cost"]).alias("spend"),
+        (x * u["gain"]).alias("hires"), (x * u["senior_gain"]).alias("senior")))
+
+    def total(field: str) -> Column:
+        return F.aggregate(F.col("placed"), F.lit(0.0), lambda acc, p: acc + p[field])
+
+    regions = F.array_distinct(F.transform("placed", lambda p: p["region"]))
+    by_region = F.transform(regions, lambda r: F.aggregate(
+        F.col("placed"), F.lit(0.0), lambda acc, p: acc + F.when(p["region"] == r, p["x"]).otherwise(0.0)))
+    measured = plan.withColumn("placed", placed).withColumns({
+        "hires": total("hires"), "spend": total("spend"), "senior_hires": total("senior"),
+        "smallest_region": F.array_min(by_region),
     })
     return measured.select(
         "campaign_id", "solver_status", "hires", "dual_bound", "budget_price", "quota_price",

@@ -105,9 +105,18 @@ def channel_corridor_registry(spark: SparkSession) -> DataFrame:
     )
 
 
-def telemetry_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One observation per order line; the other telemetry shapes are projections of it."""
-    line = _table(spark, sf_dir, "lineitem")
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's files as an arriving stream."""
+    schema = _table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").parquet(sf_dir)
+
+
+def telemetry_base(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """One observation per order line; the other telemetry shapes are projections of it.
+
+    ``lines`` replaces the table, e.g. by a stream of the same rows.
+    """
+    line = _table(spark, sf_dir, "lineitem") if lines is None else lines
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer_region = (
         _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -148,8 +157,8 @@ def telemetry_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def sourcing_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_base(spark, sf_dir).select(
+def sourcing_telemetry(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return telemetry_base(spark, sf_dir, lines).select(
         "telemetry_id", "campaign_id", "channel_name", "region", "seniority",
         "cost_per_applicant_usd", "allocated_applicants", "allocated_spend_usd",
         "interview_yield_rate", "offer_acceptance_rate", "overall_conversion_yield",
@@ -195,8 +204,9 @@ def candidate_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cost_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cost_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Metric feed for the cost alarm: event time and observed cost."""
-    return _table(spark, sf_dir, "events").select(
+    table = _table(spark, sf_dir, "events") if events is None else events
+    return table.select(
         F.col("ts").alias("event_timestamp"), F.col("value").cast("decimal(18,4)").alias("cost_usd")
     )
