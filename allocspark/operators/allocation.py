@@ -430,10 +430,15 @@ def integer_allocations(plan: DataFrame) -> DataFrame:
 
 
 def allocation_lines(integers: DataFrame, keep_zero: bool = False) -> DataFrame:
-    """One row per campaign and funded corridor (or every corridor)."""
-    lines = integers.select("campaign_id", "solver_status", F.explode("allocations").alias("a"))
+    """One row per campaign and funded corridor (or every corridor).
+
+    The outer form of explode is used on purpose: for the inner one Spark adds a filter on
+    the array's size and pushes it below the projections, which would solve each campaign
+    again to evaluate it. The empty array's null row is dropped by the filters here.
+    """
+    lines = integers.select("campaign_id", "solver_status", F.explode_outer("allocations").alias("a"))
     flat = lines.select("campaign_id", "solver_status", "a.*")
-    return flat if keep_zero else flat.filter("allocated_applicants > 0")
+    return flat.filter("allocated_applicants is not null" if keep_zero else "allocated_applicants > 0")
 
 
 def campaign_results(integers: DataFrame) -> DataFrame:
@@ -450,13 +455,16 @@ def campaign_results(integers: DataFrame) -> DataFrame:
         "total_budget_allocated_usd": total("allocated_budget_usd", "decimal(20,2)"),
         "total_projected_hires": total("expected_hires", "decimal(20,2)"),
         "total_allocated_applicants": total("allocated_applicants", "bigint"),
+        "senior_hires": F.aggregate(F.col("allocations"), F.lit(0).cast("decimal(20,2)"), lambda acc, a: (
+            acc + F.when(a["seniority"].isin(schemas.SENIOR_LEVELS), a["expected_hires"]).otherwise(0))
+            .cast("decimal(20,2)")),
     })
     spend, hires = F.col("total_budget_allocated_usd"), F.col("total_projected_hires")
     naive = F.col("naive_heuristic_hires")
     used = rounded(ratio(spend * 100, F.col("total_budget_usd")), 2)
     return summed.select(
         "campaign_id", "client_name", "solver_status", "total_budget_usd",
-        "total_budget_allocated_usd", "total_projected_hires", "total_allocated_applicants",
+        "total_budget_allocated_usd", "total_projected_hires", "total_allocated_applicants", "senior_hires",
         F.least(used, F.lit(100)).alias("budget_utilization_pct"),
         F.when(hires > 0, rounded(ratio(spend, hires), 2)).otherwise(0).alias("blended_cost_per_hire_usd"),
         "naive_heuristic_hires", "naive_spend_usd", "naive_cost_per_hire_usd",

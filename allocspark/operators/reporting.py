@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from allocspark import schemas
 from allocspark.functions import labels
 from allocspark.functions.rounding import ratio, rounded
 from allocspark.operators.corridors import OBSERVED_CORRIDOR
@@ -48,19 +47,14 @@ def sorted_rollup(rollup: DataFrame) -> DataFrame:
     return rollup.orderBy("campaign_id", "dimension", "member")
 
 
-def named_measures(lines: DataFrame, results: DataFrame) -> DataFrame:
+def named_measures(results: DataFrame) -> DataFrame:
     """Budget, hires, blended unit cost, gain and the senior share of hires per campaign."""
-    senior = F.when(F.col("seniority").isin(schemas.SENIOR_LEVELS), F.col("expected_hires"))
-    summed = lines.groupBy("campaign_id").agg(
-        F.sum("allocated_applicants").alias("total_applicants"),
-        F.sum("allocated_budget_usd").alias("allocated_budget_usd"),
-        F.sum("expected_hires").alias("total_expected_hires"),
-        F.coalesce(F.sum(senior), F.lit(0)).alias("senior_hires"),
-    )
-    hires = F.col("total_expected_hires")
-    return results.select("campaign_id", "efficiency_gain_pct").join(summed, "campaign_id").select(
-        "campaign_id", "total_applicants", "allocated_budget_usd", "total_expected_hires",
-        rounded(ratio(F.col("allocated_budget_usd"), hires), 2).alias("blended_cph_usd"),
+    hires = F.col("total_projected_hires")
+    return results.select(
+        "campaign_id", F.col("total_allocated_applicants").alias("total_applicants"),
+        F.col("total_budget_allocated_usd").alias("allocated_budget_usd"),
+        hires.alias("total_expected_hires"),
+        rounded(ratio(F.col("total_budget_allocated_usd"), hires), 2).alias("blended_cph_usd"),
         "efficiency_gain_pct",
         F.coalesce(rounded(ratio(F.col("senior_hires"), hires), 6), F.lit(0)).alias("senior_staff_ratio"),
     )

@@ -174,9 +174,7 @@ def allocation_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allocation_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = _budget_only(spark, sf_dir)
-    return delivered(reporting.named_measures(
-        allocation.allocation_lines(plan), allocation.campaign_results(plan)))
+    return delivered(reporting.named_measures(allocation.campaign_results(_budget_only(spark, sf_dir))))
 
 
 def allocation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

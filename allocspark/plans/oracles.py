@@ -374,8 +374,9 @@ def _allocations() -> dict[str, str]:
         "all_lines": f"""select *, cast(n * cost as decimal(18,2)) as line_spend, {_even('n * yld', 2)} as line_hires from amounts""",
         "lines": "select * from all_lines where n > 0",
         "results": """select campaign_id, client_name, max(budget) as budget, sum(line_spend) as spend, sum(line_hires) as hires,
+  coalesce(sum(line_hires) filter (where seniority in (SENIORS)), 0) as senior,
   sum(n) as applicants, max(target_hires) as target_hires, max(max_cph_target_usd) as cph_target
-  from all_lines group by campaign_id, client_name""",
+  from all_lines group by campaign_id, client_name""".replace("SENIORS", ", ".join(map(repr, schemas.SENIOR_LEVELS))),
         "result": f"""select *, case when hires > 0 then {_r(_div('spend', 'hires'), 2)} else 0 end as cph,
   least({_r(_div('spend * 100', 'budget'), 2)}, 100) as used,
   case when naive_hires > 0 then {_r(_div('(hires - naive_hires) * 100', 'naive_hires'), 2)} else 0 end as gain_pct
@@ -410,7 +411,7 @@ def _allocations() -> dict[str, str]:
   {_f('line_spend')} as allocated_budget_usd, {_f('line_hires')} as expected_hires, {line_cph} as effective_cost_per_hire_usd from lines"""),
         "greedy_results": _with(over, ctes, f"""select campaign_id, client_name, 'OPTIMAL_CONVERGENCE' as solver_status,
   {_f('budget')} as total_budget_usd, {_f('spend')} as total_budget_allocated_usd, {_f('hires')} as total_projected_hires,
-  cast(applicants as bigint) as total_allocated_applicants, {_f('used')} as budget_utilization_pct,
+  cast(applicants as bigint) as total_allocated_applicants, {_f('senior')} as senior_hires, {_f('used')} as budget_utilization_pct,
   {_f('cph')} as blended_cost_per_hire_usd, {_f('naive_hires')} as naive_heuristic_hires, {_f('naive_spend')} as naive_spend_usd,
   {_f('naive_cph')} as naive_cost_per_hire_usd, {_f('gain_pct')} as efficiency_gain_pct,
   {_f('greatest(spend - budget, 0)')} as overspend_usd, hires >= target_hires as meets_min_hires,
@@ -430,8 +431,7 @@ def _allocations() -> dict[str, str]:
         "allocation_measures": _with(over, ctes, f"""select campaign_id, cast(applicants as bigint) as total_applicants,
   {_f('spend')} as allocated_budget_usd, {_f('hires')} as total_expected_hires, {_d(_div('spend', 'hires'), 2)} as blended_cph_usd,
   {_f('gain_pct')} as efficiency_gain_pct, coalesce({_d(_div('senior', 'hires'), 6)}, 0) as senior_staff_ratio
-  from result join (select campaign_id, coalesce(sum(line_hires) filter (where seniority in
-    ({", ".join(repr(s) for s in schemas.SENIOR_LEVELS)})), 0) as senior from lines group by 1) using (campaign_id)"""),
+  from result"""),
         "allocation_totals": _with(over, ctes, f"""select count(distinct campaign_id) as campaigns, cast(sum(n) as bigint) as total_applicants,
   {_f('sum(line_spend)')} as total_budget_usd, {_f('sum(line_hires)')} as total_hires,
   {_d(_div('sum(line_spend)', 'sum(line_hires)'), 2)} as blended_cph_usd from lines"""),
