@@ -149,10 +149,10 @@ def constrained_plan(
     ``budget_price`` and ``quota_price``, and ``dual_bound``, an upper limit on the hires of
     any feasible allocation.
     """
-    # A few bytes per campaign but many tries: spread the rows by a fixed number, since size
-    # alone would let adaptive execution gather them into one task.
+    # A few bytes per campaign but many tries: deal the rows out to a fixed number of tasks,
+    # since by size alone adaptive execution would gather them into one.
     tasks = int(campaigns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = campaigns.repartition(tasks, "campaign_id")
+    spread = campaigns.repartition(tasks)
     planned = with_program(spread, program).withColumns({
         "_budget": F.col("total_budget_usd").cast("double"),
         "_quota": F.greatest(F.col("min_senior_hires").cast("double"), F.lit(0.0)),

@@ -6,6 +6,8 @@ exact decimals so another engine computes the same rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from allocspark.sources.readers import read_parquet
@@ -88,11 +90,13 @@ def campaign_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def channel_corridor_registry(spark: SparkSession) -> DataFrame:
     """Every (channel, region, seniority) of the closed domains: 80 rows."""
-    regions = dim_region(spark).select("region", "rm").distinct()
+    regions = {region: F.struct(F.lit(region).alias("region"), F.lit(Decimal(rm)).alias("rm"))
+               for _, region, rm in REGION_BASE}
+    levels = [F.struct(F.lit(name).alias("seniority"), F.lit(Decimal(sm)).alias("sm"), F.lit(Decimal(ym)).alias("ym"))
+              for _, name, sm, ym in SENIORITY_BASE]
     triples = (
-        dim_channel(spark).withColumn("_all", F.lit(1))
-        .join(F.broadcast(regions.withColumn("_all", F.lit(1))), "_all")
-        .join(F.broadcast(dim_seniority(spark).withColumn("_all", F.lit(1))), "_all")
+        dim_channel(spark).withColumn("r", F.explode(F.array(*regions.values())))
+        .withColumn("l", F.explode(F.array(*levels))).select("channel_name", "cb", "cap", "s1", "r.*", "l.*")
     )
     return triples.select(
         F.concat_ws("|", "channel_name", "region", "seniority").alias("corridor_id"),
