@@ -216,36 +216,51 @@ def _direction(gain: Column | float, senior: Column | float, cost: Column | floa
     return F.struct(number(gain).alias("a"), number(senior).alias("b"), number(cost).alias("m"))
 
 
-def _by_loss(region: Column, direction: Column) -> Column:
-    """A region's units, the most profitable first; ties in unit order."""
-    return F.array_sort(F.transform(region, lambda u: F.struct(
-        (direction["m"] * u["cost"] - direction["a"] * u["gain"] - direction["b"] * u["senior_gain"])
-        .alias("loss"),
-        u["i"].alias("i"), u["cost"].alias("cost"), u["gain"].alias("gain"),
-        u["senior_gain"].alias("senior_gain"), u["capacity"].alias("capacity"),
-    )))
+def _loss(unit: Column, direction: Column) -> Column:
+    """What one applicant of the unit costs the objective; negative where it is profitable."""
+    return direction["m"] * unit["cost"] - direction["a"] * unit["gain"] - direction["b"] * unit["senior_gain"]
 
 
-def _fill(unit: Column, filled: Column) -> Column:
-    """Profitable units in full; then, best first, only what the region's floor still lacks."""
-    lacking = F.greatest(F.lit(0.0), F.col("_floor") - filled)
-    return F.when(unit["loss"] < 0, unit["capacity"]).otherwise(F.least(unit["capacity"], lacking))
+def _rest_by_loss(region: Column, direction: Column) -> Column:
+    """A region's unprofitable units, the least loss first; ties in unit order."""
+    priced = F.transform(region, lambda u: F.struct(
+        _loss(u, direction).alias("loss"), u["i"].alias("i"), u["cost"].alias("cost"),
+        u["gain"].alias("gain"), u["senior_gain"].alias("senior_gain"), u["capacity"].alias("capacity")))
+    return F.array_sort(F.filter(priced, lambda u: u["loss"] >= 0))
+
+
+def _needed(unit: Column, filled: Column) -> Column:
+    """Applicants of an unprofitable unit: what the region's floor still lacks."""
+    return F.least(unit["capacity"], F.greatest(F.lit(0.0), F.col("_floor") - filled))
 
 
 def _vertex(direction: Column) -> Column:
-    """The best allocation in a direction, as its direction, spend, hires and senior hires."""
+    """The best allocation in a direction, as its direction, spend, hires and senior hires.
+
+    Profitable units are taken in full. Only a region whose floor they do not reach is
+    ordered, to be filled up with its least unprofitable units.
+    """
     zero = F.struct(*[F.lit(0.0).alias(n) for n in ("filled", "spend", "hires", "senior")])
 
+    def add(acc: Column, unit: Column, applicants: Column) -> Column:
+        return F.struct(
+            (acc["filled"] + applicants).alias("filled"),
+            (acc["spend"] + applicants * unit["cost"]).alias("spend"),
+            (acc["hires"] + applicants * unit["gain"]).alias("hires"),
+            (acc["senior"] + applicants * unit["senior_gain"]).alias("senior"),
+        )
+
     def run(direction: Column) -> Column:
+        def fill_up(taken: Column, region: Column) -> Column:
+            return F.when(taken["filled"] >= F.col("_floor"), taken).otherwise(F.aggregate(
+                _rest_by_loss(region, direction), taken, lambda acc, u: add(acc, u, _needed(u, acc["filled"]))))
+
         def fill_region(total: Column, region: Column) -> Column:
             start = F.struct(F.lit(0.0).alias("filled"), total["spend"].alias("spend"),
                              total["hires"].alias("hires"), total["senior"].alias("senior"))
-            return F.aggregate(_by_loss(region, direction), start, lambda acc, u: F.struct(
-                (acc["filled"] + _fill(u, acc["filled"])).alias("filled"),
-                (acc["spend"] + _fill(u, acc["filled"]) * u["cost"]).alias("spend"),
-                (acc["hires"] + _fill(u, acc["filled"]) * u["gain"]).alias("hires"),
-                (acc["senior"] + _fill(u, acc["filled"]) * u["senior_gain"]).alias("senior"),
-            ))
+            taken = F.aggregate(region, start, lambda acc, u: F.when(
+                _loss(u, direction) < 0, add(acc, u, u["capacity"])).otherwise(acc))
+            return _let(taken, lambda t: fill_up(t, region))
 
         return F.aggregate(F.col("program.regions"), zero, fill_region, lambda t: F.struct(
             direction["a"].alias("a"), direction["b"].alias("b"), direction["m"].alias("m"),
@@ -258,13 +273,18 @@ def _vertex(direction: Column) -> Column:
 def _amounts(direction: Column) -> Column:
     """The same allocation as applicants per unit, in unit order."""
     def fill_region(region: Column) -> Column:
-        start = F.struct(F.lit(0.0).alias("filled"),
-                         F.expr("cast(array() as array<struct<i:int,x:double>>)").alias("placed"))
-        return F.aggregate(_by_loss(region, direction), start, lambda acc, u: F.struct(
-            (acc["filled"] + _fill(u, acc["filled"])).alias("filled"),
-            F.concat(acc["placed"], F.array(F.struct(
-                u["i"].alias("i"), _fill(u, acc["filled"]).alias("x")))).alias("placed"),
-        ))["placed"]
+        taken = F.transform(F.filter(region, lambda u: _loss(u, direction) < 0), lambda u: F.struct(
+            u["i"].alias("i"), u["capacity"].alias("x")))
+        return _let(taken, lambda full: _let(
+            F.aggregate(full, F.lit(0.0), lambda total, p: total + p["x"]),
+            lambda filled: F.aggregate(
+                _rest_by_loss(region, direction),
+                F.struct(filled.alias("filled"), full.alias("placed")),
+                lambda acc, u: F.struct(
+                    (acc["filled"] + _needed(u, acc["filled"])).alias("filled"),
+                    F.concat(acc["placed"], F.array(F.struct(
+                        u["i"].alias("i"), _needed(u, acc["filled"]).alias("x")))).alias("placed"),
+                ))["placed"]))
 
     placed = F.array_sort(F.flatten(F.transform(F.col("program.regions"), fill_region)))
     return F.transform(placed, lambda p: p["x"])

@@ -10,7 +10,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from allocspark.sources.readers import read_parquet
+from allocspark.sources.readers import read_parquet, spread_scan
 
 # Channel, mean cost, mean capacity, mean interview rate.
 CHANNEL_BASE = [
@@ -120,18 +120,16 @@ def telemetry_base(spark: SparkSession, sf_dir: str, lines: DataFrame | None = N
 
     ``lines`` replaces the table, e.g. by a stream of the same rows.
     """
-    line = _table(spark, sf_dir, "lineitem") if lines is None else lines
+    line = spread_scan(_table(spark, sf_dir, "lineitem"), "l_orderkey") if lines is None else lines
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    customer_region = (
-        _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        .join(_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
-              F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(dim_region(spark)), F.col("rk") == F.col("n_regionkey"))
-        .select("c_custkey", "region", "rm")
-    )
+    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    # Joined one table at a time, so that each right side is a file whose size Spark knows.
     placed = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer_region, F.col("o_custkey") == F.col("c_custkey"))
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(F.broadcast(dim_region(spark)), F.col("rk") == F.col("n_regionkey"))
         .join(F.broadcast(dim_channel(spark)), F.col("prio") == F.col("o_orderpriority"))
         .join(F.broadcast(dim_seniority(spark)), F.col("sk") == F.col("l_partkey") % 4)
     )
