@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from allocspark.functions import labels
 from allocspark.functions.rounding import ratio, rounded, weighted_mean
@@ -73,41 +73,53 @@ def campaign_cumulative(
     return run_ordered(named.select(*columns), spec, hot_rows, keys_from=telemetry)
 
 
+def with_ranks(counted: DataFrame, cell: list[str], value: str, count: str) -> DataFrame:
+    """Add to each counted value the rows of its cell up to it, and the rows of the cell."""
+    whole = Window.partitionBy(*cell)
+    so_far = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counted.withColumns({"rows_up_to": F.sum(count).over(so_far), "rows_of_cell": F.sum(count).over(whole)})
+
+
+def percentile_of_ranked(value: Column, fraction: float) -> Column:
+    """Aggregate: interpolated percentile over the counted values of ``with_ranks``."""
+    place = F.lit(fraction) * (F.col("rows_of_cell") - 1)
+    below = F.min(F.when(F.col("rows_up_to") > F.floor(place), value)).cast("double")
+    above = F.min(F.when(F.col("rows_up_to") > F.ceil(place), value)).cast("double")
+    return below + (above - below) * F.max(place - F.floor(place))
+
+
 def efficiency_rollup(
     telemetry: DataFrame, campaigns: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per (day, corridor): volumes, costs, percentiles, moving means and tier.
 
-    One pass groups the rows both by cost and by campaign, so that the exact percentile is
-    taken over (cost, count) pairs and the distinct count over distinct campaigns; no day
-    or corridor, however large, is gathered row by row.
+    No day or corridor, however large, is gathered row by row: rows are first summed per
+    (day, corridor, cost), which is all the exact percentile needs, and campaigns are
+    counted over distinct (day, corridor, campaign) triples. The three parts share one
+    partitioning, so their join moves no rows.
     """
     known = registered_only(telemetry, campaigns).withColumn("snapshot_date", F.to_date("event_timestamp"))
     cell = ["snapshot_date", *CORRIDOR]
-    pieces = known.groupingSets(
-        [[*map(F.col, cell), F.col("cost_per_applicant_usd")], [*map(F.col, cell), F.col("campaign_id")]],
-        *cell, "cost_per_applicant_usd", "campaign_id",
-    ).agg(
-        F.grouping("campaign_id").alias("by_cost"),
+    cost = F.col("cost_per_applicant_usd")
+    by_cost = known.groupBy(*cell, cost).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("allocated_applicants").alias("applicants"),
         F.sum("allocated_spend_usd").alias("spend"),
         F.sum("projected_hires").alias("hires"),
         F.sum("overall_conversion_yield").alias("yield_sum"),
     )
-    by_cost = F.col("by_cost") == 1
-    cost_rows = F.when(by_cost, F.col("n"))
-    daily = pieces.groupBy(*cell).agg(
-        F.count(F.when(~by_cost, 1)).alias("active_campaigns_count"),
-        F.sum(F.when(by_cost, F.col("applicants"))).alias("total_applicants_acquired"),
-        F.sum(F.when(by_cost, F.col("spend"))).alias("total_spend_usd"),
-        F.sum(F.when(by_cost, F.col("hires"))).alias("total_projected_hires"),
-        F.sum(F.when(by_cost, F.col("cost_per_applicant_usd") * F.col("n"))).alias("cost_sum"),
-        F.sum(F.when(by_cost, F.col("yield_sum"))).alias("yield_sum"),
-        F.sum(cost_rows).alias("n"),
-        F.percentile(F.when(by_cost, F.col("cost_per_applicant_usd")), 0.95, F.coalesce(cost_rows, F.lit(0)))
-        .alias("p95"),
+    ranked = with_ranks(by_cost, cell, "cost_per_applicant_usd", "n")
+    volumes = ranked.groupBy(*cell).agg(
+        F.sum("applicants").alias("total_applicants_acquired"),
+        F.sum("spend").alias("total_spend_usd"),
+        F.sum("hires").alias("total_projected_hires"),
+        F.sum(cost * F.col("n")).alias("cost_sum"),
+        F.sum("yield_sum").alias("yield_sum"),
+        F.sum("n").alias("n"),
+        percentile_of_ranked(cost, 0.95).alias("p95"),
     )
+    active = known.groupBy(*cell).agg(F.count_distinct("campaign_id").alias("active_campaigns_count"))
+    daily = volumes.join(active, cell)
     smoothed = (
         moving_means(known, hot_rows=hot_rows)
         .groupBy(F.to_date("event_timestamp").alias("snapshot_date"), *CORRIDOR)
