@@ -16,6 +16,8 @@ def build_session(app: str = "allocspark", cpus: int | str = "*", **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        # Call-site capture costs several JVM calls per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": "8g",
         **conf,
     }

@@ -104,7 +104,7 @@ def random_program(rng):
              round(rng.uniform(.02, .7), 4), round(rng.uniform(.1, .6), 4)) for t in triples]
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_random_programs_are_certified(spark, seed):
     rng = random.Random(seed)
     program = al.corridor_program(metrics(spark, random_program(rng)))

