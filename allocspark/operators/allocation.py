@@ -164,7 +164,10 @@ def constrained_plan(
         "_room": F.forall("program.regions", lambda region: F.aggregate(
             region, F.lit(0.0), lambda total, u: total + u["capacity"]) >= F.col("_floor")),
     })
-    searched = ended.withColumn("_end", _search())
+    # A later filter on the results must not be pushed below the search, as it would then be
+    # run again inside the filter. Spark moves no filter past a projection that is not
+    # deterministic, so the partition number, never negative, is carried into the status.
+    searched = ended.withColumns({"_end": _search(), "_part": F.spark_partition_id()})
     phase, less, more = F.col("_end.phase"), F.col("_end.less"), F.col("_end.more")
     quota = F.col("_quota")
     status = (
@@ -172,7 +175,7 @@ def constrained_plan(
         .when(~F.col("_room"), f"{INFEASIBLE}: region capacity below its floor")
         .when(F.col("_poor.spend") > F.col("_budget"), f"{INFEASIBLE}: region floors exceed the budget")
         .when(phase == OUT_OF_REACH, f"{INFEASIBLE}: senior quota out of reach")
-        .when(phase == SOLVED, OPTIMAL)
+        .when((phase == SOLVED) & (F.col("_part") >= 0), OPTIMAL)
         .otherwise(UNFINISHED)
     )
     # Share of ``less``: all of it where it meets the quota, else what hits the quota exactly.
@@ -198,7 +201,7 @@ def constrained_plan(
         "quota_price": F.when(solved, quota_price),
         "dual_bound": F.when(solved, best["hires"] + quota_price * (best["senior"] - quota)
                              - budget_price * (best["spend"] - F.col("_budget"))),
-    }).drop("_budget", "_quota", "_floor", "_rich", "_poor", "_room", "_end", "_share", "_solved", "_mix", "_best")
+    }).drop("_budget", "_quota", "_floor", "_rich", "_poor", "_room", "_end", "_part", "_share", "_solved", "_mix", "_best")
 
 
 # ------------------------------------------------- search: higher-order function pieces
@@ -453,8 +456,8 @@ def allocation_lines(integers: DataFrame, keep_zero: bool = False) -> DataFrame:
     """One row per campaign and funded corridor (or every corridor).
 
     The outer form of explode is used on purpose: for the inner one Spark adds a filter on
-    the array's size and pushes it below the projections, which would solve each campaign
-    again to evaluate it. The empty array's null row is dropped by the filters here.
+    the array's size, which would compute all lines once more to evaluate it. The empty
+    array's null row is dropped by the filters here.
     """
     lines = integers.select("campaign_id", "solver_status", F.explode_outer("allocations").alias("a"))
     flat = lines.select("campaign_id", "solver_status", "a.*")
