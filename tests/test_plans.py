@@ -2,8 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as entry_point
 from allocspark.operators import corridors
+from allocspark.plans import catalog
 from allocspark.sources import fixtures, readers
 
 STREAMED = {"anomaly_stream", "cost_surge_alarm_stream"}
@@ -13,9 +13,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - STREAMED))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - STREAMED))
 def test_no_python_and_no_pairing(spark, sf_dir, name):
-    plan = plan_of(entry_point.queries()[name](spark, sf_dir))
+    plan = plan_of(catalog.QUERIES[name](spark, sf_dir))
     for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups",
                  "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
