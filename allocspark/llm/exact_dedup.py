@@ -25,17 +25,21 @@ DECISIONS = ["keep_id", "group_size", "kept", "text_sha256"]
 
 
 def normalised(text_col: str) -> Column:
-    return F.translate(text_or_empty(text_col), WHITE_SPACE, "")
+    result = text_or_empty(text_col)
+    for blank in WHITE_SPACE:
+        result = F.replace(result, F.lit(blank), F.lit(""))
+    return result
 
 
-def _slots(text_col: str, filter_bits: int) -> tuple[Column, Column]:
-    value = F.xxhash64(normalised(text_col))
+def _slots(value: Column, filter_bits: int) -> tuple[Column, Column]:
+    """Two slots of a 64-bit hash."""
     return value.bitwiseAND(F.lit(filter_bits - 1)), F.shiftrightunsigned(value, 32).bitwiseAND(F.lit(filter_bits - 1))
 
 
 def repeated_slots(df: DataFrame, text_col: str, filter_bits: int = FILTER_BITS) -> DataFrame:
     """Pass 1: (segment, bits) bitmaps of the slots that more than one text hit."""
-    slots = df.select(F.explode(F.array(*_slots(text_col, filter_bits))).alias("slot"))
+    hashes = df.select(F.xxhash64(normalised(text_col)).alias("value"))
+    slots = hashes.select(F.explode(F.array(*_slots(F.col("value"), filter_bits))).alias("slot"))
     repeated = slots.groupBy("slot").count().where("count > 1")
     return repeated.groupBy(F.shiftright("slot", 15).alias("segment")).agg(
         F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(BITMAP_BITS - 1))).alias("bits"))
@@ -60,8 +64,9 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("filter_bits has to be a power of two from 32768 to 2**32")
     rows = replace_columns(df, DECISIONS)
     flag = free_name(rows, "_repeat")
-    tested = _with_flag(rows, text_col, filter_bits, flag)
-    digest = F.sha2(normalised(text_col), 256)
+    normal = free_name(rows, "_normal")
+    tested = _with_flag(rows, text_col, filter_bits, normal, flag)
+    digest = F.sha2(F.col(normal), 256)
 
     columns = [F.col(f"`{c}`") for c in rows.columns]
     passed = tested.where(~F.col(flag)).select(
@@ -80,12 +85,14 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return passed.unionByName(settled)
 
 
-def _with_flag(rows: DataFrame, text_col: str, filter_bits: int, flag: str) -> DataFrame:
-    """Pass 2: ``flag`` is false where a slot of the text was hit once only."""
+def _with_flag(rows: DataFrame, text_col: str, filter_bits: int, normal: str, flag: str) -> DataFrame:
+    """Pass 2: ``flag`` is false where a slot of the text, kept as ``normal``, was hit once only."""
     names = [free_name(rows, n) for n in ("_slot_a", "_slot_b", "_bits_a", "_bits_b")]
     bitmaps = repeated_slots(rows, text_col, filter_bits)
-    slots = _slots(text_col, filter_bits)
-    tested = rows.withColumns(dict(zip(names[:2], slots)))
+    value = free_name(rows, "_value")
+    # Steps of their own, so that each text is normalised once.
+    tested = rows.withColumn(normal, normalised(text_col)).withColumn(value, F.xxhash64(normal))
+    tested = tested.withColumns(dict(zip(names[:2], _slots(F.col(value), filter_bits)))).drop(value)
     for slot, bits in zip(names[:2], names[2:]):
         segment = free_name(tested, "_segment")
         # At most filter_bits / 32768 rows of 4 KB each, whatever the input size.
