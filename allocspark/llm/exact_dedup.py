@@ -79,7 +79,11 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Only the order key travels to the groups, not the text.
     groups = (suspects.select("text_sha256", order.alias("order"))
               .groupBy("text_sha256").agg(F.min("order").alias("best"), F.count("*").alias("group_size")))
-    settled = suspects.join(groups, "text_sha256", "left").select(
+    # Joined by the digest's bytes, so that the groups are dealt out anew: then both sides are plain
+    # shuffles, and Spark can split a partition that a very large group of copies fills.
+    key = free_name(suspects, "_digest")
+    groups = groups.select(F.unhex("text_sha256").alias(key), "best", "group_size")
+    settled = suspects.withColumn(key, F.unhex("text_sha256")).join(groups, key, "left").select(
         *columns, F.col("best.id").alias("keep_id"), "group_size",
         F.col("best.id").eqNullSafe(F.col(f"`{id_col}`")).alias("kept"), "text_sha256")
     return passed.unionByName(settled)

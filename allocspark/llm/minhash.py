@@ -10,8 +10,8 @@ are never expanded into all their pairs: first every member is tried against the
 id, confirmed links are joined to components, and a bucket whose members share a component is done.
 What is left of small buckets is tried pair by pair across components. Members of larger ones are
 tried against a random member; of what is still apart, only pairs are tried whose intersection can
-be large enough, as the shingles that a document shares with no other bound it. Links are confirmed
-on the full shingle sets.
+be large enough, as the shingles that a document shares with no other bound it, and whose whole
+signatures are alike. Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -31,11 +31,18 @@ PERMUTATIONS, BAND_VALUES = 100, 5
 #: Buckets up to the first size are tried pair by pair at once, up to the second across components.
 TINY, SMALL = 6, 48
 
+#: Where large buckets are left, pairs that seem this many standard errors less alike than sought, by
+#: an estimate from one byte of every value under so many permutations, are no candidates: 3e-5 of
+#: the links of just the similarity sought may be lost there, fewer of closer ones.
+SHORT_PERMUTATIONS, SIGMAS = 200, 4.0
+
 _RANDOM = np.random.default_rng(20_240_229)
 _SEEDS = _RANDOM.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
 _FACTORS = _RANDOM.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
 _PLACES = _RANDOM.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _BANDS = np.concatenate([_RANDOM.permutation(PERMUTATIONS).reshape(-1, BAND_VALUES) + offset for offset in (0, PERMUTATIONS)])
+_SHORT_SEEDS = _RANDOM.integers(0, 2**64, SHORT_PERMUTATIONS, dtype=np.uint64)
+_SHORT_FACTORS = _RANDOM.integers(0, 2**64, SHORT_PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
 _BAND_NUMBERS = _RANDOM.integers(0, 2**64, len(_BANDS), dtype=np.uint64)
 
 
@@ -61,12 +68,12 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, seeds: np.ndarray = _SEEDS, factors: np.ndarray = _FACTORS) -> np.ndarray:
     """Minimum and maximum of the hashes under every permutation."""
-    least = np.full(PERMUTATIONS, 2**64 - 1, np.uint64)
-    most = np.zeros(PERMUTATIONS, np.uint64)
+    least = np.full(len(seeds), 2**64 - 1, np.uint64)
+    most = np.zeros(len(seeds), np.uint64)
     for start in range(0, len(hashes), 1024):
-        block = (hashes[start:start + 1024, None] ^ _SEEDS) * _FACTORS
+        block = (hashes[start:start + 1024, None] ^ seeds) * factors
         np.minimum(least, block.min(axis=0), out=least)
         np.maximum(most, block.max(axis=0), out=most)
     return np.concatenate([least, most])
@@ -76,6 +83,20 @@ def bands(values: np.ndarray) -> np.ndarray:
     return _mixed((values[_BANDS] * _PLACES[:BAND_VALUES]).sum(axis=1, dtype=np.uint64) + _BAND_NUMBERS).view(np.int64)
 
 
+def short_signature(hashes: np.ndarray) -> np.ndarray:
+    """One byte of every value under ``SHORT_PERMUTATIONS`` permutations, eight to a long."""
+    values = signature(hashes, _SHORT_SEEDS, _SHORT_FACTORS)
+    return (_mixed(values) & np.uint64(0xFF)).astype(np.uint8).view(np.int64)
+
+
+def _alike(a: str, b: str, percent: int):
+    """Whether two short signatures differ in no more bits than such a similarity explains."""
+    least, n = percent / 100, 2 * SHORT_PERMUTATIONS
+    error = SIGMAS * (least * (1 - least) / n + (1 - least) / (32 * n)) ** 0.5
+    bits = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(n // 8)), F.lit(0))
+    return bits <= F.lit(int(4 * n * (1 - least + error)))
+
+
 def signatures(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, digest of the shingle set, band keys); both null without shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,6 +124,15 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, hashes array<long>")
 
 
+def _short_signatures(sets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [short_signature(np.array(hashes, np.int64).view(np.uint64)) for hashes in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "short"])
+
+    return sets.select("node", "hashes").mapInArrow(run, "node long, short array<long>").distinct()
+
+
 def _buckets(rows: DataFrame) -> DataFrame:
     """Rows (key, node, n) of keys that several nodes share, with the bucket's size and smallest node."""
     shared = (rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("first"))
@@ -117,7 +147,7 @@ def _alike_sizes(a: str, b: str, percent: int):
 
 def _pairs_in(members: DataFrame, condition, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes of a bucket under a condition on the columns of both, ``_a`` and ``_b``."""
-    columns = [c for c in ("node", "n", "component", "most") if c in members.columns]
+    columns = [c for c in ("node", "n", "component", "most", "short") if c in members.columns]
     left, right = (members.select("key", *[F.col(c).alias(f"{c}{side}") for c in columns]) for side in ("_a", "_b"))
     return (left.join(right, "key").where((F.col("node_a") < F.col("node_b")) & condition & _alike_sizes("n_a", "n_b", percent))
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
@@ -190,7 +220,8 @@ def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col:
                .where(F.col("most") * 100 >= F.col("n") * percent))
     most = F.least("most_a", "most_b")
     reachable = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    tried = _pairs_in(cut_lineage(bounded), apart & reachable, percent)
+    close = cut_lineage(bounded.join(_short_signatures(sets.join(nodes, "node", "left_semi")), "node"))
+    tried = _pairs_in(close, apart & reachable & _alike("short_a", "short_b", percent), percent)
     return cut_lineage(links.unionByName(_confirmed(tried, sets, percent)))
 
 
