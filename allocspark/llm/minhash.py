@@ -31,10 +31,10 @@ PERMUTATIONS, BAND_VALUES = 100, 5
 #: Buckets up to the first size are tried pair by pair at once, up to the second across components.
 TINY, SMALL = 6, 48
 
-#: Where large buckets are left, pairs that seem this many standard errors less alike than sought, by
-#: an estimate from one byte of every value under so many permutations, are no candidates: 3e-5 of
-#: the links of just the similarity sought may be lost there, fewer of closer ones.
-SHORT_PERMUTATIONS, SIGMAS = 200, 4.0
+#: Pairs that seem this many standard errors less alike than sought, by an estimate from one byte of
+#: every value under so many more permutations, aren't compared in full: 3.4e-6 of the links of just
+#: the similarity sought may be lost, fewer of closer ones.
+SHORT_PERMUTATIONS, SIGMAS = 400, 4.5
 
 _RANDOM = np.random.default_rng(20_240_229)
 _SEEDS = _RANDOM.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
@@ -90,11 +90,17 @@ def short_signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def _alike(a: str, b: str, percent: int):
-    """Whether two short signatures differ in no more bits than such a similarity explains."""
-    least, n = percent / 100, 2 * SHORT_PERMUTATIONS
-    error = SIGMAS * (least * (1 - least) / n + (1 - least) / (32 * n)) ** 0.5
-    bits = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(n // 8)), F.lit(0))
-    return bits <= F.lit(int(4 * n * (1 - least + error)))
+    """Whether two short signatures differ in no more bits than such a similarity explains; an eighth
+    of each is looked at first."""
+    least, longs = percent / 100, SHORT_PERMUTATIONS // 4
+    result = None
+    for some in (longs // 8, longs):
+        error = SIGMAS * (least * (1 - least) / (8 * some) + (1 - least) / (256 * some)) ** 0.5
+        bits = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, some)),
+                   F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
+        close = bits <= F.lit(int(32 * some * (1 - least + error)))
+        result = close if result is None else result & close
+    return result
 
 
 def signatures(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
@@ -116,28 +122,22 @@ def signatures(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFra
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
+    """(node, short signature, all hashes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(text, words).view(np.int64) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "hashes"])
-
-    return rows.mapInArrow(run, "node long, hashes array<long>")
-
-
-def _short_signatures(sets: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [short_signature(np.array(hashes, np.int64).view(np.uint64)) for hashes in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "short"])
+            found = [shingles(text, words) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([short_signature(f) for f in found], pa.list_(pa.int64())),
+                 pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))], names=["node", "short", "hashes"])
 
-    return sets.select("node", "hashes").mapInArrow(run, "node long, short array<long>").distinct()
+    return rows.mapInArrow(run, "node long, short array<long>, hashes array<long>")
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """Rows (key, node, n) of keys that several nodes share, with the bucket's size and smallest node."""
-    shared = (rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("first"))
-              .where("size > 1"))
-    return rows.join(shared, "key")
+    """Rows (key, band, node, n) of keys that several nodes share, with the bucket's size and smallest node."""
+    shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = cut_lineage(rows.join(shared, "key"))
+    return members.join(members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first")), "key")
 
 
 def _alike_sizes(a: str, b: str, percent: int):
@@ -147,9 +147,9 @@ def _alike_sizes(a: str, b: str, percent: int):
 
 def _pairs_in(members: DataFrame, condition, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes of a bucket under a condition on the columns of both, ``_a`` and ``_b``."""
-    columns = [c for c in ("node", "n", "component", "most", "short") if c in members.columns]
+    columns = [c for c in ("node", "n", "component") if c in members.columns]
     left, right = (members.select("key", *[F.col(c).alias(f"{c}{side}") for c in columns]) for side in ("_a", "_b"))
-    return (left.join(right, "key").where((F.col("node_a") < F.col("node_b")) & condition & _alike_sizes("n_a", "n_b", percent))
+    return (left.join(right, "key").where((F.col("node_a") < F.col("node_b")) & _alike_sizes("n_a", "n_b", percent) & condition)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
@@ -159,7 +159,16 @@ def _to_first(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union of their full sets."""
+    """The pairs with 100 * intersection >= percent * union of their full sets; short signatures
+    that differ too much spare the comparison."""
+    shorts = sets.select("node", "short")
+    pairs = (pairs.join(shorts.select(F.col("node").alias("b"), F.col("short").alias("short_b")), "b")
+             .join(shorts.select(F.col("node").alias("a"), F.col("short").alias("short_a")), "a")
+             .where(_alike("short_a", "short_b", percent)).select("a", "b"))
+    return _compared(pairs, sets, percent)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
     return (pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
@@ -192,7 +201,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
 
 def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Confirmed (a, b) pairs whose components are those of all links."""
-    banded = classes.select("node", "n", F.explode("bands").alias("key"))
+    banded = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     members = cut_lineage(_buckets(banded))
     candidates = members.select(F.col("node").alias("id")).distinct()
     texts = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
@@ -220,9 +229,28 @@ def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col:
                .where(F.col("most") * 100 >= F.col("n") * percent))
     most = F.least("most_a", "most_b")
     reachable = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    close = cut_lineage(bounded.join(_short_signatures(sets.join(nodes, "node", "left_semi")), "node"))
-    tried = _pairs_in(close, apart & reachable & _alike("short_a", "short_b", percent), percent)
-    return cut_lineage(links.unionByName(_confirmed(tried, sets, percent)))
+    # A pair is tried in the first bucket that it shares; in a smaller one it has been tried before.
+    shared = [F.col("bands_a")[i] == F.col("bands_b")[i] for i in range(len(_BANDS))]
+    first = F.coalesce(*[F.when(same, F.lit(i)) for i, same in enumerate(shared)]) == F.col("band_a")
+    own = classes.select("node", F.transform("bands", lambda key: key.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("bands"))
+    largest = (bounded.groupBy("key", "component").agg(F.count("*").alias("rows"))
+               .groupBy("key").agg(F.max(F.struct("rows", "component")).alias("largest")))
+    close = cut_lineage(bounded.join(sets.select("node", "short").distinct(), "node").join(own, "node")
+                        .join(largest.select("key", F.col("largest.component").alias("main")), "key")
+                        .select("key", "node", "n", "band", "component", "main", "most", "short", "bands"))
+    tried = _pairs_across(close, reachable & first & _alike("short_a", "short_b", percent), percent)
+    return cut_lineage(links.unionByName(_compared(tried, sets, percent)))
+
+
+def _pairs_across(members: DataFrame, condition, percent: int) -> DataFrame:
+    """Pairs of a bucket in different components: those outside its main component against all."""
+    left, right = (members.select("key", *[F.col(c).alias(f"{c}{side}") for c in members.columns if c != "key"])
+                   for side in ("_a", "_b"))
+    once = (F.col("component_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
+    apart = F.col("component_a") != F.col("component_b")
+    return (left.where("component_a != main_a").join(right, "key")
+            .where(apart & once & _alike_sizes("n_a", "n_b", percent) & condition)
+            .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
 
 
 def _to_random(members: DataFrame, percent: int) -> DataFrame:
