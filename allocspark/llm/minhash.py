@@ -89,11 +89,15 @@ def short_signature(hashes: np.ndarray) -> np.ndarray:
     return (_mixed(values) & np.uint64(0xFF)).astype(np.uint8).view(np.int64)
 
 
-def _alike(a: str, b: str, percent: int):
+def _half(key):
+    """Half of a band key, enough to tell a document's few bands apart."""
+    return key.bitwiseAND(F.lit(2**31 - 1)).cast("int")
+
+
+def _alike(a: str, b: str, percent: int, longs: int = SHORT_PERMUTATIONS // 4):
     """Whether two short signatures differ in no more bits than such a similarity explains; an eighth
     of each is looked at first."""
-    least, longs = percent / 100, SHORT_PERMUTATIONS // 4
-    result = None
+    least, result = percent / 100, None
     for some in (longs // 8, longs):
         error = SIGMAS * (least * (1 - least) / (8 * some) + (1 - least) / (256 * some)) ** 0.5
         bits = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, some)),
@@ -133,10 +137,11 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, short array<long>, hashes array<long>")
 
 
-def _buckets(rows: DataFrame) -> DataFrame:
-    """Rows (key, band, node, n) of keys that several nodes share, with the bucket's size and smallest node."""
+def _buckets(classes: DataFrame) -> DataFrame:
+    """Rows (key, node, n) of keys that several nodes share, with the bucket's size and smallest node."""
+    rows = classes.select("node", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = cut_lineage(rows.join(shared, "key"))
+    members = cut_lineage(rows.join(shared, "key")).join(classes.select("node", "n"), "node")
     return members.join(members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first")), "key")
 
 
@@ -161,10 +166,11 @@ def _to_first(members: DataFrame, percent: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union of their full sets; short signatures
     that differ too much spare the comparison."""
-    shorts = sets.select("node", "short")
+    half = SHORT_PERMUTATIONS // 8
+    shorts = sets.select("node", F.slice("short", 1, half).alias("short"))
     pairs = (pairs.join(shorts.select(F.col("node").alias("b"), F.col("short").alias("short_b")), "b")
              .join(shorts.select(F.col("node").alias("a"), F.col("short").alias("short_a")), "a")
-             .where(_alike("short_a", "short_b", percent)).select("a", "b"))
+             .where(_alike("short_a", "short_b", percent, half)).select("a", "b"))
     return _compared(pairs, sets, percent)
 
 
@@ -201,8 +207,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
 
 def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Confirmed (a, b) pairs whose components are those of all links."""
-    banded = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    members = cut_lineage(_buckets(banded))
+    members = cut_lineage(_buckets(classes))
     candidates = members.select(F.col("node").alias("id")).distinct()
     texts = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     sets = cut_lineage(_sets(texts.join(candidates, "id", "left_semi"), words))
@@ -230,25 +235,26 @@ def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col:
     most = F.least("most_a", "most_b")
     reachable = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     # A pair is tried in the first bucket that it shares; in a smaller one it has been tried before.
-    shared = [F.col("bands_a")[i] == F.col("bands_b")[i] for i in range(len(_BANDS))]
-    first = F.coalesce(*[F.when(same, F.lit(i)) for i, same in enumerate(shared)]) == F.col("band_a")
-    own = classes.select("node", F.transform("bands", lambda key: key.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("bands"))
+    keys = [(F.col("bands_a")[i], F.col("bands_b")[i]) for i in range(len(_BANDS))]
+    first = F.coalesce(*[F.when(x == y, x) for x, y in keys]) == _half(F.col("key"))
+    own = classes.select("node", F.transform("bands", _half).alias("bands"))
     largest = (bounded.groupBy("key", "component").agg(F.count("*").alias("rows"))
                .groupBy("key").agg(F.max(F.struct("rows", "component")).alias("largest")))
-    close = cut_lineage(bounded.join(sets.select("node", "short").distinct(), "node").join(own, "node")
-                        .join(largest.select("key", F.col("largest.component").alias("main")), "key")
-                        .select("key", "node", "n", "band", "component", "main", "most", "short", "bands"))
+    named = cut_lineage(bounded.join(largest.select("key", F.col("largest.component").alias("main")), "key")
+                        .select("key", "node", "n", "component", "main", "most"))
+    close = named.join(sets.select("node", "short").distinct(), "node").join(own, "node")
     tried = _pairs_across(close, reachable & first & _alike("short_a", "short_b", percent), percent)
     return cut_lineage(links.unionByName(_compared(tried, sets, percent)))
 
 
 def _pairs_across(members: DataFrame, condition, percent: int) -> DataFrame:
     """Pairs of a bucket in different components: those outside its main component against all."""
-    left, right = (members.select("key", *[F.col(c).alias(f"{c}{side}") for c in members.columns if c != "key"])
-                   for side in ("_a", "_b"))
+    outside = members.where("component != main")
+    left, right = (some.select("key", *[F.col(c).alias(f"{c}{side}") for c in members.columns if c != "key"])
+                   for some, side in ((outside, "_a"), (members, "_b")))
     once = (F.col("component_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
     apart = F.col("component_a") != F.col("component_b")
-    return (left.where("component_a != main_a").join(right, "key")
+    return (left.join(right, "key")
             .where(apart & once & _alike_sizes("n_a", "n_b", percent) & condition)
             .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
 
