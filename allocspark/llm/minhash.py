@@ -8,9 +8,9 @@ the candidate search: 20 bands of minima and 20 of maxima find a pair of similar
 Documents of equal shingle sets form a class, and only the class's smallest id takes part. Buckets
 are never expanded into all their pairs: first every member is tried against the bucket's smallest
 id, confirmed links are joined to components, and a bucket whose members share a component is done.
-What is left of small buckets is tried pair by pair across components. Members of larger ones are
-tried against a random member; of what is still apart, only pairs are tried whose intersection can
-be large enough, as the shingles that a document shares with no other bound it, and whose whole
+What is left of small buckets is tried pair by pair across components; of larger ones, what stands
+outside the main component is tried against the rest, but only pairs whose intersection can be
+large enough, as the shingles that a document shares with no other bound it, and whose whole
 signatures are alike. Links are confirmed on the full shingle sets.
 """
 
@@ -218,13 +218,9 @@ def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col:
     members = _unsettled(members.where(~tiny), links)
     if members.isEmpty():
         return links
-    apart = F.col("component_a") != F.col("component_b")
-    tried = _to_random(members.where(~small), percent).unionByName(_pairs_in(members.where(small), apart, percent))
-    links = cut_lineage(links.unionByName(_confirmed(tried.distinct(), sets, percent)))
-
-    members = _unsettled(members.where(~small).drop("component"), links)
-    if members.isEmpty():
-        return links
+    across = _pairs_in(members.where(small), F.col("component_a") != F.col("component_b"), percent)
+    links = links.unionByName(_confirmed(across, sets, percent))
+    members = members.where(~small)
     # A pair shares no shingle that one of them alone has, which bounds its intersection.
     nodes = members.select("node").distinct()
     alone = (sets.join(nodes, "node", "left_semi").select("node", F.explode("hashes").alias("hash"))
@@ -234,7 +230,6 @@ def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col:
                .where(F.col("most") * 100 >= F.col("n") * percent))
     most = F.least("most_a", "most_b")
     reachable = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    # A pair is tried in the first bucket that it shares; in a smaller one it has been tried before.
     keys = [(F.col("bands_a")[i], F.col("bands_b")[i]) for i in range(len(_BANDS))]
     first = F.coalesce(*[F.when(x == y, x) for x, y in keys]) == _half(F.col("key"))
     own = classes.select("node", F.transform("bands", _half).alias("bands"))
@@ -259,15 +254,6 @@ def _pairs_across(members: DataFrame, condition, percent: int) -> DataFrame:
             .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
 
 
-def _to_random(members: DataFrame, percent: int) -> DataFrame:
-    """Every member against one of its bucket, by a hash, if their components differ."""
-    chosen = members.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64("key", "node").alias("hash"), "node", "n", "component")).alias("one"))
-    return (members.join(chosen, "key")
-            .where((F.col("one.component") != F.col("component")) & _alike_sizes("one.n", "n", percent))
-            .select(F.least("one.node", "node").alias("a"), F.greatest("one.node", "node").alias("b")).distinct())
-
-
 def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
     """The rows, with their component, of buckets that span several components."""
     labels = connected_components(links)
