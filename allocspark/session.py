@@ -41,7 +41,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
+    elif context.master == "local" or context.master.startswith("local["):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="allocspark-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
