@@ -31,7 +31,7 @@ MAX_ENTRIES = 2_000
 STEMS = (4, 5, 6)
 #: A candidate is in at least so many toxic rows, and so many times likelier there; its likelihood
 #: ratio against chance (G) is at least so much, which a word met by chance hardly reaches.
-LEAST_ROWS, LEAST_ODDS, LEAST_G = 3, 8.0, 18.0
+LEAST_ROWS, LEAST_ODDS, LEAST_G = 3, 8.0, 25.0
 #: Letters that look like Latin ones, and signs that stand for letters.
 LOOK_ALIKES = {
     "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "о": "o", "р": "p",
@@ -41,7 +41,7 @@ LOOK_ALIKES = {
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"}
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 FOLDED = str.maketrans({**LOOK_ALIKES, **{c: None for c in INVISIBLE}})
-_SIGNS = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|(?<![\w@$])[01345@$]+(?=[^\W\d_]{2})")
+_SIGNS = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|(?<![\w@$])[01345@$]+(?=[^\W\d_])")
 _PLAIN = re.compile(r"[\x00-\x7fÀ-ɏ]*")
 _HAS_SIGN = re.compile(r"[0134578@$!|]")
 WORD = re.compile(r"[^\W\d_]+")
