@@ -85,13 +85,12 @@ def difference(sizes: list[int], windows: int) -> tuple[list[int], list[list[int
     made = len(heap)
     while len(heap) > 1:
         _, _, sums, members = heapq.heappop(heap)
-        key, _, other_sums, other_members = heapq.heappop(heap)
+        _, _, other_sums, other_members = heapq.heappop(heap)
         if len(sums) + len(other_sums) <= windows:
             if len(sums) < len(other_sums):
                 sums, members, other_sums, other_members = other_sums, other_members, sums, members
             sums += other_sums
             members += other_members
-            spread = max(max(other_sums), -heap[0][0] if False else 0, sums[0] if len(sums) < windows else 0)
         else:
             a = np.zeros(windows, np.int64)
             b = np.zeros(windows, np.int64)
