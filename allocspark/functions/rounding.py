@@ -40,9 +40,9 @@ def mean(value: Column) -> Column:
 
 
 def weighted_mean(value: str, weight: str) -> Column:
-    """Aggregate mean of a double column over ``weight`` equal rows each, summed exactly.
+    """Aggregate mean of a double column over ``weight`` equal rows each, summed exactly; nulls are left out.
 
     The narrower types keep all 12 places through the decimal product.
     """
     product = F.col(value).cast("decimal(20,12)") * F.col(weight).cast("decimal(12,0)")
-    return ratio(F.sum(product), F.sum(weight))
+    return ratio(F.sum(product), F.sum(F.when(F.col(value).isNotNull(), F.col(weight))))

@@ -23,6 +23,7 @@ exact, so the end is an optimum and its prices prove it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -30,15 +31,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from allocspark import schemas
 from allocspark.functions.rounding import half_even, ratio, rounded
 from allocspark.operators.corridors import OBSERVED_CORRIDOR
+from allocspark.session import cut_lineage
 
 REGION_FLOOR_APPLICANTS = 50
-# Most vertices tried per campaign. A search that reaches it is told apart by its status.
-SEARCH_STEPS = 600
 TOLERANCE = 1e-12
 
+# Texts of the solver status.
 OPTIMAL = "OPTIMAL_CONVERGENCE"
 INFEASIBLE = "SOLVER_INFEASIBLE"
-UNFINISHED = "SOLVER_STEP_LIMIT"
 
 
 # --------------------------------------------------------------------------- program
@@ -149,12 +149,11 @@ def constrained_plan(
     ``budget_price`` and ``quota_price``, and ``dual_bound``, an upper limit on the hires of
     any feasible allocation.
     """
-    # A few bytes per campaign but many tries: deal the rows out to a fixed number of tasks,
-    # since by size alone adaptive execution would gather them into one.
-    tasks = int(campaigns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = campaigns.repartition(tasks)
+    # A few bytes per campaign but many tries: deal the rows out to all cores, since by size
+    # alone adaptive execution would gather them into one task.
+    spread = campaigns.repartition(campaigns.sparkSession.sparkContext.defaultParallelism)
     planned = with_program(spread, program).withColumns({
-        "_budget": F.col("total_budget_usd").cast("double"),
+        "_budget": F.coalesce(F.col("total_budget_usd").cast("double"), F.lit(0.0)),
         "_quota": F.greatest(F.col("min_senior_hires").cast("double"), F.lit(0.0)),
         "_floor": F.when(F.col("regional_diversity_min_pct") > 0, F.lit(float(region_floor))).otherwise(0.0),
     })
@@ -163,20 +162,20 @@ def constrained_plan(
         "_poor": _vertex(_direction(0.0, 0.0, 1.0)),
         "_room": F.forall("program.regions", lambda region: F.aggregate(
             region, F.lit(0.0), lambda total, u: total + u["capacity"]) >= F.col("_floor")),
-    })
-    # A later filter on the results must not be pushed below the search, as it would then be
-    # run again inside the filter. Spark moves no filter past a projection that is not
-    # deterministic, so the partition number, never negative, is carried into the status.
-    searched = ended.withColumns({"_end": _search(), "_part": F.spark_partition_id()})
+    }).withColumn("_refused", (
+        F.when(F.col("total_budget_usd").isNull(), f"{INFEASIBLE}: no budget given")
+        .when(F.size("program.units") == 0, f"{INFEASIBLE}: no corridors")
+        .when(~F.col("_room"), f"{INFEASIBLE}: region capacity below its floor")
+        .when(F.col("_poor.spend") > F.col("_budget"), f"{INFEASIBLE}: region floors exceed the budget")
+    ))
+    # Settled once, so that no reader and no filter pushed below it solves the campaigns again.
+    searched = with_program(cut_lineage(ended.withColumn("_end", _search()).drop("program")), program)
     phase, less, more = F.col("_end.phase"), F.col("_end.less"), F.col("_end.more")
     quota = F.col("_quota")
     status = (
-        F.when(F.size("program.units") == 0, f"{INFEASIBLE}: no corridors")
-        .when(~F.col("_room"), f"{INFEASIBLE}: region capacity below its floor")
-        .when(F.col("_poor.spend") > F.col("_budget"), f"{INFEASIBLE}: region floors exceed the budget")
+        F.when(F.col("_refused").isNotNull(), F.col("_refused"))
         .when(phase == OUT_OF_REACH, f"{INFEASIBLE}: senior quota out of reach")
-        .when((phase == SOLVED) & (F.col("_part") >= 0), OPTIMAL)
-        .otherwise(UNFINISHED)
+        .otherwise(OPTIMAL)
     )
     # Share of ``less``: all of it where it meets the quota, else what hits the quota exactly.
     share = F.when(less["senior"] >= quota, F.lit(1.0)).otherwise(
@@ -201,7 +200,7 @@ def constrained_plan(
         "quota_price": F.when(solved, quota_price),
         "dual_bound": F.when(solved, best["hires"] + quota_price * (best["senior"] - quota)
                              - budget_price * (best["spend"] - F.col("_budget"))),
-    }).drop("_budget", "_quota", "_floor", "_rich", "_poor", "_room", "_end", "_part", "_share", "_solved", "_mix", "_best")
+    }).drop("_budget", "_quota", "_floor", "_rich", "_poor", "_room", "_refused", "_end", "_share", "_solved", "_mix", "_best")
 
 
 # ------------------------------------------------- search: higher-order function pieces
@@ -301,6 +300,19 @@ def _beats(value: Column, chord: Column) -> Column:
     return value > chord + F.lit(TOLERANCE) * (F.lit(1.0) + F.abs(chord))
 
 
+# Why the search always ends within its steps. At a fixed weight of seniors the fill changes only
+# where a unit turns profitable or two units of a region change places: n(n+1)/2 prices for n units
+# of a region, LINES in all. Each try either closes its bracket or finds another such fill. Weight
+# and price together make every change a line in the plane; the weights at which the best fill for
+# the budget changes are crossings of two lines. So no search makes more than (crossings + 3) *
+# (LINES + 2) tries, and FAN ** LEVELS steps are at least as many. An ended search skips whole
+# blocks of steps, so only the tries made cost time.
+_UNITS = len(schemas.CHANNELS) * len(schemas.SENIORITIES)
+LINES = len(schemas.REGIONS) * _UNITS * (_UNITS + 1) // 2
+MOST_TRIES = (LINES * (LINES - 1) // 2 + 3) * (LINES + 2)
+FAN = 8
+LEVELS = math.ceil(math.log(MOST_TRIES, FAN))
+
 # Phases of the search: fill for hires; fill for senior hires; trade the two; ends.
 FOR_HIRES, FOR_SENIORS, TRADING, SOLVED, OUT_OF_REACH = range(5)
 
@@ -329,7 +341,8 @@ def _search() -> Column:
         rich.alias("over"), poor.alias("under"),
         everything.alias("less"), everything.alias("more"),
         F.lit(0.0).alias("quota_price"), F.lit(0.0).alias("budget_price"),
-        F.when(within & (rich["senior"] >= quota), SOLVED).when(within, OUT_OF_REACH)
+        F.when(F.col("_refused").isNotNull(), SOLVED)
+        .when(within & (rich["senior"] >= quota), SOLVED).when(within, OUT_OF_REACH)
         .otherwise(FOR_HIRES).alias("phase"),
     )
 
@@ -351,7 +364,7 @@ def _search() -> Column:
         )
         under = F.when(slack | (better & (tried["spend"] <= budget)), tried).otherwise(state["under"])
         return F.struct(over.alias("over"), under.alias("under"), tried["m"].alias("price"),
-                        (slack | ~better).alias("closed"))
+                        F.coalesce(slack | ~better, F.lit(True)).alias("closed"))
 
     def close(bracket: Column) -> Column:
         over, under = bracket["over"], bracket["under"]
@@ -407,7 +420,14 @@ def _search() -> Column:
                 bracket["closed"], _let(close(bracket), lambda found: settle(state, bracket, found))
             ).otherwise(keep_on(state, bracket))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(SEARCH_STEPS)), start, step)
+    def block(state: Column, level: int) -> Column:
+        """Up to FAN ** level steps; a block is skipped once the search has ended."""
+        if level == 0:
+            return step(state, state)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(FAN)), state, lambda held, _: F.when(
+            held["phase"] >= SOLVED, held).otherwise(block(held, level - 1)))
+
+    return block(start, LEVELS)
 
 
 def _part(vertex: Column, weight: Column) -> Column:

@@ -19,13 +19,13 @@ EVENT_TEXT = "Sourcing Corridors Anomaly Triggered"
 def detect_anomalies(telemetry: DataFrame, registry: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Alerts for observations whose cost surges over the corridor baseline or whose yield collapses.
 
-    Stateless, so it takes a batch or a streaming frame. The registry's unique key over
-    closed domains bounds it at 80 rows, hence its broadcast. Campaign names join after
-    the filter, so only alerts are shuffled when that table is large.
+    Stateless, so it takes a batch or a streaming frame. A corridor registered more than once
+    counts with its lowest baseline, so no observation gives two alerts. Campaign names join
+    after the filter, so only alerts are shuffled when that table is large.
     """
-    baselines = registry.select(*CORRIDOR, F.col("baseline_cpa_usd").alias("known_baseline"))
+    baselines = registry.groupBy(*CORRIDOR).agg(F.min("baseline_cpa_usd").alias("known_baseline"))
     baseline = F.coalesce("known_baseline", F.lit(FALLBACK_BASELINE_USD).cast("decimal(8,2)"))
-    measured = telemetry.join(F.broadcast(baselines), CORRIDOR, "left").withColumn(
+    measured = telemetry.join(baselines, CORRIDOR, "left").withColumn(
         "baseline_cpa_usd", baseline
     ).withColumn(
         "surge_multiplier", rounded(ratio(F.col("cost_per_applicant_usd"), F.col("baseline_cpa_usd")), 2)

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from allocspark.functions import labels
 from allocspark.functions.rounding import ratio, rounded
-from allocspark.operators.ordered import HOT_ROWS, Running, run_ordered
+from allocspark.operators.ordered import Running, run_ordered
 
 HIRED, DROPPED = "CONVERSION_HIRED", "DROP_OFF"
 
 
-def touch_paths(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def touch_paths(touches: DataFrame) -> DataFrame:
     """Active touches with their place on the path, its length and where the path goes next.
 
     The next touch is read along the order instead of joining the paths to themselves. Only
@@ -24,7 +24,7 @@ def touch_paths(touches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         following={"next_channel": "sourcing_channel"},
         position="touchpoint_sequence_number", size="total_touchpoint_depth",
     )
-    followed = run_ordered(active, spec, hot_rows)
+    followed = run_ordered(active, spec)
     ending = F.when(F.col("hired_flag"), HIRED).otherwise(DROPPED)
     return followed.withColumn(
         "destination_channel",

@@ -2,67 +2,26 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from allocspark.functions import labels
 from allocspark.functions.rounding import mean, ratio, rounded
-from allocspark.operators.ordered import HOT_ROWS, Running, run_ordered
+from allocspark.operators.ordered import Running, run_ordered
 from allocspark.schemas import CORRIDOR
-from allocspark.session import broadcast_if_small
-
 
-def with_ntile(
-    df: DataFrame, group: str, value: str, tiebreak: str, buckets: int, out: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """NTILE over (partition by group order by value, tiebreak) without sorting whole groups.
 
-    Counts per (group, value) give the position at which each bucket ends and the value
-    found there. A row's bucket then follows from comparing its value with those border
-    values. Only rows that carry a border value whose run of equals is cut by the border
-    need their place among the equals, and only those are ordered.
-    """
-    inner = range(1, buckets)
-    values = Window.partitionBy(group).orderBy(value)
-    runs = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")).withColumns({
-        "_end": F.sum("_n").over(values.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_all": F.sum("_n").over(Window.partitionBy(group)),
-    }).withColumn("_start", F.col("_end") - F.col("_n"))
-
-    def last_of(bucket: int):
-        spare = F.col("_all") % buckets
-        return F.expr(f"_all div {buckets}") * bucket + F.least(F.lit(bucket).cast("long"), spare)
-
-    borders = runs.groupBy(F.col(group).alias("_group")).agg(*[
-        F.max(F.when((F.col("_start") < last_of(b)) & (last_of(b) <= F.col("_end")),
-                     F.struct(F.col(value).alias("value"), "_start", "_end", last_of(b).alias("last"))))
-        .alias(f"_border{b}")
-        for b in inner
-    ])
-    placed = df.join(broadcast_if_small(borders, 10_000), F.col(group).eqNullSafe(F.col("_group")))
-
-    def at(bucket: int, name: str):
-        return F.col(f"_border{bucket}").getField(name)
-
-    def cut(bucket: int):
-        return (F.col(value) == at(bucket, "value")) & (at(bucket, "_end") > at(bucket, "last"))
-
-    placed = placed.withColumns({
-        "_tied": F.coalesce(reduce(lambda x, y: x | y, [cut(b) for b in inner]), F.lit(False)),
-        "_below": F.coalesce(*[F.when(cut(b), at(b, "_start")) for b in inner]),
-    })
-    by_value = sum((F.when(F.col(value) > at(b, "value"), 1).otherwise(0) for b in inner), F.lit(1))
-    by_place = sum(
-        (F.when(F.col("_below") + F.col("_place") > at(b, "last"), 1).otherwise(0) for b in inner), F.lit(1)
-    )
-    spec = Running(key=[group, value], order=[tiebreak], position="_place")
-    clear = placed.filter(~F.col("_tied")).select(*df.columns, by_value.alias(out))
-    tied = run_ordered(placed.filter("_tied"), spec, hot_rows).select(*df.columns, by_place.alias(out))
-    return clear.unionByName(tied)
+def with_ntile(df: DataFrame, group: str, value: str, tiebreak: str, buckets: int, out: str) -> DataFrame:
+    """NTILE over (partition by group order by value nulls last, tiebreak) from place and group size."""
+    spec = Running(key=[group], order=["_missing", value, tiebreak], position="_place", size="_all")
+    placed = run_ordered(df.withColumn("_missing", F.col(value).isNull()), spec)
+    size, spare = F.expr(f"_all div {buckets}"), F.col("_all") % buckets  # ``spare`` buckets hold a row more
+    larger = spare * (size + 1)
+    bucket = F.when(F.col("_place") <= larger, F.ceil(F.col("_place") / (size + 1))).otherwise(
+        spare + F.ceil((F.col("_place") - larger) / F.nullif(size, F.lit(0))))
+    return placed.select(*df.columns, bucket.cast("int").alias(out))
 
 
-def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Every observation with its campaign history, cost quartile, drift, velocity and tier."""
     onboarded = campaigns.select(
         "campaign_id", "client_name", F.date_format("created_at", "yyyy-MM").alias("onboarding_cohort")
@@ -72,7 +31,7 @@ def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame, hot_rows: int =
         "allocated_spend_usd", "overall_conversion_yield", "projected_hires", "event_timestamp",
     ).join(onboarded, "campaign_id")
     quartered = with_ntile(
-        known, "seniority", "cost_per_applicant_usd", "telemetry_id", 4, "cpa_efficiency_quartile", hot_rows
+        known, "seniority", "cost_per_applicant_usd", "telemetry_id", 4, "cpa_efficiency_quartile"
     )
     history = Running(
         key=["campaign_id"], order=["event_timestamp", "telemetry_id"],
@@ -82,7 +41,7 @@ def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame, hot_rows: int =
         position="allocation_batch_sequence",
     )
     cost, previous = F.col("cost_per_applicant_usd"), F.col("prev_batch_cpa_usd")
-    return run_ordered(quartered, history, hot_rows, keys_from=telemetry).withColumns({
+    return run_ordered(quartered, history).withColumns({
         "cpa_drift_from_baseline_usd": rounded(cost - F.col("baseline_campaign_cpa_usd"), 2),
         "cpa_velocity_pct_change": F.when(previous.isNull() | (previous == 0), F.expr("cast(0 as decimal(29,2))"))
         .otherwise(rounded(ratio((cost - previous) * 100, previous), 2)),
@@ -96,7 +55,7 @@ def with_corridor_benchmark(rows: DataFrame, telemetry: DataFrame) -> DataFrame:
     benchmark = telemetry.groupBy(*CORRIDOR).agg(
         mean(F.col("cost_per_applicant_usd")).alias("corridor_benchmark_avg_cpa_usd")
     )
-    return rows.join(broadcast_if_small(benchmark), CORRIDOR, "left")
+    return rows.join(benchmark, CORRIDOR, "left")
 
 
 def cohort_matrix(enriched: DataFrame, min_rows: int = 2) -> DataFrame:
@@ -118,6 +77,10 @@ def cohort_matrix(enriched: DataFrame, min_rows: int = 2) -> DataFrame:
         F.sum("cpa_drift_from_baseline_usd").alias("drift"),
         F.sum("cpa_velocity_pct_change").alias("velocity"),
         F.sum("overall_conversion_yield").alias("yield_sum"),
+        F.count("cost_per_applicant_usd").alias("costs"),
+        F.count("cpa_drift_from_baseline_usd").alias("drifts"),
+        F.count("cpa_velocity_pct_change").alias("velocities"),
+        F.count("overall_conversion_yield").alias("yields"),
     )
     by_cost = F.col("by_cost") == 1
 
@@ -131,6 +94,7 @@ def cohort_matrix(enriched: DataFrame, min_rows: int = 2) -> DataFrame:
         total("spend").alias("spend"), total("hires").alias("hires"),
         total("drift").alias("drift"), total("velocity").alias("velocity"),
         total("yield_sum").alias("yield_sum"), total("n").alias("n"),
+        *[total(name).alias(name) for name in ("costs", "drifts", "velocities", "yields")],
         F.sum(F.when(by_cost, F.col("cost_per_applicant_usd") * F.col("n"))).alias("cost_sum"),
         F.percentile(F.when(by_cost, F.col("cost_per_applicant_usd")), [0.5, 0.95],
                      F.coalesce(counted, F.lit(0))).alias("cost_points"),
@@ -140,10 +104,10 @@ def cohort_matrix(enriched: DataFrame, min_rows: int = 2) -> DataFrame:
         *cell, "total_active_campaigns", "total_applicants_routed",
         rounded(F.col("spend"), 2).alias("total_spend_usd"),
         rounded(F.col("hires"), 1).alias("total_projected_hires"),
-        rounded(ratio(F.col("cost_sum"), n), 2).alias("avg_cpa_usd"),
-        rounded(ratio(F.col("drift"), n), 2).alias("avg_drift_from_inception_usd"),
-        rounded(ratio(F.col("velocity"), n), 2).alias("avg_cpa_velocity_pct"),
-        rounded(ratio(F.col("yield_sum") * 100, n), 3).alias("avg_conversion_yield_pct"),
+        rounded(ratio(F.col("cost_sum"), F.col("costs")), 2).alias("avg_cpa_usd"),
+        rounded(ratio(F.col("drift"), F.col("drifts")), 2).alias("avg_drift_from_inception_usd"),
+        rounded(ratio(F.col("velocity"), F.col("velocities")), 2).alias("avg_cpa_velocity_pct"),
+        rounded(ratio(F.col("yield_sum") * 100, F.col("yields")), 3).alias("avg_conversion_yield_pct"),
         rounded(F.col("cost_points")[0], 2).alias("median_cpa_usd"),
         rounded(F.col("cost_points")[1], 2).alias("p95_cpa_usd"),
         rounded(ratio(F.col("spend"), F.col("hires")), 2).alias("effective_cost_per_hire_usd"),

@@ -29,17 +29,17 @@ def corridor_metrics(observations: DataFrame) -> DataFrame:
         .groupBy(*OBSERVED_CORRIDOR, "max_channel_capacity_applicants")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum("cost_per_applicant_usd").alias("cost_sum"),
-            F.sum("interview_yield_rate").alias("interview_sum"),
-            F.sum("offer_acceptance_rate").alias("offer_sum"),
+            F.sum("cost_per_applicant_usd").alias("cost_sum"), F.count("cost_per_applicant_usd").alias("costs"),
+            F.sum("interview_yield_rate").alias("interview_sum"), F.count("interview_yield_rate").alias("interviews"),
+            F.sum("offer_acceptance_rate").alias("offer_sum"), F.count("offer_acceptance_rate").alias("offers"),
         )
     )
     metrics = by_capacity.groupBy(*OBSERVED_CORRIDOR).agg(
-        rounded(ratio(F.sum("cost_sum"), F.sum("n")), 2).cast("decimal(12,2)").alias("cost_per_applicant_usd"),
+        rounded(ratio(F.sum("cost_sum"), F.sum("costs")), 2).cast("decimal(12,2)").alias("cost_per_applicant_usd"),
         F.percentile("max_channel_capacity_applicants", 0.5, F.col("n")).cast("int")
         .alias("max_channel_capacity_applicants"),
-        rounded(ratio(F.sum("interview_sum"), F.sum("n")), 4).cast("decimal(6,4)").alias("interview_yield_rate"),
-        rounded(ratio(F.sum("offer_sum"), F.sum("n")), 4).cast("decimal(6,4)").alias("offer_acceptance_rate"),
+        rounded(ratio(F.sum("interview_sum"), F.sum("interviews")), 4).cast("decimal(6,4)").alias("interview_yield_rate"),
+        rounded(ratio(F.sum("offer_sum"), F.sum("offers")), 4).cast("decimal(6,4)").alias("offer_acceptance_rate"),
     )
     joint = joint_yield(F.col("interview_yield_rate"), F.col("offer_acceptance_rate"))
     return metrics.withColumn("overall_conversion_yield", joint).withColumn(

@@ -1,9 +1,9 @@
 """Running values along an ordered key (sums, positions, neighbours) that survive hot keys.
 
-A plain window puts all rows of one key into one task. Keys above ``hot_rows`` rows are
-therefore cut into ordered chunks by range partitioning on (key, order), each chunk is
-windowed alone, and a small table of chunk totals carries the values across chunk
-borders. All other keys take the plain window. Both ways give the same rows.
+A plain window puts all rows of one key into one task. All rows are therefore cut into ordered
+chunks by range partitioning on (key, order), as many as the session's shuffles have partitions.
+Each part of a key inside a chunk is windowed alone, and a table of their totals carries the
+values across chunk borders. Small and hot keys take the same way.
 """
 
 from __future__ import annotations
@@ -14,10 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from allocspark.session import cut_lineage
 
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000  # most keys handled by chunks; any further key keeps the plain window
-MAX_CHUNKS = 20_000
-
 
 @dataclass(frozen=True)
 class Running:
@@ -33,59 +29,11 @@ class Running:
     size: str | None = None  # rows of the key
 
 
-def run_ordered(
-    df: DataFrame, spec: Running, hot_rows: int = HOT_ROWS, keys_from: DataFrame | None = None
-) -> DataFrame:
-    """``df`` with the columns of ``spec`` added.
-
-    ``keys_from`` may name a cheaper frame with the same keys per row, used to count them.
-    """
-    hot = _hot_keys(keys_from if keys_from is not None else df, spec.key, hot_rows)
-    if not hot:
-        return _plain(df, spec)
-    spark = df.sparkSession
-    schema = df.select(*spec.key).schema
-    listed = F.broadcast(  # at most MAX_HOT_KEYS rows
-        spark.createDataFrame([row[:-1] for row in hot], schema).withColumnsRenamed(
-            {name: f"_hot_{name}" for name in spec.key})
-    )
-    match = [F.col(name).eqNullSafe(F.col(f"_hot_{name}")) for name in spec.key]
-    chunks = min(MAX_CHUNKS, 1 + sum(row["_rows"] for row in hot) // hot_rows)
-    return _plain(df.join(listed, match, "left_anti"), spec).unionByName(
-        _chunked(df.join(listed, match, "left_semi"), spec, chunks)
-    )
-
-
-def _hot_keys(df: DataFrame, key: list[str], hot_rows: int) -> list:
-    """Keys above the limit, largest first: a list bounded by MAX_HOT_KEYS."""
-    return (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *key)
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-
-
-def _plain(df: DataFrame, spec: Running) -> DataFrame:
-    whole = Window.partitionBy(*spec.key)
-    along = whole.orderBy(*spec.order)
-    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added: dict[str, Column] = {}
-    added |= {out: F.sum(src).over(so_far) for out, src in spec.sums.items()}
-    added |= {out: F.lag(src).over(along) for out, src in spec.previous.items()}
-    added |= {out: F.lead(src).over(along) for out, src in spec.following.items()}
-    added |= {out: F.first(src).over(so_far) for out, src in spec.first.items()}
-    if spec.position:
-        added[spec.position] = F.row_number().over(along)
-    if spec.size:
-        added[spec.size] = F.count(F.lit(1)).over(whole)
-    return df.withColumns(added)
-
-
-def _chunked(df: DataFrame, spec: Running, chunks: int) -> DataFrame:
+def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
+    """``df`` with the columns of ``spec`` added; null keys form a key of their own."""
     # The chunk number must not change between the passes below, and range borders are
     # sampled, so the laid-out rows are written to the checkpoint folder first.
+    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = cut_lineage(
         df.repartitionByRange(chunks, *spec.key, *spec.order).withColumn("_chunk", F.spark_partition_id())
     )
@@ -98,36 +46,37 @@ def _chunked(df: DataFrame, spec: Running, chunks: int) -> DataFrame:
     totals |= {f"_sum_{out}": F.sum(src) for out, src in spec.sums.items()}
     totals |= {f"_last_{out}": F.max_by(src, place) for out, src in spec.previous.items()}
     totals |= {f"_head_{out}": F.min_by(src, place) for out, src in (spec.following | spec.first).items()}
-    carried = laid.groupBy(*chunk_key).agg(*[agg.alias(name) for name, agg in totals.items()])
+    parts = laid.groupBy(*chunk_key).agg(*[agg.alias(name) for name, agg in totals.items()])
 
-    key_chunks = Window.partitionBy(*spec.key)
-    by_chunk = key_chunks.orderBy("_chunk")
+    # A key has at most one part per chunk, so these windows stay small.
+    key_parts = Window.partitionBy(*spec.key)
+    by_chunk = key_parts.orderBy("_chunk")
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     carry = {"_rows_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
-             "_rows_all": F.sum("_rows").over(key_chunks)}
+             "_rows_all": F.sum("_rows").over(key_parts)}
     carry |= {f"_before_{out}": F.sum(f"_sum_{out}").over(before) for out in spec.sums}
     carry |= {f"_prev_{out}": F.lag(f"_last_{out}").over(by_chunk) for out in spec.previous}
     carry |= {f"_next_{out}": F.lead(f"_head_{out}").over(by_chunk) for out in spec.following}
     carry |= {f"_first_{out}": F.first(f"_head_{out}").over(
         by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for out in spec.first}
-    # One row per (hot key, chunk) pair: no more than chunks + hot keys, so a broadcast is bounded.
-    carried = carried.select(
+    carried = parts.select(
         *[F.col(name).alias(f"_c_{name}") for name in chunk_key],
         *[column.alias(name) for name, column in carry.items()],
         F.col("_rows").alias("_chunk_rows"),
     )
-    match = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in chunk_key]
-    at = laid.withColumn("_at", F.row_number().over(in_chunk))
+    match = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in spec.key]
+    match.append(F.col("_chunk") == F.col("_c__chunk"))
 
-    local: dict[str, Column] = {f"_run_{out}": F.sum(src).over(so_far) for out, src in spec.sums.items()}
+    local: dict[str, Column] = {"_at": F.row_number().over(in_chunk)}
+    local |= {f"_run_{out}": F.sum(src).over(so_far) for out, src in spec.sums.items()}
     local |= {f"_lag_{out}": F.lag(src).over(in_chunk) for out, src in spec.previous.items()}
     local |= {f"_lead_{out}": F.lead(src).over(in_chunk) for out, src in spec.following.items()}
-    joined = at.withColumns(local).join(F.broadcast(carried), match)
+    joined = laid.withColumns(local).join(carried, match)
 
     added: dict[str, Column] = {}
-    for out in spec.sums:
+    for out, src in spec.sums.items():
         run, prior = F.col(f"_run_{out}"), F.col(f"_before_{out}")
-        kind = _plain(df, spec).schema[out].dataType
+        kind = df.select(F.sum(src).alias(out)).schema[out].dataType
         added[out] = F.when(prior.isNull(), run).when(run.isNull(), prior).otherwise(run + prior).cast(kind)
     for out in spec.previous:
         added[out] = F.when(F.col("_at") == 1, F.col(f"_prev_{out}")).otherwise(F.col(f"_lag_{out}"))

@@ -116,7 +116,7 @@ def kpi_cards(results: DataFrame) -> DataFrame:
 def allocation_schedule(lines: DataFrame, metrics: DataFrame) -> DataFrame:
     """Every line with its corridor's unit cost, yield and capacity, and how loaded it is.
 
-    ``metrics`` holds one row per corridor of the closed domains (80), so it is broadcast.
+    ``metrics`` holds one row per corridor.
     A corridor it does not know shows the line's own averages.
     """
     known = metrics.select(
@@ -128,7 +128,7 @@ def allocation_schedule(lines: DataFrame, metrics: DataFrame) -> DataFrame:
     each = F.greatest(applicants, F.lit(1))
     capacity = F.coalesce("known_capacity", F.lit(FALLBACK_CAPACITY))
     joined = lines.drop("unit_cost_usd", "unit_yield", "unit_capacity").join(
-        F.broadcast(known), OBSERVED_CORRIDOR, "left")
+        known, OBSERVED_CORRIDOR, "left")
     return joined.select(
         "campaign_id", *OBSERVED_CORRIDOR,
         rounded(F.coalesce(F.col("known_cost").cast("double"), ratio(F.col("allocated_budget_usd"), each)), 2)

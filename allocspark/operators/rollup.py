@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from allocspark.functions import labels
 from allocspark.functions.rounding import ratio, rounded, weighted_mean
-from allocspark.operators.ordered import HOT_ROWS, Running, run_ordered
+from allocspark.operators.ordered import Running, run_ordered
 from allocspark.schemas import CORRIDOR
+from allocspark.session import cut_lineage
 
 
 def registered_only(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -16,51 +17,52 @@ def registered_only(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     return telemetry.join(campaigns.select("campaign_id"), "campaign_id", "left_semi")
 
 
-def moving_means(telemetry: DataFrame, days: int = 7, hot_rows: int = HOT_ROWS) -> DataFrame:
+def moving_means(telemetry: DataFrame, days: int = 7) -> DataFrame:
     """Mean cost and yield per corridor over the closed span [t - days, t], one row per instant.
 
     Rows of one instant are peers of a RANGE frame, so they are summed first. Each instant
     then enters the span at t and leaves it after t + days; the moving total is the running
-    total of entries minus exits, which needs no wide frame and no self-join.
+    total of entries minus exits, which needs no wide frame and no self-join. Nulls are left
+    out of sums and counts; a span of nulls alone has no mean.
     """
     instants = telemetry.groupBy(*CORRIDOR, "event_timestamp").agg(
         F.sum("cost_per_applicant_usd").alias("cost_sum"),
         F.sum("overall_conversion_yield").alias("yield_sum"),
+        F.count("cost_per_applicant_usd").alias("costs"),
+        F.count("overall_conversion_yield").alias("yields"),
         F.count(F.lit(1)).alias("observations"),
     )
     entering = F.struct(
         F.col("event_timestamp").alias("at"), F.lit(0).alias("leaves"),
         F.col("cost_sum").alias("d_cost"), F.col("yield_sum").alias("d_yield"),
-        F.col("observations").alias("d_rows"),
+        F.col("costs").alias("d_costs"), F.col("yields").alias("d_yields"),
     )
     leaving = F.struct(
         (F.col("event_timestamp") + F.expr(f"interval '{int(days)}' day")).alias("at"),
         F.lit(1).alias("leaves"),
         (-F.col("cost_sum")).alias("d_cost"), (-F.col("yield_sum")).alias("d_yield"),
-        (-F.col("observations")).alias("d_rows"),
+        (-F.col("costs")).alias("d_costs"), (-F.col("yields")).alias("d_yields"),
     )
     changes = instants.select(
-        *CORRIDOR, "cost_sum", "yield_sum", "observations",
+        *CORRIDOR, "observations",
         F.explode(F.array(entering, leaving)).alias("change"),
-    ).select(*CORRIDOR, "cost_sum", "yield_sum", "observations", "change.*")
+    ).select(*CORRIDOR, "observations", "change.*")
     spec = Running(
         key=CORRIDOR, order=["at", "leaves"],
-        sums={"span_cost": "d_cost", "span_yield": "d_yield", "span_rows": "d_rows"},
+        sums={"span_cost": "d_cost", "span_yield": "d_yield", "span_costs": "d_costs", "span_yields": "d_yields"},
     )
     return (
-        run_ordered(changes, spec, hot_rows, keys_from=instants)
+        run_ordered(changes, spec)
         .filter(F.col("leaves") == 0)
         .select(
             *CORRIDOR, F.col("at").alias("event_timestamp"), "observations",
-            ratio(F.col("span_cost"), F.col("span_rows")).alias("moving_cpa_usd"),
-            ratio(F.col("span_yield"), F.col("span_rows")).alias("moving_yield"),
+            ratio(F.col("span_cost"), F.col("span_costs")).alias("moving_cpa_usd"),
+            ratio(F.col("span_yield"), F.col("span_yields")).alias("moving_yield"),
         )
     )
 
 
-def campaign_cumulative(
-    telemetry: DataFrame, campaigns: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def campaign_cumulative(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Spend and projected hires of each campaign up to and including every observation."""
     spec = Running(
         key=["campaign_id"], order=["event_timestamp", "telemetry_id"],
@@ -70,14 +72,15 @@ def campaign_cumulative(
     named = telemetry.join(campaigns.select("campaign_id", "client_name"), "campaign_id")
     columns = ["telemetry_id", "campaign_id", "client_name", *CORRIDOR, "event_timestamp",
                "allocated_spend_usd", "projected_hires"]
-    return run_ordered(named.select(*columns), spec, hot_rows, keys_from=telemetry)
+    return run_ordered(named.select(*columns), spec)
 
 
 def with_ranks(counted: DataFrame, cell: list[str], value: str, count: str) -> DataFrame:
-    """Add to each counted value the rows of its cell up to it, and the rows of the cell."""
+    """Add to each counted value the rows of its cell up to it, and the rows of the cell; nulls do not count."""
+    rows = F.when(F.col(value).isNotNull(), F.col(count)).otherwise(0)
     whole = Window.partitionBy(*cell)
     so_far = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counted.withColumns({"rows_up_to": F.sum(count).over(so_far), "rows_of_cell": F.sum(count).over(whole)})
+    return counted.withColumns({"rows_up_to": F.sum(rows).over(so_far), "rows_of_cell": F.sum(rows).over(whole)})
 
 
 def percentile_of_ranked(value: Column, fraction: float) -> Column:
@@ -88,17 +91,19 @@ def percentile_of_ranked(value: Column, fraction: float) -> Column:
     return below + (above - below) * F.max(place - F.floor(place))
 
 
-def efficiency_rollup(
-    telemetry: DataFrame, campaigns: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One row per (day, corridor): volumes, costs, percentiles, moving means and tier.
 
     No day or corridor, however large, is gathered row by row: rows are first summed per
     (day, corridor, cost), which is all the exact percentile needs, and campaigns are
-    counted over distinct (day, corridor, campaign) triples. The three parts share one
-    partitioning, so their join moves no rows.
+    counted over distinct (day, corridor, campaign) triples. The needed columns are settled
+    once, as three passes read them. Means and percentiles leave nulls out.
     """
-    known = registered_only(telemetry, campaigns).withColumn("snapshot_date", F.to_date("event_timestamp"))
+    known = cut_lineage(registered_only(telemetry, campaigns).select(
+        F.to_date("event_timestamp").alias("snapshot_date"), "campaign_id", *CORRIDOR, "event_timestamp",
+        "cost_per_applicant_usd", "overall_conversion_yield", "allocated_applicants", "allocated_spend_usd",
+        "projected_hires",
+    ))
     cell = ["snapshot_date", *CORRIDOR]
     cost = F.col("cost_per_applicant_usd")
     by_cost = known.groupBy(*cell, cost).agg(
@@ -107,6 +112,7 @@ def efficiency_rollup(
         F.sum("allocated_spend_usd").alias("spend"),
         F.sum("projected_hires").alias("hires"),
         F.sum("overall_conversion_yield").alias("yield_sum"),
+        F.count("overall_conversion_yield").alias("yields"),
     )
     ranked = with_ranks(by_cost, cell, "cost_per_applicant_usd", "n")
     volumes = ranked.groupBy(*cell).agg(
@@ -115,13 +121,14 @@ def efficiency_rollup(
         F.sum("hires").alias("total_projected_hires"),
         F.sum(cost * F.col("n")).alias("cost_sum"),
         F.sum("yield_sum").alias("yield_sum"),
-        F.sum("n").alias("n"),
+        F.sum(F.when(cost.isNotNull(), F.col("n"))).alias("costs"),
+        F.sum("yields").alias("yields"),
         percentile_of_ranked(cost, 0.95).alias("p95"),
     )
     active = known.groupBy(*cell).agg(F.count_distinct("campaign_id").alias("active_campaigns_count"))
     daily = volumes.join(active, cell)
     smoothed = (
-        moving_means(known, hot_rows=hot_rows)
+        moving_means(known)
         .groupBy(F.to_date("event_timestamp").alias("snapshot_date"), *CORRIDOR)
         .agg(
             weighted_mean("moving_cpa_usd", "observations").alias("rolling_cpa"),
@@ -132,10 +139,10 @@ def efficiency_rollup(
     measured = daily.join(smoothed, cell).select(
         F.date_format("snapshot_date", "yyyy-MM-dd").alias("snapshot_date"), *CORRIDOR,
         "active_campaigns_count", "total_applicants_acquired", "total_spend_usd", "total_projected_hires",
-        rounded(ratio(F.col("cost_sum"), F.col("n")), 2).alias("mean_cpa_usd"),
+        rounded(ratio(F.col("cost_sum"), F.col("costs")), 2).alias("mean_cpa_usd"),
         rounded(F.col("rolling_cpa"), 2).alias("rolling_7d_cpa_usd"),
         rounded(F.col("p95"), 2).alias("p95_cpa_usd"),
-        rounded(ratio(F.col("yield_sum"), F.col("n")), 5).alias("mean_conversion_yield"),
+        rounded(ratio(F.col("yield_sum"), F.col("yields")), 5).alias("mean_conversion_yield"),
         rounded(F.col("rolling_yield"), 5).alias("rolling_7d_yield"),
         rounded(ratio(spend, hires), 2).alias("effective_cost_per_hire_usd"),
         rounded(ratio(hires, spend) * 1000, 3).alias("hires_yield_per_1k_usd"),

@@ -270,7 +270,7 @@ def cost_surge_alarm_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _scratch(spark, "cost-alarm-stream")
     events = fixtures.cost_events(spark, sf_dir, fixtures.stream_table(spark, sf_dir, "events"))
     jobs.start_cost_alarms(events, f"{work}/alarms", f"{work}/checkpoint").awaitTermination()
-    return _shown_alarms(read_parquet(spark, f"{work}/alarms"))
+    return _shown_alarms(jobs.current_alarms(spark, f"{work}/alarms"))
 
 
 # -------------------------------------------------------------------------- data quality

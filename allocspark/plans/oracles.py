@@ -172,8 +172,8 @@ def _corridors() -> dict[str, str]:
 def _windows() -> dict[str, str]:
     span = f"""over (partition by {C3} order by event_timestamp
     range between interval 7 days preceding and current row)"""
-    moving = f"""select t.*, cast(sum(cost_per_applicant_usd) {span} as double) / count(*) {span} as m_cpa,
-  cast(sum(overall_conversion_yield) {span} as double) / count(*) {span} as m_yield from sourcing_telemetry t"""
+    moving = f"""select t.*, cast(sum(cost_per_applicant_usd) {span} as double) / nullif(count(cost_per_applicant_usd) {span}, 0) as m_cpa,
+  cast(sum(overall_conversion_yield) {span} as double) / nullif(count(overall_conversion_yield) {span}, 0) as m_yield from sourcing_telemetry t"""
     upto = "over (partition by t.campaign_id order by event_timestamp, telemetry_id rows between unbounded preceding and current row)"
     known = {"known": "select t.* from sourcing_telemetry t join campaign_master c on t.campaign_id = c.campaign_id"}
     exact = "cast({0} as decimal(38,12))"
@@ -215,50 +215,51 @@ def _matrices() -> dict[str, str]:
   sum(allocated_applicants) as volume, sum(allocated_spend_usd) as spend,
   {_r(_div('sum(allocated_spend_usd)', 'sum(projected_hires)'), 2)} as cph
   from sourcing_telemetry group by {C3} having sum(allocated_applicants) >= 100"""
-    dominated = """select a.channel_name, a.region, a.seniority, a.cpa, a.yld, a.volume, a.spend, a.cph,
-  count(b.channel_name) as worse_than from life a left join life b
-  on b.cpa <= a.cpa and b.yld >= a.yld and (b.cpa < a.cpa or b.yld > a.yld) group by all"""
-    ranked = f"""select *, dense_rank() over (order by worse_than) as frontier_rank,
-  lag(cpa) over (partition by worse_than order by cpa, {C3}) as p_cpa,
-  lag(yld) over (partition by worse_than order by cpa, {C3}) as p_yld from dominated"""
-    monthly = f"""select strftime(t.event_timestamp, '%Y-%m') as report_month, t.channel_name, t.region, t.seniority,
-  r.saturation_capacity as cap, sum(allocated_applicants) as used,
+    corridors = """select *, (select count(*) from life better where better.cpa <= life.cpa and better.yld >= life.yld
+  and not (better.cpa = life.cpa and better.yld = life.yld)) as worse_than from life"""
+    tiers = f"""select worse_than, row_number() over (order by worse_than) as tier,
+  list(corridors order by cpa, {C3}) as members from corridors group by worse_than"""
+    neighbours = """select worse_than, tier, unnest(list_zip(members, list_prepend(null, members))) as pair from tiers"""
+    ranked = f"""select pair[1].channel_name as channel_name, pair[1].region as region, pair[1].seniority as seniority,
+  pair[1].cpa as cpa, pair[1].yld as yld, pair[1].volume as volume, pair[1].spend as spend, pair[1].cph as cph,
+  pair[2].cpa as p_cpa, pair[2].yld as p_yld, worse_than, tier from neighbours where pair[1] is not null"""
+    usage = f"""select {C3}, strftime(event_timestamp, '%Y-%m') as report_month, sum(allocated_applicants) as used,
   {_r('sum(allocated_spend_usd)', 2)} as spend, {_r('sum(projected_hires)', 1)} as hires,
   {_r(_avg('cost_per_applicant_usd'), 2)} as cpa, {_r(_avg('overall_conversion_yield'), 5)} as yld
-  from sourcing_telemetry t join channel_corridor_registry r
-  on t.channel_name=r.channel_name and t.region=r.region and t.seniority=r.seniority group by all"""
-    loaded = f"select *, {_r(_div('used * 100', 'cap'), 2)} as pct, {_r(_div('cpa', 'yld'), 2)} as cph from monthly"
+  from sourcing_telemetry group by all"""
+    load = f"""select usage.*, saturation_capacity as cap, {_r(_div('used * 100', 'saturation_capacity'), 2)} as pct,
+  {_r(_div('cpa', 'yld'), 2)} as cph from usage join channel_corridor_registry using ({C3})"""
     s3 = "sourcing_channel, talent_region, role_seniority"
     funnel = f"""select corridor_id, {s3}, strftime(event_timestamp, '%Y-%m') as calendar_month,
   count(telemetry_id) as total_applications, sum(cost_per_applicant_usd) as spend, {_avg('cost_per_applicant_usd')} as mean_cpa,
   count(*) filter (where passed_interview) as interviews, count(*) filter (where hired_flag) as hires,
   {_avg('(interview_yield_rate * offer_acceptance_rate)')} as yld
   from corridor_history where is_active_corridor group by all"""
-    moved = """select *, lag(spend) over w as p_spend, lag(hires) over w as p_hires from funnel
-  window w as (partition by corridor_id order by calendar_month)"""
-    steps = f"""select *, cast(case when hires - p_hires > 0 then {_div('spend - p_spend', 'hires - p_hires')}
-    else {_div('spend', 'hires')} end as decimal(38,12)) as marginal,
-  cast(case when p_spend > 0 and p_hires > 0 and spend - p_spend > 0
-    then {_div('hires - p_hires', 'p_hires')} / {_div('spend - p_spend', 'p_spend')} else 1.0 end as decimal(38,12)) as elasticity
-  from moved"""
+    changes = """select now.*, earlier.spend as p_spend, earlier.hires as p_hires,
+  now.spend - earlier.spend as d_spend, now.hires - earlier.hires as d_hires
+  from funnel now asof left join funnel earlier
+  on now.corridor_id = earlier.corridor_id and now.calendar_month > earlier.calendar_month"""
+    steps = f"""select *, cast(if(d_hires > 0, {_div('d_spend', 'd_hires')}, {_div('spend', 'hires')}) as decimal(38,12)) as marginal,
+  cast(if(p_spend > 0 and p_hires > 0 and d_spend > 0, {_div('d_hires', 'p_hires')} / {_div('d_spend', 'p_spend')}, 1.0)
+    as decimal(38,12)) as elasticity from changes"""
     regimes = f"""select *, {_r(_div('1000', 'marginal'), 3)} as shadow, {_r('(yld * 1000) / nullif(cast(marginal as double), 0)', 4)} as index_,
   case when elasticity >= 1.20 then 'ELASTIC_HIGH_SCALE' when elasticity between 0.80 and 1.19 then 'CONSTANT_RETURNS'
     when elasticity between 0.30 and 0.79 then 'INELASTIC_SATURATING' else 'DECREASING_CAPITAL_TRAP' end as regime from steps"""
-    votes = f"""select {s3}, regime from (select {s3}, regime, row_number() over (
-    partition by {s3} order by count(*) desc, regime) as place from regimes group by {s3}, regime) where place = 1"""
+    votes = f"""select {s3}, first(regime order by n desc, regime) as regime from (
+    select {s3}, regime, count(*) as n from regimes group by {s3}, regime) group by {s3}"""
     summary = f"""select {s3}, count(distinct calendar_month) as periods, {_r(_avg('spend'), 2)} as spend,
   {_r(_avg('hires'), 1)} as hires, {_avg('marginal')} as marginal, {_r(_avg('elasticity'), 4)} as elasticity,
   {_r(_avg('shadow'), 3)} as shadow from regimes group by {s3}"""
-    history = {"funnel": funnel, "moved": moved, "steps": steps, "regimes": regimes}
+    history = {"funnel": funnel, "changes": changes, "steps": steps, "regimes": regimes}
     return {
-        "pareto_frontier": _with(["sourcing_telemetry"], {"life": life, "dominated": dominated, "ranked": ranked}, f"""select {C3},
+        "pareto_frontier": _with(["sourcing_telemetry"], {"life": life, "corridors": corridors, "tiers": tiers, "neighbours": neighbours, "ranked": ranked}, f"""select {C3},
   {_f('cpa')} as mean_cpa_usd, {_d('yld * 100', 3)} as conversion_yield_pct, {_f('cph')} as empirical_cph_usd,
-  cast(worse_than as bigint) as dominated_by_count, cast(frontier_rank as int) as pareto_frontier_rank,
+  cast(worse_than as bigint) as dominated_by_count, cast(tier as int) as pareto_frontier_rank,
   case when worse_than = 0 then 'PARETO_OPTIMAL_FRONTIER' when worse_than <= 2 then 'NEAR_OPTIMAL_SECOND_TIER'
     else 'SUB_OPTIMAL_DOMINATED' end as pareto_efficiency_status,
   case when cpa - p_cpa > 0 then {_d(_div('(yld - p_yld) * 100', 'cpa - p_cpa'), 4)} end as marginal_yield_per_additional_dollar,
   cast(volume as bigint) as historical_applicants_volume, {_f('spend')} as total_historical_spend_usd from ranked"""),
-        "saturation_matrix": _with(["sourcing_telemetry", "channel_corridor_registry"], {"monthly": monthly, "loaded": loaded}, f"""select
+        "saturation_matrix": _with(["sourcing_telemetry", "channel_corridor_registry"], {"usage": usage, "load": load}, f"""select
   report_month, {C3}, cap as saturation_capacity, cast(used as bigint) as total_allocated_applicants,
   {_f('spend')} as total_spend_usd, {_f('hires')} as total_projected_hires, {_f('pct')} as capacity_utilization_pct,
   cast(cap - used as bigint) as remaining_applicant_headroom, {_d('yld * 100', 2)} as marginal_hires_per_100_extra_capacity,
@@ -266,7 +267,7 @@ def _matrices() -> dict[str, str]:
   case when pct >= 95 then 'SEVERELY_SATURATED_HARD_BOTTLENECK' when pct >= 80 then 'CONGESTED_NEAR_CAPACITY'
     when pct <= 30 then 'UNDER_UTILIZED_SLACK_CAPACITY' else 'OPTIMALLY_LOADED' end as channel_saturation_status,
   case when pct >= 80 and cph <= 1500 then 'TIER_1_EXPANSION_TARGET (HIGH ROI)' when pct >= 80 then 'TIER_2_EXPANSION_SELECTIVE'
-    else 'MAINTAIN_CURRENT_LIMITS' end as capacity_expansion_recommendation from loaded"""),
+    else 'MAINTAIN_CURRENT_LIMITS' end as capacity_expansion_recommendation from load"""),
         "elasticity_history": _with(["corridor_history"], history, f"""select corridor_id, {s3}, calendar_month,
   total_applications, {_f('spend')} as monthly_expenditure_usd, mean_cpa as mean_cpa_usd,
   interviews as stage_interviews_passed, hires as stage_hires_achieved, yld as empirical_conversion_yield,
@@ -285,56 +286,58 @@ def _matrices() -> dict[str, str]:
 
 
 def _paths() -> dict[str, str]:
-    history = """select *, row_number() over (partition by corridor_id order by event_timestamp, telemetry_id) as seq,
-  count(*) over (partition by corridor_id) as depth from candidate_journeys where is_active_corridor"""
-    moves = """select a.*, coalesce(b.sourcing_channel, case when a.hired_flag then 'CONVERSION_HIRED' else 'DROP_OFF' end) as dest
-  from history a left join history b on a.corridor_id = b.corridor_id and a.seq + 1 = b.seq"""
-    matrix = f"""select sourcing_channel as origin_channel, dest as destination_channel, count(*) as n,
-  {_r(_div('count(*)', 'sum(count(*)) over (partition by sourcing_channel)'), 4)} as p from moves group by 1, 2"""
-    rules = """select sourcing_channel, count(*) filter (where seq = 1 and hired_flag) as first_hires,
-  count(*) filter (where seq = depth and hired_flag) as last_hires,
-  round(sum(case when hired_flag then cast(cast(1.0 as double) / depth as decimal(28,18)) else 0 end), 2) as linear,
-  sum(cost_per_applicant_usd) as spend from history group by 1"""
-    absorbed = f"""select origin_channel as sourcing_channel, sum(case when destination_channel = 'CONVERSION_HIRED' then n else 0 end) as direct,
-  sum(n) as outbound, {_r(_div("sum(case when destination_channel = 'CONVERSION_HIRED' then n else 0 end)", 'sum(n)'), 4)} as rate
-  from matrix group by 1"""
-    share = _div("rate", "sum(rate) over ()")
-    base = {"history": history, "moves": moves}
+    walks = """select corridor_id, len(stops) as depth,
+  unnest(list_zip(range(1, len(stops) + 1), stops, stops[2:])) as stop from (
+    select corridor_id, list(j order by event_timestamp, telemetry_id) as stops
+    from candidate_journeys j where is_active_corridor group by corridor_id)"""
+    placed = """select stop[1] as place, depth, stop[2] as touch, corridor_id,
+  if(corridor_id is not null and stop[3] is not null, stop[3].sourcing_channel,
+    if(stop[2].hired_flag, 'CONVERSION_HIRED', 'DROP_OFF')) as dest, stop[2].sourcing_channel as sourcing_channel,
+  stop[2].hired_flag as hired_flag from walks"""
+    channels = f"""select sourcing_channel, count(*) as outbound, count(*) filter (where dest = 'CONVERSION_HIRED') as direct,
+  {_r(_div("count(*) filter (where dest = 'CONVERSION_HIRED')", 'count(*)'), 4)} as rate,
+  count(*) filter (where hired_flag and place = 1) as first_hires,
+  count(*) filter (where hired_flag and place = depth) as last_hires,
+  round(coalesce(sum(cast(1.0::double / depth as decimal(28,18))) filter (where hired_flag), 0), 2) as linear,
+  sum(touch.cost_per_applicant_usd) as spend from placed group by sourcing_channel"""
+    whole = """select sum(rate) as rates, sum(linear) as linears from channels"""
+    base = {"walks": walks, "placed": placed}
     return {
-        "touch_paths": _with(["candidate_journeys"], base, f"""select telemetry_id, corridor_id, sourcing_channel,
-  {TIME.format('event_timestamp')} as event_timestamp, {_f('cost_per_applicant_usd')} as cost_per_applicant_usd,
-  passed_interview, hired_flag, is_active_corridor, cast(seq as int) as touchpoint_sequence_number,
-  depth as total_touchpoint_depth, dest as destination_channel from moves"""),
-        "markov_transitions": _with(["candidate_journeys"], base | {"matrix": matrix}, f"""select origin_channel, destination_channel,
-  n as transition_count, {_f('p')} as transition_probability from matrix"""),
-        "mta_attribution": _with(["candidate_journeys"], base | {"matrix": matrix, "rules": rules, "absorbed": absorbed}, f"""select
+        "touch_paths": _with(["candidate_journeys"], base, f"""select touch.telemetry_id as telemetry_id, corridor_id, sourcing_channel,
+  {TIME.format('touch.event_timestamp')} as event_timestamp, {_f('touch.cost_per_applicant_usd')} as cost_per_applicant_usd,
+  touch.passed_interview as passed_interview, hired_flag, touch.is_active_corridor as is_active_corridor,
+  cast(place as int) as touchpoint_sequence_number, depth as total_touchpoint_depth, dest as destination_channel from placed"""),
+        "markov_transitions": _with(["candidate_journeys"], base | {"channels": channels}, f"""select sourcing_channel as origin_channel,
+  dest as destination_channel, count(*) as transition_count, {_d(_div('count(*)', 'any_value(outbound)'), 4)} as transition_probability
+  from placed join channels using (sourcing_channel) group by sourcing_channel, dest"""),
+        "mta_attribution": _with(["candidate_journeys"], base | {"channels": channels, "whole": whole}, f"""select
   sourcing_channel, {_f('spend')} as channel_total_spend_usd, first_hires as first_touch_hires, last_hires as last_touch_hires,
-  {_f('linear')} as linear_attributed_hires, cast(direct as bigint) as direct_conversions,
-  cast(outbound as bigint) as total_outbound_transitions, {_f('rate')} as direct_absorption_rate,
-  {_d(_div('rate * 100', 'sum(rate) over ()'), 2)} as markov_attribution_weight_pct,
-  {_d(f"cast(spend as double) / nullif(cast(sum(linear) over () as double) * {share}, 0)", 2)} as markov_effective_cph_usd,
+  {_f('linear')} as linear_attributed_hires, direct as direct_conversions, outbound as total_outbound_transitions,
+  {_f('rate')} as direct_absorption_rate, {_d(_div('rate * 100', 'rates'), 2)} as markov_attribution_weight_pct,
+  {_d(f"cast(spend as double) / nullif(cast(linears as double) * {_div('rate', 'rates')}, 0)", 2)} as markov_effective_cph_usd,
   case when first_hires > last_hires * 1.5 then 'TOP_FUNNEL_DISCOVERY' when last_hires > first_hires * 1.5 then 'BOTTOM_FUNNEL_CLOSER'
     when rate >= 0.15 then 'CORE_CONVERSION_PILLAR' else 'MID_FUNNEL_NURTURE' end as channel_funnel_archetype
-  from rules join absorbed using (sourcing_channel)"""),
+  from channels cross join whole"""),
     }
 
 
 def _cohorts() -> dict[str, str]:
-    by_campaign = "(partition by t.campaign_id order by event_timestamp, telemetry_id)"
-    sequenced = f"""select t.*, client_name, strftime(created_at, '%Y-%m') as cohort,
-  row_number() over {by_campaign} as seq, lag(cost_per_applicant_usd) over {by_campaign} as p_cpa,
-  lead(overall_conversion_yield) over {by_campaign} as n_yield,
-  first_value(cost_per_applicant_usd) over (partition by t.campaign_id order by event_timestamp, telemetry_id
-    rows between unbounded preceding and unbounded following) as base_cpa,
-  cast(sum(cost_per_applicant_usd) over (partition by {C3}) as double) / count(*) over (partition by {C3}) as bench,
-  ntile(4) over (partition by seniority order by cost_per_applicant_usd, telemetry_id) as quartile
+    members = """select t.*, client_name, strftime(created_at, '%Y-%m') as cohort,
+  ntile(4) over (partition by seniority order by cost_per_applicant_usd nulls last, telemetry_id) as quartile
   from sourcing_telemetry t join campaign_master c on t.campaign_id = c.campaign_id"""
+    batches = """select log[1].cost_per_applicant_usd as base_cpa, len(log) as n,
+  unnest(list_zip(range(1, len(log) + 1), log, list_prepend(null, log), log[2:])) as b from (
+    select list(m order by event_timestamp, telemetry_id) as log from members m group by campaign_id)"""
+    means = f"""select {C3}, {_avg('cost_per_applicant_usd')} as bench from members group by {C3}"""
+    placed = f"""select unnest(b[2]), b[1] as seq, base_cpa, b[3].cost_per_applicant_usd as p_cpa,
+  case when b[1] < n then b[4].overall_conversion_yield end as n_yield from batches where b[1] is not null"""
     scored = f"""select *, {_r('cost_per_applicant_usd - base_cpa', 2)} as drift,
   case when p_cpa is null or p_cpa = 0 then 0.0 else {_r(_div('(cost_per_applicant_usd - p_cpa) * 100', 'p_cpa'), 2)} end as velocity,
   case when quartile = 1 and overall_conversion_yield >= 0.08 then 'OPTIMAL_HIGH_PERFORMER'
     when quartile = 4 and overall_conversion_yield <= 0.03 then 'CHRONIC_COST_INEFFICIENCY'
-    when quartile in (2, 3) then 'NOMINAL_OPERATIONAL_BAND' else 'STABLE_AVERAGE' end as tier from sequenced"""
-    ctes = {"sequenced": sequenced, "scored": scored}
+    when quartile in (2, 3) then 'NOMINAL_OPERATIONAL_BAND' else 'STABLE_AVERAGE' end as tier
+  from placed join means using ({C3})"""
+    ctes = {"members": members, "batches": batches, "means": means, "placed": placed, "scored": scored}
     cost = "cast(cost_per_applicant_usd as double)"
     return {
         "cohort_enriched": _with(["sourcing_telemetry", "campaign_master"], ctes, f"""select telemetry_id, campaign_id, {C3},
@@ -351,7 +354,7 @@ def _cohorts() -> dict[str, str]:
   cast(sum(allocated_applicants) as bigint) as total_applicants_routed, {_d('sum(allocated_spend_usd)', 2)} as total_spend_usd,
   {_d('sum(projected_hires)', 1)} as total_projected_hires, {_d(_avg('cost_per_applicant_usd'), 2)} as avg_cpa_usd,
   {_d(_avg('drift'), 2)} as avg_drift_from_inception_usd, {_d(_avg('velocity'), 2)} as avg_cpa_velocity_pct,
-  {_d(_div('sum(overall_conversion_yield) * 100', 'count(*)'), 3)} as avg_conversion_yield_pct,
+  {_d(_div('sum(overall_conversion_yield) * 100', 'count(overall_conversion_yield)'), 3)} as avg_conversion_yield_pct,
   {_d(f'quantile_cont({cost}, 0.5)', 2)} as median_cpa_usd, {_d(f'quantile_cont({cost}, 0.95)', 2)} as p95_cpa_usd,
   {_d(_div('sum(allocated_spend_usd)', 'sum(projected_hires)'), 2)} as effective_cost_per_hire_usd
   from scored group by cohort, {C3}, tier having count(*) >= 2"""),

@@ -1,27 +1,30 @@
-"""Session settings and the two ways a plan may be settled: checkpoint and checked broadcast."""
+"""Session settings, and checkpoints in a folder that all executors share."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "allocspark", cpus: int | str = "*", **conf: str) -> SparkSession:
-    """A local session with the settings the operators are tested under."""
+def build_session(app: str = "allocspark", cpus: int | str | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the operators are tested under; local if ``cpus`` is given.
+
+    Master, memory and the number of shuffle partitions are the caller's.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         # Call-site capture costs several JVM calls per column expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
-        "spark.driver.memory": "8g",
         **conf,
     }
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    builder = SparkSession.builder.appName(app)
+    if cpus is not None:
+        builder = builder.master(f"local[{cpus}]")
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -51,14 +54,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Settle a small aggregate and hint a broadcast only when its counted size allows it.
-
-    Above ``max_rows`` the frame is returned without a hint and the join shuffles.
-    """
-    settled = cut_lineage(df)
-    if settled.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(settled)
-    return settled

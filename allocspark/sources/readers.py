@@ -19,16 +19,6 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
         raise
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash a scan of fewer splits than cores over all cores; leave any larger scan as it is.
-
-    A file with a single row group is read by one task, and broadcast joins would keep all
-    work behind it in that task. Counting the splits plans the scan but runs nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """Raw telemetry with its event-time text parsed and money and rates as exact decimals."""
     raw = read_parquet(spark, path, schemas.RAW_OBSERVATIONS)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from allocspark import schemas
 from allocspark.operators.rollup import efficiency_rollup
+from allocspark.session import cut_lineage
 from allocspark.sources.readers import between_dates, quarter_of
 
 
@@ -38,14 +39,15 @@ def refresh_rollup(
 ) -> None:
     """Rebuild the daily rollup for a closed range of days, replacing only those partitions.
 
-    Seven extra days are read back so the moving means of the first day are whole.
+    Seven extra days are read back so the moving means of the first day are whole. A day of
+    the range that has no telemetry any more loses its partition.
     """
     start = date.fromisoformat(first_day) - timedelta(days=7)
     end = date.fromisoformat(last_day) + timedelta(days=1)
     recent = between_dates(telemetry, f"{start} 00:00:00", f"{end} 00:00:00")
-    rollup = efficiency_rollup(recent, campaigns).filter(
+    rollup = cut_lineage(efficiency_rollup(recent, campaigns).filter(
         F.col("snapshot_date").between(F.lit(first_day), F.lit(last_day))
-    )
+    ))
     (
         rollup.repartition("snapshot_date")
         .write.mode("overwrite")
@@ -53,6 +55,18 @@ def refresh_rollup(
         .partitionBy("snapshot_date")
         .parquet(path)
     )
+    filled = {str(row[0]) for row in rollup.select("snapshot_date").distinct().collect()}  # days of the range
+    day = date.fromisoformat(first_day)
+    while day < end:
+        if day.isoformat() not in filled:
+            _remove_folder(telemetry.sparkSession, f"{path.rstrip('/')}/snapshot_date={day.isoformat()}")
+        day += timedelta(days=1)
+
+
+def _remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system Spark can write; one that is not there is left."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def append_run_audit(results: DataFrame, path: str) -> None:

@@ -11,11 +11,11 @@ THRESHOLD_USD = 120
 PERIOD_SECONDS = 300
 
 
-def cost_surge_alarms(
-    events: DataFrame, threshold: float = THRESHOLD_USD, period_seconds: int = PERIOD_SECONDS,
-    late_by: str | None = None,
+def period_pairs(
+    events: DataFrame, period_seconds: int = PERIOD_SECONDS, late_by: str | None = None
 ) -> DataFrame:
-    """Alarms of a batch or streaming frame with ``event_timestamp`` and ``cost_usd``.
+    """Mean costs of every two periods in a row, of a batch or streaming frame with
+    ``event_timestamp`` and ``cost_usd``.
 
     Each window spans two periods and slides by one. Its two halves are averaged apart, and
     a half without events has no mean, so it does not breach. No state beyond the window
@@ -33,9 +33,19 @@ def cost_surge_alarms(
         .withColumn("later_cost", F.when(~early, F.col("cost_usd")))
         .groupBy("span")
         .agg(mean(F.col("earlier_cost")).alias("previous_mean"), mean(F.col("later_cost")).alias("current_mean"))
-        .filter((F.col("previous_mean") > threshold) & (F.col("current_mean") > threshold))
         .select(
             (F.col("span.end") - F.expr(f"interval '{period_seconds}' second")).alias("period_start"),
             F.col("span.end").alias("alarm_at"), "previous_mean", "current_mean",
         )
     )
+
+
+def breaching(pairs: DataFrame, threshold: float = THRESHOLD_USD) -> DataFrame:
+    return pairs.filter((F.col("previous_mean") > threshold) & (F.col("current_mean") > threshold))
+
+
+def cost_surge_alarms(
+    events: DataFrame, threshold: float = THRESHOLD_USD, period_seconds: int = PERIOD_SECONDS,
+) -> DataFrame:
+    """The pairs of periods whose means both lie above the threshold."""
+    return breaching(period_pairs(events, period_seconds), threshold)

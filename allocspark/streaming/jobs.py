@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from allocspark.operators.anomalies import detect_anomalies
+from allocspark.sources.readers import read_parquet
 from allocspark.sources.writers import append_anomaly_log
-from allocspark.streaming.alarms import cost_surge_alarms
+from allocspark.streaming.alarms import breaching, period_pairs
 
 LATE_BY = "10 minutes"
+UNTIL_READ = {"availableNow": True}  # trigger: end when all that has arrived is read
+PAIR_LOG = ("period_start timestamp, alarm_at timestamp, previous_mean double, current_mean double, batch_id long")
 
 
 def start_anomaly_log(
-    telemetry: DataFrame, registry: DataFrame, campaigns: DataFrame, log_path: str, checkpoint: str
+    telemetry: DataFrame, registry: DataFrame, campaigns: DataFrame, log_path: str, checkpoint: str,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Detect anomalies of arriving telemetry and log them.
 
@@ -27,20 +31,36 @@ def start_anomaly_log(
         detect_anomalies(telemetry, registry, campaigns).writeStream
         .foreachBatch(log_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or UNTIL_READ))
         .start()
     )
 
 
 def start_cost_alarms(
-    events: DataFrame, alarm_path: str, checkpoint: str, late_by: str = LATE_BY
+    events: DataFrame, alarm_path: str, checkpoint: str, late_by: str = LATE_BY, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append each alarm once its window is closed by the watermark."""
+    """Log every change of a pair of periods, at once and not only when its window closes.
+
+    ``current_alarms`` reads the log: the latest state of each pair decides, so an alarm is known
+    while its window is open and is taken back if later events lower a mean. A batch that is run
+    again overwrites its own folder.
+    """
+    def log_batch(pairs: DataFrame, batch_id: int) -> None:
+        pairs.write.mode("overwrite").parquet(f"{alarm_path.rstrip('/')}/batch_id={batch_id}")
+
     return (
-        cost_surge_alarms(events, late_by=late_by).writeStream
-        .format("parquet").option("path", alarm_path)
+        period_pairs(events, late_by=late_by).writeStream
+        .foreachBatch(log_batch)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
+        .outputMode("update")
+        .trigger(**(trigger or UNTIL_READ))
         .start()
     )
+
+
+def current_alarms(spark: SparkSession, alarm_path: str) -> DataFrame:
+    """The alarms as of the log's last batch."""
+    log = read_parquet(spark, alarm_path, PAIR_LOG)
+    latest = log.groupBy("period_start", "alarm_at").agg(
+        F.max_by(F.struct("previous_mean", "current_mean"), "batch_id").alias("means"))
+    return breaching(latest.select("period_start", "alarm_at", "means.*"))

@@ -26,7 +26,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session("bench", cpus, **{"spark.ui.showConsoleProgress": "false"})
+    spark = build_session("bench", cpus, **{
+        "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"})
     smallest = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     warm_dir = smallest if os.path.isdir(smallest) else sf_dir
     seconds, extra = {}, {}

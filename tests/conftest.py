@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("checkpoints")
     session = build_session("tests", 8, **{
         "spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": str(folder),
-        "spark.ui.showConsoleProgress": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
     })
     yield session
     session.stop()

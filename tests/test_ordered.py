@@ -1,11 +1,12 @@
-"""Hot keys cut into chunks give the rows of the plain window."""
+"""Ordered chunks give the rows of the plain window; nulls stay out of means."""
+
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window, functions as F
 
-from allocspark.operators import attribution, cohorts, rollup
+from allocspark.operators import cohorts, rollup
 from allocspark.operators.ordered import Running, run_ordered
-from allocspark.schemas import CORRIDOR
-from allocspark.sources import fixtures
 from tests.oracle import canonical
 
 
@@ -15,53 +16,64 @@ def same(left, right):
     assert canonical(left.columns, left.collect()) == canonical(right.columns, right.collect())
 
 
-@pytest.fixture(scope="module")
-def telemetry(spark, sf_dir):
-    return fixtures.sourcing_telemetry(spark, sf_dir)
-
-
-def just_under_largest(df, *key):
-    """A limit that makes only the few largest keys hot, so that there are few chunks."""
-    return df.groupBy(*key).count().agg({"count": "max"}).first()[0] - 2
+def plain(df, spec):
+    """The same columns by windows over whole keys."""
+    whole = Window.partitionBy(*spec.key)
+    along = whole.orderBy(*spec.order)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns(
+        {out: F.sum(src).over(so_far) for out, src in spec.sums.items()}
+        | {out: F.lag(src).over(along) for out, src in spec.previous.items()}
+        | {out: F.lead(src).over(along) for out, src in spec.following.items()}
+        | {out: F.first(src).over(so_far) for out, src in spec.first.items()}
+        | {spec.position: F.row_number().over(along), spec.size: F.count(F.lit(1)).over(whole)})
 
 
-def test_moving_means(telemetry):
-    limit = just_under_largest(telemetry.select(*CORRIDOR, "event_timestamp").distinct(), *CORRIDOR)
-    same(rollup.moving_means(telemetry, hot_rows=limit), rollup.moving_means(telemetry))
+EVERYTHING = Running(key=["k"], order=["t", "id"], sums={"run": "v"}, previous={"prev": "v"},
+                     following={"nxt": "v"}, first={"head": "v"}, position="pos", size="size")
 
 
-def test_cumulative_totals(spark, sf_dir, telemetry):
-    campaigns = fixtures.campaign_master(spark, sf_dir)
-    limit = just_under_largest(telemetry, "campaign_id")
-    same(rollup.campaign_cumulative(telemetry, campaigns, hot_rows=limit),
-         rollup.campaign_cumulative(telemetry, campaigns))
+@pytest.fixture(params=[1, 7, 40])
+def partitions(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_touch_paths(spark, sf_dir):
-    touches = fixtures.candidate_journeys(spark, sf_dir)
-    limit = just_under_largest(touches.filter("is_active_corridor"), "corridor_id")
-    same(attribution.touch_paths(touches, hot_rows=limit), attribution.touch_paths(touches))
+def test_one_key_holds_a_third_of_the_rows_and_every_row_ties(spark, partitions):
+    rows = [("hot" if i % 3 == 0 else f"k{i % 50}", 0, i, float(i) if i % 7 else None) for i in range(900)]
+    df = spark.createDataFrame(rows + [(None, 1, 1000 + i, 1.0) for i in range(40)],
+                               "k string, t int, id int, v double")
+    same(run_ordered(df, EVERYTHING), plain(df, EVERYTHING))
 
 
-def test_cohort_history(spark, sf_dir, telemetry):
-    campaigns = fixtures.campaign_master(spark, sf_dir)
-    limit = just_under_largest(telemetry, "campaign_id")
-    same(cohorts.cohort_telemetry(telemetry, campaigns, hot_rows=limit),
-         cohorts.cohort_telemetry(telemetry, campaigns))
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "k string, t int, id int, v double")
+    assert run_ordered(df, EVERYTHING).collect() == []
 
 
-def test_one_key_holds_a_third_of_the_rows_and_every_row_ties(spark):
-    rows = [("hot" if i % 3 == 0 else f"k{i % 50}", 0, i, float(i) if i % 7 else None) for i in range(900)]
-    df = spark.createDataFrame(rows + [(None, 1, 1000 + i, 1.0) for i in range(40)],
-                               "k string, t int, id int, v double")
-    spec = Running(key=["k"], order=["t", "id"], sums={"run": "v"}, previous={"prev": "v"},
-                   following={"nxt": "v"}, first={"head": "v"}, position="pos", size="size")
-    same(run_ordered(df, spec, hot_rows=39), run_ordered(df, spec))
+def test_many_keys_of_several_chunks(spark):
+    df = spark.range(60_000).selectExpr("id % 12000 as k", "id div 12000 as t", "id", "cast(id as double) as v")
+    same(run_ordered(df, EVERYTHING), plain(df, EVERYTHING))
 
 
-@pytest.mark.parametrize("values, hot_rows", [
-    ([1] * 17, 10), ([1, 1, 2, 2, 2, 2, 2, 3], 4), ([5, 4, 3], 1000), (list(range(10)) * 3, 1000)])
-def test_ntile(spark, values, hot_rows):
+@pytest.mark.parametrize("values", [[1] * 17, [1, 1, 2, 2, 2, 2, 2, 3], [5, 4, 3], list(range(10)) * 3,
+                                    [None, 4, None, 1, 2, 3, None, 4, 4, 9, 8, 7]])
+def test_ntile(spark, values):
     df = spark.createDataFrame([(g, v, i) for g in "ab" for i, v in enumerate(values)], "g string, v int, id int")
-    ours = cohorts.with_ntile(df, "g", "v", "id", 4, "q", hot_rows=hot_rows)
-    same(ours, df.selectExpr("*", "ntile(4) over (partition by g order by v, id) as q"))
+    same(cohorts.with_ntile(df, "g", "v", "id", 4, "q"),
+         df.selectExpr("*", "ntile(4) over (partition by g order by v nulls last, id) as q"))
+
+
+def test_means_and_percentiles_leave_nulls_out(spark):
+    columns = ("telemetry_id string, campaign_id int, channel_name string, region string, seniority string,"
+               " cost_per_applicant_usd decimal(8,2), allocated_applicants int, allocated_spend_usd decimal(12,2),"
+               " overall_conversion_yield decimal(8,5), projected_hires decimal(8,2), event_timestamp string")
+    rows = [(str(i), 1, "c", "r", "s", cost, 1, Decimal(1), share, Decimal(1), f"2024-01-01 0{i}:00:00")
+            for i, (cost, share) in enumerate([(Decimal(10), None), (Decimal(20), Decimal("0.1")), (None, Decimal("0.2"))])]
+    telemetry = spark.createDataFrame(rows, columns).withColumn("event_timestamp", F.to_timestamp("event_timestamp"))
+    day = rollup.efficiency_rollup(telemetry, spark.createDataFrame([(1,)], "campaign_id int")).first()
+    assert [float(day[c]) for c in ("mean_cpa_usd", "rolling_7d_cpa_usd", "p95_cpa_usd", "mean_conversion_yield")] == [
+        15.0, 13.33, 19.5, 0.15]
+    assert float(day["rolling_7d_yield"]) == 0.125

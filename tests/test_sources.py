@@ -105,8 +105,40 @@ def test_batch_anomaly_log_keeps_null_keys(spark, sf_dir, tmp_path):
 def test_cost_alarm_stream_equals_batch(spark, sf_dir, tmp_path):
     stream = fixtures.cost_events(spark, sf_dir, fixtures.stream_table(spark, sf_dir, "events"))
     jobs.start_cost_alarms(stream, str(tmp_path / "alarms"), str(tmp_path / "checkpoint")).awaitTermination()
-    batch = cost_surge_alarms(fixtures.cost_events(spark, sf_dir))
-    last = fixtures.cost_events(spark, sf_dir).agg(F.max("event_timestamp").cast("timestamp").alias("t")).first()["t"]
-    closed = batch.filter(F.col("alarm_at") <= F.lit(last) - F.expr("interval 10 minutes"))
-    assert rows(spark.read.schema(batch.schema).parquet(str(tmp_path / "alarms"))) == rows(closed)
+    alarms = jobs.current_alarms(spark, str(tmp_path / "alarms"))
+    assert rows(alarms) == rows(cost_surge_alarms(fixtures.cost_events(spark, sf_dir)))
     assert glob.glob(str(tmp_path / "checkpoint" / "offsets" / "*"))
+
+
+def test_open_windows_give_alarms_and_late_rows_are_dropped(spark, tmp_path):
+    feed, log, state = (str(tmp_path / name) for name in ("feed", "log", "state"))
+
+    def arrives(*costs):
+        spark.createDataFrame(costs, "event_timestamp string, cost_usd double").selectExpr(
+            "to_timestamp(event_timestamp) as event_timestamp", "cast(cost_usd as decimal(18,4)) as cost_usd",
+        ).write.mode("append").parquet(feed)
+        events = spark.readStream.schema("event_timestamp timestamp, cost_usd decimal(18,4)").parquet(feed)
+        jobs.start_cost_alarms(events, log, state).awaitTermination()
+        return [str(row["period_start"])[11:16] for row in jobs.current_alarms(spark, log).sort("period_start").collect()]
+
+    assert arrives(("2024-01-01 10:01:00", 200.0), ("2024-01-01 10:06:00", 200.0)) == ["10:05"]
+    assert arrives(("2024-01-01 10:07:00", 0.0)) == []  # the later mean falls to 100
+    assert arrives(("2024-01-01 12:01:00", 200.0), ("2024-01-01 12:06:00", 200.0)) == ["12:05"]
+    assert arrives(("2024-01-01 10:08:00", 900.0)) == ["12:05"]  # too late to count
+
+
+def test_refresh_removes_days_without_telemetry(spark, sf_dir, tmp_path):
+    telemetry, campaigns = fixtures.sourcing_telemetry(spark, sf_dir), fixtures.campaign_master(spark, sf_dir)
+    path = str(tmp_path / "rollup")
+    writers.refresh_rollup(telemetry, campaigns, path, "1997-03-01", "1997-03-04")
+    gone = telemetry.filter("to_date(event_timestamp) <> date'1997-03-02'")
+    writers.refresh_rollup(gone, campaigns, path, "1997-03-02", "1997-03-03")
+    days = {str(row[0]) for row in spark.read.parquet(path).select("snapshot_date").distinct().collect()}
+    assert days == {"1997-03-01", "1997-03-03", "1997-03-04"}
+
+
+def test_a_repeated_registry_row_gives_no_second_alert(spark, sf_dir):
+    telemetry, campaigns = fixtures.sourcing_telemetry(spark, sf_dir), fixtures.campaign_master(spark, sf_dir)
+    registry = fixtures.channel_corridor_registry(spark)
+    once = anomalies.detect_anomalies(telemetry, registry, campaigns).count()
+    assert anomalies.detect_anomalies(telemetry, registry.unionByName(registry), campaigns).count() == once > 0
