@@ -139,10 +139,9 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
 
 def _buckets(classes: DataFrame) -> DataFrame:
     """Rows (key, node, n) of keys that several nodes share, with the bucket's size and smallest node."""
-    rows = classes.select("node", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = cut_lineage(rows.join(shared, "key")).join(classes.select("node", "n"), "node")
-    return members.join(members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first")), "key")
+    rows = classes.select("node", F.col("n").cast("int").alias("n"), F.explode("bands").alias("key"))
+    shared = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("node"), F.min_by("n", "node").alias("n"))
+    return rows.join(shared.where("size > 1").select("key", "size", F.struct("node", "n").alias("first")), "key")
 
 
 def _alike_sizes(a: str, b: str, percent: int):
@@ -194,10 +193,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     classes = (signed.where("digest is not null and id is not null").groupBy("digest")
                .agg(F.min("id").alias("node"), F.min("n_shingles").alias("n"), F.any_value("bands").alias("bands")))
     classes = cut_lineage(classes)
-    links = _links(df, classes, words, percent, id_col, text_col)
-    labels = connected_components(links).select("node", "component")
-    named = classes.select("digest", "node").join(labels, "node", "left").select(
-        "digest", F.coalesce("component", "node").alias("component"))
+    named = _components(df, classes, words, percent, id_col, text_col).select("digest", "component")
     # Rows sharing an id may be of several classes: the id links them.
     component = F.coalesce("component", F.col("id"))
     return signed.select("id", "n_shingles", "digest").join(named, "digest", "left").select(
@@ -205,8 +201,9 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Confirmed (a, b) pairs whose components are those of all links."""
+def _components(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(digest, node, component) of every class: first by the links to the buckets' smallest nodes,
+    then by those found between the components that these leave."""
     members = cut_lineage(_buckets(classes))
     candidates = members.select(F.col("node").alias("id")).distinct()
     texts = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
@@ -215,11 +212,12 @@ def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col:
     tried = _to_first(members.where(~tiny), percent).unionByName(_pairs_in(members.where(tiny), F.lit(True), percent))
     links = cut_lineage(_confirmed(tried.distinct(), sets, percent))
 
-    members = _unsettled(members.where(~tiny), links)
+    named = _named(classes.select("digest", "node"), "node", connected_components(links))
+    members = _unsettled(members.where(~tiny), named.select("node", "component"))
     if members.isEmpty():
-        return links
+        return named
     across = _pairs_in(members.where(small), F.col("component_a") != F.col("component_b"), percent)
-    links = links.unionByName(_confirmed(across, sets, percent))
+    links = _confirmed(across, sets, percent)
     members = members.where(~small)
     # A pair shares no shingle that one of them alone has, which bounds its intersection.
     nodes = members.select("node").distinct()
@@ -235,11 +233,22 @@ def _links(df: DataFrame, classes: DataFrame, words: int, percent: int, id_col:
     own = classes.select("node", F.transform("bands", _half).alias("bands"))
     largest = (bounded.groupBy("key", "component").agg(F.count("*").alias("rows"))
                .groupBy("key").agg(F.max(F.struct("rows", "component")).alias("largest")))
-    named = cut_lineage(bounded.join(largest.select("key", F.col("largest.component").alias("main")), "key")
+    split = cut_lineage(bounded.join(largest.select("key", F.col("largest.component").alias("main")), "key")
                         .select("key", "node", "n", "component", "main", "most"))
-    close = named.join(sets.select("node", "short").distinct(), "node").join(own, "node")
+    close = split.join(sets.select("node", "short").distinct(), "node").join(own, "node")
     tried = _pairs_across(close, reachable & first & _alike("short_a", "short_b", percent), percent)
-    return cut_lineage(links.unionByName(_compared(tried, sets, percent)))
+    links = cut_lineage(links.unionByName(_compared(tried, sets, percent)))
+    for end in ("a", "b"):
+        links = links.join(named.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end)
+    links = cut_lineage(links.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")).distinct())
+    return _named(named.withColumnRenamed("component", "first_found"), "first_found", connected_components(links)).drop("first_found")
+
+
+def _named(nodes: DataFrame, name: str, labels: DataFrame) -> DataFrame:
+    """``nodes`` with the component that ``labels`` give to the node under ``name``; else its own."""
+    labels = labels.select(F.col("node").alias("labelled"), F.col("component").alias("found"))
+    return cut_lineage(nodes.join(labels, F.col(name) == F.col("labelled"), "left").select(
+        *nodes.columns, F.coalesce("found", name).alias("component")))
 
 
 def _pairs_across(members: DataFrame, condition, percent: int) -> DataFrame:
@@ -254,10 +263,9 @@ def _pairs_across(members: DataFrame, condition, percent: int) -> DataFrame:
             .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
 
 
-def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows, with their component, of buckets that span several components."""
-    labels = connected_components(links)
-    named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = members.join(labels, "node")
     spans = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("key"))
     return cut_lineage(named.join(spans, "key", "left_semi"))
