@@ -235,7 +235,8 @@ def _components(df: DataFrame, classes: DataFrame, words: int, percent: int, id_
                .groupBy("key").agg(F.max(F.struct("rows", "component")).alias("largest")))
     split = cut_lineage(bounded.join(largest.select("key", F.col("largest.component").alias("main")), "key")
                         .select("key", "node", "n", "component", "main", "most"))
-    close = split.join(sets.select("node", "short").distinct(), "node").join(own, "node")
+    close = _by_node(split, "main", kept=("n", "component", "most")).join(sets.select("node", "short").distinct(), "node")
+    close = _spread(close.join(own, "node"), "main")
     tried = _pairs_across(close, reachable & first & _alike("short_a", "short_b", percent), percent)
     links = cut_lineage(links.unionByName(_compared(tried, sets, percent)))
     for end in ("a", "b"):
@@ -263,9 +264,22 @@ def _pairs_across(members: DataFrame, condition, percent: int) -> DataFrame:
             .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
 
 
+def _by_node(members: DataFrame, of_bucket: str, kept: tuple[str, ...] = ("n",)) -> DataFrame:
+    """One row per node, its buckets (at most one per band) as ``places``: joins by node then take a
+    row per node and not one per bucket."""
+    return members.groupBy("node").agg(
+        *[F.min(c).alias(c) for c in kept], F.collect_list(F.struct("key", of_bucket)).alias("places"))
+
+
+def _spread(nodes: DataFrame, of_bucket: str) -> DataFrame:
+    """The row per node and bucket again."""
+    rest = [c for c in nodes.columns if c != "places"]
+    return nodes.select(*rest, F.explode("places").alias("place")).select("place.key", *rest, f"place.{of_bucket}")
+
+
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows, with their component, of buckets that span several components."""
-    named = members.join(labels, "node")
+    named = _spread(_by_node(members, "size").join(labels, "node"), "size")
     spans = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("key"))
     return cut_lineage(named.join(spans, "key", "left_semi"))
