@@ -10,8 +10,9 @@ are never expanded into all their pairs: first every member is tried against the
 id, confirmed links are joined to components, and a bucket whose members share a component is done.
 What is left of small buckets is tried pair by pair across components; of larger ones, what stands
 outside the main component is tried against the rest, but only pairs whose intersection can be
-large enough, as the shingles that a document shares with no other bound it, and whose whole
-signatures are alike. Links are confirmed on the full shingle sets.
+large enough, as the shingles that a document shares with no other bound it. Links are confirmed on
+the full shingle sets; what is left out before are only pairs whose sizes, or the parities of their
+shingles in cells, prove that they have too little in common.
 """
 
 from __future__ import annotations
@@ -31,18 +32,15 @@ PERMUTATIONS, BAND_VALUES = 100, 5
 #: Buckets up to the first size are tried pair by pair at once, up to the second across components.
 TINY, SMALL = 6, 48
 
-#: Pairs that seem this many standard errors less alike than sought, by an estimate from one byte of
-#: every value under so many more permutations, aren't compared in full: 3.4e-6 of the links of just
-#: the similarity sought may be lost, fewer of closer ones.
-SHORT_PERMUTATIONS, SIGMAS = 400, 4.5
+#: Cells, 64 a long, that a set's hashes are dealt to: every hash that only one of two sets has changes
+#: the parity of one cell, so sets differ in at least as many hashes as cells. No link can be lost.
+PARITY_LONGS = 100
 
 _RANDOM = np.random.default_rng(20_240_229)
 _SEEDS = _RANDOM.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64)
 _FACTORS = _RANDOM.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
 _PLACES = _RANDOM.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _BANDS = np.concatenate([_RANDOM.permutation(PERMUTATIONS).reshape(-1, BAND_VALUES) + offset for offset in (0, PERMUTATIONS)])
-_SHORT_SEEDS = _RANDOM.integers(0, 2**64, SHORT_PERMUTATIONS, dtype=np.uint64)
-_SHORT_FACTORS = _RANDOM.integers(0, 2**64, SHORT_PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
 _BAND_NUMBERS = _RANDOM.integers(0, 2**64, len(_BANDS), dtype=np.uint64)
 
 
@@ -83,10 +81,10 @@ def bands(values: np.ndarray) -> np.ndarray:
     return _mixed((values[_BANDS] * _PLACES[:BAND_VALUES]).sum(axis=1, dtype=np.uint64) + _BAND_NUMBERS).view(np.int64)
 
 
-def short_signature(hashes: np.ndarray) -> np.ndarray:
-    """One byte of every value under ``SHORT_PERMUTATIONS`` permutations, eight to a long."""
-    values = signature(hashes, _SHORT_SEEDS, _SHORT_FACTORS)
-    return (_mixed(values) & np.uint64(0xFF)).astype(np.uint8).view(np.int64)
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the hashes falls into each of 64 * ``PARITY_LONGS`` cells, as bits."""
+    cells = (hashes % np.uint64(64 * PARITY_LONGS)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=64 * PARITY_LONGS) & 1).astype(np.uint8)).view(np.int64)
 
 
 def _half(key):
@@ -94,17 +92,12 @@ def _half(key):
     return key.bitwiseAND(F.lit(2**31 - 1)).cast("int")
 
 
-def _alike(a: str, b: str, percent: int, longs: int = SHORT_PERMUTATIONS // 4):
-    """Whether two short signatures differ in no more bits than such a similarity explains; an eighth
-    of each is looked at first."""
-    least, result = percent / 100, None
-    for some in (longs // 8, longs):
-        error = SIGMAS * (least * (1 - least) / (8 * some) + (1 - least) / (256 * some)) ** 0.5
-        bits = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, some)),
-                   F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
-        close = bits <= F.lit(int(32 * some * (1 - least + error)))
-        result = close if result is None else result & close
-    return result
+def _near_enough(a: str, b: str, n_a: str, n_b: str, percent: int, longs: int = PARITY_LONGS):
+    """False only for pairs that can't be so similar: sets of the sizes n_a and n_b are if they differ
+    in at most (n_a + n_b) * (100 - percent) / (100 + percent) hashes, and they do in one a bit at least."""
+    bits = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, longs)),
+               F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
+    return bits * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent)
 
 
 def signatures(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
@@ -126,15 +119,15 @@ def signatures(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFra
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(node, short signature, all hashes)."""
+    """(node, size of the set, its parities, all hashes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles(text, words) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([short_signature(f) for f in found], pa.list_(pa.int64())),
-                 pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))], names=["node", "short", "hashes"])
+                [batch.column(0), pa.array(map(len, found), pa.int32()), pa.array([parities(f) for f in found], pa.list_(pa.int64())),
+                 pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))], names=["node", "own_n", "odd", "hashes"])
 
-    return rows.mapInArrow(run, "node long, short array<long>, hashes array<long>")
+    return rows.mapInArrow(run, "node long, own_n int, odd array<long>, hashes array<long>")
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -163,13 +156,15 @@ def _to_first(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union of their full sets; short signatures
-    that differ too much spare the comparison."""
-    half = SHORT_PERMUTATIONS // 8
-    shorts = sets.select("node", F.slice("short", 1, half).alias("short"))
-    pairs = (pairs.join(shorts.select(F.col("node").alias("b"), F.col("short").alias("short_b")), "b")
-             .join(shorts.select(F.col("node").alias("a"), F.col("short").alias("short_a")), "a")
-             .where(_alike("short_a", "short_b", percent, half)).select("a", "b"))
+    """The pairs with 100 * intersection >= percent * union of their full sets; sizes and parities
+    that rule this out spare the comparison."""
+    # Cells folded in two, which is as exact a bound: the parity of both together.
+    half = PARITY_LONGS // 2
+    folded = F.zip_with(F.slice("odd", 1, half), F.slice("odd", half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    odds = sets.select("node", "own_n", folded.alias("odd"))
+    pairs = (pairs.join(odds.select(F.col("node").alias("b"), F.col("odd").alias("odd_b"), F.col("own_n").alias("own_n_b")), "b")
+             .join(odds.select(F.col("node").alias("a"), F.col("odd").alias("odd_a"), F.col("own_n").alias("own_n_a")), "a")
+             .where(_near_enough("odd_a", "odd_b", "own_n_a", "own_n_b", percent, half)).select("a", "b"))
     return _compared(pairs, sets, percent)
 
 
@@ -235,9 +230,9 @@ def _components(df: DataFrame, classes: DataFrame, words: int, percent: int, id_
                .groupBy("key").agg(F.max(F.struct("rows", "component")).alias("largest")))
     split = cut_lineage(bounded.join(largest.select("key", F.col("largest.component").alias("main")), "key")
                         .select("key", "node", "n", "component", "main", "most"))
-    close = _by_node(split, "main", kept=("n", "component", "most")).join(sets.select("node", "short").distinct(), "node")
+    close = _by_node(split, "main", kept=("n", "component", "most")).join(sets.select("node", "own_n", "odd").distinct(), "node")
     close = _spread(close.join(own, "node"), "main")
-    tried = _pairs_across(close, reachable & first & _alike("short_a", "short_b", percent), percent)
+    tried = _pairs_across(close, reachable & first & _near_enough("odd_a", "odd_b", "own_n_a", "own_n_b", percent), percent)
     links = cut_lineage(links.unionByName(_compared(tried, sets, percent)))
     for end in ("a", "b"):
         links = links.join(named.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end)

@@ -218,6 +218,27 @@ def test_near_duplicates_equal_brute_force(spark, sf_dir, words):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def test_near_duplicates_link_at_just_the_similarity_sought(spark):
+    """Pairs of eight shared shingles of ten, which estimates from short signatures had dropped."""
+    rows = []
+    for place, seed in enumerate((18915, 32099, 39339, 45354)):
+        draw = random.Random(seed)
+        words = [f"w{draw.randrange(10**6)}" for _ in range(14)]
+        rows += [(2 * place, " ".join(words[:13])), (2 * place + 1, " ".join(words[:12] + words[13:]))]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in range(8)}
+
+
+@pytest.mark.parametrize("size", [1, 9, 300, 9_000, 40_000])
+def test_parities_never_differ_in_more_cells_than_sets_in_hashes(size):
+    draw = np.random.default_rng(size)
+    for alike in (0.0, 0.5, 0.8, 0.99):
+        both, a, b = (np.unique(draw.integers(0, 2**64, n, dtype=np.uint64)) for n in (int(size * alike), size, size // 2))
+        x, y = (minhash.parities(np.union1d(both, own[:max(0, size - len(both))])) for own in (a, b))
+        apart = len(np.setxor1d(a[:max(0, size - len(both))], b[:max(0, size - len(both))]))
+        assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= apart
+
+
 def test_near_duplicates_edges(edges, nothing):
     rows = minhash.near_duplicates(edges).collect()
     assert Counter(r.doc_id for r in rows) == Counter(e[0] for e in EDGES)
