@@ -1,7 +1,8 @@
 """Pseudonyms for personal data that keep the format of what they stand for.
 
 A value is found by its pattern, checked (check digits, calendar, ranges) and mapped to a number in
-the domain of valid values of its format. A keyed Feistel network permutes that domain, and the
+the domain of valid values of its format. Where a number in groups fails its check because other
+numbers or words stand beside it, the parts of it that begin and end with a group are tried. A keyed Feistel network permutes that domain, and the
 permuted number is written back in the same format. Equal values get equal pseudonyms under one
 key, in any document, so they stay linked; without the key they can't be told. Nothing is stored
 and rows are independent, so nothing shuffles.
@@ -237,13 +238,76 @@ KINDS: dict[str, tuple[str, Callable[[Cipher, str], str | None]]] = {
     "date": (r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\w/-]|\.\d)", _date),
     "ssn": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     "phone": (r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)", _phone),
-    "card": (r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)", _card),
+    "card": (r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|-(?!\d{1,4}(?![\w-]))|\.\d)", _card),
     "number": (r"(?<![\w.-])\d{15,16}(?![\w-]|\.\d)", _long_number),
     "international": (r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,5}\)?){2,6}(?![\w-]|\.\d)", _international),
 }
 _PATTERNS = {kind: re.compile(pattern) for kind, (pattern, _) in KINDS.items()}
 #: Every pattern has one of these within it, so a text without them is passed by.
-_ANY = re.compile(r"[\d@]|(?i:pass|pwd|token|secret|api)")
+_ANY = re.compile(r"[\d@]|AKIA|ASIA|ghp_|sk-|(?i:pass|pwd|token|secret|api)")
+#: Kinds of which parts are tried, with the pattern that such a part has to match where it begins.
+_PARTS = {"iban": _PATTERNS["iban"], "card": re.compile(KINDS["card"][0].removeprefix(r"(?<![\w.-])")), "international": _PATTERNS["international"]}
+_GROUP = re.compile(r"[A-Za-z0-9]+")
+IBAN_LENGTHS = {country: int(length) for length, countries in (entry.split(":") for entry in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for country in countries.split(",")}
+#: First digits and usual lengths of the card networks.
+_NETWORKS = re.compile(
+    r"(?:(?:4\d{3}|5\d{3}|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720|6011|64[4-9]\d|65\d\d|67\d\d|62\d\d|35\d\d)\d{12}"
+    r"|3[47]\d{13}|3(?:0[0-59]|[689]\d)\d{11})")
+
+
+def _spans(kind: str, text: str, match: re.Match) -> Iterator[int]:
+    """Ends of what may be the value that begins where ``match`` does: the match's own and those of
+    its groups, the longest first; of an IBAN the one that its country fixes before all."""
+    start, last = match.span()
+    if kind not in _PARTS:
+        yield last
+        return
+    ends = [group.end() for group in _GROUP.finditer(text, start, last)]
+    if kind == "iban" and text[start:start + 2] in IBAN_LENGTHS:
+        length = IBAN_LENGTHS[text[start:start + 2]]
+        yield from (end for end in ends if len(text[start:end].replace(" ", "")) == length)
+        yield last
+        return
+    yield last
+    for end in reversed(ends):
+        yield end + (text[end:end + 1] == ")")
+
+
+def _is_card(text: str) -> bool:
+    """Whether part of a longer stretch is written or begins like a card, and is no chance find in a
+    row of small numbers: in groups of three digits or more but for the last, or a network's."""
+    return all(len(group) > 2 for group in re.split("[ -]", text)[:-1]) or bool(_NETWORKS.fullmatch(re.sub(r"\D", "", text)))
+
+
+def _find(cipher: Cipher, kind: str, text: str, found: list[tuple[int, int, str, str]]) -> None:
+    """Adds (start, end, kind, pseudonym) of the kind's values that overlap with none found before."""
+    pattern, inner = _PATTERNS[kind], _PARTS.get(kind)
+    match, tried = pattern.search(text), 0
+    while match:
+        start, last = match.span()
+        at = None
+        for end in _spans(kind, text, match):
+            if kind == "card" and (start < tried or end < last) and not _is_card(text[start:end]):
+                continue
+            if any(a < end and start < b for a, b, _, _ in found):
+                continue
+            fresh = cipher.replace(kind, text[start:end])
+            if fresh is not None:
+                found.append((start, end, kind, fresh))
+                at = end
+                break
+        if at is not None or not inner:
+            match = pattern.search(text, last if at is None else at)
+            continue
+        # Nothing begins here: go on one group later.
+        tried = max(tried, last)
+        groups = _GROUP.finditer(text, start + (kind == "international"), last)
+        next(groups)
+        at = next((group.start() for group in groups), last)
+        match = (inner.match(text, at) if at < last else None) or pattern.search(text, at)
 
 
 def pseudonymise(cipher: Cipher, text: str | None) -> tuple[str | None, list[tuple[int, int, str]]]:
@@ -251,13 +315,8 @@ def pseudonymise(cipher: Cipher, text: str | None) -> tuple[str | None, list[tup
     if not text or not _ANY.search(text):
         return text, []
     found: list[tuple[int, int, str, str]] = []
-    for kind, pattern in _PATTERNS.items():
-        for match in pattern.finditer(text):
-            if any(start < match.end() and match.start() < end for start, end, _, _ in found):
-                continue
-            fresh = cipher.replace(kind, match[0])
-            if fresh is not None:
-                found.append((match.start(), match.end(), kind, fresh))
+    for kind in KINDS:
+        _find(cipher, kind, text, found)
     parts, at = [], 0
     for start, end, _, fresh in sorted(found):
         parts += [text[at:start], fresh]
