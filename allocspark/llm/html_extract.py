@@ -2,9 +2,10 @@
 
 A streaming standard-library parser turns a page into lines, one for each block of text. Every
 line has a ratio of text to tags, which is zero inside elements that are never main text (menus,
-forms, adverts, notices, comments, ...). The ratios are smoothed with a Gaussian over the lines,
-and two-means clustering of the smoothed ratios gives the threshold. Lines above it select content
-regions: the article or container that they lie in, with all its short lines.
+forms, adverts, notices, comments, ...). Where a page has article or main elements, lines outside
+them weigh half. The ratios are smoothed with a Gaussian over the lines, and two-means clustering of
+the smoothed ratios gives the threshold. Lines above it select content regions: the article or
+container that they lie in, with all its short lines, and the headings and short blocks beside it.
 """
 
 from __future__ import annotations
@@ -43,30 +44,36 @@ CLOSED_BY = {
     "p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "option": {"option"},
 }
+#: Weight of lines outside article and main elements on pages that have some.
+OUTSIDE = 0.5
+#: So many blocks on each side of a region, of so many code points at most, belong to it.
+BESIDE, SHORT = 4, 200
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KERNEL = [math.exp(-(d * d) / 2) for d in range(-2, 3)]
 _WORD = re.compile(r"[a-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects ``lines``: (text, tags, dropped, container, article)."""
+    """Collects ``lines``: (text, tags, dropped, container, article, heading, share of linked text)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int, int]] = []
+        self.lines: list[tuple[str, int, bool, int, int, bool, float]] = []
         self.language = None
-        # Open elements: (tag, dropped, container, article), the last three as they hold inside.
-        self.stack: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
+        # Open elements: (tag, dropped, container, article, heading, link), all but the first as they hold inside.
+        self.stack: list[tuple[str, bool, int, int, bool, bool]] = [("", False, 0, 0, False, False)]
         self.text: list[str] = []
+        self.linked = 0
         self.tags = 0
         self.made = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, dropped, container, article = self.stack[-1]
-            self.lines.append((text, max(1, self.tags), dropped, container, article))
+            _, dropped, container, article, heading, _ = self.stack[-1]
+            self.lines.append((text, max(1, self.tags), dropped, container, article, heading, self.linked / len(text)))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
         if tag == "html" and self.language is None:
@@ -78,20 +85,20 @@ class _Lines(HTMLParser):
             if tag in VOID:
                 return
             dropped = self.stack[-1][1] or _is_dropped(tag, attrs, self.stack[-1][3])
-            self.stack.append((tag, dropped, *self.stack[-1][2:]))
+            self.stack.append((tag, dropped, *self.stack[-1][2:5], tag == "a" or self.stack[-1][5]))
             return
         self.flush()
         if tag in VOID:
             return
         self._close_implied(tag)
-        _, dropped, container, article = self.stack[-1]
+        _, dropped, container, article, heading, link = self.stack[-1]
         dropped = dropped or _is_dropped(tag, attrs, article)
         if tag in ("article", "main", "section", "div", "body", "td", "table"):
             self.made += 1
             container = self.made
         if tag in ("article", "main") and not article:
             article = self.made
-        self.stack.append((tag, dropped, container, article))
+        self.stack.append((tag, dropped, container, article, heading or tag in HEADINGS, link))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -128,6 +135,8 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if self.stack[-1][1] and not next(x[1] for x in reversed(self.stack) if x[0] not in INLINE):
             return  # a dropped inline element, as a script or a marked advert, in a block that stays
+        if self.stack[-1][5]:
+            self.linked += len(data)
         self.text.append(data)
 
 
@@ -184,24 +193,43 @@ def main_text(html: str | None) -> tuple[str, str | None]:
     parser.close()
     parser.flush()
     lines = parser.lines
-    if any(article and not dropped for _, _, dropped, _, article in lines):
-        # An article or main element is evidence of its own: lines outside it are no candidates.
-        lines = [line if line[4] else (line[0], line[1], True, *line[3:]) for line in lines]
     if not any(not line[2] for line in lines):
         return "", parser.language
-    ratios = smoothed([0.0 if dropped else len(text) / tags for text, tags, dropped, _, _ in lines])
+    # An article or main element is evidence of its own, but the ratios decide.
+    marked = any(line[4] and not line[2] for line in lines)
+    ratios = smoothed([0.0 if dropped else len(text) / tags * (OUTSIDE if marked and not article else 1.0)
+                       for text, tags, dropped, _, article, *_ in lines])
     border = threshold(ratios)
     chosen = [i for i, line in enumerate(lines) if not line[2] and ratios[i] >= border]
     if not chosen:
         chosen = [max((i for i, line in enumerate(lines) if not line[2]), key=lambda i: ratios[i])]
+    return "\n".join(lines[i][0] for i in sorted(_region(lines, chosen, marked))), parser.language
+
+
+def _region(lines: list[tuple], chosen: list[int], marked: bool) -> set[int]:
+    """Places of the lines in the articles and containers of the chosen ones, and beside them; between
+    the chosen lines of a page without articles all stay that are not dropped."""
     articles = {lines[i][4] for i in chosen if lines[i][4]}
-    if articles:
-        kept = [line[0] for line in lines if not line[2] and line[4] in articles]
-    else:
-        containers = {lines[i][3] for i in chosen}
-        kept = [line[0] for i, line in enumerate(lines)
-                if not line[2] and (line[3] in containers or chosen[0] <= i <= chosen[-1])]
-    return "\n".join(kept), parser.language
+    containers = {lines[i][3] for i in chosen if not lines[i][4]}
+    inside = {i for i, line in enumerate(lines) if not line[2] and (
+        line[4] in articles if line[4] else line[3] in containers or not marked and chosen[0] <= i <= chosen[-1])}
+    beside = set()
+    for place in inside:
+        for step in (-1, 1):
+            for i in range(place + step, place + step * (BESIDE + 1), step):
+                if i in inside or not 0 <= i < len(lines) or not _belongs(lines[i], step):
+                    break
+                beside.add(i)
+    return inside | beside
+
+
+def _belongs(line: tuple, step: int) -> bool:
+    """Whether a line before (step -1) or after a region is a heading or short block of it; a heading
+    after it begins something else."""
+    text, _, dropped, _, article, heading, linked = line
+    if dropped or article or heading and step > 0:
+        return False
+    return heading or len(text) <= SHORT and linked <= 0.5
 
 
 def extract_main_text(df: DataFrame, html_col: str = "html") -> DataFrame:

@@ -106,6 +106,24 @@ def test_html_main_text():
     assert html_extract.main_text(no_article)[0] == "Ti.\n" + " ".join("w" * 90)
 
 
+def test_html_ratios_decide_beside_tags():
+    long = ["%s words of a story, " % w * 20 for w in ("first", "second", "third", "fourth", "fifth")]
+    body, teaser = "".join(f"<p>{x}</p>" for x in long), "<article><h2>Teaser</h2><p>Short.</p><p><a href=x>more</a></p></article>"
+    text = [x.strip() for x in long]
+    menu = "<nav><a href=x>Home</a></nav>"
+    main = lambda page: html_extract.main_text(f"<html><body>{menu}{page}<footer>f</footer></body></html>")[0].split("\n")
+    # A small article beside a story in a container: the ratios choose the story.
+    assert main(f"{teaser}{menu}<div id=x>{body}</div>") == text
+    # Two stories and a teaser, all in articles of their own.
+    assert main(f"<article>{body}</article>{menu * 2}{teaser}{menu * 2}<article>{body}</article>") == text * 2
+    # Without articles: a headline and a byline in containers of their own, and links that belong to neither.
+    head = "<div><a href=x>News</a> <a href=x>Sport</a></div><div><h1>Headline</h1></div><div>By the author</div>"
+    page = f"{menu * 3}{head}<div id=x>{body}</div><div>Printed on page 3.</div><div><h2>More</h2></div>"
+    assert main(page) == ["Headline", "By the author", *text, "Printed on page 3."]
+    # A headline outside of the article.
+    assert main(f"{head}<article>{body}</article>") == ["Headline", "By the author", *text]
+
+
 def test_html_of_the_table(spark, sf_dir):
     rows = {r.page_id: r for r in queries.op2_html_extraction(spark, sf_dir).collect()}
     for page in read_table(spark, sf_dir, "pages").collect():
