@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from allocspark.llm import exact_dedup, minhash, packing, pii, toxicity
-from allocspark.llm.common import read_table, tokenizer_path
+from allocspark.llm.common import free_name, read_table, text_or_empty, tokenizer_path
 from allocspark.session import ensure_checkpoint_dir
 
 
@@ -23,8 +23,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal but for white space, the one with the longest text stays."""
-    return exact_dedup.exact_dedup(docs).where("kept").select(*docs.columns)
+    """Of documents that are equal but for white space, the one with the longest text stays: one row,
+    also where rows repeat an id or have none."""
+    kept = exact_dedup.exact_dedup(docs).where("kept")
+    place = free_name(kept, "_place")
+    order = Window.partitionBy("text_sha256").orderBy(
+        F.length(text_or_empty("text")).desc(), F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns))
+    return kept.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -415,6 +415,16 @@ def test_fingerprint_edges(edges, nothing, spark):
         hashlib.sha256(fresh.encode()).hexdigest()]
 
 
+def test_pipeline_keeps_one_row_of_equal_texts(spark, edges):
+    ids = [(1, "one two"), (1, "one  two"), (1, "one  two"), (2, "one two"), (None, "null  id"), (None, "null  id"), (3, "null id"), (4, "alone"),
+           (None, "only null"), (None, "only null"), (5, "twice"), (5, "twice"), (6, "one id"), (6, "other text")]
+    docs = spark.createDataFrame(ids, "doc_id long, text string")
+    rows = corpus_pipeline.drop_exact_copies(spark, docs, "").collect()
+    assert Counter(map(tuple, rows)) == Counter([(1, "one  two"), (None, "null  id"), (4, "alone"), (None, "only null"), (5, "twice"), (6, "one id"), (6, "other text")])
+    rows = corpus_pipeline.drop_exact_copies(spark, edges, "").collect()
+    assert Counter(r.doc_id for r in rows) == Counter([3, 5, 7, 8])
+
+
 def test_pipeline_stages_keep_what_they_should(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents").cache()
     kept = corpus_pipeline.drop_toxic(spark, documents, sf_dir)
