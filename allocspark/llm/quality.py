@@ -141,15 +141,14 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              label_col: str = "quality", share: float = SHARE, seed: int = 0, held_out: Column | None = None) -> DataFrame:
     """Per row of ``df``: the id, log_weight, n_ngrams, gumbel_key and selected.
 
-    floor(share * rows) rows are selected; weights are taken per n-gram, times the square root of
-    their number, so that length alone doesn't decide. A null or empty text has weight 0. Equal
+    floor(share * rows) rows are selected, by the log weight and Gumbel noise; a long document's
+    weight sums more n-grams, as the ratio of the two models does. A null or empty text has weight 0. Equal
     keys, as those of rows that repeat an id and a text, go by the smaller id and are selected
     together, which can exceed the share by such repeats; a null id is like any other. Without
     labelled rows the target is flat and the draw near uniform. Other input columns are left out.
     """
     ratios = log_ratios(df, labels, id_col, text_col, label_col, held_out=held_out)
     weighed = importance(df.select(F.col(f"`{id_col}`"), text_or_empty(text_col).alias(text_col)), ratios, text_col).drop(text_col)
-    scaled = F.col("log_weight") / F.sqrt(F.greatest(F.col("n_ngrams"), F.lit(1)))
-    keyed = cut_lineage(weighed.withColumn("gumbel_key", scaled + gumbel(id_col, seed)))
+    keyed = cut_lineage(weighed.withColumn("gumbel_key", F.col("log_weight") + gumbel(id_col, seed)))
     k = int(share * keyed.count())
     return keyed.withColumn("selected", F.coalesce(top_k(keyed, "gumbel_key", id_col, k), F.lit(False)))

@@ -307,6 +307,12 @@ def test_quality_prefers_good_held_out_documents(spark, sf_dir):
     assert np.mean([g > b for g in good for b in bad]) > 0.8
 
 
+def test_quality_draws_by_the_whole_weight(spark, sf_dir):
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    rows = quality.resample(documents, labels, seed=3).withColumn("noise", quality.gumbel("doc_id", 3)).collect()
+    assert all(r.gumbel_key == pytest.approx(r.log_weight + r.noise, abs=1e-6) for r in rows) and max(r.n_ngrams for r in rows) > 100
+
+
 def test_quality_edges(spark, edges, nothing):
     labels = spark.createDataFrame([(4, 1), (None, 1), (5, None)], "doc_id long, quality int")
     rows = quality.resample(edges, labels).collect()
