@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from allocspark.llm import (
-    bpe, centroids, exact_dedup, fingerprint, html_extract, language, minhash, packing, pii, quality, toxicity, url_filter)
+    bpe, centroids, collocations, exact_dedup, fingerprint, html_extract, language, minhash, packing, pii, quality, toxicity, url_filter)
 from allocspark.llm.common import read_table, tokenizer_path
 
 
@@ -56,6 +56,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_probe(read_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language of ``documents``."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """40 clusters of all usable vectors of ``embeddings`` after five rounds."""
     return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
@@ -70,8 +75,9 @@ def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_html_extraction, op3_pii, op4_bpe, op5_language_id, op6_near_dedup, op7_quality,
-        op8_toxicity, op9_packing, op10_fingerprints, op12_centroids, op13_url_filter)
+        op8_toxicity, op9_packing, op10_fingerprints, op11_collocations, op12_centroids, op13_url_filter)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL = {
-    "op1_exact_dedup": exact_dedup.ORACLE_SQL, "op12_centroids": centroids.ORACLE_SQL, "op13_url_filter": url_filter.ORACLE_SQL}
+    "op1_exact_dedup": exact_dedup.ORACLE_SQL, "op11_collocations": collocations.ORACLE_SQL, "op12_centroids": centroids.ORACLE_SQL,
+    "op13_url_filter": url_filter.ORACLE_SQL}

@@ -5,15 +5,16 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
 
-from allocspark.llm import centroids, queries, url_filter
+from allocspark.llm import centroids, collocations, queries, url_filter
 from tests.oracle import connect, difference
 
 
-@pytest.mark.parametrize("name", ["op12_centroids", "op13_url_filter"])
+@pytest.mark.parametrize("name", ["op11_collocations", "op12_centroids", "op13_url_filter"])
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
 def test_equals_sql(spark, sf_dir, name, folder):
     sf_dir = sf_dir.replace("sf0.001", folder)
@@ -108,3 +109,67 @@ def test_urls_without_rules_or_rows(spark):
     assert url_filter.judge_urls(df.where("false"), url_filter.rule_table(spark, url_filter.RULES)).collect() == []
     with pytest.raises(Exception, match="neither allow nor block"):
         url_filter.judge_urls(df, url_filter.rule_table(spark, [("maybe", "com", "/")])).collect()
+
+
+def slow_collocations(rows, support, top):
+    """{lang: [(phrase, a, l, r, n, score)]}, by counting every phrase of one to four words."""
+    counts, totals, result = {}, Counter(), {}
+    for text, lang in rows:
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang or "und" if lang is None else lang] += len(words)
+            for size in range(1, 5):
+                for i in range(len(words) - size + 1):
+                    counts.setdefault("und" if lang is None else lang, Counter())[tuple(words[i:i + size])] += 1
+    for lang, f in counts.items():
+        found = {p: a for p, a in f.items() if len(p) > 1 and a >= support}
+        inside = lambda p, q: any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))
+        scored = []
+        for p, a in found.items():
+            if any(len(q) > len(p) and 100 * b >= 80 * a and inside(p, q) for q, b in found.items()):
+                continue
+            score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            scored.append((" ".join(p), a, f[p[:k]], f[p[k:]], totals[lang], score))
+        if scored:
+            result[lang] = sorted(scored, key=lambda r: (-r[5], -r[1], r[0].encode()))[:top]
+    return result
+
+
+@pytest.mark.parametrize("chunk_bytes", [4 << 20, 50])
+@pytest.mark.parametrize("support, top", [(30, 2_000), (3, 25)])
+def test_collocations_equal_counting_every_phrase(spark, monkeypatch, chunk_bytes, support, top):
+    draw = random.Random(support)
+    words = ["New", "york", "new", "é", "日本", "of", "the", "--", "a\u00a0b", "x" * 50]
+    end = [" ", " ", " ", "  ", "\t", ", ", ".", "\n", "; ", " ! ", "\r\n", "\x0b"]
+    text = lambda n: "".join(draw.choice(words[:draw.randint(1, 10)]) + draw.choice(end) for _ in range(n))
+    rows = [(text(draw.randint(0, 60)), draw.choice(["en", "de", None, "und", ""])) for _ in range(250)]
+    rows += [(None, "en"), ("", None), (" \t\n", "de"), ("one", "fr"), ("New york of the " * 800, "en"), ("é" * 3000, "fr"), *[rows[5]] * 6]
+    plain = collocations.chunks
+    monkeypatch.setattr(collocations.chunks, "__defaults__", (chunk_bytes,))
+    for texts in ([t or "" for t, _ in rows], [""], ["", "a b", "", "c d.", ""]):
+        batch = collocations.pa.array(["cut off", *texts, "x"])[1:-1]
+        seen = [(c.rows[i], *(c.words[c.codes[i + k]].as_py() for k in range(2))) for c in plain(batch, [""] * len(batch)) for i in c.starts(2)]
+        wanted = [(n, *w[i:i + 2]) for n, t in enumerate(texts) for p in re.split(rb"[.,;:!?\x0A-\x0D]", t.encode().lower())
+                  for w in [re.findall(rb"[^\x20\x09]+", p)] for i in range(len(w) - 1)]
+        assert seen == wanted
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3).selectExpr("*", "1 as phrase", "2 as n", "3 as rank")
+    found = {}
+    for r in sorted(collocations.collocations(df, support=support, top=top).collect(), key=lambda r: r.rank):
+        found.setdefault(r.lang, []).append((r.phrase, r.a, r.l, r.r, r.n, r.score))
+        assert r.rank == len(found[r.lang])
+    wanted = slow_collocations(rows, support, top)
+    assert found == wanted and len(wanted) >= 3
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    df = spark.createDataFrame([(f"a b c d{i % 3} e{i}, a b", "en") for i in range(200)], "text string, lang string")
+    wanted = collocations.collocations(df).collect()
+    monkeypatch.setattr(collocations, "_filter", lambda candidates: collocations.np.full(1024, 2**64 - 1, collocations.np.uint64))
+    assert collocations.collocations(df).collect() == wanted and len(wanted) > 2
+
+
+def test_collocations_of_nothing(spark):
+    df = spark.createDataFrame([(None, None), ("one two", "en")], "text string, lang string")
+    assert collocations.collocations(df).collect() == [] and collocations.collocations(df.where("false")).collect() == []
+    assert {(r.lang, r.size, r.phrase, r.n) for r in collocations.phrase_counts(df).collect()} == {("en", 0, None, 2)}
