@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from allocspark.llm.common import cut_lineage
 
 SUPPORT, LONGEST, TOP, COVER, POINTS = 30, 4, 2_000, 80, 2_000_000
-#: A power of two; with 8 shards a phrase has to occur about four times in one of them.
-SHARDS = 8
+#: A power of two; with 4 shards a phrase has to occur about eight times in one of them.
+SHARDS = 4
 #: Text worked on at once; a longer piece without punctuation is worked on whole.
 CHUNK_BYTES = 4 << 20
 #: Bits of a filter of candidates: 16 for each, at most 32 MB. A fuller one lets more phrases be counted
