@@ -56,7 +56,9 @@ def corridor_program(metrics: DataFrame) -> DataFrame:
     )
     name = F.concat_ws("|", *OBSERVED_CORRIDOR)
     gain = F.col("overall_conversion_yield").cast("double")
-    spend_rate = ratio(F.col("overall_conversion_yield"), F.col("cost_per_applicant_usd"))
+    # A corridor that costs nothing comes first and is taken whole.
+    spend_rate = F.when(F.col("cost_per_applicant_usd") == 0, F.lit(float("inf"))).otherwise(
+        ratio(F.col("overall_conversion_yield"), F.col("cost_per_applicant_usd")))
     full_cost = F.col("cost_per_applicant_usd") * F.col("max_channel_capacity_applicants")
     # Costs of all corridors with a better yield per dollar: at most 80 rows.
     best_first = Window.orderBy(F.desc("per_dollar"), *OBSERVED_CORRIDOR)
@@ -104,7 +106,7 @@ def pro_rata(campaigns: DataFrame, program: DataFrame) -> DataFrame:
         spent = F.least(part, unit["capacity"] * unit["cost"])
         return F.struct(
             (total["spend"] + spent).alias("spend"),
-            (total["hires"] + spent / unit["cost"] * unit["gain"]).alias("hires"),
+            (total["hires"] + F.when(unit["cost"] > 0, spent / unit["cost"]).otherwise(unit["capacity"]) * unit["gain"]).alias("hires"),
         )
 
     zero = F.struct(F.lit(0.0).alias("spend"), F.lit(0.0).alias("hires"))
@@ -132,7 +134,8 @@ def greedy_plan(campaigns: DataFrame, program: DataFrame) -> DataFrame:
 
     def amount(unit: Column) -> Column:
         left = (budget - unit["spent_before"]).cast("double")
-        return F.least(unit["capacity"], F.greatest(F.lit(0.0), left / unit["cost"]))
+        return F.when(unit["cost"] == 0, unit["capacity"]).otherwise(
+            F.least(unit["capacity"], F.greatest(F.lit(0.0), left / unit["cost"])))
 
     return planned.withColumns({
         "solver_status": F.when(F.size("program.units") == 0, f"{INFEASIBLE}: no corridors").otherwise(OPTIMAL),
@@ -141,21 +144,22 @@ def greedy_plan(campaigns: DataFrame, program: DataFrame) -> DataFrame:
 
 
 def constrained_plan(
-    campaigns: DataFrame, program: DataFrame, region_floor: float = REGION_FLOOR_APPLICANTS
+    campaigns: DataFrame, program: DataFrame, region_floor: float | Column = REGION_FLOOR_APPLICANTS
 ) -> DataFrame:
     """Optimal applicants per corridor for every campaign, with the prices that prove them.
 
     Adds ``solver_status``, ``amounts`` (in unit order, all zero if infeasible), the prices
     ``budget_price`` and ``quota_price``, and ``dual_bound``, an upper limit on the hires of
-    any feasible allocation.
+    any feasible allocation. ``region_floor`` may be a column of the campaigns.
     """
+    floor = region_floor if isinstance(region_floor, Column) else F.lit(float(region_floor))
     # A few bytes per campaign but many tries: deal the rows out to all cores, since by size
     # alone adaptive execution would gather them into one task.
     spread = campaigns.repartition(campaigns.sparkSession.sparkContext.defaultParallelism)
     planned = with_program(spread, program).withColumns({
         "_budget": F.coalesce(F.col("total_budget_usd").cast("double"), F.lit(0.0)),
         "_quota": F.greatest(F.col("min_senior_hires").cast("double"), F.lit(0.0)),
-        "_floor": F.when(F.col("regional_diversity_min_pct") > 0, F.lit(float(region_floor))).otherwise(0.0),
+        "_floor": F.when(F.col("regional_diversity_min_pct") > 0, floor).otherwise(0.0),
     })
     ended = planned.withColumns({
         "_rich": _vertex(_direction(1.0, 0.0, 0.0)),
@@ -175,7 +179,8 @@ def constrained_plan(
     status = (
         F.when(F.col("_refused").isNotNull(), F.col("_refused"))
         .when(phase == OUT_OF_REACH, f"{INFEASIBLE}: senior quota out of reach")
-        .otherwise(OPTIMAL)
+        .when(phase == SOLVED, OPTIMAL)
+        .otherwise(F.raise_error(F.concat(F.lit("search not ended for campaign "), F.col("campaign_id"))))
     )
     # Share of ``less``: all of it where it meets the quota, else what hits the quota exactly.
     share = F.when(less["senior"] >= quota, F.lit(1.0)).otherwise(
@@ -569,3 +574,17 @@ def certificate(plan: DataFrame) -> DataFrame:
         F.greatest(F.col("min_senior_hires") - F.col("senior_hires"), F.lit(0.0)).alias("quota_shortfall"),
         F.col("smallest_region").alias("smallest_region_applicants"),
     )
+
+
+def plan_totals(plan: DataFrame) -> DataFrame:
+    """Unrounded totals of each campaign's plan; an infeasible campaign has zeros and says why."""
+    placed = F.zip_with("program.units", "amounts", lambda u, x: F.struct(
+        x.alias("x"), (x * u["cost"]).alias("spend"), (x * u["gain"]).alias("hires"), (x * u["senior_gain"]).alias("senior")))
+
+    def total(field: str) -> Column:
+        return F.aggregate(F.col("placed"), F.lit(0.0), lambda acc, p: acc + p[field])
+
+    return plan.withColumn("placed", placed).select(
+        "campaign_id", "solver_status", F.size(F.filter("amounts", lambda x: x > 0)).cast("bigint").alias("funded_corridors"),
+        total("x").alias("applicants"), total("spend").alias("spend_usd"), total("hires").alias("hires"),
+        total("senior").alias("senior_hires"))

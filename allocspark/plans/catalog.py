@@ -209,7 +209,27 @@ def constrained_tradeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def allocation_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = allocation.constrained_plan(fixtures.campaign_master(spark, sf_dir), _program(spark, sf_dir))
-    return delivered(allocation.certificate(plan))
+    return _rounded(allocation.certificate(plan), budget_price=9, quota_price=9, relative_gap=9)
+
+
+def _rounded(df: DataFrame, default: int = 6, **places: int) -> DataFrame:
+    """Doubles of a search as rounded numbers, without a negative zero."""
+    return df.select(*[
+        (F.round(f.name, places.get(f.name, default)) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        for f in df.schema])
+
+
+def strained_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans where campaigns lack a budget, can't pay or hold their floors, or ask for many seniors."""
+    case = F.col("campaign_id") % 7
+    budget = F.col("total_budget_usd").cast("double")
+    strained = fixtures.campaign_master(spark, sf_dir).withColumns({
+        "total_budget_usd": F.when(case == 2, budget / 100).when(case != 1, budget),
+        "min_senior_hires": F.when(case == 3, 100_000).when(case == 5, 150).when(case == 6, 220).otherwise(F.col("min_senior_hires")),
+        "regional_diversity_min_pct": F.when(case.isin(2, 4), 0.15).otherwise(F.col("regional_diversity_min_pct").cast("double")),
+    })
+    plan = allocation.constrained_plan(strained, _program(spark, sf_dir), F.when(case == 4, 1e6).otherwise(50.0))
+    return _rounded(allocation.plan_totals(plan), applicants=4, spend_usd=4)
 
 
 # ---------------------------------------------------------------- anomalies and alarms
@@ -329,7 +349,7 @@ QUERIES: dict[str, Query] = {
         naive_allocation, greedy_allocation, greedy_results, greedy_tradeoff, allocation_rollup,
         allocation_measures, allocation_totals, allocation_schedule, executive_variance, kpi_cards,
         constrained_allocation, constrained_results, constrained_tradeoff, allocation_certificate,
-        anomaly_detect, anomaly_stream, cost_surge_alarm, cost_surge_alarm_stream,
+        strained_allocation, anomaly_detect, anomaly_stream, cost_surge_alarm, cost_surge_alarm_stream,
         dq_rules, dq_quarantine, dq_duplicates, dq_missing_references, dq_profile,
     )
 }

@@ -361,6 +361,88 @@ def _cohorts() -> dict[str, str]:
     }
 
 
+def _linear_optimum(asked: str, eps: str = "1e-9") -> dict[str, str]:
+    """Common table expressions up to ``amounts`` of the constrained optimum, by enumeration.
+
+    With a price l of the budget and a price m of the quota, the dual is convex and linear between the
+    lines on which a corridor pays exactly nothing or two corridors of a region tie. Its minimum lies on
+    a crossing of two such lines or axes, and these are the same for all campaigns: every campaign takes
+    the crossing of the least bound. The plans that are best just beside that crossing are its corners;
+    mixed so that budget and quota are met, they are the optimum. ``asked`` gives each campaign's
+    budget b, quota q and floor f.
+    """
+    seniors = ", ".join(map(repr, schemas.SENIOR_LEVELS))
+    fill = "case when p > 0 then k else least(k, greatest(0.0, f - before)) end"
+    return {
+        "u": f"""select row_number() over (order by {O3}) as i, {O3}, dcost as c, gain as g,
+  case when seniority in ({seniors}) then gain else 0.0 end as s, cast(cap as double) as k from units""",
+        "asked": asked,
+        "levels": "select distinct f from asked",
+        # What the floors cost, and whether the regions can hold them.
+        "cheapest": """select f, sum(x * c) as spend, bool_and(room) as room from (
+    select f, c, least(k, greatest(0.0, f - sum(k) over (partition by f, region order by c, i) + k)) as x,
+      sum(k) over (partition by f, region) >= f as room from u cross join levels) group by f""",
+        # The most senior hires: the same dual with one price, of the budget.
+        "stops": """select row_number() over () as id, l from (select distinct l from (
+    select s / c as l from u union all select 0.0
+    union all select (x.s - y.s) / (x.c - y.c) from u x join u y on x.region = y.region and x.i < y.i and x.c <> y.c) where l >= 0)""",
+        "senior_fill": """select id, f, k, p, sum(k) over (partition by id, f, region order by p desc, i) - k as before
+    from (select id, l, f, region, i, k, s - l * c as p from stops cross join levels cross join u)""",
+        "senior_worth": f"select id, f, sum(p * {fill}) as v from senior_fill group by id, f",
+        "reach": """select campaign_id, min(l * b + v) as most from asked join senior_worth using (f) join stops using (id) group by campaign_id""",
+        "judged": """select asked.*, case when b is null then 'SOLVER_INFEASIBLE: no budget given'
+    when not room then 'SOLVER_INFEASIBLE: region capacity below its floor'
+    when cheapest.spend > b then 'SOLVER_INFEASIBLE: region floors exceed the budget'
+    when most < q * (1 - 1e-9) then 'SOLVER_INFEASIBLE: senior quota out of reach'
+    else 'OPTIMAL_CONVERGENCE' end as solver_status
+    from asked join cheapest using (f) left join reach using (campaign_id)""",
+        # Lines a l + b m = c, and where two of them cross.
+        "breaks": """select row_number() over () as id, * from (
+    select c as a, -s as b, g as c from u
+    union all select x.c - y.c, y.s - x.s, x.g - y.g from u x join u y on x.region = y.region and x.i < y.i
+    union all values (1.0, 0.0, 0.0), (0.0, 1.0, 0.0))""",
+        "crossings": """select row_number() over () as id, l, m from (select distinct l + 0.0 as l, m + 0.0 as m from (
+    select (x.c * y.b - y.c * x.b) / (x.a * y.b - y.a * x.b) as l, (x.a * y.c - y.a * x.c) / (x.a * y.b - y.a * x.b) as m
+    from breaks x join breaks y on x.id < y.id and x.a * y.b - y.a * x.b <> 0) where l >= 0 and m between 0 and 1e6)""",
+        "fills": """select id, f, k, p, sum(k) over (partition by id, f, region order by p desc, i) - k as before
+    from (select id, f, region, i, k, g + m * s - l * c as p from crossings cross join levels cross join u)""",
+        "worth": f"select id, f, sum(p * {fill}) as v from fills group by id, f",
+        "priced": """select campaign_id, min(d) as bound, arg_min(l, d) as l, arg_min(m, d) as m from (
+    select campaign_id, l, m, l * b - m * q + v as d from judged join worth using (f) join crossings using (id)
+    where solver_status = 'OPTIMAL_CONVERGENCE' and (q > 0 or m = 0)) group by campaign_id""",
+        # Steps beside the crossing: none without a price, two along one price, all around for two.
+        "steps": f"""select campaign_id, f, b, q, l, m, step, l * {eps} * cos((step + 0.37) * pi() / 24) as dl,
+    case when m > 0 then (1 + m) * {eps} * sin((step + 0.37) * pi() / 24) else 0.0 end as dm
+    from priced join judged using (campaign_id) cross join range(48) t(step)
+    where m > 0 or step = 0 or (l > 0 and step = 24)""",
+        "beside": """select *, sum(k) over (partition by campaign_id, step, region order by p desc, i) - k as before from (
+    select campaign_id, f, step, u.*, g + (m + dm) * s - (l + dl) * c as p from steps cross join u)""",
+        "corners": f"select campaign_id, step, i, c, s, {fill} as x from beside",
+        "points": """select campaign_id, min(step) as step, spend, senior from (
+    select campaign_id, step, round(sum(x * c), 6) as spend, round(sum(x * s), 9) as senior from corners group by all)
+    group by campaign_id, spend, senior""",
+        # Shares of corners: one, two for the budget, or three for budget and quota.
+        "triples": """select x.campaign_id, [x.step, y.step, z.step] as steps,
+    [((y.spend - b) * (z.senior - q) - (z.spend - b) * (y.senior - q)) / area,
+     ((z.spend - b) * (x.senior - q) - (x.spend - b) * (z.senior - q)) / area,
+     ((x.spend - b) * (y.senior - q) - (y.spend - b) * (x.senior - q)) / area] as shares
+    from points x join points y on x.campaign_id = y.campaign_id and x.step < y.step
+    join points z on x.campaign_id = z.campaign_id and y.step < z.step join priced on priced.campaign_id = x.campaign_id
+    join judged on judged.campaign_id = x.campaign_id
+    cross join lateral (select (y.spend - x.spend) * (z.senior - x.senior) - (z.spend - x.spend) * (y.senior - x.senior) as area)
+    where m > 0 and area <> 0""",
+        "shares": """select campaign_id, unnest(steps) as step, unnest(shares) as share from (
+    select campaign_id, arg_max(steps, list_min(shares)) as steps, arg_max(shares, list_min(shares)) as shares from triples group by campaign_id)
+    union all select x.campaign_id, x.step, case when y.step is null or y.spend = x.spend then if(y.step is null or x.step = 0, 1.0, 0.0)
+      else (b - y.spend) / (x.spend - y.spend) end
+    from points x join priced on priced.campaign_id = x.campaign_id and m = 0 join judged on judged.campaign_id = x.campaign_id
+    left join points y on y.campaign_id = x.campaign_id and y.step <> x.step""",
+        "exact": "select campaign_id, i, sum(share * x) as x from corners join shares using (campaign_id, step) group by campaign_id, i",
+        "placed": """select judged.campaign_id, solver_status, b, q, u.*, coalesce(x, 0.0) as x
+    from judged cross join u left join exact on exact.campaign_id = judged.campaign_id and exact.i = u.i""",
+    }
+
+
 def _allocations() -> dict[str, str]:
     ctes = METRICS | {
         "program": """select c.campaign_id, c.client_name, c.total_budget_usd as budget, c.target_hires, c.max_cph_target_usd, u.*,
@@ -372,13 +454,13 @@ def _allocations() -> dict[str, str]:
   case when hires > 0 then {_r('spend / hires', 2)} else 0 end as naive_cph from naive_sums""",
         "filled": f"""select *, coalesce(sum(cost * cap) over (partition by campaign_id order by gain / dcost desc, {O3}
     rows between unbounded preceding and 1 preceding), 0) as before from program""",
-        "amounts": """select *, cast(round_even(least(cast(cap as double),
+        "amounts": """select *, 'OPTIMAL_CONVERGENCE' as solver_status, cast(round_even(least(cast(cap as double),
     greatest(0.0, cast(budget - before as double) / dcost)), 0) as int) as n from filled""",
         "all_lines": f"""select *, cast(n * cost as decimal(18,2)) as line_spend, {_even('n * yld', 2)} as line_hires from amounts""",
         "lines": "select * from all_lines where n > 0",
         "results": """select campaign_id, client_name, max(budget) as budget, sum(line_spend) as spend, sum(line_hires) as hires,
   coalesce(sum(line_hires) filter (where seniority in (SENIORS)), 0) as senior,
-  sum(n) as applicants, max(target_hires) as target_hires, max(max_cph_target_usd) as cph_target
+  sum(n) as applicants, max(target_hires) as target_hires, max(max_cph_target_usd) as cph_target, max(solver_status) as solver_status
   from all_lines group by campaign_id, client_name""".replace("SENIORS", ", ".join(map(repr, schemas.SENIOR_LEVELS))),
         "result": f"""select *, case when hires > 0 then {_r(_div('spend', 'hires'), 2)} else 0 end as cph,
   least({_r(_div('spend * 100', 'budget'), 2)}, 100) as used,
@@ -393,6 +475,45 @@ def _allocations() -> dict[str, str]:
     def text(expression: str, places: int) -> str:
         return f"cast(cast({_r(expression, places)} as decimal(28,{places})) as varchar)"
 
+    lines = f"""select campaign_id, solver_status, {O3},
+  dcost as unit_cost_usd, gain as unit_yield, cap as unit_capacity, n as allocated_applicants,
+  {_f('line_spend')} as allocated_budget_usd, {_f('line_hires')} as expected_hires, {line_cph} as effective_cost_per_hire_usd from lines"""
+    results = f"""select campaign_id, client_name, solver_status,
+  {_f('budget')} as total_budget_usd, {_f('spend')} as total_budget_allocated_usd, {_f('hires')} as total_projected_hires,
+  cast(applicants as bigint) as total_allocated_applicants, {_f('senior')} as senior_hires, {_f('used')} as budget_utilization_pct,
+  {_f('cph')} as blended_cost_per_hire_usd, {_f('naive_hires')} as naive_heuristic_hires, {_f('naive_spend')} as naive_spend_usd,
+  {_f('naive_cph')} as naive_cost_per_hire_usd, {_f('gain_pct')} as efficiency_gain_pct,
+  {_f('greatest(spend - budget, 0)')} as overspend_usd, hires >= target_hires as meets_min_hires,
+  hires > 0 and {_div('spend', 'hires')} <= cast(cph_target as double) as meets_cph_target from result"""
+    verdict = f"""select campaign_id, client_name, {_f('budget')} as total_budget_usd,
+  {_f('naive_hires')} as naive_heuristic_hires, {_f('naive_cph')} as naive_cost_per_hire_usd, {_f('hires')} as optimal_linear_hires,
+  {_f('cph')} as optimal_cost_per_hire_usd, {_d('hires - naive_hires', 2)} as hires_volume_gain, {_f('gain_pct')} as efficiency_gain_pct,
+  {_d(saved, 2)} as cost_per_hire_reduction_usd,
+  {_d(f'case when naive_cph > 0 then {saved_pct} else 0 end', 2)} as cost_per_hire_savings_pct,
+  concat('Optimal allocation changes hires by ', {text('gain_pct', 1)}, '% and lowers cost per hire by ',
+    {text(f'case when naive_cph > 0 then {saved_pct} else 0 end', 1)}, '% ($', {text(saved, 2)}, ' per hire) under the same budget.')
+    as conclusion from result"""
+    params = "select campaign_id, {0} as b, cast({1} as double) as q, {2} as f from campaign_master"
+    floor = "case when regional_diversity_min_pct > 0 then 50.0 else 0.0 end"
+    linear = METRICS | _linear_optimum(params.format("cast(total_budget_usd as double)", "min_senior_hires", floor))
+    chosen = """select program.*, solver_status, cast(round_even(x, 0) as int) as n
+  from program join placed using (campaign_id, channel, region, seniority)"""
+    optimal = linear | {k: chosen if k == "amounts" else v for k, v in ctes.items() if k != "filled"}
+    certificate = """select campaign_id, solver_status, round(hires, 6) + 0.0 as hires, round(bound, 6) + 0.0 as dual_bound,
+  round(l, 9) + 0.0 as budget_price, round(m, 9) + 0.0 as quota_price, round((bound - hires) / greatest(1.0, abs(bound)), 9) + 0.0 as relative_gap,
+  round(greatest(spend - b, 0.0), 6) as budget_excess, round(greatest(q - senior, 0.0), 6) as quota_shortfall, round(smallest, 6) as smallest_region_applicants
+  from (select campaign_id, solver_status, b, q, sum(x * g) as hires, sum(x * c) as spend, sum(x * s) as senior from placed group by all)
+  join (select campaign_id, min(x) as smallest from (select campaign_id, region, sum(x) as x from placed group by all) group by 1) using (campaign_id)
+  left join priced using (campaign_id)"""
+    # The campaigns as they are, without budget, with a hundredth of it, and with more seniors or applicants asked for.
+    strained = METRICS | _linear_optimum(params.format(
+        "case campaign_id % 7 when 1 then null when 2 then cast(total_budget_usd as double) / 100 else cast(total_budget_usd as double) end",
+        "case campaign_id % 7 when 3 then 100000 when 5 then 150 when 6 then 220 else min_senior_hires end",
+        "case campaign_id % 7 when 2 then 50.0 when 4 then 1000000.0 else " + floor + " end"))
+    outcome = """select campaign_id, solver_status, count(*) filter (where x > 0) as funded_corridors, round(sum(x), 4) + 0.0 as applicants,
+  round(sum(x * c), 4) + 0.0 as spend_usd, round(sum(x * g), 6) + 0.0 as hires, round(sum(x * s), 6) + 0.0 as senior_hires
+  from placed group by campaign_id, solver_status"""
+
     shares = """select campaign_id, dimension, member, sum(line_spend) as spend, sum(line_hires) as hires from (
   select campaign_id, 'channel' as dimension, channel as member, line_spend, line_hires from lines union all
   select campaign_id, 'region', region, line_spend, line_hires from lines union all
@@ -409,24 +530,10 @@ def _allocations() -> dict[str, str]:
     return {
         "naive_allocation": _with(over, {k: ctes[k] for k in ("metrics", "units", "program", "naive_sums", "naive")}, f"""select campaign_id,
   {_f('naive_hires')} as naive_heuristic_hires, {_f('naive_spend')} as naive_spend_usd, {_f('naive_cph')} as naive_cost_per_hire_usd from naive"""),
-        "greedy_allocation": _with(over, ctes, f"""select campaign_id, 'OPTIMAL_CONVERGENCE' as solver_status, {O3},
-  dcost as unit_cost_usd, gain as unit_yield, cap as unit_capacity, n as allocated_applicants,
-  {_f('line_spend')} as allocated_budget_usd, {_f('line_hires')} as expected_hires, {line_cph} as effective_cost_per_hire_usd from lines"""),
-        "greedy_results": _with(over, ctes, f"""select campaign_id, client_name, 'OPTIMAL_CONVERGENCE' as solver_status,
-  {_f('budget')} as total_budget_usd, {_f('spend')} as total_budget_allocated_usd, {_f('hires')} as total_projected_hires,
-  cast(applicants as bigint) as total_allocated_applicants, {_f('senior')} as senior_hires, {_f('used')} as budget_utilization_pct,
-  {_f('cph')} as blended_cost_per_hire_usd, {_f('naive_hires')} as naive_heuristic_hires, {_f('naive_spend')} as naive_spend_usd,
-  {_f('naive_cph')} as naive_cost_per_hire_usd, {_f('gain_pct')} as efficiency_gain_pct,
-  {_f('greatest(spend - budget, 0)')} as overspend_usd, hires >= target_hires as meets_min_hires,
-  hires > 0 and {_div('spend', 'hires')} <= cast(cph_target as double) as meets_cph_target from result"""),
-        "greedy_tradeoff": _with(over, ctes, f"""select campaign_id, client_name, {_f('budget')} as total_budget_usd,
-  {_f('naive_hires')} as naive_heuristic_hires, {_f('naive_cph')} as naive_cost_per_hire_usd, {_f('hires')} as optimal_linear_hires,
-  {_f('cph')} as optimal_cost_per_hire_usd, {_d('hires - naive_hires', 2)} as hires_volume_gain, {_f('gain_pct')} as efficiency_gain_pct,
-  {_d(saved, 2)} as cost_per_hire_reduction_usd,
-  {_d(f'case when naive_cph > 0 then {saved_pct} else 0 end', 2)} as cost_per_hire_savings_pct,
-  concat('Optimal allocation changes hires by ', {text('gain_pct', 1)}, '% and lowers cost per hire by ',
-    {text(f'case when naive_cph > 0 then {saved_pct} else 0 end', 1)}, '% ($', {text(saved, 2)}, ' per hire) under the same budget.')
-    as conclusion from result"""),
+        "greedy_allocation": _with(over, ctes, lines), "greedy_results": _with(over, ctes, results), "greedy_tradeoff": _with(over, ctes, verdict),
+        "constrained_allocation": _with(over, optimal, lines), "constrained_results": _with(over, optimal, results),
+        "constrained_tradeoff": _with(over, optimal, verdict),
+        "allocation_certificate": _with(over, linear, certificate), "strained_allocation": _with(over, strained, outcome),
         "allocation_rollup": _with(over, ctes | {"shares": shares}, f"""select campaign_id, dimension, member, {_f('spend')} as budget_usd,
   {_d(_div('spend', f'greatest(sum(spend) {whole}, 1)'), 6)} as budget_share, {_f('hires')} as hires,
   {_d(_div('hires', f'greatest(sum(hires) {whole}, 1)'), 6)} as hires_share,
@@ -520,5 +627,5 @@ def _quality() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Statement per query; the constrained allocation has none, its proof is its dual bound."""
+    """Statement per query."""
     return {**_corridors(), **_windows(), **_matrices(), **_paths(), **_cohorts(), **_allocations(), **_streams(), **_quality()}
