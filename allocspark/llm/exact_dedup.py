@@ -12,7 +12,7 @@ shuffle; the result never depends on it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from allocspark.llm.common import free_name, replace_columns, text_or_empty
 
@@ -52,13 +52,14 @@ def _bit(bits: Column, slot: Column) -> Column:
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                filter_bits: int = FILTER_BITS) -> DataFrame:
+                filter_bits: int = FILTER_BITS, one_row: bool = False) -> DataFrame:
     """Every row of ``df`` with keep_id, group_size, kept and text_sha256.
 
     Texts are equal when they are after deleting white space; null counts as empty. Of equal texts
     the row with the most code points stays, then the smallest id; null ids come last. Rows that
-    repeat an id and a text count in group_size and share one decision. Input columns named like a
-    result column are replaced; an empty table gives an empty result.
+    repeat an id and a text count in group_size and share one decision, unless ``one_row`` asks for one
+    row only (the one with the smallest hash of the whole row; of equal rows any). Input columns named
+    like a result column are replaced; an empty table gives an empty result.
     """
     if filter_bits & (filter_bits - 1) or not BITMAP_BITS <= filter_bits <= 1 << 32:
         raise ValueError("filter_bits has to be a power of two from 32768 to 2**32")
@@ -74,19 +75,35 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lit(True).alias("kept"), digest.alias("text_sha256"))
 
     suspects = tested.where(F.col(flag)).select(*columns, digest.alias("text_sha256"))
-    order = F.struct((-F.length(text_or_empty(text_col))).alias("size"), F.col(f"`{id_col}`").isNull().alias("unknown"),
-                     F.col(f"`{id_col}`").alias("id"))
+    parts = [(-F.length(text_or_empty(text_col))).alias("size"), F.col(f"`{id_col}`").isNull().alias("unknown"), F.col(f"`{id_col}`").alias("id")]
+    if one_row:
+        parts.append(F.xxhash64(*columns).alias("row"))
+    order = F.struct(*parts)
+    key, copies = free_name(suspects, "_digest"), free_name(suspects, "_copies")
     # Only the order key travels to the groups, not the text.
-    groups = (suspects.select("text_sha256", order.alias("order"))
-              .groupBy("text_sha256").agg(F.min("order").alias("best"), F.count("*").alias("group_size")))
+    ordered = suspects.select("text_sha256", order.alias("order"))
+    if one_row:
+        ordered = ordered.groupBy("text_sha256", "order").agg(F.count("*").alias("n"))
+        groups = ordered.groupBy("text_sha256").agg(
+            F.min("order").alias("best"), F.sum("n").alias("group_size"), F.min_by("n", "order").alias(copies))
+    else:
+        groups = ordered.groupBy("text_sha256").agg(
+            F.min("order").alias("best"), F.count("*").alias("group_size"), F.lit(1).cast("long").alias(copies))
     # Joined by the digest's bytes, so that the groups are dealt out anew: then both sides are plain
     # shuffles, and Spark can split a partition that a very large group of copies fills.
-    key = free_name(suspects, "_digest")
-    groups = groups.select(F.unhex("text_sha256").alias(key), "best", "group_size")
+    groups = groups.select(F.unhex("text_sha256").alias(key), "best", "group_size", copies)
+    kept = F.col("best.id").eqNullSafe(F.col(f"`{id_col}`"))
+    if one_row:
+        kept = kept & (F.col("best.size") == parts[0]) & (F.col("best.row") == parts[3])
     settled = suspects.withColumn(key, F.unhex("text_sha256")).join(groups, key, "left").select(
-        *columns, F.col("best.id").alias("keep_id"), "group_size",
-        F.col("best.id").eqNullSafe(F.col(f"`{id_col}`")).alias("kept"), "text_sha256")
-    return passed.unionByName(settled)
+        *columns, F.col("best.id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256", copies)
+    if one_row:
+        # Only rows that the best one repeats in every column are told apart by a place.
+        place = free_name(settled, "_place")
+        same = F.col("kept") & (F.col(copies) > 1)
+        numbered = settled.where(same).withColumn(place, F.row_number().over(Window.partitionBy("text_sha256").orderBy(copies)))
+        settled = settled.where(~same).unionByName(numbered.withColumn("kept", F.col(place) == 1).drop(place))
+    return passed.unionByName(settled.drop(copies))
 
 
 def _with_flag(rows: DataFrame, text_col: str, filter_bits: int, normal: str, flag: str) -> DataFrame:

@@ -5,7 +5,8 @@ line has a ratio of text to tags, which is zero inside elements that are never m
 forms, adverts, notices, comments, ...). Where a page has article or main elements, lines outside
 them weigh half. The ratios are smoothed with a Gaussian over the lines, and two-means clustering of
 the smoothed ratios gives the threshold. Lines above it select content regions: the article or
-container that they lie in, with all its short lines, and the headings and short blocks beside it.
+container that they lie in, with all its short lines. A headline and a byline in elements of their own
+right before a region belong to it; nothing behind it does.
 """
 
 from __future__ import annotations
@@ -42,38 +43,59 @@ COMMENT_HINTS = frozenset("comment comments respond replies reply disqus discuss
 #: An open element of the first kind ends where one of the second begins.
 CLOSED_BY = {
     "p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
-    "th": {"td", "th", "tr"}, "option": {"option"},
+    "th": {"td", "th", "tr"},
 }
 #: Weight of lines outside article and main elements on pages that have some.
 OUTSIDE = 0.5
-#: So many blocks on each side of a region, of so many code points at most, belong to it.
-BESIDE, SHORT = 4, 200
+#: On a page with articles of which no line is chosen, a container beside them is the story if it has so
+#: many chosen lines, and so many times the text of the articles.
+STORY_LINES, STORY_SHARE = 3, 4
+BYLINE_HINTS = frozenset("byline author authors dateline".split())
+#: Words that a byline begins with.
+_BYLINE = re.compile(r"(?:by|von|par|por|de)\s+\w", re.I)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KERNEL = [math.exp(-(d * d) / 2) for d in range(-2, 3)]
 _WORD = re.compile(r"[a-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects ``lines``: (text, tags, dropped, container, article, heading, share of linked text)."""
+    """Collects ``lines``: (text, tags, dropped, container, article, heading, byline).
+
+    Every tag costs the same however deep the page is: places of open elements are kept by tag.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int, int, bool, float]] = []
+        self.lines: list[tuple[str, int, bool, int, int, bool, bool]] = []
         self.language = None
-        # Open elements: (tag, dropped, container, article, heading, link), all but the first as they hold inside.
+        # Open elements: (tag, dropped, container, article, heading, byline), all but the first as they hold inside.
         self.stack: list[tuple[str, bool, int, int, bool, bool]] = [("", False, 0, 0, False, False)]
+        self.places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
+        self.blocks = [0]  # places of those that aren't inline
         self.text: list[str] = []
-        self.linked = 0
         self.tags = 0
         self.made = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, dropped, container, article, heading, _ = self.stack[-1]
-            self.lines.append((text, max(1, self.tags), dropped, container, article, heading, self.linked / len(text)))
+            _, dropped, container, article, heading, byline = self.stack[-1]
+            self.lines.append((text, max(1, self.tags), dropped, container, article, heading, byline or bool(_BYLINE.match(text))))
             self.tags = 0
-        self.text, self.linked = [], 0
+        self.text = []
+
+    def _open(self, tag: str, *holds) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, *holds))
+
+    def _close_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            tag = self.stack.pop()[0]
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
 
     def handle_starttag(self, tag, attrs):
         if tag == "html" and self.language is None:
@@ -82,64 +104,56 @@ class _Lines(HTMLParser):
         if tag in INLINE:
             if tag == "br":
                 self.text.append(" ")
-            if tag in VOID:
-                return
-            dropped = self.stack[-1][1] or _is_dropped(tag, attrs, self.stack[-1][3])
-            self.stack.append((tag, dropped, *self.stack[-1][2:5], tag == "a" or self.stack[-1][5]))
+            if tag not in VOID:
+                _, dropped, container, article, heading, byline = self.stack[-1]
+                self._open(tag, dropped or _is_dropped(tag, attrs, article), container, article, heading, byline)
             return
         self.flush()
         if tag in VOID:
             return
-        self._close_implied(tag)
-        _, dropped, container, article, heading, link = self.stack[-1]
+        # An open p, li, ... ends where a block begins that cannot stand in it.
+        enders = CLOSED_BY.get(self.stack[self.blocks[-1]][0], ())
+        if enders is None or tag in enders:
+            self._close_to(self.blocks[-1])
+        _, dropped, container, article, heading, byline = self.stack[-1]
         dropped = dropped or _is_dropped(tag, attrs, article)
         if tag in ("article", "main", "section", "div", "body", "td", "table"):
             self.made += 1
             container = self.made
         if tag in ("article", "main") and not article:
             article = self.made
-        self.stack.append((tag, dropped, container, article, heading or tag in HEADINGS, link))
+        self._open(tag, dropped, container, article, heading or tag in HEADINGS, byline or tag == "address" or bool(_words(attrs) & BYLINE_HINTS))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
             self.handle_endtag(tag)
 
-    def _close_implied(self, tag: str) -> None:
-        """Ends an open p, li, ... at the start of a block that cannot stand in it."""
-        for place in range(len(self.stack) - 1, 0, -1):
-            name = self.stack[place][0]
-            if name in CLOSED_BY:
-                enders = CLOSED_BY[name]
-                if enders is None or tag in enders:
-                    del self.stack[place:]
-                return
-            if name not in INLINE:
-                return
-
     def handle_endtag(self, tag):
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
-        for place in range(len(self.stack) - 1, 0, -1):
-            if self.stack[place][0] == tag:
-                if tag not in INLINE:
-                    self.flush()
-                del self.stack[place:]
-                return
-            if tag in INLINE and self.stack[place][0] not in INLINE:
-                return  # an inline end tag does not reach out of its block
         if tag not in INLINE:
             self.flush()
+        open_at = self.places.get(tag)
+        # An inline end tag does not reach out of its block.
+        if open_at and (tag not in INLINE or open_at[-1] > self.blocks[-1]):
+            self._close_to(open_at[-1])
 
     def handle_data(self, data):
-        if self.stack[-1][1] and not next(x[1] for x in reversed(self.stack) if x[0] not in INLINE):
+        if self.stack[-1][1] and not self.stack[self.blocks[-1]][1]:
             return  # a dropped inline element, as a script or a marked advert, in a block that stays
-        if self.stack[-1][5]:
-            self.linked += len(data)
         self.text.append(data)
 
 
+def _words(attrs) -> set[str]:
+    """Words of the class and id."""
+    if not attrs:
+        return set()
+    values = dict(attrs)
+    return set(_WORD.findall(f"{values.get('class') or ''} {values.get('id') or ''}".lower()))
+
+
 def _is_dropped(tag: str, attrs, article: int) -> bool:
     if tag in DROPPED or (tag == "header" and not article):
         return True
@@ -150,7 +164,7 @@ def _is_dropped(tag: str, attrs, article: int) -> bool:
         return True
     if "none" in (values.get("style") or "").replace(" ", "").partition("display:")[2][:4]:
         return True
-    words = set(_WORD.findall(f"{values.get('class') or ''} {values.get('id') or ''}".lower()))
+    words = _words(attrs)
     if tag in ("html", "body", "main", "article"):
         return bool(words & COMMENT_HINTS) and tag != "body" and tag != "html"
     return bool(words & HINTS) and (bool(words & COMMENT_HINTS) or not words & CONTENT_HINTS)
@@ -203,33 +217,49 @@ def main_text(html: str | None) -> tuple[str, str | None]:
     chosen = [i for i, line in enumerate(lines) if not line[2] and ratios[i] >= border]
     if not chosen:
         chosen = [max((i for i, line in enumerate(lines) if not line[2]), key=lambda i: ratios[i])]
-    return "\n".join(lines[i][0] for i in sorted(_region(lines, chosen, marked))), parser.language
+    inside = _region(lines, chosen, marked, ratios)
+    return "\n".join(lines[i][0] for i in sorted(inside | _heads(lines, inside))), parser.language
 
 
-def _region(lines: list[tuple], chosen: list[int], marked: bool) -> set[int]:
-    """Places of the lines in the articles and containers of the chosen ones, and beside them; between
-    the chosen lines of a page without articles all stay that are not dropped."""
+def _region(lines: list[tuple], chosen: list[int], marked: bool, ratios: list[float]) -> set[int]:
+    """Places of the undropped lines of the region that the chosen ones select.
+
+    With articles: those that hold chosen lines. If none does, the container of the chosen lines if
+    it looks like a story beside a teaser, else the article with the highest ratio. Without articles:
+    the chosen lines' containers and what stands between.
+    """
+    if not marked:
+        containers = {lines[i][3] for i in chosen}
+        return {i for i, line in enumerate(lines) if not line[2] and (line[3] in containers or chosen[0] <= i <= chosen[-1])}
     articles = {lines[i][4] for i in chosen if lines[i][4]}
-    containers = {lines[i][3] for i in chosen if not lines[i][4]}
-    inside = {i for i, line in enumerate(lines) if not line[2] and (
-        line[4] in articles if line[4] else line[3] in containers or not marked and chosen[0] <= i <= chosen[-1])}
-    beside = set()
-    for place in inside:
-        for step in (-1, 1):
-            for i in range(place + step, place + step * (BESIDE + 1), step):
-                if i in inside or not 0 <= i < len(lines) or not _belongs(lines[i], step):
-                    break
-                beside.add(i)
-    return inside | beside
-
-
-def _belongs(line: tuple, step: int) -> bool:
-    """Whether a line before (step -1) or after a region is a heading or short block of it; a heading
-    after it begins something else."""
-    text, _, dropped, _, article, heading, linked = line
-    if dropped or article or heading and step > 0:
-        return False
-    return heading or len(text) <= SHORT and linked <= 0.5
+    if not articles:
+        kept, told = {}, 0
+        for text, _, dropped, _, article, *_ in lines:
+            told += len(text) if article and not dropped else 0
+        for i in chosen:
+            kept.setdefault(lines[i][3], []).append(i)
+        stories = {c for c, places in kept.items() if len(places) >= STORY_LINES
+                   and sum(len(lines[i][0]) for i in places) >= STORY_SHARE * told}
+        if stories:
+            return {i for i, line in enumerate(lines) if not line[2] and line[3] in stories}
+        articles = {lines[max((i for i, line in enumerate(lines) if line[4] and not line[2]), key=lambda i: ratios[i])][4]}
+    return {i for i, line in enumerate(lines) if not line[2] and line[4] in articles}
+
+
+def _heads(lines: list[tuple], inside: set[int]) -> set[int]:
+    """Places of a headline and bylines right before a region that doesn't begin with a headline itself."""
+    found: set[int] = set()
+    for first in inside:
+        if first - 1 in inside or lines[first][5]:
+            continue
+        before, at = [], first - 1
+        while at >= 0 and at not in inside and not lines[at][2] and not lines[at][4] and (lines[at][5] or lines[at][6]):
+            before.append(at)
+            if lines[at][5]:
+                found.update(before)
+                break
+            at -= 1
+    return found
 
 
 def extract_main_text(df: DataFrame, html_col: str = "html") -> DataFrame:
@@ -237,7 +267,8 @@ def extract_main_text(df: DataFrame, html_col: str = "html") -> DataFrame:
 
     A null, empty or text-free page gives an empty text; declared_lang is the ``lang`` of the html
     element, null where it has none. Markup that is cut off or not closed is read as far as it
-    goes. Input columns named like a result column are replaced.
+    goes, in time linear in the page. Rows are independent, so repeated rows are alike and an empty table
+    stays empty. Input columns named like a result column are replaced.
     """
     kept = replace_columns(df, ["text", "n_chars", "declared_lang", html_col])
     rows = df.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(f"`{html_col}`").cast("string").alias("html"))

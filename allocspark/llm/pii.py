@@ -10,6 +10,7 @@ and rows are independent, so nothing shuffles.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import functools
 import hashlib
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from allocspark.llm.common import replace_columns, schema_with
 
-#: Used where no key is given, for tests and trials; a production run passes its own secret.
+#: For tests and trials; a production run passes its own secret.
 TRIAL_KEY = b"format-preserving pseudonyms"
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -235,7 +236,7 @@ KINDS: dict[str, tuple[str, Callable[[Cipher, str], str | None]]] = {
                r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.-]{6,})", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     "ipv4": (r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)", _ipv4),
-    "date": (r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\w/-]|\.\d)", _date),
+    "date": (r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{4}\.\d{2}\.\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\w/-]|\.\d)", _date),
     "ssn": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     "phone": (r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)", _phone),
     "card": (r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|-(?!\d{1,4}(?![\w-]))|\.\d)", _card),
@@ -282,17 +283,19 @@ def _is_card(text: str) -> bool:
     return all(len(group) > 2 for group in re.split("[ -]", text)[:-1]) or bool(_NETWORKS.fullmatch(re.sub(r"\D", "", text)))
 
 
-def _find(cipher: Cipher, kind: str, text: str, found: list[tuple[int, int, str, str]]) -> None:
-    """Adds (start, end, kind, pseudonym) of the kind's values that overlap with none found before."""
+def _find(cipher: Cipher, kind: str, text: str, taken: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, pseudonym) of the kind's values, in order, that overlap with none in ``taken``,
+    which is in order and without overlaps. Each value begins behind the one before."""
     pattern, inner = _PATTERNS[kind], _PARTS.get(kind)
-    match, tried = pattern.search(text), 0
+    match, tried, found = pattern.search(text), 0, []
     while match:
         start, last = match.span()
         at = None
         for end in _spans(kind, text, match):
             if kind == "card" and (start < tried or end < last) and not _is_card(text[start:end]):
                 continue
-            if any(a < end and start < b for a, b, _, _ in found):
+            place = bisect.bisect_left(taken, (end,))  # the last that begins before ``end`` ends last
+            if place and taken[place - 1][1] > start:
                 continue
             fresh = cipher.replace(kind, text[start:end])
             if fresh is not None:
@@ -308,6 +311,7 @@ def _find(cipher: Cipher, kind: str, text: str, found: list[tuple[int, int, str,
         next(groups)
         at = next((group.start() for group in groups), last)
         match = (inner.match(text, at) if at < last else None) or pattern.search(text, at)
+    return found
 
 
 def pseudonymise(cipher: Cipher, text: str | None) -> tuple[str | None, list[tuple[int, int, str]]]:
@@ -316,15 +320,15 @@ def pseudonymise(cipher: Cipher, text: str | None) -> tuple[str | None, list[tup
         return text, []
     found: list[tuple[int, int, str, str]] = []
     for kind in KINDS:
-        _find(cipher, kind, text, found)
+        found = sorted([*found, *_find(cipher, kind, text, found)])
     parts, at = [], 0
-    for start, end, _, fresh in sorted(found):
+    for start, end, _, fresh in found:
         parts += [text[at:start], fresh]
         at = end
-    return "".join([*parts, text[at:]]), sorted((start, end, kind) for start, end, kind, _ in found)
+    return "".join([*parts, text[at:]]), [(start, end, kind) for start, end, kind, _ in found]
 
 
-def pseudonymise_column(df: DataFrame, key: bytes = TRIAL_KEY, text_col: str = "text") -> DataFrame:
+def pseudonymise_column(df: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """Every row of ``df`` with pseudonyms in ``text_col``, n_replaced and kinds (sorted, distinct).
 
     A null text stays null, an empty or clean one stays as it is, with n_replaced 0 and no kinds.

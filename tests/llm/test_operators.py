@@ -15,8 +15,9 @@ import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
-import corpus_pipeline
-from allocspark.llm import bpe, components, exact_dedup, fingerprint, html_extract, language, minhash, packing, pii, quality, queries, toxicity
+from allocspark.llm import (
+    bpe, components, exact_dedup, fingerprint, html_extract, language, minhash, packing, pii, pipeline as corpus_pipeline, quality, queries,
+    toxicity)
 from allocspark.llm.common import read_table, tokenizer_path
 from tests.oracle import difference
 
@@ -119,11 +120,42 @@ def test_html_ratios_decide_beside_tags():
     # Without articles: a headline and a byline in containers of their own, and links that belong to neither.
     head = "<div><a href=x>News</a> <a href=x>Sport</a></div><div><h1>Headline</h1></div><div>By the author</div>"
     page = f"{menu * 3}{head}<div id=x>{body}</div><div>Printed on page 3.</div><div><h2>More</h2></div>"
-    assert main(page) == ["Headline", "By the author", *text, "Printed on page 3."]
+    assert main(page) == ["Headline", "By the author", *text]
     # A headline outside of the article.
     assert main(f"{head}<article>{body}</article>") == ["Headline", "By the author", *text]
 
 
+def test_html_takes_nothing_on_by_size_alone():
+    body = "".join(f"<p>{'%s words of a story, ' % w * 20}</p>" for w in ("first", "second", "third", "fourth", "fifth"))
+    story = html_extract.main_text(f"<body><article>{body}</article></body>")[0]
+    main = lambda page: html_extract.main_text(f"<html><body>{page}<footer>f</footer></body></html>")[0]
+    assert story.count("\n") == 4
+    assert main(f"<article>{body}</article><div><p>Subscribe to our weekly letter today.</p></div>") == story
+    assert main(f"<article>{body}</article><section><p>Posted by Bob: I disagree!</p></section>") == story
+    assert main(f"<div><p>We use cookies.</p></div><article>{body}</article><div><h2>By the way</h2></div>") == story
+    assert main(f"<article><p>short one</p></article><div>{'long words ' * 10}</div>") == "short one"
+    assert main(f"<article><p>short one</p></article><div><p>Bob: {'I disagree ' * 20}</p><p>Eve: me too</p></div>") == "short one"
+    # The article's own headline; what stands before it is the site's.
+    assert main(f"<div><h1>The Daily</h1></div><article><h1>News</h1>{body}</article>") == "News\n" + story
+    assert main(f"<h1>News</h1><p class=byline>A. Writer</p><article>{body}</article>") == "News\nA. Writer\n" + story
+    # More blocks than any limit, and long ones.
+    assert main(f"<article>{'<p>tiny</p>' * 50}<p>{'x ' * 5000}</p>{'<p>tiny</p>' * 50}</article>").count("tiny") == 100
+
+
+@pytest.mark.parametrize("unit", ["<div></section>", "<b><div></div>", "<i><div><b></i>", "<p><b></p>x", "<li><a>x", "<ul><li>x</ul></li>", "<b>x</i>",
+                                  "<article><p>x</article>", "<td>x</th>", "x<br>&amp;", "<div>x</div>", "</p>", "<!-- x -->"])
+def test_html_time_is_linear(unit):
+    import time
+    def seconds(n):
+        page, best = "<article>" + unit * n, 9.0
+        for _ in range(3):
+            start = time.perf_counter()
+            html_extract.main_text(page)
+            best = min(best, time.perf_counter() - start)
+        return best
+    assert seconds(16_000) < 16 * seconds(2_000) + 0.2
+
+
 def test_html_of_the_table(spark, sf_dir):
     rows = {r.page_id: r for r in queries.op2_html_extraction(spark, sf_dir).collect()}
     for page in read_table(spark, sf_dir, "pages").collect():
@@ -137,6 +169,10 @@ def test_html_edges(spark):
     pages = spark.createDataFrame([(1, None, "a", "x"), (1, "", None, "y"), (None, "<p>a<p>b", "u", "z")], "page_id long, html string, url string, text string")
     assert sorted((r.text, r.n_chars) for r in html_extract.extract_main_text(pages).collect()) == [("", 0), ("", 0), ("a\nb", 3)]
     assert html_extract.extract_main_text(pages.where("false")).count() == 0
+    long = "<article><p>" + "word " * 400_000 + "</p></article>"
+    clash = spark.createDataFrame([(1, long, 5, "t"), (1, long, 5, "t")], "page_id long, html string, N_CHARS int, declared_lang string")
+    rows = html_extract.extract_main_text(clash).collect()
+    assert [(r.n_chars, r.declared_lang) for r in rows] == [(5 * 400_000 - 1, None)] * 2 and len(rows[0]) == 4
 
 
 def test_feistel_is_a_permutation():
@@ -186,9 +222,9 @@ def test_pii_passes_by_rows_of_small_numbers():
 
 
 def test_pii_edges(edges, nothing):
-    rows = pii.pseudonymise_column(edges).collect()
+    rows = pii.pseudonymise_column(edges, pii.TRIAL_KEY).collect()
     assert [r.text for r in rows] == [e[1] for e in EDGES] and {r.n_replaced for r in rows} == {0}
-    assert pii.pseudonymise_column(nothing).count() == 0
+    assert pii.pseudonymise_column(nothing, pii.TRIAL_KEY).count() == 0
 
 
 def test_pii_dates_are_permuted_in_their_format():
