@@ -1,71 +1,5 @@
-"""From documents to packed training sequences, in five stages.
+"""The corpus pipeline: documents to packed training sequences. Its stages are in ``allocspark.llm.pipeline``."""
 
-Each stage takes what the one before kept and returns the columns of documents, the last one the
-packed pieces. ``run`` writes every stage's result to the shared folder and reads it again, so a
-lost executor costs at most one stage.
-"""
+from allocspark.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-
-from allocspark.llm import exact_dedup, minhash, packing, pii, toxicity
-from allocspark.llm.common import free_name, read_table, text_or_empty, tokenizer_path
-from allocspark.session import ensure_checkpoint_dir
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity of at least 0.5 go; the lexicon is learned from the labelled documents."""
-    lexicon = toxicity.learn(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    return toxicity.toxicity(docs, lexicon).where("predicted = 0").select(*docs.columns)
-
-
-def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are equal but for white space, the one with the longest text stays: one row,
-    also where rows repeat an id or have none."""
-    kept = exact_dedup.exact_dedup(docs).where("kept")
-    place = free_name(kept, "_place")
-    order = Window.partitionBy("text_sha256").orderBy(
-        F.length(text_or_empty("text")).desc(), F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns))
-    return kept.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select(*docs.columns)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 on five-word shingles, that with the smallest id stays."""
-    gone = minhash.near_duplicates(docs, words=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-
-def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets become pseudonyms of their format; n_chars follows the new text."""
-    fresh = pii.pseudonymise_column(docs)
-    if "n_chars" in docs.columns:
-        fresh = fresh.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return fresh.select(*docs.columns)
-
-
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of at most 1024 tokens; a row for each piece, with its ids."""
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
-
-
-STAGES = [
-    ("toxicity", drop_toxic), ("exact_dedup", drop_exact_copies), ("near_dedup", drop_near_copies),
-    ("pii", pseudonymise), ("packing", pack_sequences),
-]
-
-#: No stage but exact dedup can be said in SQL.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = read_table(spark, sf_dir, "documents")
-    for place, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{place}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
