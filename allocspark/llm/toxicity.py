@@ -4,7 +4,8 @@ Texts are folded first: lower case, look-alike letters of other scripts and full
 Latin, invisible characters away, digits and signs that stand for letters inside a word back to
 letters. Lexicon entries are words and word beginnings, so inflected forms match too; their weights
 are log odds learned from labelled rows. An exception phrase (an entry and the word after or before
-it) takes the weight of the entry inside it away. A text's score is a logistic function of its
+it) takes the weight of the entry inside it away. Every different word counts once, so a word that copies of
+a line repeat is no more than one find. A text's score is a logistic function of its weight and of its
 weight normalised by its length.
 """
 
@@ -26,9 +27,9 @@ from allocspark.llm.common import cut_lineage, replace_columns, schema_with, tex
 
 #: At most so many labelled rows are learned from; of more, those with the smallest hash of their id.
 TRAIN_ROWS = 20_000
-#: At most so many entries and phrases; the best are kept.
+#: At most so many entries and phrases are learned; the most telling ones are kept.
 MAX_ENTRIES = 2_000
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 #: A candidate is in at least so many toxic rows, and so many times likelier there; its likelihood
 #: ratio against chance (G) is at least so much, which a word met by chance hardly reaches.
 LEAST_ROWS, LEAST_ODDS, LEAST_G = 3, 8.0, 25.0
@@ -100,11 +101,12 @@ class Lexicon:
         return found
 
     def weight(self, folded: str) -> float:
-        total = 0.0
+        """Sum over the different words that match outside an exception phrase."""
+        found: dict[str, float] = {}
         for start, (_, weight) in self.matches(folded).items():
             if not self.exceptions or not (self.phrases(folded, start) & self.exceptions):
-                total += weight
-        return total
+                found[WORD.match(folded, start)[0]] = weight
+        return sum(found.values())
 
     @staticmethod
     def phrases(folded: str, start: int) -> set[str]:
