@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from allocspark.llm.common import free_name, replace_columns, text_or_empty
+from allocspark.llm.common import cut_lineage, free_name, replace_columns, text_or_empty
 
 #: Deleted before texts are compared: ``[\x20\x09-\x0D]``.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -75,6 +75,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lit(True).alias("kept"), digest.alias("text_sha256"))
 
     suspects = tested.where(F.col(flag)).select(*columns, digest.alias("text_sha256"))
+    if one_row:
+        suspects = cut_lineage(suspects)  # read several times
     parts = [(-F.length(text_or_empty(text_col))).alias("size"), F.col(f"`{id_col}`").isNull().alias("unknown"), F.col(f"`{id_col}`").alias("id")]
     if one_row:
         parts.append(F.xxhash64(*columns).alias("row"))

@@ -171,8 +171,15 @@ def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     return Lexicon(lexicon.weights, lexicon.exceptions, _logistic(points))
 
 
-def _count_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1_024) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: counts of a slice are sent on, not held."""
     for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def _count_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
         counts = {0: Counter(), 1: Counter()}
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
             counts[1 if label else 0].update(candidates(fold(text)))
