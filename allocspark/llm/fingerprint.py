@@ -21,8 +21,10 @@ from allocspark.llm.minhash import shingles
 
 SIZE = 128
 WORDS = 5
-#: Ranges of ids for each shuffle partition: several even their sizes out.
-RANGES = 8
+#: Bytes of text in a range of documents, as a rule; with more than MOST_RANGES of these, ranges get larger.
+RANGE_BYTES, MOST_RANGES = 4_000_000, 20_000
+#: Rows sampled for each range to find where it begins.
+SAMPLED = 10
 
 
 class Sketch:
@@ -109,49 +111,53 @@ def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """Every document beside its edited text and the next document, by ascending id.
 
     Columns: the id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
-    The last document is followed by the first. Null texts are empty; null ids come first, rows of
-    one id go by their text. An empty table gives an empty result.
+    The last document is followed by the first. Ids are whole numbers of up to 64 bits. Null texts are
+    empty; null ids come first, rows of one id go by a hash of their text. An empty table gives an empty
+    result.
 
-    The texts are shuffled once, to ranges of ids that begin at ids of the table. A range's first
-    documents also go to the range before, where the last one needs its follower.
+    The texts are shuffled once, to ranges of (id, hash of the text) of about ``RANGE_BYTES``, so many
+    documents under one id or without one are split too; only equal rows always share a range. Of a
+    range's first row a copy goes to the range before, where the last row needs its follower.
     """
-    spark = df.sparkSession
-    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # As many numbers as there are ranges, whatever the input size.
-    cuts = rows.agg(F.percentile_approx("id", [i / ranges for i in range(ranges)], 10 * ranges).alias("cuts"),
-                    F.min("id").alias("least"), F.count(F.when(F.col("id").isNull(), 1)).alias("nulls")).first()
-    borders = sorted({cuts["least"], *cuts["cuts"]}) if cuts["cuts"] else []
-    if cuts["nulls"]:
-        borders = [None, *borders]
-    known = [b for b in borders if b is not None]
-    first = len(borders) - len(known)
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
+    total = rows.agg(F.sum(F.octet_length("text").cast("long") + 64)).first()[0] or 0
+    ranges = min(MOST_RANGES, max(1, -(-int(total) // RANGE_BYTES)))
+    borders = _borders(rows, ranges)
     last = max(0, len(borders) - 1)
-
-    def place(column: pa.Array) -> np.ndarray:
-        found = np.searchsorted(np.array(known, np.int64), column.fill_null(0).to_numpy(zero_copy_only=False), side="right") - 1 + first
-        return np.where(column.is_null().to_numpy(zero_copy_only=False), 0, found)
+    nulls = np.array([tie for i, tie in borders if i is None], np.int64)
+    ids, ties = (np.array([b[k] for b in borders if b[0] is not None], np.int64) for k in (0, 1))
+
+    def place(column: pa.Array, tie: np.ndarray) -> np.ndarray:
+        """Range of each row: the last border at or before it, the first range also before any border."""
+        unknown = column.is_null().to_numpy(zero_copy_only=False)
+        values = column.fill_null(0).to_numpy(zero_copy_only=False)
+        spot = np.searchsorted(ids, values, "right") - 1
+        low = np.searchsorted(ids, values, "left")
+        for i in np.flatnonzero((spot >= low) & ~unknown):  # rows with the id of a border
+            spot[i] = low[i] + np.searchsorted(ties[low[i]:spot[i] + 1], tie[i], "right") - 1
+        spot = np.where(unknown, np.searchsorted(nulls, tie, "right") - 1, spot + len(nulls))
+        return np.maximum(spot, 0)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows by range; those that begin a range once more, behind the range before."""
-        starts = pa.array(borders, pa.int64())
+        """Rows by range; one of those that begin a range once more, behind the range before."""
         for batch in batches:
-            ids = batch.column(0)
-            spot = place(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(spot, pa.int64()), pa.array(np.zeros(len(spot), bool)), *batch.columns],
-                                             names=["range", "behind", "id", "text"])
-            begins = [i for i, (value, at) in enumerate(zip(ids.to_pylist(), spot)) if value == starts[int(at)].as_py()]
+            tie = batch.column(2).to_numpy()
+            spot = place(batch.column(0), tie)
+            yield pa.RecordBatch.from_arrays([pa.array(spot, pa.int64()), pa.array(np.zeros(len(spot), bool)), *batch.columns], names=names)
+            keys = zip(batch.column(0).to_pylist(), tie.tolist())
+            begins = {int(at): i for i, (key, at) in enumerate(zip(keys, spot)) if borders[at] == key}
             if begins:
-                some = batch.take(pa.array(begins, pa.int32()))
-                before = pa.array([int(spot[i]) - 1 if spot[i] else last for i in begins], pa.int64())
-                yield pa.RecordBatch.from_arrays([before, pa.array(np.ones(len(begins), bool)), *some.columns],
-                                                 names=["range", "behind", "id", "text"])
+                some = batch.take(pa.array(begins.values(), pa.int32()))
+                before = pa.array([at - 1 if at else last for at in begins], pa.int64())
+                yield pa.RecordBatch.from_arrays([before, pa.array(np.ones(len(begins), bool)), *some.columns], names=names)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
-            for spot, behind, doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
+            for spot, behind, doc_id, text, _ in zip(*(column.to_pylist() for column in batch.columns)):
+                if held is not None and held[0] != spot:
+                    raise ValueError("a range ended without the document that follows")
                 if held is None and behind:
                     continue
                 sketch = Sketch.of(text, words, size)
@@ -164,10 +170,28 @@ def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
                         column.append(value)
                 held = None if behind else (spot, doc_id, text, sketch)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (
-                pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))], names=names)
+                pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))], names=results)
 
-    names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    dealt = rows.mapInArrow(deal, "range long, behind boolean, id long, text string")
-    ordered = dealt.repartition(F.col("range")).sortWithinPartitions("range", "behind", F.asc_nulls_first("id"), "text")
+    names = ["range", "behind", "id", "text", "tie"]
+    results = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    dealt = rows.mapInArrow(deal, "range long, behind boolean, id long, text string, tie long")
+    ordered = dealt.repartitionById(len(borders) or 1, F.col("range").cast("int")).sortWithinPartitions("range", "behind", F.asc_nulls_first("id"), "tie", "text")
     return ordered.mapInArrow(probe, f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, "
                                      "edited_fingerprint string, near_edited double, near_next double")
+
+
+def _borders(rows: DataFrame, ranges: int) -> list[tuple[int | None, int]]:
+    """Where ranges of about equal bytes begin, the first with the first row. Sampled rows, the ones with
+    the smallest hashes, tell it; so many rows come to the driver at most, without their texts."""
+    key = F.struct(F.col("id").isNotNull().alias("known"), "id", "tie")
+    first = rows.agg(F.min(key).alias("k")).first()["k"]
+    if first is None:
+        return []
+    sample = rows.select("id", "tie", F.octet_length("text").alias("bytes")).orderBy(F.xxhash64("id", "tie")).limit(SAMPLED * ranges).collect()
+    found, seen = {(first["id"], first["tie"])}, 0
+    total = sum(r["bytes"] + 64 for r in sample)
+    for r in sorted(sample, key=lambda r: (r["id"] is not None, r["id"] or 0, r["tie"])):
+        if seen * ranges // total != (seen + r["bytes"] + 64) * ranges // total:
+            found.add((r["id"], r["tie"]))
+        seen += r["bytes"] + 64
+    return sorted(found, key=lambda b: (b[0] is not None, b[0] or 0, b[1]))

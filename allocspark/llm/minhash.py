@@ -182,7 +182,8 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     least ``percent`` similarity) and kept (whether the id is its component's).
 
     A null, empty or blank text has no shingles and no links. Rows that share an id are one
-    document; a null id has no component and is kept. Other input columns are left out.
+    document; a null id has no component and is kept. Ids are whole numbers of up to 64 bits. Other
+    input columns are left out.
     """
     signed = cut_lineage(signatures(df, words, id_col, text_col))
     classes = (signed.where("digest is not null and id is not null").groupBy("digest")

@@ -144,7 +144,8 @@ def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     floor(share * rows) rows are selected, by the log weight and Gumbel noise; a long document's
     weight sums more n-grams, as the ratio of the two models does. A null or empty text has weight 0. Equal
     keys, as those of rows that repeat an id and a text, go by the smaller id and are selected
-    together, which can exceed the share by such repeats; a null id is like any other. Without
+    together, which can exceed the share by such repeats; a null id is like any other. Ids are numbers; for
+    ties they are compared as doubles. Without
     labelled rows the target is flat and the draw near uniform. Other input columns are left out.
     """
     ratios = log_ratios(df, labels, id_col, text_col, label_col, held_out=held_out)

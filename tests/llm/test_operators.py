@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import html
 import itertools
@@ -267,6 +268,39 @@ def test_language_of_pages(spark, sf_dir):
     assert np.mean([r.lang == r.url.split("/")[3] for r in rows]) > 0.97
 
 
+def test_language_equals_slow_bayes(spark, sf_dir):
+    """Posterior of every page, with all counts taken anew from the other pages."""
+    languages, models = language.learn_text_models(read_table(spark, sf_dir, "documents"))
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html").collect()
+    pages += [(10**6, None, None), (10**6 + 1, pages[0].url, None), (10**6 + 2, "http://new.host.zz/a", "<html lang=xx><p>la de")]
+    df = spark.createDataFrame([tuple(p) for p in pages], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in language.identify(df, languages, models).collect()}
+    own, known, text = {}, {}, {}
+    for i, url, markup in pages:
+        words, lang = html_extract.main_text(markup)
+        found = language.trigram_buckets(words)
+        log = np.array([sum(models[k][b] for b in found) for k in range(len(languages))]) * (min(len(found), 60.0) / len(found) if len(found) else 0)
+        chances = np.exp(log - max(log))
+        text[i], own[i] = log, chances / sum(chances) if len(found) else np.zeros(len(languages))
+        lang = (lang or "").lower().split("-")[0]
+        known[i] = (*language.host_of(url), lang if lang in languages else "?" if lang else "-")
+    size = len(languages)
+    totals = sum(own.values())
+    overall = (totals + 1) / (sum(totals) + size)
+    for i, (host, domain, suffix, declared) in known.items():
+        def of(place, value):
+            counts = sum((own[j] for j in own if known[j][place] == value), np.zeros(size)) - own[i]
+            return np.maximum(counts, 0)
+        smooth = lambda counts, above: (counts + 4 * above) / (sum(counts) + 4)
+        prior = smooth(of(0, host), smooth(of(1, domain), overall))
+        score = text[i] + np.log(prior)
+        for place, value in ((3, declared), (2, suffix)):
+            counts = of(place, value)
+            score += np.log((counts + 4 * (sum(counts) + 1) / (sum(totals) + size)) / (np.maximum(totals - own[i], 0) + 4))
+        chances = np.exp(score - max(score))
+        assert rows[i].lang == languages[int(np.argmax(score))] and rows[i].confidence == pytest.approx(1 / sum(chances), rel=1e-6)
+
+
 def test_language_edges(spark, sf_dir):
     languages, models = language.learn_text_models(read_table(spark, sf_dir, "documents"))
     pages = spark.createDataFrame(
@@ -350,6 +384,26 @@ def test_quality_draws_by_the_whole_weight(spark, sf_dir):
     assert all(r.gumbel_key == pytest.approx(r.log_weight + r.noise, abs=1e-6) for r in rows) and max(r.n_ngrams for r in rows) > 100
 
 
+def test_quality_weights_equal_counting_every_ngram(spark, sf_dir):
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    rows = {r.doc_id: r for r in quality.resample(documents, labels).collect()}
+    texts = {r.doc_id: (r.text or "").encode().lower().split() for r in documents.collect()}
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    place = lambda ngram: int(quality.ngram_buckets(b" ".join(ngram).decode())[-1])
+    grams = {i: Counter([(w,) for w in words] + list(zip(words, words[1:]))) for i, words in texts.items()}
+    spot = {g: place(g) for c in grams.values() for g in c}
+    models = []
+    for chosen in (good, set(texts)):
+        counts = [1.0] * quality.BUCKETS
+        for i in chosen & set(texts):
+            for g, n in grams[i].items():
+                counts[spot[g]] += n
+        models.append([np.log(c / sum(counts)) for c in counts])
+    for i, counted in grams.items():
+        slow = sum(n * (models[0][spot[g]] - models[1][spot[g]]) for g, n in counted.items())
+        assert rows[i].log_weight == pytest.approx(slow, rel=1e-6, abs=1e-6) and rows[i].n_ngrams == sum(counted.values())
+
+
 def test_quality_edges(spark, edges, nothing):
     labels = spark.createDataFrame([(4, 1), (None, 1), (5, None)], "doc_id long, quality int")
     rows = quality.resample(edges, labels).collect()
@@ -476,6 +530,37 @@ def test_fingerprints_beside_the_next_document(spark, sf_dir):
             len(text), hashlib.sha256(fresh.encode()).hexdigest(), str(own), str(new), own.resemblance(new), own.resemblance(after))
 
 
+def slow_sketch(text, size=128):
+    """The written fingerprint, from the set of five-word shingles."""
+    shingled = shingle_set(text, 5)
+    hashes = sorted(int(minhash.shingles(" ".join(words), 5)[0]) for words in shingled)
+    return "<="[len(hashes) <= size] + base64.b64encode(b"".join(h.to_bytes(8, "little") for h in hashes[:size])).decode(), set(hashes)
+
+
+def slow_likeness(a, b, size=128):
+    """Of the smallest hashes of the union of two full sets, the share that both have."""
+    smallest = sorted(a | b)[:size]
+    return sum(h in a and h in b for h in smallest) / len(smallest) if smallest else 1.0
+
+
+@pytest.mark.parametrize("range_bytes", [4_000_000, 3_000])
+def test_fingerprints_equal_full_sets(spark, sf_dir, monkeypatch, range_bytes):
+    monkeypatch.setattr(fingerprint, "RANGE_BYTES", range_bytes)
+    documents = sorted((r.doc_id, r.text or "") for r in read_table(spark, sf_dir, "documents").where("length(text) < 3000").collect())
+    # One id and no id for many rows, empty texts, repeated rows.
+    extra = [(None, f"no id {i} a b c d e f g {i}") for i in range(150)] + [(77_777, f"one id {i} " * 9) for i in range(150)]
+    extra += [(None, None), (77_777, ""), (77_777, ""), (-(2**63), "least a b c d e"), (2**63 - 1, "most a b c d e f")]
+    table = spark.createDataFrame(documents + extra, "doc_id long, text string").repartition(5)
+    tie = {(r.doc_id, r.text or ""): r.t for r in table.selectExpr("*", "xxhash64(coalesce(text, '')) as t").collect()}
+    order = sorted(((i, t or "") for i, t in documents + extra), key=lambda r: (r[0] is not None, r[0] or 0, tie[r]))
+    wanted = Counter()
+    for (i, text), (_, following) in zip(order, order[1:] + order[:1]):
+        fresh = fingerprint.edited(text, following)
+        (own, a), (new, b), (_, c) = (slow_sketch(t) for t in (text, fresh, following))
+        wanted[i, len(text), hashlib.sha256(fresh.encode()).hexdigest(), own, new, slow_likeness(a, b), slow_likeness(a, c)] += 1
+    assert Counter(map(tuple, fingerprint.edit_probe(table).collect())) == wanted
+
+
 def test_fingerprint_edges(edges, nothing, spark):
     assert fingerprint.edit_probe(edges).count() == len(EDGES) and fingerprint.edit_probe(nothing).count() == 0
     one = spark.createDataFrame([(5, "a b c d e f g h")], "doc_id long, text string")
