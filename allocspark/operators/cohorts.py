@@ -8,17 +8,45 @@ from allocspark.functions import labels
 from allocspark.functions.rounding import mean, ratio, rounded
 from allocspark.operators.ordered import Running, run_ordered
 from allocspark.schemas import CORRIDOR
+from allocspark.session import cut_lineage
+
+
+#: Groups whose borders are broadcast; with more of them they are joined.
+BROADCAST_GROUPS = 20_000
 
 
 def with_ntile(df: DataFrame, group: str, value: str, tiebreak: str, buckets: int, out: str) -> DataFrame:
-    """NTILE over (partition by group order by value nulls last, tiebreak) from place and group size."""
-    spec = Running(key=[group], order=["_missing", value, tiebreak], position="_place", size="_all")
-    placed = run_ordered(df.withColumn("_missing", F.col(value).isNull()), spec)
-    size, spare = F.expr(f"_all div {buckets}"), F.col("_all") % buckets  # ``spare`` buckets hold a row more
-    larger = spare * (size + 1)
-    bucket = F.when(F.col("_place") <= larger, F.ceil(F.col("_place") / (size + 1))).otherwise(
-        spare + F.ceil((F.col("_place") - larger) / F.nullif(size, F.lit(0))))
-    return placed.select(*df.columns, bucket.cast("int").alias(out))
+    """NTILE over (partition by group order by value nulls last, tiebreak), by selection of border rows.
+
+    Counts per distinct value say which value holds the last row of each bucket; only the rows with
+    such a value are put in order, by ``tiebreak``, to find that row. Every row is then compared
+    with at most ``buckets - 1`` border rows of its group and stays where it is. ``df`` is read three
+    times: give a settled table.
+    """
+    rows = df.select(F.col(group).alias("g"), F.col(value).isNull().alias("missing"), F.col(value).alias("v"), F.col(tiebreak).alias("id"))
+    counted = cut_lineage(rows.groupBy("g", "missing", "v").agg(F.count(F.lit(1)).alias("n")))
+    totals = counted.groupBy(F.col("g").alias("_g")).agg(F.sum("n").alias("rows"))
+    summed = run_ordered(counted, Running(key=["g"], order=["missing", "v"], sums={"up_to": "n"}))
+    end = F.expr(f"b * (rows div {buckets}) + least(b, rows % {buckets})")  # place of a bucket's last row
+    borders = cut_lineage(
+        summed.join(totals, F.col("g").eqNullSafe(F.col("_g")))
+        .withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1)))).withColumn("end", end)
+        .where("end > up_to - n and end <= up_to").select("g", "missing", "v", (F.col("end") - F.col("up_to") + F.col("n")).alias("k")))
+    small = borders.count() <= BROADCAST_GROUPS * (buckets - 1)
+
+    def beside(side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if small else side
+
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in ("g", "missing", "v")]
+    values = borders.select("g", "missing", "v").distinct().withColumnsRenamed({name: f"_{name}" for name in ("g", "missing", "v")})
+    placed = run_ordered(rows.join(beside(values), same, "left_semi"), Running(key=["g", "missing", "v"], order=["id"], position="at"))
+    named = borders.withColumnsRenamed({name: f"_{name}" for name in ("g", "missing", "v")})
+    found = placed.join(beside(named), [*same, F.col("at") == F.col("k")]).groupBy(F.col("g").alias("_g")).agg(
+        F.collect_list(F.struct("missing", "v", "id")).alias("_borders"))  # at most ``buckets - 1``
+    own = F.struct(F.col(value).isNull().alias("missing"), F.col(value).alias("v"), F.col(tiebreak).alias("id"))
+    joined = df.join(beside(cut_lineage(found)), F.col(group).eqNullSafe(F.col("_g")), "left")
+    bucket = 1 + F.greatest(F.size(F.filter("_borders", lambda b: b < own)), F.lit(0))
+    return joined.select(*df.columns, bucket.cast("int").alias(out))
 
 
 def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -26,10 +54,10 @@ def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     onboarded = campaigns.select(
         "campaign_id", "client_name", F.date_format("created_at", "yyyy-MM").alias("onboarding_cohort")
     )
-    known = telemetry.select(
+    known = cut_lineage(telemetry.select(
         "telemetry_id", "campaign_id", *CORRIDOR, "cost_per_applicant_usd", "allocated_applicants",
         "allocated_spend_usd", "overall_conversion_yield", "projected_hires", "event_timestamp",
-    ).join(onboarded, "campaign_id")
+    ).join(onboarded, "campaign_id"))
     quartered = with_ntile(
         known, "seniority", "cost_per_applicant_usd", "telemetry_id", 4, "cpa_efficiency_quartile"
     )

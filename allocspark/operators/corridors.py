@@ -48,6 +48,10 @@ def corridor_metrics(observations: DataFrame) -> DataFrame:
     )
 
 
+#: The report's order: ascending SQL expressions.
+REPORT_ORDER = OBSERVED_CORRIDOR
+
+
 def sorted_corridors(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy(*OBSERVED_CORRIDOR)
 

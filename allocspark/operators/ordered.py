@@ -1,9 +1,12 @@
 """Running values along an ordered key (sums, positions, neighbours) that survive hot keys.
 
-A plain window puts all rows of one key into one task. All rows are therefore cut into ordered
-chunks by range partitioning on (key, order), as many as the session's shuffles have partitions.
-Each part of a key inside a chunk is windowed alone, and a table of their totals carries the
-values across chunk borders. Small and hot keys take the same way.
+A plain window puts all rows of one key into one task. All rows are therefore cut into chunks by
+borders in the order (key, order), as many as the session's shuffles have partitions. A chunk is
+windowed in one task; only its first and last keys can go on in other chunks, so a table of at most
+two rows a chunk carries all values across the borders. Small and hot keys take the same way.
+
+The rows shuffle once, by chunk. Borders are drawn from a sample and are fixed before that, so a
+row's chunk is a function of the row, also when a stage is run again.
 """
 
 from __future__ import annotations
@@ -14,6 +17,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from allocspark.session import cut_lineage
 
+#: Sampled rows for each chunk; twenty keep a chunk below twice its share of the rows, as a rule.
+SAMPLED = 20
+#: Borders looked through at once.
+STEP = 32
+
 
 @dataclass(frozen=True)
 class Running:
@@ -29,26 +37,63 @@ class Running:
     size: str | None = None  # rows of the key
 
 
+def with_chunk(df: DataFrame, by: list[str], chunks: int) -> DataFrame:
+    """``df`` with ``_chunk``: the number of sampled borders at or before the row, in the order ``by``.
+
+    Rows with equal ``by`` share a chunk. The sample is the ``SAMPLED * chunks`` rows with the smallest
+    hash, so it is the same in every run over the same rows.
+    """
+    place = F.struct(*[F.col(name) for name in by])
+    if chunks < 2:
+        return df.withColumn("_chunk", F.lit(0))
+    sample = df.select(place.alias("at"), F.xxhash64(*by).alias("h")).orderBy("h").limit(SAMPLED * chunks)
+    ordered = sample.agg(F.array_sort(F.collect_list("at")).alias("at")).select(
+        F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)),
+                    lambda i: F.get("at", F.floor(i * F.size("at") / chunks).cast("int"))).alias("borders"))
+    # Two levels, so that a row is compared with about two times STEP borders.
+    found = ordered.select(F.struct(
+        "borders", F.expr(f"filter(borders, (b, i) -> i % {STEP} = 0)").alias("coarse")).alias("found"))
+
+    def at_or_before(borders: Column) -> Column:
+        return F.size(F.filter(borders, lambda b: b <= F.col("_place")))
+
+    chunk = F.greatest(F.col("_passed") - 1, F.lit(0)) * STEP
+    return (
+        df.withColumn("_place", place).withColumn("_found", found.scalar())
+        .withColumn("_passed", at_or_before(F.col("_found.coarse")))
+        .withColumn("_chunk", chunk + at_or_before(F.slice(F.col("_found.borders"), chunk + 1, STEP)))
+        .drop("_place", "_found", "_passed")
+    )
+
+
 def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
     """``df`` with the columns of ``spec`` added; null keys form a key of their own."""
-    # The chunk number must not change between the passes below, and range borders are
-    # sampled, so the laid-out rows are written to the checkpoint folder first.
     chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = cut_lineage(
-        df.repartitionByRange(chunks, *spec.key, *spec.order).withColumn("_chunk", F.spark_partition_id())
+    part = Window.partitionBy("_chunk", *spec.key)
+    in_part = part.orderBy(*spec.order)
+    so_far = in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    local: dict[str, Column] = {"_at": F.row_number().over(in_part), "_rows": F.count(F.lit(1)).over(part)}
+    local |= {f"_run_{out}": F.sum(src).over(so_far) for out, src in spec.sums.items()}
+    local |= {f"_lag_{out}": F.lag(src).over(in_part) for out, src in spec.previous.items()}
+    local |= {f"_lead_{out}": F.lead(src).over(in_part) for out, src in spec.following.items()}
+    heads = {out: src for out, src in (spec.following | spec.first).items()}
+    local |= {f"_head_{out}": F.first(src).over(so_far) for out, src in heads.items()}
+    # Settled, as the borders' values and the rows are both read from it.
+    laid = cut_lineage(with_chunk(df, [*spec.key, *spec.order], chunks).repartitionById(chunks, F.col("_chunk").cast("int")).withColumns(local))
+
+    # The last row of a part knows its totals; of each chunk only the first and the last key matter.
+    ends = {"_rows": F.col("_rows")}
+    ends |= {f"_sum_{out}": F.col(f"_run_{out}") for out in spec.sums}
+    ends |= {f"_last_{out}": F.col(src) for out, src in spec.previous.items()}
+    ends |= {f"_head_{out}": F.col(f"_head_{out}") for out in heads}
+    totals = F.struct(*[F.col(name) for name in spec.key], *[value.alias(name) for name, value in ends.items()])
+    place = F.struct(*spec.key)
+    parts = (
+        laid.where(F.col("_at") == F.col("_rows")).groupBy("_chunk")
+        .agg(F.min_by(totals, place).alias("a"), F.max_by(totals, place).alias("b"))
+        .select("_chunk", F.explode(F.array_distinct(F.array("a", "b"))).alias("part")).select("_chunk", "part.*")
     )
-    chunk_key = [*spec.key, "_chunk"]
-    in_chunk = Window.partitionBy(*chunk_key).orderBy(*spec.order)
-    so_far = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    place = F.struct(*spec.order)
-
-    totals = {"_rows": F.count(F.lit(1))}
-    totals |= {f"_sum_{out}": F.sum(src) for out, src in spec.sums.items()}
-    totals |= {f"_last_{out}": F.max_by(src, place) for out, src in spec.previous.items()}
-    totals |= {f"_head_{out}": F.min_by(src, place) for out, src in (spec.following | spec.first).items()}
-    parts = laid.groupBy(*chunk_key).agg(*[agg.alias(name) for name, agg in totals.items()])
-
-    # A key has at most one part per chunk, so these windows stay small.
     key_parts = Window.partitionBy(*spec.key)
     by_chunk = key_parts.orderBy("_chunk")
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
@@ -60,19 +105,14 @@ def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
     carry |= {f"_first_{out}": F.first(f"_head_{out}").over(
         by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for out in spec.first}
     carried = parts.select(
-        *[F.col(name).alias(f"_c_{name}") for name in chunk_key],
-        *[column.alias(name) for name, column in carry.items()],
-        F.col("_rows").alias("_chunk_rows"),
-    )
+        *[F.col(name).alias(f"_c_{name}") for name in ["_chunk", *spec.key]],
+        F.lit(True).alias("_border"), *[column.alias(name) for name, column in carry.items()])
     match = [F.col(name).eqNullSafe(F.col(f"_c_{name}")) for name in spec.key]
     match.append(F.col("_chunk") == F.col("_c__chunk"))
+    # At most two rows a chunk.
+    joined = laid.join(F.broadcast(carried), match, "left")
 
-    local: dict[str, Column] = {"_at": F.row_number().over(in_chunk)}
-    local |= {f"_run_{out}": F.sum(src).over(so_far) for out, src in spec.sums.items()}
-    local |= {f"_lag_{out}": F.lag(src).over(in_chunk) for out, src in spec.previous.items()}
-    local |= {f"_lead_{out}": F.lead(src).over(in_chunk) for out, src in spec.following.items()}
-    joined = laid.withColumns(local).join(carried, match)
-
+    border = F.col("_border").isNotNull()
     added: dict[str, Column] = {}
     for out, src in spec.sums.items():
         run, prior = F.col(f"_run_{out}"), F.col(f"_before_{out}")
@@ -81,12 +121,19 @@ def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
     for out in spec.previous:
         added[out] = F.when(F.col("_at") == 1, F.col(f"_prev_{out}")).otherwise(F.col(f"_lag_{out}"))
     for out in spec.following:
-        added[out] = F.when(F.col("_at") == F.col("_chunk_rows"), F.col(f"_next_{out}")).otherwise(
-            F.col(f"_lead_{out}"))
+        added[out] = F.when(F.col("_at") == F.col("_rows"), F.col(f"_next_{out}")).otherwise(F.col(f"_lead_{out}"))
     for out in spec.first:
-        added[out] = F.col(f"_first_{out}")
+        added[out] = F.when(border, F.col(f"_first_{out}")).otherwise(F.col(f"_head_{out}"))
     if spec.position:
-        added[spec.position] = (F.col("_rows_before") + F.col("_at")).cast("int")
+        added[spec.position] = (F.coalesce("_rows_before", F.lit(0)) + F.col("_at")).cast("int")
     if spec.size:
-        added[spec.size] = F.col("_rows_all")
+        added[spec.size] = F.coalesce("_rows_all", "_rows")
     return joined.select(*df.columns, *[column.alias(name) for name, column in added.items()])
+
+
+def with_positions(df: DataFrame, order: list[str], out: str = "report_position") -> DataFrame:
+    """``df`` with the 1-based place of every row in a report sorted by ``order``, ascending SQL
+    expressions that together are unique; nulls come first. No task sees more than a chunk of the report."""
+    by = {f"_by_{i}": F.expr(expression) for i, expression in enumerate(order)}
+    placed = run_ordered(df.withColumns(by | {"_one": F.lit(1)}), Running(key=["_one"], order=list(by), position=out))
+    return placed.select(*df.columns, out)

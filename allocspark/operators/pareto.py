@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from allocspark.functions import labels
 from allocspark.functions.rounding import mean, ratio, rounded
+from allocspark.operators.ordered import Running, run_ordered, with_positions
 from allocspark.schemas import CORRIDOR
+from allocspark.session import cut_lineage
 
 MIN_APPLICANTS = 100
 
@@ -37,23 +39,17 @@ def dominance_counts(points: DataFrame, cost: str, gain: str) -> DataFrame:
     pairs, where a join on the inequalities would pair all of them.
     """
     pairs = points.groupBy(cost, gain).agg(F.count(F.lit(1)).alias("copies"))
-    ranked = pairs.withColumn(
-        "rank", F.row_number().over(Window.orderBy(F.asc(cost), F.desc(gain))).cast("long") - 1
-    )
-    top = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    levels = ranked.withColumn("width", F.length(F.bin(F.max("rank").over(top)))).withColumn(
-        "level", F.explode(F.sequence(F.lit(0), F.col("width") - 1))
-    ).withColumns({
+    ranked = with_positions(pairs, [cost, f"-{gain}"], "rank").withColumn("rank", F.col("rank").cast("long") - 1)
+    width = pairs.agg(F.length(F.bin(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)))).alias("width")).scalar()
+    levels = ranked.withColumn("level", F.explode(F.sequence(F.lit(0), width - 1))).withColumns({
         "prefix": F.expr("shiftright(rank, level + 1)"),
         "upper": F.expr("shiftright(rank, level) & 1"),
-    })
-    no_less_gain = (
-        Window.partitionBy("level", "prefix").orderBy(F.desc(gain), F.asc("upper"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    lower_rows = F.sum(F.when(F.col("upper") == 0, F.col("copies")).otherwise(0)).over(no_less_gain)
+        "less": -F.col(gain),
+    }).withColumn("lower", F.when(F.col("upper") == 0, F.col("copies")).otherwise(0))
+    # At the highest level all pairs share a prefix, so this too runs in chunks.
+    no_less_gain = run_ordered(levels, Running(key=["level", "prefix"], order=["less", "upper", "rank"], sums={"lower_rows": "lower"}))
     return (
-        levels.withColumn("above", F.when(F.col("upper") == 1, lower_rows).otherwise(0))
+        no_less_gain.withColumn("above", F.when(F.col("upper") == 1, F.col("lower_rows")).otherwise(0))
         .groupBy(cost, gain)
         .agg(F.sum("above").alias("dominated_by_count"))
     )
@@ -64,13 +60,11 @@ def pareto_frontier(telemetry: DataFrame, min_applicants: int = MIN_APPLICANTS)
     metrics = lifetime_metrics(telemetry, min_applicants)
     counts = dominance_counts(metrics, "mean_cpa_usd", "mean_conversion_yield")
     counted = metrics.join(counts, ["mean_cpa_usd", "mean_conversion_yield"])
-    layer = Window.partitionBy("dominated_by_count").orderBy("mean_cpa_usd", *CORRIDOR)
-    # Ranked over the one row per corridor left after the aggregate.
-    ranked = counted.withColumns({
-        "pareto_frontier_rank": F.dense_rank().over(Window.orderBy("dominated_by_count")),
-        "prev_cpa": F.lag("mean_cpa_usd").over(layer),
-        "prev_yield": F.lag("mean_conversion_yield").over(layer),
-    })
+    counted = cut_lineage(counted)
+    layers = with_positions(counted.select("dominated_by_count").distinct(), ["dominated_by_count"], "pareto_frontier_rank")
+    along = Running(key=["dominated_by_count"], order=["mean_cpa_usd", *CORRIDOR],
+                    previous={"prev_cpa": "mean_cpa_usd", "prev_yield": "mean_conversion_yield"})
+    ranked = run_ordered(counted, along).join(layers, "dominated_by_count")
     extra_cost = F.col("mean_cpa_usd") - F.col("prev_cpa")
     extra_yield = F.col("mean_conversion_yield") - F.col("prev_yield")
     return ranked.select(

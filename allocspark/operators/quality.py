@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, functions as F
 
 from allocspark import schemas
@@ -97,6 +99,56 @@ def missing_references(child: DataFrame, parent: DataFrame, key: str) -> DataFra
     return child.filter(F.col(key).isNotNull()).join(parent.select(key).distinct(), key, "left_anti")
 
 
+#: The declared keys: constraint -> (table, columns).
+DECLARED_KEYS = {
+    "campaign_master_pkey": ("campaign_master", ["campaign_id"]),
+    "channel_corridor_registry_pkey": ("channel_corridor_registry", ["corridor_id"]),
+    "uq_channel_corridor": ("channel_corridor_registry", schemas.CORRIDOR),
+    "pk_sourcing_telemetry": ("sourcing_telemetry", ["event_timestamp", "telemetry_id"]),
+    "optimization_runs_audit_pkey": ("optimization_runs_audit", ["run_id"]),
+}
+#: The declared references: constraint -> (table, column, parent table, parent column).
+DECLARED_REFERENCES = {
+    "sourcing_telemetry_campaign_id_fkey": ("sourcing_telemetry", "campaign_id", "campaign_master", "campaign_id"),
+    "optimization_runs_audit_campaign_id_fkey": ("optimization_runs_audit", "campaign_id", "campaign_master", "campaign_id"),
+}
+
+
+def _key_text(columns: list[str]):
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+
+
+def broken_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """(constraint_name, key_value, copies): values that rows of a table with a declared key share. A key
+    with a null column isn't compared.
+
+    All tables go through one aggregate over (constraint, key), which counts on the map side first, so
+    neither a large table nor a value that many rows share gathers anywhere.
+    """
+    keys = [
+        tables[table].dropna(subset=columns).select(F.lit(name).alias("constraint_name"), _key_text(columns).alias("key_value"))
+        for name, (table, columns) in DECLARED_KEYS.items() if table in tables
+    ]
+    every = functools.reduce(DataFrame.unionByName, keys)
+    return every.groupBy("constraint_name", "key_value").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+
+
+def broken_references(tables: dict[str, DataFrame]) -> DataFrame:
+    """(constraint_name, key_value, child_rows): values without a parent row, and how many rows hold them.
+
+    Children are counted by value before they meet the parents, so a value that a third of the rows
+    hold is one row of the join.
+    """
+    found = []
+    for name, (table, column, parent, parent_column) in DECLARED_REFERENCES.items():
+        if table in tables and parent in tables:
+            held = tables[table].where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("key_value")).agg(
+                F.count(F.lit(1)).alias("child_rows"))
+            known = tables[parent].select(F.col(parent_column).cast("string").alias("key_value")).distinct()
+            found.append(held.join(known, "key_value", "left_anti").select(F.lit(name).alias("constraint_name"), "key_value", "child_rows"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def dataset_profile(observations: DataFrame) -> DataFrame:
     """Rows, nulls and bounds of the raw telemetry in one pass."""
     columns = ["cost_per_applicant_usd", "max_channel_capacity_applicants", "interview_yield_rate",

@@ -43,6 +43,11 @@ def allocation_rollup(lines: DataFrame) -> DataFrame:
     )
 
 
+#: The reports' orders: ascending SQL expressions.
+ROLLUP_ORDER = ["campaign_id", "dimension", "member"]
+SCHEDULE_ORDER = ["campaign_id", "-allocated_budget_usd", "-expected_hires", *OBSERVED_CORRIDOR]
+
+
 def sorted_rollup(rollup: DataFrame) -> DataFrame:
     return rollup.orderBy("campaign_id", "dimension", "member")
 

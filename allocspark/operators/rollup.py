@@ -17,21 +17,29 @@ def registered_only(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     return telemetry.join(campaigns.select("campaign_id"), "campaign_id", "left_semi")
 
 
-def moving_means(telemetry: DataFrame, days: int = 7) -> DataFrame:
-    """Mean cost and yield per corridor over the closed span [t - days, t], one row per instant.
-
-    Rows of one instant are peers of a RANGE frame, so they are summed first. Each instant
-    then enters the span at t and leaves it after t + days; the moving total is the running
-    total of entries minus exits, which needs no wide frame and no self-join. Nulls are left
-    out of sums and counts; a span of nulls alone has no mean.
-    """
-    instants = telemetry.groupBy(*CORRIDOR, "event_timestamp").agg(
+def instant_sums(telemetry: DataFrame) -> DataFrame:
+    """Sums and counts per (corridor, instant): rows of one instant are peers of a RANGE frame."""
+    return telemetry.groupBy(*CORRIDOR, "event_timestamp").agg(
         F.sum("cost_per_applicant_usd").alias("cost_sum"),
         F.sum("overall_conversion_yield").alias("yield_sum"),
         F.count("cost_per_applicant_usd").alias("costs"),
         F.count("overall_conversion_yield").alias("yields"),
         F.count(F.lit(1)).alias("observations"),
     )
+
+
+def moving_means(telemetry: DataFrame, days: int = 7) -> DataFrame:
+    """Mean cost and yield per corridor over the closed span [t - days, t], one row per instant."""
+    return moving_means_of(instant_sums(telemetry), days)
+
+
+def moving_means_of(instants: DataFrame, days: int = 7) -> DataFrame:
+    """The moving means from the sums of ``instant_sums``.
+
+    Each instant enters the span at t and leaves it after t + days; the moving total is the running
+    total of entries minus exits, which needs no wide frame and no self-join. Nulls are left
+    out of sums and counts; a span of nulls alone has no mean.
+    """
     entering = F.struct(
         F.col("event_timestamp").alias("at"), F.lit(0).alias("leaves"),
         F.col("cost_sum").alias("d_cost"), F.col("yield_sum").alias("d_yield"),
@@ -91,22 +99,21 @@ def percentile_of_ranked(value: Column, fraction: float) -> Column:
     return below + (above - below) * F.max(place - F.floor(place))
 
 
-def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """One row per (day, corridor): volumes, costs, percentiles, moving means and tier.
+CELL = ["snapshot_date", *CORRIDOR]
 
-    No day or corridor, however large, is gathered row by row: rows are first summed per
-    (day, corridor, cost), which is all the exact percentile needs, and campaigns are
-    counted over distinct (day, corridor, campaign) triples. The needed columns are settled
-    once, as three passes read them. Means and percentiles leave nulls out.
-    """
-    known = cut_lineage(registered_only(telemetry, campaigns).select(
+
+def rollup_rows(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """The columns of known campaigns' telemetry that the rollup reads, with the day."""
+    return registered_only(telemetry, campaigns).select(
         F.to_date("event_timestamp").alias("snapshot_date"), "campaign_id", *CORRIDOR, "event_timestamp",
         "cost_per_applicant_usd", "overall_conversion_yield", "allocated_applicants", "allocated_spend_usd",
         "projected_hires",
-    ))
-    cell = ["snapshot_date", *CORRIDOR]
-    cost = F.col("cost_per_applicant_usd")
-    by_cost = known.groupBy(*cell, cost).agg(
+    )
+
+
+def cell_counts(rows: DataFrame) -> DataFrame:
+    """Sums and counts per (day, corridor, cost): all that means and the exact percentile need."""
+    return rows.groupBy(*CELL, "cost_per_applicant_usd").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("allocated_applicants").alias("applicants"),
         F.sum("allocated_spend_usd").alias("spend"),
@@ -114,8 +121,33 @@ def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
         F.sum("overall_conversion_yield").alias("yield_sum"),
         F.count("overall_conversion_yield").alias("yields"),
     )
-    ranked = with_ranks(by_cost, cell, "cost_per_applicant_usd", "n")
-    volumes = ranked.groupBy(*cell).agg(
+
+
+def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame, approximate: bool = False) -> DataFrame:
+    """One row per (day, corridor): volumes, costs, percentiles, moving means and tier.
+
+    No day or corridor, however large, is gathered row by row: rows are first summed per
+    (day, corridor, cost), which is all the exact percentile needs, and campaigns are
+    counted over distinct (day, corridor, campaign) triples. The needed columns are settled
+    once, as three passes read them. Means and percentiles leave nulls out. With ``approximate`` the
+    campaigns and the percentile are estimated from sketches instead, in one narrow pass.
+    """
+    rows = cut_lineage(rollup_rows(telemetry, campaigns))
+    if approximate:
+        from allocspark.operators import sketches
+
+        estimates = sketches.estimated(sketches.sketched(rows, CELL), 0.95)
+        return assembled_rollup(cell_counts(rows), None, instant_sums(rows), estimates)
+    return assembled_rollup(cell_counts(rows), rows.select(*CELL, "campaign_id").distinct(), instant_sums(rows))
+
+
+def assembled_rollup(by_cost: DataFrame, members: DataFrame | None, instants: DataFrame, estimates: DataFrame | None = None) -> DataFrame:
+    """The rollup from its mergeable parts: ``cell_counts``, distinct (day, corridor, campaign) rows and
+    ``instant_sums``; or with campaigns and percentiles from ``estimates``."""
+    cost = F.col("cost_per_applicant_usd")
+    exact = estimates is None
+    counted = with_ranks(by_cost, CELL, "cost_per_applicant_usd", "n") if exact else by_cost
+    volumes = counted.groupBy(*CELL).agg(
         F.sum("applicants").alias("total_applicants_acquired"),
         F.sum("spend").alias("total_spend_usd"),
         F.sum("hires").alias("total_projected_hires"),
@@ -123,12 +155,13 @@ def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
         F.sum("yield_sum").alias("yield_sum"),
         F.sum(F.when(cost.isNotNull(), F.col("n"))).alias("costs"),
         F.sum("yields").alias("yields"),
-        percentile_of_ranked(cost, 0.95).alias("p95"),
+        *([percentile_of_ranked(cost, 0.95).alias("p95")] if exact else []),
     )
-    active = known.groupBy(*cell).agg(F.count_distinct("campaign_id").alias("active_campaigns_count"))
-    daily = volumes.join(active, cell)
+    active = members.groupBy(*CELL).agg(F.count("campaign_id").alias("active_campaigns_count")) if exact else estimates.select(
+        *CELL, F.col("campaigns").alias("active_campaigns_count"), F.col("cost_quantile").alias("p95"))
+    daily = volumes.join(active, CELL)
     smoothed = (
-        moving_means(known)
+        moving_means_of(instants)
         .groupBy(F.to_date("event_timestamp").alias("snapshot_date"), *CORRIDOR)
         .agg(
             weighted_mean("moving_cpa_usd", "observations").alias("rolling_cpa"),
@@ -136,7 +169,7 @@ def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
         )
     )
     spend, hires = F.col("total_spend_usd"), F.col("total_projected_hires")
-    measured = daily.join(smoothed, cell).select(
+    measured = daily.join(smoothed, CELL).select(
         F.date_format("snapshot_date", "yyyy-MM-dd").alias("snapshot_date"), *CORRIDOR,
         "active_campaigns_count", "total_applicants_acquired", "total_spend_usd", "total_projected_hires",
         rounded(ratio(F.col("cost_sum"), F.col("costs")), 2).alias("mean_cpa_usd"),
@@ -153,6 +186,10 @@ def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     )
 
 
+#: The report's order, as ascending SQL expressions: newest day first, then highest spend.
+REPORT_ORDER = ["datediff(date'1970-01-01', snapshot_date)", "-total_spend_usd", *CORRIDOR]
+
+
 def ranked_rollup(rollup: DataFrame) -> DataFrame:
     """Report order: newest day first, then highest spend."""
     return rollup.orderBy(F.desc("snapshot_date"), F.desc("total_spend_usd"), *CORRIDOR)

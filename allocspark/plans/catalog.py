@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from allocspark import schemas
 from allocspark.operators import (
     allocation, anomalies, attribution, cohorts, corridors, elasticity, pareto, quality, reporting,
-    rollup, saturation,
+    rollup, saturation, sketches,
 )
-from allocspark.session import ensure_checkpoint_dir
-from allocspark.sources import fixtures
-from allocspark.sources.readers import read_parquet
+from allocspark.operators.ordered import with_positions
+from allocspark.session import cut_lineage, ensure_checkpoint_dir
+from allocspark.sources import fixtures, rollup_store, writers
+from allocspark.sources.readers import quarter_of, read_parquet, read_table
 from allocspark.streaming import jobs
 from allocspark.streaming.alarms import cost_surge_alarms
 
@@ -77,6 +80,60 @@ def efficiency_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivered(rollup.ranked_rollup(daily))
 
 
+def rollup_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily rollup after two refreshes that each read their own rows only, and a repeated one."""
+    telemetry, campaigns = fixtures.sourcing_telemetry(spark, sf_dir), fixtures.campaign_master(spark, sf_dir)
+    late = F.expr("event_timestamp >= timestamp'1998-01-01' or pmod(hash(telemetry_id), 10) = 0")
+    root = _scratch(spark, "rollup")
+    rollup_store.refresh(spark, root, "first", telemetry.where(~late), campaigns)
+    rollup_store.refresh(spark, root, "second", telemetry.where(late), campaigns)
+    rollup_store.refresh(spark, root, "second", telemetry.where(late), campaigns)
+    return delivered(rollup_store.read_rollup(spark, root))
+
+
+def reach_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaigns per corridor and quarter from daily sketches of two halves, beside the exact count."""
+    telemetry = fixtures.sourcing_telemetry(spark, sf_dir).withColumn("snapshot_date", F.to_date("event_timestamp"))
+    halves = [sketches.sketched(telemetry.where(F.expr(f"pmod(hash(telemetry_id), 2) = {i}")), rollup.CELL) for i in range(2)]
+    quarter = quarter_of(F.col("snapshot_date")).alias("quarter")
+    estimates = sketches.estimated(sketches.merged(halves[0].unionByName(halves[1]), [quarter, *schemas.CORRIDOR]), 0.5)
+    exact = telemetry.groupBy(quarter, *schemas.CORRIDOR).agg(F.count_distinct("campaign_id").alias("active_campaigns"))
+    # Four standard errors and one campaign.
+    close = F.abs(F.col("campaigns") - F.col("active_campaigns")) <= 1 + 4 * sketches.HLL_ERROR * F.col("active_campaigns")
+    return exact.join(estimates, ["quarter", *schemas.CORRIDOR]).select(
+        "quarter", *schemas.CORRIDOR, "active_campaigns", F.col("n_rows").alias("observations"), close.alias("estimate_in_bounds"))
+
+
+def quantile_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost quantiles per corridor from daily sketches: whether their ranks lie within the stated error."""
+    telemetry = fixtures.sourcing_telemetry(spark, sf_dir).withColumn("snapshot_date", F.to_date("event_timestamp"))
+    fractions = (0.05, 0.5, 0.95, 0.99)
+    estimates = sketches.estimated(sketches.merged(sketches.sketched(telemetry, rollup.CELL), schemas.CORRIDOR), *fractions).select(
+        *schemas.CORRIDOR, "cost_quantiles")
+    cost = F.col("cost_per_applicant_usd").cast("double")
+    # One row a corridor of the closed domains.
+    ranked = telemetry.join(F.broadcast(estimates), schemas.CORRIDOR).groupBy(*schemas.CORRIDOR).agg(
+        F.count(cost).alias("observations"),
+        *[F.count_if(cost < F.col("cost_quantiles")[i]).alias(f"below_{i}") for i in range(len(fractions))],
+        *[F.count_if(cost <= F.col("cost_quantiles")[i]).alias(f"upto_{i}") for i in range(len(fractions))])
+    slack = 3 * sketches.KLL_RANK_ERROR * F.col("observations") + 1
+    near = [(F.col(f"below_{i}") <= f * F.col("observations") + slack) & (F.col(f"upto_{i}") >= f * F.col("observations") - slack)
+            for i, f in enumerate(fractions)]
+    return ranked.select(*schemas.CORRIDOR, "observations", *[n.alias(f"p{round(100 * f)}_in_bounds") for n, f in zip(near, fractions)])
+
+
+def quarter_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry of first quarters, read back from folders by quarter that a joined dimension prunes."""
+    path = _scratch(spark, "quarters")
+    writers.write_telemetry_by_quarter(fixtures.sourcing_telemetry(spark, sf_dir), path)
+    quarters = spark.range(1990 * 4, 2030 * 4).select(
+        F.expr("concat(id div 4, 'Q', id % 4 + 1)").alias("event_quarter"), F.expr("id % 4 + 1").alias("number"))
+    stored = read_parquet(spark, path)
+    joined = stored.join(F.broadcast(quarters.where("number = 1")), "event_quarter")  # 40 rows
+    return delivered(joined.groupBy("event_quarter", "channel_name").agg(
+        F.count(F.lit(1)).alias("observations"), F.sum("allocated_spend_usd").alias("total_spend_usd")))
+
+
 def pareto_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     frontier = pareto.pareto_frontier(fixtures.sourcing_telemetry(spark, sf_dir))
     return delivered(pareto.ranked_frontier(frontier))
@@ -232,6 +289,39 @@ def strained_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(allocation.plan_totals(plan), applicants=4, spend_usd=4)
 
 
+def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of the budget-only plan, written twice by one job and read back."""
+    root = _scratch(spark, "audit")
+    results = allocation.campaign_results(_budget_only(spark, sf_dir))
+    for _ in range(2):
+        writers.append_run_audit(results, f"{root}/optimization_runs_audit", "budget-only")
+    return delivered(read_table(spark, root, "optimization_runs_audit").drop("executed_at").withColumn(
+        "campaign_id", F.col("campaign_id").cast("bigint")))
+
+
+def report_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in the four sorted reports."""
+    daily = rollup.efficiency_rollup(fixtures.sourcing_telemetry(spark, sf_dir), fixtures.campaign_master(spark, sf_dir))
+    metrics = cut_lineage(_metrics(spark, sf_dir))
+    program = allocation.corridor_program(metrics)
+    plan = cut_lineage(allocation.integer_allocations(allocation.greedy_plan(
+        allocation.pro_rata(fixtures.campaign_master(spark, sf_dir), program), program)))
+    lines, every = allocation.allocation_lines(plan), allocation.allocation_lines(plan, keep_zero=True)
+    reports = {
+        "corridors": with_positions(metrics, corridors.REPORT_ORDER),
+        "daily_rollup": with_positions(daily, rollup.REPORT_ORDER),
+        "allocation_rollup": with_positions(reporting.allocation_rollup(lines), reporting.ROLLUP_ORDER),
+        "allocation_schedule": with_positions(reporting.allocation_schedule(every, metrics), reporting.SCHEDULE_ORDER),
+    }
+    keys = {
+        "corridors": corridors.OBSERVED_CORRIDOR, "daily_rollup": ["snapshot_date", *schemas.CORRIDOR],
+        "allocation_rollup": ["campaign_id", "dimension", "member"], "allocation_schedule": ["campaign_id", *corridors.OBSERVED_CORRIDOR],
+    }
+    parts = [df.select(F.lit(name).alias("report"), F.concat_ws("|", *keys[name]).alias("row_key"), "report_position")
+             for name, df in reports.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # ---------------------------------------------------------------- anomalies and alarms
 
 
@@ -302,12 +392,49 @@ def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sourcing_telemetry": (fixtures.sourcing_telemetry(spark, sf_dir), quality.TELEMETRY_RULES),
         "campaign_master": (fixtures.campaign_master(spark, sf_dir), quality.CAMPAIGN_RULES),
         "corridor_units": (_metrics(spark, sf_dir), quality.CORRIDOR_UNIT_RULES),
+        "channel_corridor_registry": (fixtures.channel_corridor_registry(spark), quality.REGISTRY_RULES),
+        # Rows that break rules: free and negative costs, unknown channels, no campaign.
+        "strained_telemetry": (_strained_telemetry(spark, sf_dir), quality.TELEMETRY_RULES),
     }
     parts = [
         quality.rule_profile(table, rules).select(F.lit(name).alias("table_name"), "rule_name", "rows_read", "rows_failed")
         for name, (table, rules) in tables.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _strained_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry with faults by rule of its applicants and campaign."""
+    case, campaign = F.col("allocated_applicants") % 10, F.col("campaign_id")
+    return fixtures.sourcing_telemetry(spark, sf_dir).withColumns({
+        "cost_per_applicant_usd": F.when(case == 1, 0).when(case == 2, -F.col("cost_per_applicant_usd")).when(case != 3, F.col("cost_per_applicant_usd")),
+        "channel_name": F.when(case == 4, "Carrier Pigeon").otherwise(F.col("channel_name")),
+        "campaign_id": F.when(case == 5, None).when(case == 6, -campaign).otherwise(campaign),
+        "projected_hires": F.when(case == 7, -1 - F.col("projected_hires")).otherwise(F.col("projected_hires")),
+    })
+
+
+def _strained_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Tables with repeated keys and unknown campaigns, by rule."""
+    campaigns, telemetry = fixtures.campaign_master(spark, sf_dir), _strained_telemetry(spark, sf_dir)
+    registry = fixtures.channel_corridor_registry(spark)
+    again = F.expr("allocated_applicants % 25 = 0")
+    return {
+        "campaign_master": campaigns.unionByName(campaigns.where("campaign_id % 50 = 0")),
+        "channel_corridor_registry": registry.unionByName(registry.where("region = 'APAC'").withColumn("corridor_id", F.concat("corridor_id", F.lit("+")))),
+        "sourcing_telemetry": telemetry.unionByName(telemetry.where(again)),
+        "optimization_runs_audit": campaigns.select(F.expr("campaign_id div 2").alias("run_id"), F.expr("campaign_id * 3").alias("campaign_id")),
+    }
+
+
+def dq_declared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of declared keys that more than one row holds."""
+    return quality.broken_keys(_strained_tables(spark, sf_dir))
+
+
+def dq_declared_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of declared references without a parent row."""
+    return quality.broken_references(_strained_tables(spark, sf_dir))
 
 
 # Stricter rules than the tables declare, so that real rows fail and are set aside.
@@ -344,12 +471,13 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         corridor_metrics, priced_observations, dataset_means, rolling_7d, campaign_cumulative,
-        efficiency_rollup, pareto_frontier, saturation_matrix, elasticity_history, budget_elasticity,
+        efficiency_rollup, rollup_refreshed, reach_estimates, quantile_estimates, quarter_activity, pareto_frontier, saturation_matrix, elasticity_history, budget_elasticity,
         touch_paths, markov_transitions, mta_attribution, cohort_enriched, cohort_matrix,
         naive_allocation, greedy_allocation, greedy_results, greedy_tradeoff, allocation_rollup,
         allocation_measures, allocation_totals, allocation_schedule, executive_variance, kpi_cards,
         constrained_allocation, constrained_results, constrained_tradeoff, allocation_certificate,
-        strained_allocation, anomaly_detect, anomaly_stream, cost_surge_alarm, cost_surge_alarm_stream,
+        strained_allocation, run_audit, report_positions, anomaly_detect, anomaly_stream, cost_surge_alarm, cost_surge_alarm_stream,
         dq_rules, dq_quarantine, dq_duplicates, dq_missing_references, dq_profile,
+        dq_declared_keys, dq_declared_references,
     )
 }

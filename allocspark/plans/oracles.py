@@ -8,8 +8,6 @@ avoid, so the two sides reach the same rows by different ways.
 from __future__ import annotations
 
 from allocspark import schemas
-from allocspark.operators import quality
-from allocspark.plans.catalog import SCREENING_RULES
 
 
 def _fixture_ctes() -> dict[str, str]:
@@ -34,7 +32,7 @@ def _fixture_ctes() -> dict[str, str]:
   from customer c join orders o on o.o_custkey=c.c_custkey group by c.c_custkey,c.c_name,c.c_acctbal""",
         "channel_corridor_registry": """select concat(channel_name,'|',region,'|',seniority) as corridor_id,
   channel_name, region, seniority, cast(cb*rm*sm as decimal(8,2)) as baseline_cpa_usd,
-  cap as saturation_capacity, cast(s1*ym as decimal(6,4)) as expected_interview_yield
+  cap as saturation_capacity, cast(s1*ym as decimal(6,4)) as expected_interview_yield, 0.36 as expected_offer_acceptance
   from dim_channel cross join (select distinct region,rm from dim_region) r cross join dim_seniority""",
         "base_line": """select
   concat_ws('-',l_orderkey,l_linenumber,l_partkey,l_suppkey,cast(cast(l_shipdate as date) as varchar(10))) as telemetry_id,
@@ -592,32 +590,83 @@ def _streams() -> dict[str, str]:
     }
 
 
+# The constraints as the tables declare them: what a valid row meets.
+IN_DOMAIN = {
+    "channel": "('Programmatic Job Boards', 'Direct AI Sourcing', 'Sponsored Campaigns', 'Talent Network Pool', 'Executive Headhunting')",
+    "region": "('LATAM', 'EMEA', 'North America', 'APAC')",
+    "seniority": "('Junior Specialist', 'Mid-Level Engineer', 'Senior Lead', 'Staff Architect')",
+}
+
+
+def _checks() -> dict[str, dict[str, str]]:
+    def domains(channel: str) -> dict[str, str]:
+        return {"channel_in_domain": f"{channel} in {IN_DOMAIN['channel']}", "region_in_domain": f"region in {IN_DOMAIN['region']}",
+                "seniority_in_domain": f"seniority in {IN_DOMAIN['seniority']}"}
+
+    telemetry = {
+        "campaign_present": "campaign_id is not null", "event_time_present": "event_timestamp is not null",
+        "cost_positive": "cost_per_applicant_usd > 0", "applicants_not_negative": "allocated_applicants >= 0",
+        "spend_not_negative": "allocated_spend_usd >= 0", "interview_rate_not_negative": "interview_yield_rate >= 0",
+        "offer_rate_not_negative": "offer_acceptance_rate >= 0", "yield_not_negative": "overall_conversion_yield >= 0",
+        "hires_not_negative": "projected_hires >= 0", **domains("channel_name")}
+    return {
+        "sourcing_telemetry": telemetry,
+        "strained_telemetry": telemetry,
+        "campaign_master": {
+            "campaign_id_present": "campaign_id is not null and length(campaign_id::varchar) <= 64",
+            "client_name_length": "length(client_name) >= 2 and length(client_name) <= 128", "budget_positive": "total_budget_usd > 0",
+            "target_hires_positive": "target_hires > 0", "senior_quota_not_negative": "min_senior_hires >= 0",
+            "cph_target_positive": "max_cph_target_usd > 0",
+            "diversity_share_in_range": "regional_diversity_min_pct >= 0 and regional_diversity_min_pct <= 0.5"},
+        "channel_corridor_registry": {
+            "corridor_id_length": "corridor_id <> '' and length(corridor_id) <= 64", "baseline_positive": "baseline_cpa_usd > 0",
+            "capacity_positive": "saturation_capacity > 0", "interview_yield_positive": "expected_interview_yield > 0",
+            "offer_acceptance_positive": "expected_offer_acceptance > 0", **domains("channel_name")},
+        "corridor_units": {
+            "cost_positive": "cost > 0", "capacity_positive": "cap > 0", "interview_rate_in_unit_interval": "interview > 0 and not interview > 1",
+            "offer_rate_in_unit_interval": "offer > 0 and not offer > 1", **domains("channel")},
+    }
+
+
 def _quality() -> dict[str, str]:
-    def profile(table: str, source: str, rules: dict[str, str]) -> str:
-        return " union all ".join(
-            f"select '{table}' as table_name, '{name}' as rule_name, count(*) as rows_read,"
-            f" count(*) filter (where not coalesce(({rule.replace('as string', 'as varchar')}), false)) as rows_failed from {source}"
-            for name, rule in rules.items()
-        )
-
-    named = METRICS | {"corridor_units": """select *, cost as cost_per_applicant_usd, cap as max_channel_capacity_applicants,
-  interview as interview_yield_rate, offer as offer_acceptance_rate from units"""}
-    failed = ", ".join(
-        f"case when not coalesce(({rule}), false) then '{name}' end" for name, rule in SCREENING_RULES.items())
+    strained = {"strained_telemetry": """select * replace (
+    case allocated_applicants % 10 when 1 then 0 when 2 then -cost_per_applicant_usd when 3 then null else cost_per_applicant_usd end as cost_per_applicant_usd,
+    case when allocated_applicants % 10 = 4 then 'Carrier Pigeon' else channel_name end as channel_name,
+    case allocated_applicants % 10 when 5 then null when 6 then -campaign_id else campaign_id end as campaign_id,
+    case when allocated_applicants % 10 = 7 then -1 - projected_hires else projected_hires end as projected_hires) from sourcing_telemetry"""}
+    units = METRICS | {"corridor_units": "select * from units"}
+    counts = " union all ".join(
+        f"select '{table}' as table_name, '{name}' as rule_name, count(*) as rows_read, count(*) - count(*) filter (where {rule}) as rows_failed from {table}"
+        for table, rules in _checks().items() for name, rule in rules.items())
     measures = ["cost_per_applicant_usd", "max_channel_capacity_applicants", "interview_yield_rate",
                 "offer_acceptance_rate", "overall_conversion_yield"]
     columns = ["allocation_id", "channel", "region", "seniority", *measures, "is_active_corridor", "event_timestamp"]
     nulls = " + ".join(f"cast({c} is null as int)" for c in columns)
+    copies = "group by 1, 2 having count(*) > 1"
+    moment = "strftime(event_timestamp, '%Y-%m-%d %H:%M:%S')"
     return {
-        "dq_rules": _with(["sourcing_telemetry", "campaign_master", "raw_observations"], named, " union all ".join([
-            profile("sourcing_telemetry", "sourcing_telemetry", quality.TELEMETRY_RULES),
-            profile("campaign_master", "campaign_master", quality.CAMPAIGN_RULES),
-            profile("corridor_units", "corridor_units", quality.CORRIDOR_UNIT_RULES)])),
-        "dq_quarantine": _with(["sourcing_telemetry"], {"checked": f"select telemetry_id, concat_ws(',', {failed}) as failed_rules from sourcing_telemetry"},
+        "dq_rules": _with(["sourcing_telemetry", "campaign_master", "channel_corridor_registry", "raw_observations"], units | strained, counts),
+        "dq_quarantine": _with(["sourcing_telemetry"], {"checked": """select telemetry_id, concat_ws(',',
+    case when cost_per_applicant_usd <= 100 then null else 'cost_at_most_100' end,
+    case when overall_conversion_yield > 0.005 then null else 'yield_above_collapse' end,
+    case when projected_hires > 0 then null else 'some_hire_expected' end) as failed_rules from sourcing_telemetry"""},
                                "select telemetry_id, failed_rules from checked where failed_rules <> ''"),
         "dq_duplicates": "select l_orderkey, l_linenumber, count(*) as copies from lineitem group by 1, 2 having count(*) > 1",
         "dq_missing_references": """select c_custkey as campaign_id, c_name from customer
   where c_custkey not in (select o_custkey from orders where o_custkey is not null)""",
+        # Each repeated row is one that the rule of the strained tables takes a second time.
+        "dq_declared_keys": _with(["sourcing_telemetry", "campaign_master", "channel_corridor_registry"], strained, f"""
+  select 'campaign_master_pkey' as constraint_name, campaign_id::varchar as key_value, 2::bigint as copies from campaign_master where campaign_id % 50 = 0
+  union all select 'uq_channel_corridor', concat(channel_name, '|', region, '|', seniority), 2 from channel_corridor_registry where region = 'APAC'
+  union all select 'pk_sourcing_telemetry', concat({moment}, '|', telemetry_id), sum(if(allocated_applicants % 25 = 0, 2, 1))::bigint as copies
+    from strained_telemetry where event_timestamp is not null and telemetry_id is not null group by 1, 2 having copies > 1
+  union all select 'optimization_runs_audit_pkey', (campaign_id // 2)::varchar, count(*) from campaign_master {copies}"""),
+        "dq_declared_references": _with(["sourcing_telemetry", "campaign_master"], strained, """
+  select 'sourcing_telemetry_campaign_id_fkey' as constraint_name, t.campaign_id::varchar as key_value,
+    sum(if(allocated_applicants % 25 = 0, 2, 1))::bigint as child_rows
+  from strained_telemetry t where t.campaign_id is not null and t.campaign_id not in (select campaign_id from campaign_master) group by 1, 2
+  union all select 'optimization_runs_audit_campaign_id_fkey', (3 * campaign_id)::varchar, count(*)
+  from campaign_master where 3 * campaign_id not in (select campaign_id from campaign_master) group by 1, 2"""),
         "dq_profile": _with(["raw_observations"], {}, f"""select count(*) as rows_read, cast(sum({nulls}) as bigint) as null_values,
   {", ".join(f"{_f(f'min({m})')} as min_{m}, {_f(f'max({m})')} as max_{m}" for m in measures)},
   count(*) filter (where cost_per_applicant_usd <= 0) as cost_not_positive,
@@ -626,6 +675,34 @@ def _quality() -> dict[str, str]:
     }
 
 
+def _stored(known: dict[str, str]) -> dict[str, str]:
+    """Statements over what sinks and sketches give back, from those of the reports."""
+    quarter = "concat(year(event_timestamp), 'Q', quarter(event_timestamp))"
+    places = {
+        "corridors": (known["corridor_metrics"], O3, O3),
+        "daily_rollup": (known["efficiency_rollup"], f"snapshot_date desc, total_spend_usd desc, {C3}", f"snapshot_date, {C3}"),
+        "allocation_rollup": (known["allocation_rollup"], "campaign_id, dimension, member", "campaign_id, dimension, member"),
+        "allocation_schedule": (known["allocation_schedule"], f"campaign_id, allocated_budget_usd desc, expected_hires desc, {O3}", f"campaign_id, {O3}"),
+    }
+    return {
+        "rollup_refreshed": known["efficiency_rollup"],
+        "reach_estimates": _with(["sourcing_telemetry"], {}, f"""select {quarter} as quarter, {C3}, count(distinct campaign_id) as active_campaigns,
+  count(*) as observations, true as estimate_in_bounds from sourcing_telemetry group by 1, {C3}"""),
+        "quantile_estimates": _with(["sourcing_telemetry"], {}, f"""select {C3}, count(cost_per_applicant_usd) as observations,
+  true as p5_in_bounds, true as p50_in_bounds, true as p95_in_bounds, true as p99_in_bounds from sourcing_telemetry group by {C3}"""),
+        "quarter_activity": _with(["sourcing_telemetry"], {}, f"""select {quarter} as event_quarter, channel_name, count(*) as observations,
+  {_f('sum(allocated_spend_usd)')} as total_spend_usd from sourcing_telemetry where quarter(event_timestamp) = 1 group by 1, 2"""),
+        "run_audit": f"""select sha256(concat('budget-only|', campaign_id)) as run_id, campaign_id, solver_status, total_budget_usd,
+  total_budget_allocated_usd as allocated_budget_usd, budget_utilization_pct, total_projected_hires as projected_hires,
+  blended_cost_per_hire_usd, naive_heuristic_hires, efficiency_gain_pct, cast(null as double) as solve_time_ms
+  from ({known['greedy_results']})""",
+        "report_positions": " union all ".join(
+            f"select '{name}' as report, concat_ws('|', {key}) as row_key, cast(row_number() over (order by {order}) as int) as report_position from ({sql})"
+            for name, (sql, order, key) in places.items()),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     """Statement per query."""
-    return {**_corridors(), **_windows(), **_matrices(), **_paths(), **_cohorts(), **_allocations(), **_streams(), **_quality()}
+    known = {**_corridors(), **_windows(), **_matrices(), **_paths(), **_cohorts(), **_allocations(), **_streams(), **_quality()}
+    return known | _stored(known)

@@ -18,9 +18,6 @@ REGIONS = ["LATAM", "EMEA", "North America", "APAC"]
 SENIORITIES = ["Junior Specialist", "Mid-Level Engineer", "Senior Lead", "Staff Architect"]
 SENIOR_LEVELS = ["Senior Lead", "Staff Architect"]
 
-# Upper bound on corridors that follows from the closed domains; used as broadcast proof.
-MAX_CORRIDORS = len(CHANNELS) * len(REGIONS) * len(SENIORITIES)
-
 
 # Parquet telemetry as delivered: event time is text and is parsed by the reader.
 RAW_OBSERVATIONS = T.StructType([
@@ -107,6 +104,7 @@ OPTIMIZATION_RUNS_AUDIT = T.StructType([
     T.StructField("blended_cost_per_hire_usd", T.DecimalType(14, 2)),
     T.StructField("naive_heuristic_hires", T.DecimalType(14, 2)),
     T.StructField("efficiency_gain_pct", T.DecimalType(14, 2)),
+    T.StructField("solve_time_ms", T.DecimalType(8, 2)),
     T.StructField("executed_at", T.TimestampType()),
 ])
 

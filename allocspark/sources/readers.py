@@ -52,7 +52,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = schemas.TABLES[table]
     if table == "sourcing_telemetry":
         schema = T.StructType(schema.fields + [T.StructField("event_quarter", T.StringType())])
-    return read_parquet(spark, f"{root.rstrip('/')}/{table}", schema)
+    return read_parquet(spark, f"{root.rstrip('/')}/{table}", schema).select(*schema.fieldNames())
 
 
 def read_jdbc_table(

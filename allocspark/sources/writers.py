@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,16 +70,22 @@ def _remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def append_run_audit(results: DataFrame, path: str) -> None:
-    """Append one audit row per campaign result, with a fresh run id and execution time."""
+def append_run_audit(results: DataFrame, path: str, job_key: str) -> None:
+    """Audit rows of a job's campaign results, in a folder of the job that is written as a whole.
+
+    The run id is a function of job and campaign, so a job that is run again replaces its own rows
+    and no others. ``solve_time_ms`` is null: campaigns are solved side by side, none has a time.
+    """
     audit = results.withColumns({
-        "run_id": F.expr("uuid()"),
+        "run_id": F.sha2(F.concat_ws("|", F.lit(job_key), F.col("campaign_id").cast("string")), 256),
         "campaign_id": F.col("campaign_id").cast("string"),
         "allocated_budget_usd": F.col("total_budget_allocated_usd"),
         "projected_hires": F.col("total_projected_hires"),
+        "solve_time_ms": F.lit(None),
         "executed_at": F.current_timestamp(),
     })
-    _conform(audit, schemas.OPTIMIZATION_RUNS_AUDIT).write.mode("append").parquet(path)
+    folder = f"{path.rstrip('/')}/job={quote(job_key, safe='')}"
+    _conform(audit, schemas.OPTIMIZATION_RUNS_AUDIT).write.mode("overwrite").parquet(folder)
 
 
 def append_anomaly_log(alerts: DataFrame, path: str, mode: str = "append") -> None:
@@ -96,9 +103,3 @@ def append_anomaly_log(alerts: DataFrame, path: str, mode: str = "append") -> No
 
 def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema])
-
-
-def load_table_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
-    """Expose tables under their names for SQL users of the session."""
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)

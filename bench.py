@@ -10,10 +10,15 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
+from pyspark.sql import DataFrame, SparkSession
+
+from allocspark.operators import corridors
 from allocspark.plans.catalog import QUERIES
 from allocspark.session import build_session
+from allocspark.sources import fixtures
 
 HEADLINE = [
     "corridor_metrics", "naive_allocation", "greedy_allocation", "constrained_results", "efficiency_rollup",
@@ -22,6 +27,26 @@ HEADLINE = [
 ]
 
 
+def seconds_of(df: DataFrame) -> float:
+    started = time.perf_counter()
+    df.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - started
+
+
+def stored_rates(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Rows a second of the corridor aggregate over stored telemetry, one copy and ten."""
+    rates = {}
+    for copies in (1, 10):
+        path = f"{tempfile.mkdtemp(prefix='bench-')}/telemetry"
+        raw = fixtures.raw_observations(spark, sf_dir)
+        raw.selectExpr("*", f"explode(sequence(1, {copies})) as copy").drop("copy").repartition(32).write.parquet(path)
+        stored = spark.read.schema(raw.schema).parquet(path)
+        rows = stored.count()
+        best = min(seconds_of(corridors.corridor_metrics(stored)) for _ in range(3))
+        rates[f"corridor_rows_per_sec_x{copies}"] = round(rows / best)
+    return rates
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -32,15 +57,16 @@ def main() -> None:
     warm_dir = smallest if os.path.isdir(smallest) else sf_dir
     seconds, extra = {}, {}
     for name in names:
-        QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+        seconds_of(QUERIES[name](spark, warm_dir))
     for name in names:
         started = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        seconds_of(QUERIES[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - started, 3)
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     campaigns = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey").distinct().count()
     if "corridor_metrics" in seconds:
         extra["corridor_rows_per_sec"] = round(rows / seconds["corridor_metrics"])
+        extra["stored"] = stored_rates(spark, sf_dir)
     if "constrained_results" in seconds:
         extra["campaigns_per_sec"] = round(campaigns / seconds["constrained_results"], 1)
     print(json.dumps({

@@ -5,6 +5,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from allocspark import schemas
 from allocspark.operators import allocation as al, anomalies, corridors, rollup
 from allocspark.sources import fixtures, readers, writers
 from allocspark.streaming import jobs
@@ -71,10 +72,11 @@ def test_run_audit(spark, sf_dir, tmp_path):
     baseline = al.pro_rata(fixtures.campaign_master(spark, sf_dir), program)
     results = al.campaign_results(al.integer_allocations(al.greedy_plan(baseline, program)))
     path = str(tmp_path / "optimization_runs_audit")
-    for _ in range(2):
-        writers.append_run_audit(results, path)
+    for job in ("2024-01/main", "2024-01/main", "2024-02"):  # the second run replaces the first
+        writers.append_run_audit(results, path, job)
     audit = readers.read_table(spark, str(tmp_path), "optimization_runs_audit")
     assert audit.count() == 2 * results.count() == audit.select("run_id").distinct().count()
+    assert audit.columns == schemas.OPTIMIZATION_RUNS_AUDIT.fieldNames() and audit.where("solve_time_ms is not null").count() == 0
 
 
 def test_anomaly_stream_equals_batch_and_survives_restart(spark, sf_dir, tmp_path):
