@@ -38,7 +38,7 @@ def dominance_counts(points: DataFrame, cost: str, gain: str) -> DataFrame:
     with at least the own gain finds every dominator once. That is k log k rows for k
     pairs, where a join on the inequalities would pair all of them.
     """
-    pairs = points.groupBy(cost, gain).agg(F.count(F.lit(1)).alias("copies"))
+    pairs = cut_lineage(points.groupBy(cost, gain).agg(F.count(F.lit(1)).alias("copies")))
     ranked = with_positions(pairs, [cost, f"-{gain}"], "rank").withColumn("rank", F.col("rank").cast("long") - 1)
     width = pairs.agg(F.length(F.bin(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)))).alias("width")).scalar()
     levels = ranked.withColumn("level", F.explode(F.sequence(F.lit(0), width - 1))).withColumns({
@@ -57,7 +57,7 @@ def dominance_counts(points: DataFrame, cost: str, gain: str) -> DataFrame:
 
 def pareto_frontier(telemetry: DataFrame, min_applicants: int = MIN_APPLICANTS) -> DataFrame:
     """Dominance count, frontier rank, status and the marginal yield along each frontier."""
-    metrics = lifetime_metrics(telemetry, min_applicants)
+    metrics = cut_lineage(lifetime_metrics(telemetry, min_applicants))  # one row a corridor, read several times
     counts = dominance_counts(metrics, "mean_cpa_usd", "mean_conversion_yield")
     counted = metrics.join(counts, ["mean_cpa_usd", "mean_conversion_yield"])
     counted = cut_lineage(counted)

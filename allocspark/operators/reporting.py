@@ -80,7 +80,7 @@ def executive_variance(results: DataFrame) -> DataFrame:
     """Five measures of each campaign: pro-rata value, optimal value, variance and delta."""
     spend, hires = F.col("total_budget_allocated_usd"), F.col("total_projected_hires")
     naive = F.col("naive_heuristic_hires")
-    # The pro-rata unit cost is shown for the money the optimal plan spends.
+    # The pro-rata unit cost is shown for the money the optimal plan spends. Names of the measures.
     rows = [
         ("Total Campaign Sourcing Budget ($)", spend, spend),
         ("Aggregate Qualified Hires Delivered", naive, hires),

@@ -1,4 +1,4 @@
-"""Readers: explicit schemas, text event times, and the adapters between telemetry shapes."""
+"""Readers: explicit schemas, text event times, event-time ranges that prune quarters."""
 
 from __future__ import annotations
 

@@ -2,11 +2,13 @@
 
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from allocspark.operators import cohorts, rollup
+from allocspark.operators import cohorts, pareto, rollup
 from allocspark.operators.ordered import Running, run_ordered
+from allocspark.sources import fixtures
 from tests.oracle import canonical
 
 
@@ -77,3 +79,25 @@ def test_means_and_percentiles_leave_nulls_out(spark):
     assert [float(day[c]) for c in ("mean_cpa_usd", "rolling_7d_cpa_usd", "p95_cpa_usd", "mean_conversion_yield")] == [
         15.0, 13.33, 19.5, 0.15]
     assert float(day["rolling_7d_yield"]) == 0.125
+
+
+def test_dominance_of_many_pairs_equals_brute_force_on_a_sample(spark):
+    pairs = spark.range(60_000).selectExpr(
+        "cast(pmod(hash(id), 3000) as decimal(10,2)) as cost", "cast(pmod(xxhash64(id), 2500) as decimal(10,2)) as gain")
+    counts = pareto.dominance_counts(pairs, "cost", "gain")
+    rows = {(r.cost, r.gain): r.dominated_by_count for r in counts.collect()}
+    assert len(rows) == pairs.distinct().count()
+    points = np.array([(float(r.cost), float(r.gain)) for r in pairs.collect()])
+    for cost, gain in list(rows)[:300]:
+        c, g = float(cost), float(gain)
+        better = (points[:, 0] <= c) & (points[:, 1] >= g) & ((points[:, 0] < c) | (points[:, 1] > g))
+        assert rows[cost, gain] == better.sum()
+
+
+def test_no_window_without_a_key_sees_all_rows(spark, sf_dir):
+    """Frontier, quartiles and running sums: no stage deals all rows to one task."""
+    telemetry, campaigns = fixtures.sourcing_telemetry(spark, sf_dir), fixtures.campaign_master(spark, sf_dir)
+    cumulative = rollup.campaign_cumulative(telemetry, campaigns)
+    plan = cumulative._jdf.queryExecution().executedPlan().toString()
+    # What is left after the rows are laid out: a join with the broadcast borders, no shuffle of the rows.
+    assert plan.count("SortMergeJoin") == 0 and "BroadcastHashJoin" in plan
