@@ -19,8 +19,6 @@ from allocspark.session import cut_lineage
 
 #: Sampled rows for each chunk; twenty keep a chunk below twice its share of the rows, as a rule.
 SAMPLED = 20
-#: Borders looked through at once.
-STEP = 32
 
 
 @dataclass(frozen=True)
@@ -50,20 +48,14 @@ def with_chunk(df: DataFrame, by: list[str], chunks: int) -> DataFrame:
     ordered = sample.agg(F.array_sort(F.collect_list("at")).alias("at")).select(
         F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)),
                     lambda i: F.get("at", F.floor(i * F.size("at") / chunks).cast("int"))).alias("borders"))
-    # Two levels, so that a row is compared with about two times STEP borders.
-    found = ordered.select(F.struct(
-        "borders", F.expr(f"filter(borders, (b, i) -> i % {STEP} = 0)").alias("coarse")).alias("found"))
-
-    def at_or_before(borders: Column) -> Column:
-        return F.size(F.filter(borders, lambda b: b <= F.col("_place")))
-
-    chunk = F.greatest(F.col("_passed") - 1, F.lit(0)) * STEP
-    return (
-        df.withColumn("_place", place).withColumn("_found", found.scalar())
-        .withColumn("_passed", at_or_before(F.col("_found.coarse")))
-        .withColumn("_chunk", chunk + at_or_before(F.slice(F.col("_found.borders"), chunk + 1, STEP)))
-        .drop("_place", "_found", "_passed")
-    )
+    # Binary search, one comparison a step and no function called per element.
+    placed = df.withColumn("_place", place).withColumn("_borders", ordered.scalar()).withColumn("_chunk", F.lit(0))
+    step = 1 << (chunks - 1).bit_length() - 1
+    while step:
+        further = F.get("_borders", F.col("_chunk") + (step - 1)) <= F.col("_place")
+        placed = placed.withColumn("_chunk", F.col("_chunk") + F.when(further, step).otherwise(0))
+        step //= 2
+    return placed.drop("_place", "_borders")
 
 
 def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
