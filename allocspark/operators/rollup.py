@@ -40,6 +40,7 @@ def moving_means_of(instants: DataFrame, days: int = 7) -> DataFrame:
     total of entries minus exits, which needs no wide frame and no self-join. Nulls are left
     out of sums and counts; a span of nulls alone has no mean.
     """
+    instants = cut_lineage(instants)  # the ordered pass reads it twice, for its borders too
     entering = F.struct(
         F.col("event_timestamp").alias("at"), F.lit(0).alias("leaves"),
         F.col("cost_sum").alias("d_cost"), F.col("yield_sum").alias("d_yield"),
