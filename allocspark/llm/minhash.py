@@ -87,11 +87,6 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(cells, minlength=64 * PARITY_LONGS) & 1).astype(np.uint8)).view(np.int64)
 
 
-def _half(key):
-    """Half of a band key, enough to tell a document's few bands apart."""
-    return key.bitwiseAND(F.lit(2**31 - 1)).cast("int")
-
-
 def _near_enough(a: str, b: str, n_a: str, n_b: str, percent: int, longs: int = PARITY_LONGS):
     """False only for pairs that can't be so similar: sets of the sizes n_a and n_b are if they differ
     in at most (n_a + n_b) * (100 - percent) / (100 + percent) hashes, and they do in one a bit at least."""
@@ -224,16 +219,15 @@ def _components(df: DataFrame, classes: DataFrame, words: int, percent: int, id_
                .where(F.col("most") * 100 >= F.col("n") * percent))
     most = F.least("most_a", "most_b")
     reachable = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    keys = [(F.col("bands_a")[i], F.col("bands_b")[i]) for i in range(len(_BANDS))]
-    first = F.coalesce(*[F.when(x == y, x) for x, y in keys]) == _half(F.col("key"))
-    own = classes.select("node", F.transform("bands", _half).alias("bands"))
+    # A pair is taken once, in that of its common buckets with the smallest key.
+    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
     largest = (bounded.groupBy("key", "component").agg(F.count("*").alias("rows"))
                .groupBy("key").agg(F.max(F.struct("rows", "component")).alias("largest")))
     split = cut_lineage(bounded.join(largest.select("key", F.col("largest.component").alias("main")), "key")
                         .select("key", "node", "n", "component", "main", "most"))
-    close = _by_node(split, "main", kept=("n", "component", "most")).join(sets.select("node", "own_n", "odd").distinct(), "node")
-    close = _spread(close.join(own, "node"), "main")
-    tried = _pairs_across(close, reachable & first & _near_enough("odd_a", "odd_b", "own_n_a", "own_n_b", percent), percent)
+    close = _by_node(split, "main", kept=("n", "component", "most")).withColumn("keys", F.col("places.key"))
+    close = _spread(close.join(sets.select("node", "own_n", "odd").distinct(), "node"), "main")
+    tried = _pairs_across(close, reachable & _near_enough("odd_a", "odd_b", "own_n_a", "own_n_b", percent) & first, percent)
     links = cut_lineage(links.unionByName(_compared(tried, sets, percent)))
     for end in ("a", "b"):
         links = links.join(named.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end)
