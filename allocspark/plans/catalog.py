@@ -15,7 +15,7 @@ from allocspark.operators import (
 )
 from allocspark.operators.ordered import with_positions
 from allocspark.session import cut_lineage, ensure_checkpoint_dir
-from allocspark.sources import fixtures, rollup_store, writers
+from allocspark.sources import adapters, fixtures, rollup_store, writers
 from allocspark.sources.readers import quarter_of, read_parquet, read_table
 from allocspark.streaming import jobs
 from allocspark.streaming.alarms import cost_surge_alarms
@@ -154,6 +154,49 @@ def budget_elasticity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivered(elasticity.ranked_elasticity(summary))
 
 
+# ----------------------------------------------------------------- telemetry of other shapes
+
+
+def _recorded_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign telemetry with the hires recorded so far: the whole ones of those projected."""
+    return fixtures.sourcing_telemetry(spark, sf_dir).withColumns({
+        "actual_hires": F.expr("cast(floor(projected_hires) as int)"), "created_at": F.col("event_timestamp")})
+
+
+def _partial_registry(spark: SparkSession) -> DataFrame:
+    """The registry without some corridors, and with inactive ones."""
+    listed = fixtures.channel_corridor_registry(spark).where("not (region = 'APAC' and seniority = 'Staff Architect')")
+    return listed.withColumn("is_active", F.expr("saturation_capacity < 5000"))
+
+
+def relational_corridors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corridor metrics from campaign telemetry and the registry."""
+    observations = adapters.observations_from_telemetry(_recorded_telemetry(spark, sf_dir), _partial_registry(spark))
+    return delivered(corridors.corridor_metrics(observations))
+
+
+def relational_elasticity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-over-month elasticity from campaign telemetry and the registry."""
+    history = adapters.channel_telemetry_from_telemetry(_recorded_telemetry(spark, sf_dir), _partial_registry(spark))
+    return delivered(elasticity.elasticity_history(history))
+
+
+def observed_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly applications and spend per corridor from observations, whose outcomes nobody knows."""
+    history = adapters.channel_telemetry_from_observations(fixtures.raw_observations(spark, sf_dir), _partial_registry(spark))
+    return delivered(elasticity.monthly_funnel(history))
+
+
+def observed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lifetime spend and hires per corridor of observations that campaigns buy by rule of their capacity."""
+    observations = fixtures.raw_observations(spark, sf_dir)
+    bought = adapters.telemetry_from_observations(
+        observations, F.concat(F.lit("C"), F.col("max_channel_capacity_applicants") % 11), F.col("max_channel_capacity_applicants") % 50)
+    return delivered(bought.groupBy("campaign_id", *schemas.CORRIDOR).agg(
+        F.count(F.lit(1)).alias("observations"), F.sum("allocated_applicants").alias("total_applicants"),
+        F.sum("allocated_spend_usd").alias("total_spend_usd"), F.sum("projected_hires").alias("total_hires")))
+
+
 # -------------------------------------------------------------- attribution and cohorts
 
 
@@ -325,12 +368,15 @@ def report_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- anomalies and alarms
 
 
+# Keys of an alert's payload that are compared as they are.
+PAYLOAD = ["event", "client_name", "channel", "corridor", "cpa_observed", "cpa_baseline",
+           "surge_multiplier", "conversion_yield", "recommended_action"]
+
+
 def _flat_alerts(alerts: DataFrame) -> DataFrame:
-    payload = ["event", "client_name", "channel", "corridor", "cpa_observed", "cpa_baseline",
-               "surge_multiplier", "conversion_yield", "recommended_action"]
     return alerts.select(
         "campaign_id", "channel_name", "region", "seniority", "observed_cpa_usd", "baseline_cpa_usd",
-        "observed_yield", "escalation_tier", *[F.col(f"alert_payload.{name}") for name in payload],
+        "observed_yield", "escalation_tier", *[F.col(f"alert_payload.{name}") for name in PAYLOAD],
     )
 
 
@@ -368,11 +414,15 @@ def anomaly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixtures.campaign_master(spark, sf_dir), f"{work}/log", f"{work}/checkpoint",
     ).awaitTermination()
     log = read_parquet(spark, f"{work}/log")
-    payload = F.from_json(
-        "alert_payload", "client_name string, corridor string, surge_multiplier double, recommended_action string")
+    payload = F.from_json("alert_payload", """event string, campaign_id long, client_name string, channel string,
+        corridor string, cpa_observed double, cpa_baseline double, surge_multiplier double, conversion_yield double,
+        recommended_action string, evaluated_at timestamp""")
     return delivered(log.withColumn("p", payload).select(
         F.col("campaign_id").cast("bigint").alias("campaign_id"), "channel_name", "region", "seniority",
-        "observed_cpa_usd", "baseline_cpa_usd", "observed_yield", "escalation_tier", "p.*"))
+        "observed_cpa_usd", "baseline_cpa_usd", "observed_yield", "escalation_tier",
+        *[F.col(f"p.{name}") for name in PAYLOAD], F.col("p.campaign_id").alias("payload_campaign_id"),
+        # The alert's own time varies from run to run.
+        (F.col("p.evaluated_at") <= F.current_timestamp()).alias("evaluated_before_now")))
 
 
 def cost_surge_alarm_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,6 +522,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         corridor_metrics, priced_observations, dataset_means, rolling_7d, campaign_cumulative,
         efficiency_rollup, rollup_refreshed, reach_estimates, quantile_estimates, quarter_activity, pareto_frontier, saturation_matrix, elasticity_history, budget_elasticity,
+        relational_corridors, relational_elasticity, observed_funnel, observed_rollup,
         touch_paths, markov_transitions, mta_attribution, cohort_enriched, cohort_matrix,
         naive_allocation, greedy_allocation, greedy_results, greedy_tradeoff, allocation_rollup,
         allocation_measures, allocation_totals, allocation_schedule, executive_variance, kpi_cards,

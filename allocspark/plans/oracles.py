@@ -137,6 +137,13 @@ METRICS = {
   cast(cost as double) as dcost from metrics""",
 }
 
+# The registry without some corridors and with inactive ones, and telemetry beside what it lists.
+RELATIONAL_TABLES = ["sourcing_telemetry", "channel_corridor_registry"]
+RELATIONAL_REGISTRY = {"listed": """select corridor_id, channel_name, region, seniority, saturation_capacity, saturation_capacity < 5000 as listed_active
+  from channel_corridor_registry where region <> 'APAC' or seniority <> 'Staff Architect'"""}
+RELATIONAL = RELATIONAL_REGISTRY | {"placed": f"""select *, cast(floor(projected_hires) as int) as actual_hires
+  from sourcing_telemetry left join listed using ({C3})"""}
+
 
 def _corridors() -> dict[str, str]:
     clamp = "least(greatest({0}, cast({1} as decimal(6,4))), cast({2} as decimal(6,4)))"
@@ -153,11 +160,28 @@ def _corridors() -> dict[str, str]:
         "priced": """select *, cast(round(interview*offer, 5) as decimal(14,5)) as yld from held""",
     }
     cph = _r(_div("cost", "yld"), 2)
-    return {
-        "corridor_metrics": _with(["raw_observations"], METRICS, f"""select {O3}, {_f('cost')} as cost_per_applicant_usd,
+    shown = f"""select {O3}, {_f('cost')} as cost_per_applicant_usd,
   cap as max_channel_capacity_applicants, {_f('interview')} as interview_yield_rate, {_f('offer')} as offer_acceptance_rate,
   gain as overall_conversion_yield,
-  case when gain <= 0 then cast('inf' as double) else dcost / gain end as cost_per_hire_benchmark_usd from units"""),
+  case when gain <= 0 then cast('inf' as double) else dcost / gain end as cost_per_hire_benchmark_usd from units"""
+    return {
+        "corridor_metrics": _with(["raw_observations"], METRICS, shown),
+        "relational_corridors": _with(RELATIONAL_TABLES, RELATIONAL | {"raw_observations": """select channel_name as channel, region, seniority,
+  cost_per_applicant_usd, saturation_capacity as max_channel_capacity_applicants, interview_yield_rate, offer_acceptance_rate,
+  ifnull(listed_active, false) as is_active_corridor from placed"""} | METRICS, shown),
+        "observed_funnel": _with(["raw_observations", "channel_corridor_registry"], RELATIONAL_REGISTRY, f"""select
+  ifnull(corridor_id, concat(channel, '|', o.region, '|', o.seniority)) as corridor_id, channel as sourcing_channel, o.region as talent_region,
+  o.seniority as role_seniority, strftime(event_timestamp, '%Y-%m') as calendar_month, count(allocation_id) as total_applications,
+  {_f('sum(cost_per_applicant_usd)')} as monthly_expenditure_usd, {_avg('cost_per_applicant_usd')} as mean_cpa_usd,
+  cast(0 as bigint) as stage_interviews_passed, cast(0 as bigint) as stage_hires_achieved,
+  {_avg('interview_yield_rate * offer_acceptance_rate')} as empirical_conversion_yield
+  from raw_observations o left join listed r on channel = channel_name and o.region = r.region and o.seniority = r.seniority
+  where is_active_corridor group by all"""),
+        "observed_rollup": _with(["raw_observations"], {}, f"""select concat('C', max_channel_capacity_applicants % 11) as campaign_id,
+  channel as channel_name, region, seniority, count(*) as observations, cast(sum(max_channel_capacity_applicants % 50) as bigint) as total_applicants,
+  {_f('sum(cost_per_applicant_usd * (max_channel_capacity_applicants % 50))')} as total_spend_usd,
+  {_f('sum(round((max_channel_capacity_applicants % 50) * overall_conversion_yield, 2))')} as total_hires
+  from raw_observations group by all"""),
         "priced_observations": _with(["raw_observations"], priced, f"""select allocation_id, {O3},
   {_f('cost')} as cost_per_applicant_usd, {_f('expected_cost')} as expected_cpa_usd, {_f('interview')} as interview_yield_rate,
   {_f('expected_interview')} as expected_interview_yield, {_f('offer')} as offer_acceptance_rate,
@@ -249,6 +273,12 @@ def _matrices() -> dict[str, str]:
   {_r(_avg('hires'), 1)} as hires, {_avg('marginal')} as marginal, {_r(_avg('elasticity'), 4)} as elasticity,
   {_r(_avg('shadow'), 3)} as shadow from regimes group by {s3}"""
     history = {"funnel": funnel, "changes": changes, "steps": steps, "regimes": regimes}
+    changes_by_month = f"""select corridor_id, {s3}, calendar_month,
+  total_applications, {_f('spend')} as monthly_expenditure_usd, mean_cpa as mean_cpa_usd,
+  interviews as stage_interviews_passed, hires as stage_hires_achieved, yld as empirical_conversion_yield,
+  {_f('p_spend')} as prev_monthly_expenditure, p_hires as prev_stage_hires, {_f('marginal')} as marginal_cph_usd,
+  {_f('elasticity')} as sourcing_budget_elasticity, {_f('index_')} as capital_efficiency_index,
+  {_f('shadow')} as shadow_price_hires_per_k_usd, regime as elasticity_regime from regimes"""
     return {
         "pareto_frontier": _with(["sourcing_telemetry"], {"life": life, "corridors": corridors, "tiers": tiers, "neighbours": neighbours, "ranked": ranked}, f"""select {C3},
   {_f('cpa')} as mean_cpa_usd, {_d('yld * 100', 3)} as conversion_yield_pct, {_f('cph')} as empirical_cph_usd,
@@ -266,12 +296,12 @@ def _matrices() -> dict[str, str]:
     when pct <= 30 then 'UNDER_UTILIZED_SLACK_CAPACITY' else 'OPTIMALLY_LOADED' end as channel_saturation_status,
   case when pct >= 80 and cph <= 1500 then 'TIER_1_EXPANSION_TARGET (HIGH ROI)' when pct >= 80 then 'TIER_2_EXPANSION_SELECTIVE'
     else 'MAINTAIN_CURRENT_LIMITS' end as capacity_expansion_recommendation from load"""),
-        "elasticity_history": _with(["corridor_history"], history, f"""select corridor_id, {s3}, calendar_month,
-  total_applications, {_f('spend')} as monthly_expenditure_usd, mean_cpa as mean_cpa_usd,
-  interviews as stage_interviews_passed, hires as stage_hires_achieved, yld as empirical_conversion_yield,
-  {_f('p_spend')} as prev_monthly_expenditure, p_hires as prev_stage_hires, {_f('marginal')} as marginal_cph_usd,
-  {_f('elasticity')} as sourcing_budget_elasticity, {_f('index_')} as capital_efficiency_index,
-  {_f('shadow')} as shadow_price_hires_per_k_usd, regime as elasticity_regime from regimes"""),
+        "elasticity_history": _with(["corridor_history"], history, changes_by_month),
+        "relational_elasticity": _with(RELATIONAL_TABLES, RELATIONAL | {"corridor_history": """select telemetry_id,
+  ifnull(corridor_id, concat(channel_name, '|', region, '|', seniority)) as corridor_id, channel_name as sourcing_channel,
+  region as talent_region, seniority as role_seniority, event_timestamp, cost_per_applicant_usd, interview_yield_rate,
+  offer_acceptance_rate, actual_hires > 0 or allocated_applicants * interview_yield_rate >= 1 as passed_interview,
+  actual_hires > 0 as hired_flag, ifnull(listed_active, false) as is_active_corridor from placed"""} | history, changes_by_month),
         "budget_elasticity": _with(["corridor_history"], history | {"votes": votes, "summary": summary}, f"""select {s3},
   periods as observation_periods, {_f('spend')} as avg_monthly_expenditure_usd, {_f('hires')} as avg_monthly_hires,
   {_d('marginal', 2)} as blended_marginal_cph_usd, {_f('elasticity')} as avg_budget_elasticity,
@@ -571,6 +601,8 @@ def _streams() -> dict[str, str]:
     common = f"""campaign_id, {C3}, {_f('cost_per_applicant_usd')} as observed_cpa_usd, {_f('baseline')} as baseline_cpa_usd,
   {_f('overall_conversion_yield')} as observed_yield, {tier}, coalesce(client_name, 'Enterprise Client') as client_name,
   concat(region, ' - ', seniority) as corridor, {_f('surge')} as surge_multiplier, {action}"""
+    payload = f"""'Sourcing Corridors Anomaly Triggered' as event, channel_name as channel, {_f('cost_per_applicant_usd')} as cpa_observed,
+  {_f('baseline')} as cpa_baseline, {_f('overall_conversion_yield')} as conversion_yield"""
     breach = "from measured where surge >= 1.45 or overall_conversion_yield <= 0.005"
     over = ["sourcing_telemetry", "channel_corridor_registry", "campaign_master"]
     periods = f"""select time_bucket(interval 5 minutes, ts) as period, {_avg('cast(value as decimal(18,4))')} as mean_cost
@@ -581,10 +613,9 @@ def _streams() -> dict[str, str]:
   from paired where mean_cost > 120 and mean_before > 120 and before = period - interval 5 minutes"""
     surge = _with([], {"periods": periods, "paired": paired}, alarms)
     return {
-        "anomaly_detect": _with(over, {"measured": measured}, f"""select {common},
-  'Sourcing Corridors Anomaly Triggered' as event, channel_name as channel, {_f('cost_per_applicant_usd')} as cpa_observed,
-  {_f('baseline')} as cpa_baseline, {_f('overall_conversion_yield')} as conversion_yield {breach}"""),
-        "anomaly_stream": _with(over, {"measured": measured}, f"select {common} {breach}"),
+        "anomaly_detect": _with(over, {"measured": measured}, f"select {common}, {payload} {breach}"),
+        "anomaly_stream": _with(over, {"measured": measured}, f"""select {common}, {payload},
+  campaign_id as payload_campaign_id, true as evaluated_before_now {breach}"""),
         "cost_surge_alarm": surge,
         "cost_surge_alarm_stream": surge,
     }

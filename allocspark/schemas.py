@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 CORRIDOR = ["channel_name", "region", "seniority"]
 
@@ -130,3 +130,8 @@ TABLES = {
     "optimization_runs_audit": OPTIMIZATION_RUNS_AUDIT,
     "sourcing_anomaly_audit_log": SOURCING_ANOMALY_AUDIT_LOG,
 }
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, in its order and types."""
+    return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema])

@@ -85,7 +85,7 @@ def append_run_audit(results: DataFrame, path: str, job_key: str) -> None:
         "executed_at": F.current_timestamp(),
     })
     folder = f"{path.rstrip('/')}/job={quote(job_key, safe='')}"
-    _conform(audit, schemas.OPTIMIZATION_RUNS_AUDIT).write.mode("overwrite").parquet(folder)
+    schemas.conform(audit, schemas.OPTIMIZATION_RUNS_AUDIT).write.mode("overwrite").parquet(folder)
 
 
 def append_anomaly_log(alerts: DataFrame, path: str, mode: str = "append") -> None:
@@ -98,8 +98,4 @@ def append_anomaly_log(alerts: DataFrame, path: str, mode: str = "append") -> No
             {"ignoreNullFields": "false"},
         ),
     })
-    _conform(logged, schemas.SOURCING_ANOMALY_AUDIT_LOG).write.mode(mode).parquet(path)
-
-
-def _conform(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema])
+    schemas.conform(logged, schemas.SOURCING_ANOMALY_AUDIT_LOG).write.mode(mode).parquet(path)
