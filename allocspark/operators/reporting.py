@@ -118,23 +118,26 @@ def kpi_cards(results: DataFrame) -> DataFrame:
     )
 
 
-def allocation_schedule(lines: DataFrame, metrics: DataFrame) -> DataFrame:
+def allocation_schedule(lines: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
     """Every line with its corridor's unit cost, yield and capacity, and how loaded it is.
 
-    ``metrics`` holds one row per corridor.
-    A corridor it does not know shows the line's own averages.
+    Lines carry these from the plan they come from, so no telemetry is read again. ``metrics``, one
+    row per corridor, is for other figures than the plan's, such as a later month's.
+    A corridor without figures shows the line's own averages.
     """
-    known = metrics.select(
-        *OBSERVED_CORRIDOR, F.col("cost_per_applicant_usd").alias("known_cost"),
-        F.col("overall_conversion_yield").alias("known_yield"),
-        F.col("max_channel_capacity_applicants").alias("known_capacity"),
-    )
     applicants = F.col("allocated_applicants")
     each = F.greatest(applicants, F.lit(1))
     capacity = F.coalesce("known_capacity", F.lit(FALLBACK_CAPACITY))
-    joined = lines.drop("unit_cost_usd", "unit_yield", "unit_capacity").join(
-        known, OBSERVED_CORRIDOR, "left")
-    return joined.select(
+    figures = {"known_cost": "unit_cost_usd", "known_yield": "unit_yield", "known_capacity": "unit_capacity"}
+    if metrics is None:
+        known = lines.withColumns({name: F.col(own) for name, own in figures.items()})
+    else:
+        known = lines.drop(*figures.values()).join(metrics.select(
+            *OBSERVED_CORRIDOR, F.col("cost_per_applicant_usd").alias("known_cost"),
+            F.col("overall_conversion_yield").alias("known_yield"),
+            F.col("max_channel_capacity_applicants").alias("known_capacity"),
+        ), OBSERVED_CORRIDOR, "left")
+    return known.select(
         "campaign_id", *OBSERVED_CORRIDOR,
         rounded(F.coalesce(F.col("known_cost").cast("double"), ratio(F.col("allocated_budget_usd"), each)), 2)
         .alias("unit_cpa_usd"),

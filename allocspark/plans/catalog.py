@@ -283,8 +283,16 @@ def allocation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def allocation_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = allocation.allocation_lines(_budget_only(spark, sf_dir), keep_zero=True)
-    return delivered(reporting.sorted_schedule(
-        reporting.allocation_schedule(lines, _metrics(spark, sf_dir))))
+    return delivered(reporting.sorted_schedule(reporting.allocation_schedule(lines)))
+
+
+def allocation_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the plan beside the unit figures last observed."""
+    lines = allocation.allocation_lines(_budget_only(spark, sf_dir), keep_zero=True)
+    recent = fixtures.raw_observations(spark, sf_dir).where("event_timestamp >= timestamp'2001-07-01'")
+    schedule = reporting.allocation_schedule(lines, corridors.corridor_metrics(recent))
+    return delivered(schedule.groupBy("channel", "region", "seniority", "unit_cpa_usd", "conversion_yield", "monthly_capacity", "allocation_status").agg(
+        F.count(F.lit(1)).alias("campaigns"), F.sum("allocated_applicants").alias("total_applicants")))
 
 
 def executive_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -525,7 +533,7 @@ QUERIES: dict[str, Query] = {
         relational_corridors, relational_elasticity, observed_funnel, observed_rollup,
         touch_paths, markov_transitions, mta_attribution, cohort_enriched, cohort_matrix,
         naive_allocation, greedy_allocation, greedy_results, greedy_tradeoff, allocation_rollup,
-        allocation_measures, allocation_totals, allocation_schedule, executive_variance, kpi_cards,
+        allocation_measures, allocation_totals, allocation_schedule, allocation_review, executive_variance, kpi_cards,
         constrained_allocation, constrained_results, constrained_tradeoff, allocation_certificate,
         strained_allocation, run_audit, report_positions, anomaly_detect, anomaly_stream, cost_surge_alarm, cost_surge_alarm_stream,
         dq_rules, dq_quarantine, dq_duplicates, dq_missing_references, dq_profile,

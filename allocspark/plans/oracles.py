@@ -555,7 +555,15 @@ def _allocations() -> dict[str, str]:
   {{'line': 5, 'metric': 'Recruitment Agency Fee Avoidance ($)', 'q': 0.0::double, 'o': {_d('(hires - naive_hires) * 5000', 6)}}}]) as v
   from result"""
     exact6 = "cast({0} as decimal(28,6))"
+    recent = METRICS["metrics"].replace("where is_active_corridor", "where is_active_corridor and event_timestamp >= timestamp '2001-07-01'")
+    reviewed = f"""select {O3}, campaign_id, n, ifnull(cap_now, 1000) as cap_now,
+  {_d(f"ifnull(cast(cost_now as double), {_div('line_spend', 'greatest(n, 1)')})", 2)} as unit_cpa_usd,
+  {_d(f"ifnull(cast(yld_now as double), {_div('line_hires', 'greatest(n, 1)')})", 8)} as conversion_yield
+  from all_lines left join (select {O3}, cost as cost_now, cap as cap_now, interview * offer as yld_now from recent) using ({O3})"""
     return {
+        "allocation_review": _with(over, ctes | {"recent": recent, "reviewed": reviewed}, f"""select {O3}, unit_cpa_usd, conversion_yield,
+  cap_now as monthly_capacity, case when n = 0 then 'ZERO_ALLOCATED' when n >= cap_now * 0.99 then 'CAPACITY_SATURATED'
+    else 'OPTIMAL_ACTIVE' end as allocation_status, count(*) as campaigns, cast(sum(n) as bigint) as total_applicants from reviewed group by all"""),
         "naive_allocation": _with(over, {k: ctes[k] for k in ("metrics", "units", "program", "naive_sums", "naive")}, f"""select campaign_id,
   {_f('naive_hires')} as naive_heuristic_hires, {_f('naive_spend')} as naive_spend_usd, {_f('naive_cph')} as naive_cost_per_hire_usd from naive"""),
         "greedy_allocation": _with(over, ctes, lines), "greedy_results": _with(over, ctes, results), "greedy_tradeoff": _with(over, ctes, verdict),
