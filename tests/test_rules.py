@@ -170,3 +170,16 @@ def test_schedule_defaults_for_an_unknown_corridor(spark):
     row = reporting.allocation_schedule(lines, metrics).first()
     assert (row["unit_cpa_usd"], row["monthly_capacity"]) == (Decimal("0.50"), 1000)
     assert row["conversion_yield"] == Decimal("0.02") and row["allocation_status"] == "CAPACITY_SATURATED"
+
+
+def test_schedule_shows_the_figures_of_its_plan(spark):
+    lines = spark.createDataFrame(
+        [("c", "A", "R", "S", 99, Decimal("990"), Decimal("20"), Decimal("49.5"), Decimal("10.00"), Decimal("0.20000000"), 100),
+         ("c", "B", "R", "S", 0, Decimal("0"), Decimal("0"), Decimal("0"), None, None, None)],
+        "campaign_id string, channel string, region string, seniority string, allocated_applicants int,"
+        " allocated_budget_usd decimal(18,2), expected_hires decimal(18,2), effective_cost_per_hire_usd decimal(18,2),"
+        " unit_cost_usd decimal(12,2), unit_yield decimal(13,8), unit_capacity int")
+    planned, unknown = reporting.sorted_schedule(reporting.allocation_schedule(lines)).collect()
+    assert (planned["unit_cpa_usd"], planned["conversion_yield"], planned["monthly_capacity"]) == (Decimal("10.00"), Decimal("0.2"), 100)
+    assert planned["allocation_status"] == "CAPACITY_SATURATED" and unknown["allocation_status"] == "ZERO_ALLOCATED"
+    assert (unknown["unit_cpa_usd"], unknown["monthly_capacity"]) == (0, 1000)
