@@ -1,9 +1,10 @@
-"""Budget allocation: every campaign solved in its own row, without shuffles.
+"""Budget allocation: every campaign solved by its own row and the program, without shuffles.
 
 All campaigns choose among the same corridors, at most 80 by the closed domains. The
 corridors are folded once into a one-row program that is attached to every campaign as a
-scalar subquery. The search then runs as higher-order functions over that array, so the
-work is spread by campaign rows and grows with them alone.
+scalar subquery. Reports and budget-only plans run as higher-order functions over that array; the
+constrained search runs in Arrow batches of campaigns (``search``), so the work is spread by
+campaign rows and grows with them alone.
 
 The constrained problem of a campaign is
 
@@ -23,18 +24,19 @@ exact, so the end is an optimum and its prices prove it.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from allocspark import schemas
 from allocspark.functions.rounding import half_even, ratio, rounded
+from allocspark.operators import search
 from allocspark.operators.corridors import OBSERVED_CORRIDOR
 from allocspark.session import cut_lineage
 
 REGION_FLOOR_APPLICANTS = 50
-TOLERANCE = 1e-12
 
 # Texts of the solver status.
 OPTIMAL = "OPTIMAL_CONVERGENCE"
@@ -153,62 +155,59 @@ def constrained_plan(
     any feasible allocation. ``region_floor`` may be a column of the campaigns.
     """
     floor = region_floor if isinstance(region_floor, Column) else F.lit(float(region_floor))
+    # At most 80 units, which a scalar subquery would bring to the driver as well.
+    units = search.Units.of(program.select("program.units").first()[0])
     # A few bytes per campaign but many tries: deal the rows out to all cores, since by size
     # alone adaptive execution would gather them into one task.
-    spread = campaigns.repartition(campaigns.sparkSession.sparkContext.defaultParallelism)
-    planned = with_program(spread, program).withColumns({
+    spread = campaigns.repartition(campaigns.sparkSession.sparkContext.defaultParallelism).withColumns({
         "_budget": F.coalesce(F.col("total_budget_usd").cast("double"), F.lit(0.0)),
         "_quota": F.greatest(F.col("min_senior_hires").cast("double"), F.lit(0.0)),
-        "_floor": F.when(F.col("regional_diversity_min_pct") > 0, floor).otherwise(0.0),
+        "_floor": F.coalesce(F.when(F.col("regional_diversity_min_pct") > 0, floor), F.lit(0.0)).cast("double"),
     })
-    ended = planned.withColumns({
-        "_rich": _vertex(_direction(1.0, 0.0, 0.0)),
-        "_poor": _vertex(_direction(0.0, 0.0, 1.0)),
-        "_room": F.forall("program.regions", lambda region: F.aggregate(
-            region, F.lit(0.0), lambda total, u: total + u["capacity"]) >= F.col("_floor")),
-    }).withColumn("_refused", (
-        F.when(F.col("total_budget_usd").isNull(), f"{INFEASIBLE}: no budget given")
-        .when(F.size("program.units") == 0, f"{INFEASIBLE}: no corridors")
-        .when(~F.col("_room"), f"{INFEASIBLE}: region capacity below its floor")
-        .when(F.col("_poor.spend") > F.col("_budget"), f"{INFEASIBLE}: region floors exceed the budget")
-    ))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _solved(units, batch)
+
+    given = [field for field in spread.schema if field.name not in SEARCHED]
+    schema = T.StructType([*given, *T.StructType.fromDDL(
+        "_phase int, amounts array<double>, budget_price double, quota_price double, dual_bound double")])
     # Settled once, so that no reader and no filter pushed below it solves the campaigns again.
-    searched = with_program(cut_lineage(ended.withColumn("_end", _search()).drop("program")), program)
-    phase, less, more = F.col("_end.phase"), F.col("_end.less"), F.col("_end.more")
-    quota = F.col("_quota")
+    searched = with_program(cut_lineage(spread.mapInArrow(run, schema)), program)
+    phase = F.col("_phase")
     status = (
-        F.when(F.col("_refused").isNotNull(), F.col("_refused"))
-        .when(phase == OUT_OF_REACH, f"{INFEASIBLE}: senior quota out of reach")
-        .when(phase == SOLVED, OPTIMAL)
+        F.when(F.col("total_budget_usd").isNull(), f"{INFEASIBLE}: no budget given")
+        .when(F.size("program.units") == 0, f"{INFEASIBLE}: no corridors")
+        .when(phase == search.NO_ROOM, f"{INFEASIBLE}: region capacity below its floor")
+        .when(phase == search.FLOORS_TOO_DEAR, f"{INFEASIBLE}: region floors exceed the budget")
+        .when(phase == search.OUT_OF_REACH, f"{INFEASIBLE}: senior quota out of reach")
+        .when(phase == search.SOLVED, OPTIMAL)
         .otherwise(F.raise_error(F.concat(F.lit("search not ended for campaign "), F.col("campaign_id"))))
     )
-    # Share of ``less``: all of it where it meets the quota, else what hits the quota exactly.
-    share = F.when(less["senior"] >= quota, F.lit(1.0)).otherwise(
-        F.coalesce((more["senior"] - quota) / F.nullif(more["senior"] - less["senior"], F.lit(0.0)), F.lit(0.0)))
-    mixed = searched.withColumns({"solver_status": status, "_share": share}).withColumns({
-        "_solved": F.col("solver_status") == OPTIMAL,
-        "_mix": F.array(
-            _part(less["over"], F.col("_share") * less["share"]),
-            _part(less["under"], F.col("_share") * (1 - less["share"])),
-            _part(more["over"], (1 - F.col("_share")) * more["share"]),
-            _part(more["under"], (1 - F.col("_share")) * (1 - more["share"])),
-        ),
-    })
-    priced = mixed.withColumn("_best", F.when(F.col("_solved"), _vertex(
-        _direction(1.0, F.col("_end.quota_price"), F.col("_end.budget_price")))))
-    best, solved = F.col("_best"), F.col("_solved")
-    quota_price, budget_price = F.col("_end.quota_price"), F.col("_end.budget_price")
-    return priced.withColumns({
-        "amounts": F.when(solved, _mixed_amounts(F.col("_mix"))).otherwise(
-            F.transform("program.units", lambda u: F.lit(0.0))),
-        "budget_price": F.when(solved, budget_price),
-        "quota_price": F.when(solved, quota_price),
-        "dual_bound": F.when(solved, best["hires"] + quota_price * (best["senior"] - quota)
-                             - budget_price * (best["spend"] - F.col("_budget"))),
-    }).drop("_budget", "_quota", "_floor", "_rich", "_poor", "_room", "_refused", "_end", "_share", "_solved", "_mix", "_best")
+    solved = F.col("solver_status") == OPTIMAL
+    return searched.withColumn("solver_status", status).select(
+        *campaigns.columns, "program", "solver_status",
+        F.when(solved, F.col("amounts")).otherwise(F.transform("program.units", lambda u: F.lit(0.0))).alias("amounts"),
+        *[F.when(solved, F.col(name)).alias(name) for name in ("budget_price", "quota_price", "dual_bound")])
+
 
+#: What the search reads of a campaign.
+SEARCHED = ("_budget", "_quota", "_floor")
 
-# ------------------------------------------------- search: higher-order function pieces
+
+def _solved(units: search.Units, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The campaigns of a batch with what the search found in place of what it reads."""
+    given = [batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False) for name in SEARCHED]
+    found = search.solve(units, *given)
+    flat = found.pop("amounts")
+    places = np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32) if flat.size else np.zeros(len(flat) + 1, np.int32)
+    kept = [name for name in batch.schema.names if name not in SEARCHED]
+    return pa.RecordBatch.from_arrays(
+        [*(batch.column(batch.schema.get_field_index(name)) for name in kept), pa.array(found["phase"], pa.int32()),
+         pa.ListArray.from_arrays(pa.array(places), pa.array(flat.ravel())),
+         *(pa.array(found[name]) for name in ("budget_price", "quota_price", "dual_bound"))],
+        names=[*kept, "_phase", "amounts", "budget_price", "quota_price", "dual_bound"])
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -216,240 +215,6 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _direction(gain: Column | float, senior: Column | float, cost: Column | float) -> Column:
-    """Weights of an objective gain*a + senior_gain*b - cost*m."""
-    def number(value):
-        return (F.lit(value) if isinstance(value, (int, float)) else value).cast("double")
-    return F.struct(number(gain).alias("a"), number(senior).alias("b"), number(cost).alias("m"))
-
-
-def _loss(unit: Column, direction: Column) -> Column:
-    """What one applicant of the unit costs the objective; negative where it is profitable."""
-    return direction["m"] * unit["cost"] - direction["a"] * unit["gain"] - direction["b"] * unit["senior_gain"]
-
-
-def _rest_by_loss(region: Column, direction: Column) -> Column:
-    """A region's unprofitable units, the least loss first; ties in unit order."""
-    priced = F.transform(region, lambda u: F.struct(
-        _loss(u, direction).alias("loss"), u["i"].alias("i"), u["cost"].alias("cost"),
-        u["gain"].alias("gain"), u["senior_gain"].alias("senior_gain"), u["capacity"].alias("capacity")))
-    return F.array_sort(F.filter(priced, lambda u: u["loss"] >= 0))
-
-
-def _needed(unit: Column, filled: Column) -> Column:
-    """Applicants of an unprofitable unit: what the region's floor still lacks."""
-    return F.least(unit["capacity"], F.greatest(F.lit(0.0), F.col("_floor") - filled))
-
-
-def _vertex(direction: Column) -> Column:
-    """The best allocation in a direction, as its direction, spend, hires and senior hires.
-
-    Profitable units are taken in full. Only a region whose floor they do not reach is
-    ordered, to be filled up with its least unprofitable units.
-    """
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("filled", "spend", "hires", "senior")])
-
-    def add(acc: Column, unit: Column, applicants: Column) -> Column:
-        return F.struct(
-            (acc["filled"] + applicants).alias("filled"),
-            (acc["spend"] + applicants * unit["cost"]).alias("spend"),
-            (acc["hires"] + applicants * unit["gain"]).alias("hires"),
-            (acc["senior"] + applicants * unit["senior_gain"]).alias("senior"),
-        )
-
-    def run(direction: Column) -> Column:
-        def fill_up(taken: Column, region: Column) -> Column:
-            return F.when(taken["filled"] >= F.col("_floor"), taken).otherwise(F.aggregate(
-                _rest_by_loss(region, direction), taken, lambda acc, u: add(acc, u, _needed(u, acc["filled"]))))
-
-        def fill_region(total: Column, region: Column) -> Column:
-            start = F.struct(F.lit(0.0).alias("filled"), total["spend"].alias("spend"),
-                             total["hires"].alias("hires"), total["senior"].alias("senior"))
-            taken = F.aggregate(region, start, lambda acc, u: F.when(
-                _loss(u, direction) < 0, add(acc, u, u["capacity"])).otherwise(acc))
-            return _let(taken, lambda t: fill_up(t, region))
-
-        return F.aggregate(F.col("program.regions"), zero, fill_region, lambda t: F.struct(
-            direction["a"].alias("a"), direction["b"].alias("b"), direction["m"].alias("m"),
-            t["spend"].alias("spend"), t["hires"].alias("hires"), t["senior"].alias("senior"),
-        ))
-
-    return _let(direction, run)
-
-
-def _amounts(direction: Column) -> Column:
-    """The same allocation as applicants per unit, in unit order."""
-    def fill_region(region: Column) -> Column:
-        taken = F.transform(F.filter(region, lambda u: _loss(u, direction) < 0), lambda u: F.struct(
-            u["i"].alias("i"), u["capacity"].alias("x")))
-        return _let(taken, lambda full: _let(
-            F.aggregate(full, F.lit(0.0), lambda total, p: total + p["x"]),
-            lambda filled: F.aggregate(
-                _rest_by_loss(region, direction),
-                F.struct(filled.alias("filled"), full.alias("placed")),
-                lambda acc, u: F.struct(
-                    (acc["filled"] + _needed(u, acc["filled"])).alias("filled"),
-                    F.concat(acc["placed"], F.array(F.struct(
-                        u["i"].alias("i"), _needed(u, acc["filled"]).alias("x")))).alias("placed"),
-                ))["placed"]))
-
-    placed = F.array_sort(F.flatten(F.transform(F.col("program.regions"), fill_region)))
-    return F.transform(placed, lambda p: p["x"])
-
-
-def _worth(point: Column, weights: Column) -> Column:
-    return weights["a"] * point["hires"] + weights["b"] * point["senior"]
-
-
-def _beats(value: Column, chord: Column) -> Column:
-    return value > chord + F.lit(TOLERANCE) * (F.lit(1.0) + F.abs(chord))
-
-
-# Why the search always ends within its steps. At a fixed weight of seniors the fill changes only
-# where a unit turns profitable or two units of a region change places: n(n+1)/2 prices for n units
-# of a region, LINES in all. Each try either closes its bracket or finds another such fill. Weight
-# and price together make every change a line in the plane; the weights at which the best fill for
-# the budget changes are crossings of two lines. So no search makes more than (crossings + 3) *
-# (LINES + 2) tries, and FAN ** LEVELS steps are at least as many. An ended search skips whole
-# blocks of steps, so only the tries made cost time.
-_UNITS = len(schemas.CHANNELS) * len(schemas.SENIORITIES)
-LINES = len(schemas.REGIONS) * _UNITS * (_UNITS + 1) // 2
-MOST_TRIES = (LINES * (LINES - 1) // 2 + 3) * (LINES + 2)
-FAN = 8
-LEVELS = math.ceil(math.log(MOST_TRIES, FAN))
-
-# Phases of the search: fill for hires; fill for senior hires; trade the two; ends.
-FOR_HIRES, FOR_SENIORS, TRADING, SOLVED, OUT_OF_REACH = range(5)
-
-
-def _search() -> Column:
-    """Walk the chords from (``_rich``, ``_poor``); one vertex is tried per step.
-
-    The state holds the weights (a, b) of the objective in hand, the two vertices that
-    bracket the budget, and the two mixes that bracket the quota.
-    """
-    budget, quota = F.col("_budget"), F.col("_quota")
-    rich, poor = F.col("_rich"), F.col("_poor")
-    within = rich["spend"] <= budget
-
-    def mix(over: Column, under: Column, share: Column, price: Column) -> Column:
-        return F.struct(
-            over.alias("over"), under.alias("under"), share.alias("share"), price.alias("price"),
-            (share * over["hires"] + (1 - share) * under["hires"]).alias("hires"),
-            (share * over["senior"] + (1 - share) * under["senior"]).alias("senior"),
-        )
-
-    # With money for everything the richest vertex is best for every weighting of the two aims.
-    everything = mix(rich, rich, F.lit(1.0), F.lit(0.0))
-    start = F.struct(
-        F.lit(1.0).alias("a"), F.lit(0.0).alias("b"),
-        rich.alias("over"), poor.alias("under"),
-        everything.alias("less"), everything.alias("more"),
-        F.lit(0.0).alias("quota_price"), F.lit(0.0).alias("budget_price"),
-        F.when(F.col("_refused").isNotNull(), SOLVED)
-        .when(within & (rich["senior"] >= quota), SOLVED).when(within, OUT_OF_REACH)
-        .otherwise(FOR_HIRES).alias("phase"),
-    )
-
-    def try_price(state: Column) -> Column:
-        """The price at which the bracket's ends tie; never below zero."""
-        tie = (_worth(state["over"], state) - _worth(state["under"], state)) / F.nullif(
-            state["over"]["spend"] - state["under"]["spend"], F.lit(0.0))
-        return F.greatest(F.coalesce(tie, F.lit(0.0)), F.lit(0.0))
-
-    def tighten(state: Column, tried: Column) -> Column:
-        """The bracket after one try, and whether no vertex lies above its chord."""
-        chord = _worth(state["under"], state) - tried["m"] * state["under"]["spend"]
-        better = _beats(_worth(tried, state) - tried["m"] * tried["spend"], chord)
-        free = tried["m"] == 0
-        slack = free & (tried["spend"] <= budget)
-        over = (
-            F.when(slack, tried).when(free & ~better, state["under"])
-            .when(better & (tried["spend"] > budget), tried).otherwise(state["over"])
-        )
-        under = F.when(slack | (better & (tried["spend"] <= budget)), tried).otherwise(state["under"])
-        return F.struct(over.alias("over"), under.alias("under"), tried["m"].alias("price"),
-                        F.coalesce(slack | ~better, F.lit(True)).alias("closed"))
-
-    def close(bracket: Column) -> Column:
-        over, under = bracket["over"], bracket["under"]
-        share = F.when(over["spend"] <= budget, F.lit(1.0)).otherwise(
-            (budget - under["spend"]) / F.nullif(over["spend"] - under["spend"], F.lit(0.0)))
-        return mix(over, under, share, bracket["price"])
-
-    def settle(state: Column, bracket: Column, found: Column) -> Column:
-        """Next state once a bracket is closed with the mix ``found``."""
-        phase, price = state["phase"], state["quota_price"]
-        short = found["senior"] < quota
-        gained = _beats(found["hires"] + price * found["senior"],
-                        state["less"]["hires"] + price * state["less"]["senior"])
-        trading = phase == TRADING
-        less = F.when((phase == FOR_HIRES) | (trading & gained & short), found).otherwise(state["less"])
-        more = F.when((phase == FOR_SENIORS) | (trading & gained & ~short), found).otherwise(state["more"])
-        following = (
-            F.when(phase == FOR_HIRES, F.when(short, FOR_SENIORS).otherwise(SOLVED))
-            .when(phase == FOR_SENIORS, F.when(short, OUT_OF_REACH).otherwise(TRADING))
-            .otherwise(F.when(gained, TRADING).otherwise(SOLVED))
-        )
-
-        def with_price(ends: Column) -> Column:
-            rate = (ends["less"]["hires"] - ends["more"]["hires"]) / F.nullif(
-                ends["more"]["senior"] - ends["less"]["senior"], F.lit(0.0))
-            trade = F.when(ends["phase"] == TRADING, F.greatest(F.coalesce(rate, F.lit(0.0)), F.lit(0.0)))
-            return F.struct(
-                F.when(ends["phase"] == FOR_SENIORS, 0.0).otherwise(1.0).alias("a"),
-                F.when(ends["phase"] == FOR_SENIORS, 1.0).otherwise(F.coalesce(trade, F.lit(0.0))).alias("b"),
-                F.when(bracket["over"]["spend"] > budget, bracket["over"]).otherwise(rich).alias("over"),
-                bracket["under"].alias("under"),
-                ends["less"].alias("less"), ends["more"].alias("more"),
-                F.coalesce(trade, price).alias("quota_price"),
-                bracket["price"].alias("budget_price"),
-                ends["phase"].alias("phase"),
-            )
-
-        return _let(F.struct(less.alias("less"), more.alias("more"), following.alias("phase")), with_price)
-
-    def keep_on(state: Column, bracket: Column) -> Column:
-        return F.struct(
-            state["a"].alias("a"), state["b"].alias("b"),
-            bracket["over"].alias("over"), bracket["under"].alias("under"),
-            state["less"].alias("less"), state["more"].alias("more"),
-            state["quota_price"].alias("quota_price"), bracket["price"].alias("budget_price"),
-            state["phase"].alias("phase"),
-        )
-
-    def step(state: Column, _: Column) -> Column:
-        tried = _vertex(_direction(state["a"], state["b"], try_price(state)))
-        return F.when(state["phase"] >= SOLVED, state).otherwise(
-            _let(_let(tried, lambda v: tighten(state, v)), lambda bracket: F.when(
-                bracket["closed"], _let(close(bracket), lambda found: settle(state, bracket, found))
-            ).otherwise(keep_on(state, bracket))))
-
-    def block(state: Column, level: int) -> Column:
-        """Up to FAN ** level steps; a block is skipped once the search has ended."""
-        if level == 0:
-            return step(state, state)
-        return F.aggregate(F.sequence(F.lit(1), F.lit(FAN)), state, lambda held, _: F.when(
-            held["phase"] >= SOLVED, held).otherwise(block(held, level - 1)))
-
-    return block(start, LEVELS)
-
-
-def _part(vertex: Column, weight: Column) -> Column:
-    return F.struct(
-        F.struct(vertex["a"].alias("a"), vertex["b"].alias("b"), vertex["m"].alias("m")).alias("direction"),
-        weight.alias("weight"),
-    )
-
-
-def _mixed_amounts(mix: Column) -> Column:
-    """Weighted sum of the mixed vertices' applicants, per unit."""
-    parts = F.transform(F.filter(mix, lambda p: p["weight"] > 0), lambda p: F.struct(
-        p["weight"].alias("weight"), _amounts(p["direction"]).alias("amounts")))
-    return _let(parts, lambda held: F.transform(F.col("program.units"), lambda u: F.aggregate(
-        held, F.lit(0.0), lambda total, p: total + p["weight"] * F.element_at(p["amounts"], u["i"] + 1))))
-
-
 # --------------------------------------------------------- integer plan and its reports
 
 

@@ -250,8 +250,13 @@ def _budget_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allocation.integer_allocations(allocation.greedy_plan(baseline, program))
 
 
+def _settled_program(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The program as one stored row: a constrained plan and its baseline read it several times."""
+    return cut_lineage(_program(spark, sf_dir))
+
+
 def _constrained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    program = _program(spark, sf_dir)
+    program = _settled_program(spark, sf_dir)
     baseline = allocation.pro_rata(fixtures.campaign_master(spark, sf_dir), program)
     return allocation.integer_allocations(allocation.constrained_plan(baseline, program))
 
@@ -316,7 +321,7 @@ def constrained_tradeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allocation_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = allocation.constrained_plan(fixtures.campaign_master(spark, sf_dir), _program(spark, sf_dir))
+    plan = allocation.constrained_plan(fixtures.campaign_master(spark, sf_dir), _settled_program(spark, sf_dir))
     return _rounded(allocation.certificate(plan), budget_price=9, quota_price=9, relative_gap=9)
 
 
@@ -336,7 +341,7 @@ def strained_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "min_senior_hires": F.when(case == 3, 100_000).when(case == 5, 150).when(case == 6, 220).otherwise(F.col("min_senior_hires")),
         "regional_diversity_min_pct": F.when(case.isin(2, 4), 0.15).otherwise(F.col("regional_diversity_min_pct").cast("double")),
     })
-    plan = allocation.constrained_plan(strained, _program(spark, sf_dir), F.when(case == 4, 1e6).otherwise(50.0))
+    plan = allocation.constrained_plan(strained, _settled_program(spark, sf_dir), F.when(case == 4, 1e6).otherwise(50.0))
     return _rounded(allocation.plan_totals(plan), applicants=4, spend_usd=4)
 
 
