@@ -8,7 +8,7 @@ from allocspark.functions import labels
 from allocspark.functions.rounding import mean, ratio, rounded
 from allocspark.operators.ordered import Running, run_ordered
 from allocspark.schemas import CORRIDOR
-from allocspark.session import cut_lineage
+from allocspark.session import cut_lineage, stored
 
 
 #: Groups whose borders are broadcast; with more of them they are joined.
@@ -26,7 +26,7 @@ def with_ntile(df: DataFrame, group: str, value: str, tiebreak: str, buckets: in
     rows = df.select(F.col(group).alias("g"), F.col(value).isNull().alias("missing"), F.col(value).alias("v"), F.col(tiebreak).alias("id"))
     counted = cut_lineage(rows.groupBy("g", "missing", "v").agg(F.count(F.lit(1)).alias("n")))
     totals = counted.groupBy(F.col("g").alias("_g")).agg(F.sum("n").alias("rows"))
-    summed = run_ordered(counted, Running(key=["g"], order=["missing", "v"], sums={"up_to": "n"}))
+    summed = run_ordered(counted, Running(key=["g"], order=["missing", "v"], sums={"up_to": "n"}), settled=True)
     end = F.expr(f"b * (rows div {buckets}) + least(b, rows % {buckets})")  # place of a bucket's last row
     borders = cut_lineage(
         summed.join(totals, F.col("g").eqNullSafe(F.col("_g")))
@@ -39,7 +39,7 @@ def with_ntile(df: DataFrame, group: str, value: str, tiebreak: str, buckets: in
 
     same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in ("g", "missing", "v")]
     values = borders.select("g", "missing", "v").distinct().withColumnsRenamed({name: f"_{name}" for name in ("g", "missing", "v")})
-    placed = run_ordered(rows.join(beside(values), same, "left_semi"), Running(key=["g", "missing", "v"], order=["id"], position="at"))
+    placed = run_ordered(rows.join(beside(values), same, "left_semi"), Running(key=["g", "missing", "v"], order=["id"], position="at"), settled=small)
     named = borders.withColumnsRenamed({name: f"_{name}" for name in ("g", "missing", "v")})
     found = placed.join(beside(named), [*same, F.col("at") == F.col("k")]).groupBy(F.col("g").alias("_g")).agg(
         F.collect_list(F.struct("missing", "v", "id")).alias("_borders"))  # at most ``buckets - 1``
@@ -54,7 +54,7 @@ def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
     onboarded = campaigns.select(
         "campaign_id", "client_name", F.date_format("created_at", "yyyy-MM").alias("onboarding_cohort")
     )
-    known = cut_lineage(telemetry.select(
+    known = stored(telemetry.select(
         "telemetry_id", "campaign_id", *CORRIDOR, "cost_per_applicant_usd", "allocated_applicants",
         "allocated_spend_usd", "overall_conversion_yield", "projected_hires", "event_timestamp",
     ).join(onboarded, "campaign_id"))
@@ -69,7 +69,8 @@ def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
         position="allocation_batch_sequence",
     )
     cost, previous = F.col("cost_per_applicant_usd"), F.col("prev_batch_cpa_usd")
-    return run_ordered(quartered, history).withColumns({
+    # Seniorities are few, so their quartile borders are broadcast and every pass reads the stored rows.
+    return run_ordered(quartered, history, settled=True).withColumns({
         "cpa_drift_from_baseline_usd": rounded(cost - F.col("baseline_campaign_cpa_usd"), 2),
         "cpa_velocity_pct_change": F.when(previous.isNull() | (previous == 0), F.expr("cast(0 as decimal(29,2))"))
         .otherwise(rounded(ratio((cost - previous) * 100, previous), 2)),

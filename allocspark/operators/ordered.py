@@ -2,11 +2,12 @@
 
 A plain window puts all rows of one key into one task. All rows are therefore cut into chunks by
 borders in the order (key, order), as many as the session's shuffles have partitions. A chunk is
-windowed in one task; only its first and last keys can go on in other chunks, so a table of at most
+windowed in one task; only the keys of the borders lie in several chunks, so a table of at most
 two rows a chunk carries all values across the borders. Small and hot keys take the same way.
 
-The rows shuffle once, by chunk. Borders are drawn from a sample and are fixed before that, so a
-row's chunk is a function of the row, also when a stage is run again.
+The rows are stored as columns once and shuffle once, by chunk. Borders are drawn from a sample of the
+stored rows and are fixed before that, so a row's chunk is a function of the row, also when a stage is
+run again. What the borders carry comes from partial sums over the stored rows of their keys.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from allocspark.session import cut_lineage
+from allocspark.session import cut_lineage, stored
 
 #: Sampled rows for each chunk; twenty keep a chunk below twice its share of the rows, as a rule.
 SAMPLED = 20
@@ -35,22 +36,26 @@ class Running:
     size: str | None = None  # rows of the key
 
 
-def with_chunk(df: DataFrame, by: list[str], chunks: int) -> DataFrame:
-    """``df`` with ``_chunk``: the number of sampled borders at or before the row, in the order ``by``.
+def chunk_borders(df: DataFrame, by: list[str], chunks: int) -> DataFrame:
+    """One stored row with ``borders``: ``chunks - 1`` sampled rows' values of ``by``, ascending.
 
-    Rows with equal ``by`` share a chunk. The sample is the ``SAMPLED * chunks`` rows with the smallest
-    hash, so it is the same in every run over the same rows.
+    The sample is the ``SAMPLED * chunks`` rows with the smallest hash, so it is the same in every run
+    over the same rows.
     """
     place = F.struct(*[F.col(name) for name in by])
-    if chunks < 2:
-        return df.withColumn("_chunk", F.lit(0))
     sample = df.select(place.alias("at"), F.xxhash64(*by).alias("h")).orderBy("h").limit(SAMPLED * chunks)
-    ordered = sample.agg(F.array_sort(F.collect_list("at")).alias("at")).select(
-        F.transform(F.sequence(F.lit(1), F.lit(chunks - 1)),
-                    lambda i: F.get("at", F.floor(i * F.size("at") / chunks).cast("int"))).alias("borders"))
+    places = F.sequence(F.lit(1), F.lit(chunks - 1)) if chunks > 1 else F.array().cast("array<int>")
+    return cut_lineage(sample.agg(F.array_sort(F.collect_list("at")).alias("at")).select(
+        F.transform(places, lambda i: F.get("at", F.floor(i * F.size("at") / chunks).cast("int"))).alias("borders")))
+
+
+def with_chunk(df: DataFrame, by: list[str], borders: DataFrame, chunks: int) -> DataFrame:
+    """``df`` with ``_chunk``: the number of borders at or before the row, in the order ``by``; rows
+    with equal ``by`` share a chunk."""
+    place = F.struct(*[F.col(name) for name in by])
     # Binary search, one comparison a step and no function called per element.
-    placed = df.withColumn("_place", place).withColumn("_borders", ordered.scalar()).withColumn("_chunk", F.lit(0))
-    step = 1 << (chunks - 1).bit_length() - 1
+    placed = df.withColumn("_place", place).withColumn("_borders", borders.scalar()).withColumn("_chunk", F.lit(0))
+    step = 1 << (chunks - 1).bit_length() - 1 if chunks > 1 else 0
     while step:
         further = F.get("_borders", F.col("_chunk") + (step - 1)) <= F.col("_place")
         placed = placed.withColumn("_chunk", F.col("_chunk") + F.when(further, step).otherwise(0))
@@ -58,34 +63,41 @@ def with_chunk(df: DataFrame, by: list[str], chunks: int) -> DataFrame:
     return placed.drop("_place", "_borders")
 
 
-def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
-    """``df`` with the columns of ``spec`` added; null keys form a key of their own."""
+def run_ordered(df: DataFrame, spec: Running, settled: bool = False) -> DataFrame:
+    """``df`` with the columns of ``spec`` added; null keys form a key of their own.
+
+    ``df`` is read three times, so it is stored first, unless it is ``settled``: made from stored rows
+    without a shuffle.
+    """
     chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*spec.key, *spec.order]
+    rows = df if settled else stored(df)
+    borders = chunk_borders(rows, by, chunks)
     part = Window.partitionBy("_chunk", *spec.key)
     in_part = part.orderBy(*spec.order)
     so_far = in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    local: dict[str, Column] = {"_at": F.row_number().over(in_part), "_rows": F.count(F.lit(1)).over(part)}
+    local: dict[str, Column] = {"_at": F.row_number().over(in_part)} if spec.previous or spec.position else {}
+    local |= {"_rows": F.count(F.lit(1)).over(part)} if spec.size else {}
+    local |= {"_more": F.lead(F.lit(True)).over(in_part)} if spec.following else {}
     local |= {f"_run_{out}": F.sum(src).over(so_far) for out, src in spec.sums.items()}
     local |= {f"_lag_{out}": F.lag(src).over(in_part) for out, src in spec.previous.items()}
     local |= {f"_lead_{out}": F.lead(src).over(in_part) for out, src in spec.following.items()}
     heads = {out: src for out, src in (spec.following | spec.first).items()}
     local |= {f"_head_{out}": F.first(src).over(so_far) for out, src in heads.items()}
-    # Settled, as the borders' values and the rows are both read from it.
-    laid = cut_lineage(with_chunk(df, [*spec.key, *spec.order], chunks).repartitionById(chunks, F.col("_chunk").cast("int")).withColumns(local))
-
-    # The last row of a part knows its totals; of each chunk only the first and the last key matter.
-    ends = {"_rows": F.col("_rows")}
-    ends |= {f"_sum_{out}": F.col(f"_run_{out}") for out in spec.sums}
-    ends |= {f"_last_{out}": F.col(src) for out, src in spec.previous.items()}
-    ends |= {f"_head_{out}": F.col(f"_head_{out}") for out in heads}
-    totals = F.struct(*[F.col(name) for name in spec.key], *[value.alias(name) for name, value in ends.items()])
-    place = F.struct(*spec.key)
-    parts = (
-        laid.where(F.col("_at") == F.col("_rows")).groupBy("_chunk")
-        .agg(F.min_by(totals, place).alias("a"), F.max_by(totals, place).alias("b"))
-        .select("_chunk", F.explode(F.array_distinct(F.array("a", "b"))).alias("part")).select("_chunk", "part.*")
-    )
+    laid = with_chunk(rows, by, borders, chunks).repartitionById(chunks, F.col("_chunk").cast("int")).withColumns(local)
+
+    # A key that lies in several chunks is the key of a border, so only such keys' rows are summed, where they lie.
+    cut = borders.select(F.explode("borders").alias("at")).select(*[F.col("at")[name].alias(f"_e_{name}") for name in spec.key]).distinct()
+    at_border = rows.join(F.broadcast(cut), [F.col(name).eqNullSafe(F.col(f"_e_{name}")) for name in spec.key], "left_semi")
+    along = F.struct(*[F.col(name) for name in spec.order])
+    totals = {"_rows": F.count(F.lit(1))}
+    totals |= {f"_sum_{out}": F.sum(src) for out, src in spec.sums.items()}
+    totals |= {f"_last_{out}": F.max_by(src, along) for out, src in spec.previous.items()}
+    totals |= {f"_head_{out}": F.min_by(src, along) for out, src in heads.items()}
+    # At most two rows a chunk.
+    parts = with_chunk(at_border, by, borders, chunks).groupBy("_chunk", *spec.key).agg(
+        *[value.alias(name) for name, value in totals.items()])
     key_parts = Window.partitionBy(*spec.key)
     by_chunk = key_parts.orderBy("_chunk")
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
@@ -113,7 +125,7 @@ def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
     for out in spec.previous:
         added[out] = F.when(F.col("_at") == 1, F.col(f"_prev_{out}")).otherwise(F.col(f"_lag_{out}"))
     for out in spec.following:
-        added[out] = F.when(F.col("_at") == F.col("_rows"), F.col(f"_next_{out}")).otherwise(F.col(f"_lead_{out}"))
+        added[out] = F.when(F.col("_more").isNull(), F.col(f"_next_{out}")).otherwise(F.col(f"_lead_{out}"))
     for out in spec.first:
         added[out] = F.when(border, F.col(f"_first_{out}")).otherwise(F.col(f"_head_{out}"))
     if spec.position:
@@ -123,9 +135,10 @@ def run_ordered(df: DataFrame, spec: Running) -> DataFrame:
     return joined.select(*df.columns, *[column.alias(name) for name, column in added.items()])
 
 
-def with_positions(df: DataFrame, order: list[str], out: str = "report_position") -> DataFrame:
+def with_positions(df: DataFrame, order: list[str], out: str = "report_position", settled: bool = False) -> DataFrame:
     """``df`` with the 1-based place of every row in a report sorted by ``order``, ascending SQL
-    expressions that together are unique; nulls come first. No task sees more than a chunk of the report."""
+    expressions that together are unique; nulls come first. No task sees more than a chunk of the report.
+    ``settled`` as in ``run_ordered``."""
     by = {f"_by_{i}": F.expr(expression) for i, expression in enumerate(order)}
-    placed = run_ordered(df.withColumns(by | {"_one": F.lit(1)}), Running(key=["_one"], order=list(by), position=out))
+    placed = run_ordered(df.withColumns(by | {"_one": F.lit(1)}), Running(key=["_one"], order=list(by), position=out), settled)
     return placed.select(*df.columns, out)

@@ -8,7 +8,7 @@ from allocspark.functions import labels
 from allocspark.functions.rounding import ratio, rounded, weighted_mean
 from allocspark.operators.ordered import Running, run_ordered
 from allocspark.schemas import CORRIDOR
-from allocspark.session import cut_lineage
+from allocspark.session import stored
 
 
 def registered_only(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def moving_means_of(instants: DataFrame, days: int = 7) -> DataFrame:
     total of entries minus exits, which needs no wide frame and no self-join. Nulls are left
     out of sums and counts; a span of nulls alone has no mean.
     """
-    instants = cut_lineage(instants)  # the ordered pass reads it twice, for its borders too
+    instants = stored(instants)  # the ordered pass reads it several times
     entering = F.struct(
         F.col("event_timestamp").alias("at"), F.lit(0).alias("leaves"),
         F.col("cost_sum").alias("d_cost"), F.col("yield_sum").alias("d_yield"),
@@ -61,7 +61,7 @@ def moving_means_of(instants: DataFrame, days: int = 7) -> DataFrame:
         sums={"span_cost": "d_cost", "span_yield": "d_yield", "span_costs": "d_costs", "span_yields": "d_yields"},
     )
     return (
-        run_ordered(changes, spec)
+        run_ordered(changes, spec, settled=True)
         .filter(F.col("leaves") == 0)
         .select(
             *CORRIDOR, F.col("at").alias("event_timestamp"), "observations",
@@ -133,7 +133,7 @@ def efficiency_rollup(telemetry: DataFrame, campaigns: DataFrame, approximate: b
     once, as three passes read them. Means and percentiles leave nulls out. With ``approximate`` the
     campaigns and the percentile are estimated from sketches instead, in one narrow pass.
     """
-    rows = cut_lineage(rollup_rows(telemetry, campaigns))
+    rows = stored(rollup_rows(telemetry, campaigns))
     if approximate:
         from allocspark.operators import sketches
 

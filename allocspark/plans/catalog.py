@@ -14,7 +14,7 @@ from allocspark.operators import (
     rollup, saturation, sketches,
 )
 from allocspark.operators.ordered import with_positions
-from allocspark.session import cut_lineage, ensure_checkpoint_dir
+from allocspark.session import cut_lineage, ensure_checkpoint_dir, stored
 from allocspark.sources import adapters, fixtures, rollup_store, writers
 from allocspark.sources.readers import quarter_of, read_parquet, read_table
 from allocspark.streaming import jobs
@@ -360,22 +360,25 @@ def report_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = rollup.efficiency_rollup(fixtures.sourcing_telemetry(spark, sf_dir), fixtures.campaign_master(spark, sf_dir))
     metrics = cut_lineage(_metrics(spark, sf_dir))
     program = allocation.corridor_program(metrics)
-    plan = cut_lineage(allocation.integer_allocations(allocation.greedy_plan(
+    plan = stored(allocation.integer_allocations(allocation.greedy_plan(
         allocation.pro_rata(fixtures.campaign_master(spark, sf_dir), program), program)))
     lines, every = allocation.allocation_lines(plan), allocation.allocation_lines(plan, keep_zero=True)
-    reports = {
-        "corridors": with_positions(metrics, corridors.REPORT_ORDER),
-        "daily_rollup": with_positions(daily, rollup.REPORT_ORDER),
-        "allocation_rollup": with_positions(reporting.allocation_rollup(lines), reporting.ROLLUP_ORDER),
-        "allocation_schedule": with_positions(reporting.allocation_schedule(every, metrics), reporting.SCHEDULE_ORDER),
-    }
-    keys = {
-        "corridors": corridors.OBSERVED_CORRIDOR, "daily_rollup": ["snapshot_date", *schemas.CORRIDOR],
-        "allocation_rollup": ["campaign_id", "dimension", "member"], "allocation_schedule": ["campaign_id", *corridors.OBSERVED_CORRIDOR],
-    }
-    parts = [df.select(F.lit(name).alias("report"), F.concat_ws("|", *keys[name]).alias("row_key"), "report_position")
-             for name, df in reports.items()]
-    return functools.reduce(DataFrame.unionByName, parts)
+    return functools.reduce(DataFrame.unionByName, [
+        _placed("corridors", metrics, corridors.REPORT_ORDER, corridors.OBSERVED_CORRIDOR),
+        _placed("daily_rollup", daily, rollup.REPORT_ORDER, ["snapshot_date", *schemas.CORRIDOR]),
+        _placed("allocation_rollup", reporting.allocation_rollup(lines), reporting.ROLLUP_ORDER, ["campaign_id", "dimension", "member"]),
+        # The schedule unfolds the stored plan in place.
+        _placed("allocation_schedule", reporting.allocation_schedule(every, metrics), reporting.SCHEDULE_ORDER,
+                ["campaign_id", *corridors.OBSERVED_CORRIDOR], settled=True),
+    ])
+
+
+def _placed(name: str, report: DataFrame, order: list[str], keys: list[str], settled: bool = False) -> DataFrame:
+    """The key and place of every row; nothing else of the report is stored or shuffled."""
+    by = [F.expr(expression).alias(f"_by_{i}") for i, expression in enumerate(order)]
+    narrow = report.select(F.concat_ws("|", *keys).alias("row_key"), *by)
+    return with_positions(narrow, [f"_by_{i}" for i in range(len(order))], settled=settled).select(
+        F.lit(name).alias("report"), "row_key", "report_position")
 
 
 # ---------------------------------------------------------------- anomalies and alarms

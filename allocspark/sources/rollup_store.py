@@ -15,7 +15,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from allocspark.operators import rollup, sketches
-from allocspark.session import cut_lineage
+from allocspark.session import stored
 from allocspark.sources import snapshots
 from allocspark.sources.readers import quarter_of
 
@@ -41,12 +41,23 @@ def _conform(df: DataFrame, part: str) -> DataFrame:
     return df.select("period", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in _fields(keys) + _fields(sums)])
 
 
-def _parts_of(rows: DataFrame) -> dict[str, DataFrame]:
+#: Members of a quarter for each file of its folder, about.
+FILE_ROWS = 1_000_000
+
+
+def _parts_of(rows: DataFrame, quarters: dict[str, int]) -> dict[str, DataFrame]:
+    """The parts of a batch, laid out by quarter; ``quarters`` has the rows of each."""
     cells = {
-        "cells": rollup.cell_counts(rows), "members": rows.select(*rollup.CELL, "campaign_id").distinct(),
-        "instants": rollup.instant_sums(rows), "sketches": sketches.sketched(rows, rollup.CELL),
+        "cells": rollup.cell_counts(rows), "instants": rollup.instant_sums(rows), "sketches": sketches.sketched(rows, rollup.CELL),
     }
-    return {name: _conform(df.withColumn("period", _period(name)), name) for name, df in cells.items()}
+    # A small quarter is one file, a large one is split by its size.
+    laid = {name: _conform(df.withColumn("period", _period(name)), name).hint("rebalance", F.col("period")) for name, df in cells.items()}
+    # Nearly as many as the rows, so they shuffle once, to the files they end in, and are made distinct there.
+    named = rows.select(_period("members").alias("period"), *rollup.CELL, "campaign_id")
+    files = F.create_map(*[F.lit(x) for quarter, n in quarters.items() for x in (quarter, 1 + n // FILE_ROWS)])[F.col("period")] if quarters else F.lit(1)
+    place = F.pmod(F.xxhash64(*rollup.CELL, "campaign_id"), files).alias("file")
+    members = named.select("*", place).repartition("period", "file").distinct()
+    return laid | {"members": _conform(members, "members")}
 
 
 def _period(part: str):
@@ -88,14 +99,17 @@ def refresh(spark: SparkSession, root: str, batch: str, rows: DataFrame, campaig
     base = snapshots.current(spark, root)
     if batch in base["batches"]:
         return {"version": base["version"], "rows": 0, "quarters": []}
-    new = cut_lineage(rollup.rollup_rows(rows, campaigns).withColumn("campaign_id", F.col("campaign_id").cast("string")))
+    new = stored(rollup.rollup_rows(rows, campaigns).withColumn("campaign_id", F.col("campaign_id").cast("string")))
     count = new.count()
-    days = [r[0] for r in new.select("snapshot_date").distinct().collect()]  # days of the calendar
+    by_day = {r[0]: r["count"] for r in new.groupBy("snapshot_date").count().collect()}  # days of the calendar
+    days = list(by_day)
+    sizes: dict[str, int] = {}
+    for day, n in by_day.items():
+        sizes[_quarter(day)] = sizes.get(_quarter(day), 0) + n
     folder = f"batch={batch}-{uuid.uuid4().hex}"
     parts = {name: list(folders) for name, folders in base["parts"].items()}
-    for name, part in _parts_of(new).items():
-        # A small quarter is one file, a large one is split by its size.
-        part.hint("rebalance", F.col("period")).write.partitionBy("period").parquet(f"{root.rstrip('/')}/{name}/{folder}")
+    for name, part in _parts_of(new, sizes).items():
+        part.write.partitionBy("period").parquet(f"{root.rstrip('/')}/{name}/{folder}")
         if days:
             parts.setdefault(name, []).append(folder)
     touched = {_quarter(day + timedelta(days=d)) for day in days for d in (0, MOVING_DAYS)}
