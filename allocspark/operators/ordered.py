@@ -34,6 +34,7 @@ class Running:
     first: dict[str, str] = field(default_factory=dict)
     position: str | None = None  # 1-based row number
     size: str | None = None  # rows of the key
+    one_key: bool = False  # all rows have the same key
 
 
 def chunk_borders(df: DataFrame, by: list[str], chunks: int) -> DataFrame:
@@ -89,7 +90,7 @@ def run_ordered(df: DataFrame, spec: Running, settled: bool = False) -> DataFram
 
     # A key that lies in several chunks is the key of a border, so only such keys' rows are summed, where they lie.
     cut = borders.select(F.explode("borders").alias("at")).select(*[F.col("at")[name].alias(f"_e_{name}") for name in spec.key]).distinct()
-    at_border = rows.join(F.broadcast(cut), [F.col(name).eqNullSafe(F.col(f"_e_{name}")) for name in spec.key], "left_semi")
+    at_border = rows if spec.one_key else rows.join(F.broadcast(cut), [F.col(name).eqNullSafe(F.col(f"_e_{name}")) for name in spec.key], "left_semi")
     along = F.struct(*[F.col(name) for name in spec.order])
     totals = {"_rows": F.count(F.lit(1))}
     totals |= {f"_sum_{out}": F.sum(src) for out, src in spec.sums.items()}
@@ -140,5 +141,5 @@ def with_positions(df: DataFrame, order: list[str], out: str = "report_position"
     expressions that together are unique; nulls come first. No task sees more than a chunk of the report.
     ``settled`` as in ``run_ordered``."""
     by = {f"_by_{i}": F.expr(expression) for i, expression in enumerate(order)}
-    placed = run_ordered(df.withColumns(by | {"_one": F.lit(1)}), Running(key=["_one"], order=list(by), position=out), settled)
+    placed = run_ordered(df.withColumns(by | {"_one": F.lit(1)}), Running(key=["_one"], order=list(by), position=out, one_key=True), settled)
     return placed.select(*df.columns, out)
