@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from allocspark.functions import labels
 from allocspark.functions.rounding import mean, ratio, rounded
-from allocspark.operators.ordered import Running, run_ordered
+from allocspark.operators.ordered import Running, run_by_key, run_ordered
 from allocspark.schemas import CORRIDOR
 from allocspark.session import cut_lineage, stored
 
@@ -39,28 +39,40 @@ def with_ntile(df: DataFrame, group: str, value: str, tiebreak: str, buckets: in
 
     same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in ("g", "missing", "v")]
     values = borders.select("g", "missing", "v").distinct().withColumnsRenamed({name: f"_{name}" for name in ("g", "missing", "v")})
-    placed = run_ordered(rows.join(beside(values), same, "left_semi"), Running(key=["g", "missing", "v"], order=["id"], position="at"), settled=small)
+    # Stored by the pass, so that whole ``df`` is searched for them once.
+    placed = run_ordered(rows.join(beside(values), same, "left_semi"), Running(key=["g", "missing", "v"], order=["id"], position="at"))
     named = borders.withColumnsRenamed({name: f"_{name}" for name in ("g", "missing", "v")})
     found = placed.join(beside(named), [*same, F.col("at") == F.col("k")]).groupBy(F.col("g").alias("_g")).agg(
         F.collect_list(F.struct("missing", "v", "id")).alias("_borders"))  # at most ``buckets - 1``
     own = F.struct(F.col(value).isNull().alias("missing"), F.col(value).alias("v"), F.col(tiebreak).alias("id"))
     joined = df.join(beside(cut_lineage(found)), F.col(group).eqNullSafe(F.col("_g")), "left")
-    bucket = 1 + F.greatest(F.size(F.filter("_borders", lambda b: b < own)), F.lit(0))
-    return joined.select(*df.columns, bucket.cast("int").alias(out))
+    # At most ``buckets - 1`` comparisons, no function called per element.
+    passed = [F.when(F.get("_borders", F.lit(i)) < own, 1).otherwise(0) for i in range(buckets - 1)]
+    return joined.select(*df.columns, sum(passed, F.lit(1)).cast("int").alias(out))
+
+
+def settled_telemetry(telemetry: DataFrame) -> DataFrame:
+    """The columns of telemetry that the cohort reports read, stored: they read them several times."""
+    return stored(telemetry.select(
+        "telemetry_id", "campaign_id", *CORRIDOR, "cost_per_applicant_usd", "allocated_applicants",
+        "allocated_spend_usd", "overall_conversion_yield", "projected_hires", "event_timestamp",
+    ))
 
 
 def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Every observation with its campaign history, cost quartile, drift, velocity and tier."""
+    """Every observation with its campaign history, cost quartile, drift, velocity and tier.
+
+    ``telemetry`` is read twice: give ``settled_telemetry``. The rows shuffle once, by campaign, to meet
+    their campaign and to be put in order, and are stored with their history for the quartiles.
+    """
     onboarded = campaigns.select(
         "campaign_id", "client_name", F.date_format("created_at", "yyyy-MM").alias("onboarding_cohort")
     )
-    known = stored(telemetry.select(
-        "telemetry_id", "campaign_id", *CORRIDOR, "cost_per_applicant_usd", "allocated_applicants",
-        "allocated_spend_usd", "overall_conversion_yield", "projected_hires", "event_timestamp",
-    ).join(onboarded, "campaign_id"))
-    quartered = with_ntile(
-        known, "seniority", "cost_per_applicant_usd", "telemetry_id", 4, "cpa_efficiency_quartile"
-    )
+    # Both sides are laid out by campaign for the history anyway; hashed, only the history sorts the rows.
+    known = telemetry.join(onboarded.hint("shuffle_hash"), "campaign_id")
+    observed = telemetry.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("rows"))
+    listed = campaigns.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("times"))
+    sizes = stored(observed.join(listed, "campaign_id").select("campaign_id", (F.col("rows") * F.col("times")).alias("n")))
     history = Running(
         key=["campaign_id"], order=["event_timestamp", "telemetry_id"],
         previous={"prev_batch_cpa_usd": "cost_per_applicant_usd"},
@@ -68,9 +80,14 @@ def cohort_telemetry(telemetry: DataFrame, campaigns: DataFrame) -> DataFrame:
         first={"baseline_campaign_cpa_usd": "cost_per_applicant_usd"},
         position="allocation_batch_sequence",
     )
+    placed = stored(run_by_key(known, history, sizes))
+    # Seniorities are few, so their quartile borders are broadcast and the stored rows stay where they are.
+    quartered = with_ntile(
+        placed, "seniority", "cost_per_applicant_usd", "telemetry_id", 4, "cpa_efficiency_quartile"
+    )
     cost, previous = F.col("cost_per_applicant_usd"), F.col("prev_batch_cpa_usd")
-    # Seniorities are few, so their quartile borders are broadcast and every pass reads the stored rows.
-    return run_ordered(quartered, history, settled=True).withColumns({
+    added = placed.columns[len(known.columns):]
+    return quartered.select(*known.columns, "cpa_efficiency_quartile", *added).withColumns({
         "cpa_drift_from_baseline_usd": rounded(cost - F.col("baseline_campaign_cpa_usd"), 2),
         "cpa_velocity_pct_change": F.when(previous.isNull() | (previous == 0), F.expr("cast(0 as decimal(29,2))"))
         .otherwise(rounded(ratio((cost - previous) * 100, previous), 2)),
@@ -84,7 +101,7 @@ def with_corridor_benchmark(rows: DataFrame, telemetry: DataFrame) -> DataFrame:
     benchmark = telemetry.groupBy(*CORRIDOR).agg(
         mean(F.col("cost_per_applicant_usd")).alias("corridor_benchmark_avg_cpa_usd")
     )
-    return rows.join(benchmark, CORRIDOR, "left")
+    return rows.join(F.broadcast(benchmark), CORRIDOR, "left")  # one row a corridor of the closed domains
 
 
 def cohort_matrix(enriched: DataFrame, min_rows: int = 2) -> DataFrame:

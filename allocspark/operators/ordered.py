@@ -3,7 +3,8 @@
 A plain window puts all rows of one key into one task. All rows are therefore cut into chunks by
 borders in the order (key, order), as many as the session's shuffles have partitions. A chunk is
 windowed in one task; only the keys of the borders lie in several chunks, so a table of at most
-two rows a chunk carries all values across the borders. Small and hot keys take the same way.
+two rows a chunk carries all values across the borders. Small and hot keys take the same way; where
+the rows of each key are counted already, ``run_by_key`` sends only hot keys that way.
 
 The rows are stored as columns once and shuffle once, by chunk. Borders are drawn from a sample of the
 stored rows and are fixed before that, so a row's chunk is a function of the row, also when a stage is
@@ -136,6 +137,32 @@ def run_ordered(df: DataFrame, spec: Running, settled: bool = False) -> DataFram
     return joined.select(*df.columns, *[column.alias(name) for name, column in added.items()])
 
 
+def run_by_key(df: DataFrame, spec: Running, sizes: DataFrame) -> DataFrame:
+    """``run_ordered`` by plain windows, which need no shuffle where a join by the key went before.
+
+    ``sizes`` has ``n``, the rows of each key; keys with more than a chunk's share of the rows, fewer than
+    there are chunks, go through the chunks. ``df`` is computed once, and once more with hot keys.
+    """
+    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = sizes.agg((F.sum("n") / chunks).alias("share"))
+    hot = cut_lineage(sizes.where(F.col("n") > share.scalar()).select(*[F.col(name).alias(f"_h_{name}") for name in spec.key]))
+    is_hot = [F.col(name).eqNullSafe(F.col(f"_h_{name}")) for name in spec.key]
+    any_hot = not hot.isEmpty()
+    rest = df.join(F.broadcast(hot), is_hot, "left_anti") if any_hot else df
+
+    whole = Window.partitionBy(*spec.key)
+    along = whole.orderBy(*spec.order)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added: dict[str, Column] = {out: F.sum(src).over(so_far) for out, src in spec.sums.items()}
+    added |= {out: F.lag(src).over(along) for out, src in spec.previous.items()}
+    added |= {out: F.lead(src).over(along) for out, src in spec.following.items()}
+    added |= {out: F.first(src).over(so_far) for out, src in spec.first.items()}
+    added |= {spec.position: F.row_number().over(along)} if spec.position else {}
+    added |= {spec.size: F.count(F.lit(1)).over(whole)} if spec.size else {}
+    plain = rest.withColumns(added)
+    return plain.unionByName(run_ordered(df.join(F.broadcast(hot), is_hot, "left_semi"), spec)) if any_hot else plain
+
+
 def with_positions(df: DataFrame, order: list[str], out: str = "report_position", settled: bool = False) -> DataFrame:
     """``df`` with the 1-based place of every row in a report sorted by ``order``, ascending SQL
     expressions that together are unique; nulls come first. No task sees more than a chunk of the report.

@@ -216,18 +216,18 @@ def mta_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivered(attribution.ranked_attribution(attribution.attribution(_edges(spark, sf_dir))))
 
 
-def _cohort_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cohorts.cohort_telemetry(
-        fixtures.sourcing_telemetry(spark, sf_dir), fixtures.campaign_master(spark, sf_dir))
+def _cohort_telemetry(spark: SparkSession, sf_dir: str, telemetry: DataFrame) -> DataFrame:
+    return cohorts.cohort_telemetry(telemetry, fixtures.campaign_master(spark, sf_dir))
 
 
 def cohort_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivered(cohorts.with_corridor_benchmark(
-        _cohort_telemetry(spark, sf_dir), fixtures.sourcing_telemetry(spark, sf_dir)))
+    telemetry = cohorts.settled_telemetry(fixtures.sourcing_telemetry(spark, sf_dir))
+    return delivered(cohorts.with_corridor_benchmark(_cohort_telemetry(spark, sf_dir, telemetry), telemetry))
 
 
 def cohort_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivered(cohorts.ranked_cohorts(cohorts.cohort_matrix(_cohort_telemetry(spark, sf_dir))))
+    telemetry = cohorts.settled_telemetry(fixtures.sourcing_telemetry(spark, sf_dir))
+    return delivered(cohorts.ranked_cohorts(cohorts.cohort_matrix(_cohort_telemetry(spark, sf_dir, telemetry))))
 
 
 # ------------------------------------------------------------------------- allocation
