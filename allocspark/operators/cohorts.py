@@ -107,15 +107,11 @@ def with_corridor_benchmark(rows: DataFrame, telemetry: DataFrame) -> DataFrame:
 def cohort_matrix(enriched: DataFrame, min_rows: int = 2) -> DataFrame:
     """One row per (cohort month, corridor, tier) with at least ``min_rows`` observations.
 
-    Like the daily rollup, one pass groups by cost and by campaign, so that percentiles and
-    the distinct count work on counted pairs.
+    Three narrow passes over ``enriched``, which comes from stored rows: sums per cell, the counted costs
+    that the percentiles need, and the campaigns of each cell. Each is summed before it shuffles.
     """
     cell = ["onboarding_cohort", *CORRIDOR, "longitudinal_performance_tier"]
-    pieces = enriched.groupingSets(
-        [[*map(F.col, cell), F.col("cost_per_applicant_usd")], [*map(F.col, cell), F.col("campaign_id")]],
-        *cell, "cost_per_applicant_usd", "campaign_id",
-    ).agg(
-        F.grouping("campaign_id").alias("by_cost"),
+    sums = enriched.groupBy(*cell).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("allocated_applicants").alias("applicants"),
         F.sum("allocated_spend_usd").alias("spend"),
@@ -123,27 +119,20 @@ def cohort_matrix(enriched: DataFrame, min_rows: int = 2) -> DataFrame:
         F.sum("cpa_drift_from_baseline_usd").alias("drift"),
         F.sum("cpa_velocity_pct_change").alias("velocity"),
         F.sum("overall_conversion_yield").alias("yield_sum"),
+        F.sum("cost_per_applicant_usd").alias("cost_sum"),
         F.count("cost_per_applicant_usd").alias("costs"),
         F.count("cpa_drift_from_baseline_usd").alias("drifts"),
         F.count("cpa_velocity_pct_change").alias("velocities"),
         F.count("overall_conversion_yield").alias("yields"),
     )
-    by_cost = F.col("by_cost") == 1
-
-    def total(name: str):
-        return F.sum(F.when(by_cost, F.col(name)))
-
-    counted = F.when(by_cost, F.col("n"))
+    costs = enriched.groupBy(*cell, "cost_per_applicant_usd").agg(F.count(F.lit(1)).alias("rows"))
+    members = enriched.select(*cell, "campaign_id").distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("total_active_campaigns"))
+    pieces = sums.unionByName(costs, allowMissingColumns=True).unionByName(members, allowMissingColumns=True)
     merged = pieces.groupBy(*cell).agg(
-        F.count(F.when(~by_cost, 1)).alias("total_active_campaigns"),
-        total("applicants").alias("total_applicants_routed"),
-        total("spend").alias("spend"), total("hires").alias("hires"),
-        total("drift").alias("drift"), total("velocity").alias("velocity"),
-        total("yield_sum").alias("yield_sum"), total("n").alias("n"),
-        *[total(name).alias(name) for name in ("costs", "drifts", "velocities", "yields")],
-        F.sum(F.when(by_cost, F.col("cost_per_applicant_usd") * F.col("n"))).alias("cost_sum"),
-        F.percentile(F.when(by_cost, F.col("cost_per_applicant_usd")), [0.5, 0.95],
-                     F.coalesce(counted, F.lit(0))).alias("cost_points"),
+        F.max("total_active_campaigns").alias("total_active_campaigns"),
+        F.max("applicants").alias("total_applicants_routed"),
+        *[F.max(name).alias(name) for name in sums.columns[len(cell):] if name != "applicants"],
+        F.percentile("cost_per_applicant_usd", [0.5, 0.95], F.coalesce("rows", F.lit(0))).alias("cost_points"),
     )
     n = F.col("n")
     return merged.filter(n >= min_rows).select(
