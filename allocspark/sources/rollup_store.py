@@ -10,6 +10,7 @@ whose days or moving means they touch, from state alone. State and rollup are pu
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -41,14 +42,18 @@ def _conform(df: DataFrame, part: str) -> DataFrame:
     return df.select("period", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in _fields(keys) + _fields(sums)])
 
 
+#: The folder of rows without a day.
+NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
 #: Members of a quarter for each file of its folder, about.
 FILE_ROWS = 1_000_000
 
 
 def _parts_of(rows: DataFrame, quarters: dict[str, int]) -> dict[str, DataFrame]:
     """The parts of a batch, laid out by quarter; ``quarters`` has the rows of each."""
+    # Costs as the state holds them, so that no two rows of a batch's cells have one key.
+    priced = rows.withColumn("cost_per_applicant_usd", F.col("cost_per_applicant_usd").cast(_fields(_COST)[0].dataType))
     cells = {
-        "cells": rollup.cell_counts(rows), "instants": rollup.instant_sums(rows), "sketches": sketches.sketched(rows, rollup.CELL),
+        "cells": rollup.cell_counts(priced), "instants": rollup.instant_sums(rows), "sketches": sketches.sketched(rows, rollup.CELL),
     }
     # A small quarter is one file, a large one is split by its size.
     laid = {name: _conform(df.withColumn("period", _period(name)), name).hint("rebalance", F.col("period")) for name, df in cells.items()}
@@ -65,7 +70,10 @@ def _period(part: str):
 
 
 def read_state(spark: SparkSession, root: str, part: str, periods: list[str] | None = None, manifest: dict | None = None) -> DataFrame:
-    """One part of the state, merged over all batches; only the given quarters' folders are read."""
+    """One part of the state, merged over all batches; only the given quarters' folders are read.
+
+    A batch's part is merged in itself, so the rows of a quarter that one batch alone holds stay where they are.
+    """
     keys, sums = STATE[part]
     names = [f.name for f in _fields(keys)]
     schema = T.StructType([*_fields(keys), *_fields(sums), T.StructField("period", T.StringType())])
@@ -76,9 +84,15 @@ def read_state(spark: SparkSession, root: str, part: str, periods: list[str] | N
         stored = stored.where(F.col("period").isin(periods))
     if part == "sketches":
         return sketches.merged(stored, names)
-    if not sums:
-        return stored.select(*names).distinct()
-    return stored.groupBy(*names).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in _fields(sums)])
+    holders = Counter(folder.removeprefix("period=") for b in batches for folder in snapshots.names(spark, f"{base}/{b}"))
+    shared = [quarter for quarter, n in holders.items() if n > 1 and (periods is None or quarter in periods)]
+    columns = [*names, *[f.name for f in _fields(sums)]]
+    if not shared:
+        return stored.select(*columns)
+    several = F.coalesce(F.col("period").isin(shared), F.lit(NO_PERIOD in shared))
+    parts = stored.where(several)
+    merged = parts.groupBy(*names).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in _fields(sums)]) if sums else parts.select(*names).distinct()
+    return stored.where(~several).select(*columns).unionByName(merged)
 
 
 def read_rollup(spark: SparkSession, root: str, first: str = "0000Q1", last: str = "9999Q4") -> DataFrame:
@@ -99,7 +113,10 @@ def refresh(spark: SparkSession, root: str, batch: str, rows: DataFrame, campaig
     base = snapshots.current(spark, root)
     if batch in base["batches"]:
         return {"version": base["version"], "rows": 0, "quarters": []}
-    new = stored(rollup.rollup_rows(rows, campaigns).withColumn("campaign_id", F.col("campaign_id").cast("string")))
+    # Rows of a (day, corridor) lie together, large ones split by their size, so the sums and sketches of ``_parts_of``
+    # are nearly whole before they shuffle.
+    known = rollup.rollup_rows(rows, campaigns).withColumn("campaign_id", F.col("campaign_id").cast("string"))
+    new = stored(known.hint("rebalance", *[F.col(name) for name in rollup.CELL]))
     count = new.count()
     by_day = {r[0]: r["count"] for r in new.groupBy("snapshot_date").count().collect()}  # days of the calendar
     days = list(by_day)
